@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import chunking, neardup
+from quirework.llm import chunking, neardup, scanrepair
 from quirework.runtime import table
 
 
@@ -37,7 +37,23 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _pieces(spark, d).distinct()
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_groups, p2_found, p2_pieces)}
+def _scanned(spark: SparkSession, d: str) -> DataFrame:
+    """The texts of problem 3 with their repair."""
+    blocks = table(spark, d, "blocks")
+    body = blocks.where(F.col("kind").isin(*scanrepair.Params().kinds)).select(F.lit("blocks").alias("table_name"), F.col("block_key").alias("row_id"), "text")
+    texts = body.union(table(spark, d, "clauses").select(F.lit("clauses"), "clause_id", "text")).union(table(spark, d, "subclauses").select(F.lit("subclauses"), "subclause_id", "text"))
+    return scanrepair.repaired(texts, blocks.where("kind IN ('header', 'footer', 'page_number')").select("text"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _scanned(spark, d).where("broken_word OR misread_word OR furniture").select("table_name", "row_id").distinct()
+
+
+def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return _scanned(spark, d).distinct()
+
+
+QUERIES = {q.__name__: q for q in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_repaired)}
 
 ORACLES = {
     "p2_found": "SELECT DISTINCT clause_id, 'text' AS field_name FROM clauses WHERE length(text) > 2000 UNION SELECT DISTINCT clause_id, 'full_text' FROM clauses WHERE length(full_text) > 2000",
