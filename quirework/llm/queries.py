@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import chunking, neardup, scanrepair
+from quirework.llm import chunking, leakage, neardup, scanrepair, truncation
 from quirework.runtime import table
 
 
@@ -53,8 +53,62 @@ def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
     return _scanned(spark, d).distinct()
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_repaired)}
+def _block_cuts(spark: SparkSession, d: str) -> DataFrame:
+    blocks = table(spark, d, "blocks").where(F.col("kind").isin(*scanrepair.Params().kinds)).dropDuplicates(["block_key"])
+    blocks = blocks.select("block_key", "bundle_id", "page", "idx", "call_key", "text")
+    rows = truncation.with_calls(blocks, table(spark, d, "replay")).withColumn("source", F.col("model"))
+    rows = truncation.cut_texts(rows, truncation.limits(rows.select("source", "text")))
+    goes = truncation.continued(blocks.select("bundle_id", "page", "idx"), table(spark, d, "pages")).withColumn("_goes", F.lit(True))
+    rows = rows.join(goes, ["bundle_id", "page", "idx"], "left")
+    return rows.withColumn("cut", F.col("cut") & F.col("_goes").isNull()).drop("_goes")
+
+
+def _subclause_cuts(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "subclauses").select("subclause_id", "source", "text").dropDuplicates(["subclause_id"])
+    return truncation.cut_texts(rows, truncation.limits(rows))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    blocks = _block_cuts(spark, d).where("cut").select(F.lit("blocks").alias("table_name"), F.col("block_key").alias("row_id"))
+    return blocks.union(_subclause_cuts(spark, d).where("cut").select(F.lit("subclauses"), "subclause_id"))
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    none = F.lit(None).cast("string")
+    blocks = truncation.report(_block_cuts(spark, d), ["model", "finish_reason"]).withColumn("table_name", F.lit("blocks")).withColumn("source", none)
+    subs = truncation.report(_subclause_cuts(spark, d), ["source"]).withColumn("table_name", F.lit("subclauses")).withColumn("model", none).withColumn("finish_reason", none)
+    return blocks.unionByName(subs)
+
+
+def p6_limits(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.limits(table(spark, d, "subclauses").select("subclause_id", "source", "text").dropDuplicates(["subclause_id"]).select("source", "text"))
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select("doc_id", "item_id").distinct()
+
+
+def p8_spans(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select("doc_id", "item_id", F.explode("spans").alias("s")).select("doc_id", "item_id", F.col("s.begin").alias("begin_char"), F.col("s.end").alias("end_char"))
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked_items(_leaks(spark, d))
+
+
+QUERIES = {q.__name__: q for q in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_repaired, p6_found, p6_report, p6_limits, p8_found, p8_spans, p8_items)}
 
 ORACLES = {
     "p2_found": "SELECT DISTINCT clause_id, 'text' AS field_name FROM clauses WHERE length(text) > 2000 UNION SELECT DISTINCT clause_id, 'full_text' FROM clauses WHERE length(full_text) > 2000",
+    "p8_found": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(regexp_replace(text, '[-‐‑\x{ad}¬][ \t]*\r?\n\s*|\x{ad}', '', 'g')), '[\p{L}\p{N}]+') AS w FROM documents),
+dg AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d),
+p AS (SELECT item_id, regexp_extract_all(lower(passage), '[\p{L}\p{N}]+') AS w FROM eval_items),
+pg AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM p),
+n AS (SELECT item_id, count(*) AS n FROM pg GROUP BY item_id)
+SELECT doc_id, item_id FROM dg JOIN pg USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id, n HAVING count(*) * 3 >= n""",
 }
