@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import chunking, leakage, neardup, scanrepair, truncation
-from quirework.runtime import table
+from quirework.llm import chunking, leakage, namelinks, neardup, scanrepair, truncation
+from quirework.runtime import materialize, table
 
 
 def _clauses(spark: SparkSession, d: str) -> DataFrame:
@@ -53,6 +53,22 @@ def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
     return _scanned(spark, d).distinct()
 
 
+def _linked(spark: SparkSession, d: str) -> DataFrame:
+    parties, pages = table(spark, d, "parties"), table(spark, d, "pages").where("stamp_paper IS NOT NULL")
+    own = parties.select(F.concat(F.lit("p:"), F.col("party_id").cast("string")).alias("mention"), "bundle_id", "name")
+    stamp = lambda n, c: pages.select(F.concat(F.lit("s:"), F.col("page_id").cast("string"), F.lit(f":{n}")), "bundle_id", F.col(f"stamp_paper.{c}"))
+    mentions = own.union(stamp(1, "first_party")).union(stamp(2, "second_party")).where("name IS NOT NULL")
+    return namelinks.link(mentions, parties.select("bundle_id", F.explode("aliases").alias("alias"), "name"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return namelinks.entity_pairs(materialize(_linked(spark, d)))
+
+
+def p5_entities(spark: SparkSession, d: str) -> DataFrame:
+    return _linked(spark, d)
+
+
 def _block_cuts(spark: SparkSession, d: str) -> DataFrame:
     blocks = table(spark, d, "blocks").where(F.col("kind").isin(*scanrepair.Params().kinds)).dropDuplicates(["block_key"])
     blocks = blocks.select("block_key", "bundle_id", "page", "idx", "call_key", "text")
@@ -100,7 +116,7 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_items(_leaks(spark, d))
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_repaired, p6_found, p6_report, p6_limits, p8_found, p8_spans, p8_items)}
+QUERIES = {q.__name__: q for q in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_repaired, p5_found, p5_entities, p6_found, p6_report, p6_limits, p8_found, p8_spans, p8_items)}
 
 ORACLES = {
     "p2_found": "SELECT DISTINCT clause_id, 'text' AS field_name FROM clauses WHERE length(text) > 2000 UNION SELECT DISTINCT clause_id, 'full_text' FROM clauses WHERE length(full_text) > 2000",
