@@ -65,7 +65,7 @@ def _line(word: str) -> str | None:
     known = LINE_OF.get(word)
     if known or len(word) < 5:
         return known
-    return next((k for k in LINES if len(k) >= 5 and near(word, k)), None)
+    return next((k for v, k in LINE_OF.items() if len(v) >= 5 and near(word, v)), None)
 
 
 def parse(name: str) -> dict:
@@ -101,13 +101,15 @@ def parse(name: str) -> dict:
                 middle = True
         else:
             own.append(w)
+    if {"board", "electricals"} <= line:  # the short form of electrical is that of electricity too
+        line = line - {"electricals"} | {"electricity"}
     person = not firm and (given is not None or initial is not None or titled)
     bare = re.sub(r"[^A-Za-z]", "", name)
     short = bare.upper() if len(words) == 1 and 2 <= len(bare) <= 8 and bare.isupper() and not line else None
-    return {"own": own, "line": " ".join(sorted(line)) or None, "given": given if person else None, "initial": initial if person else None, "person": person, "short": short}
+    return {"own": own, "line": " ".join(sorted(line)) or None, "given": given if person else None, "initial": initial if person else None, "person": person, "short": short, "letters": "".join(w[0] for w in words if w not in TITLES).upper()}
 
 
-PARSED = "name string, f1 string, f2 string, line string, given string, initial string, person boolean, short string"
+PARSED = "name string, f1 string, f2 string, line string, given string, initial string, person boolean, short string, letters string"
 
 
 def parsed(names: DataFrame) -> DataFrame:
@@ -120,9 +122,9 @@ def parsed(names: DataFrame) -> DataFrame:
                 p = parse(n)
                 own = p["own"]
                 two = len(own) > 1
-                rows.append((n, "".join(own) or None, "".join(own[1:] + own[:1]) if two else None, p["line"], p["given"], p["initial"], p["person"], p["short"]))
-            cols = list(zip(*rows)) if rows else [()] * 8
-            yield pa.record_batch([pa.array(c, pa.bool_() if i == 6 else pa.string()) for i, c in enumerate(cols)], names=["name", "f1", "f2", "line", "given", "initial", "person", "short"])
+                rows.append((n, "".join(own) or None, "".join(own[1:] + own[:1]) if two else None, p["line"], p["given"], p["initial"], p["person"], p["short"], p["letters"]))
+            cols = list(zip(*rows)) if rows else [()] * 9
+            yield pa.record_batch([pa.array(c, pa.bool_() if i == 6 else pa.string()) for i, c in enumerate(cols)], names=["name", "f1", "f2", "line", "given", "initial", "person", "short", "letters"])
 
     return names.mapInArrow(run, PARSED)
 
@@ -161,16 +163,16 @@ def edit_distances(a: list[str], b: list[str]) -> np.ndarray:
     return d[la + 1, lb + 1, rows]
 
 
-def radius_pairs(points: DataFrame, radius: int = 1, pivots: int = 1024, per_cell: int = 64, seed: int = 5) -> DataFrame:
-    """``(a, b)`` of distinct strings of the column ``s`` within ``radius`` edits, smaller first.
+def radius_pairs(points: DataFrame, pivots: int = 1024, per_cell: int = 64, seed: int = 5) -> DataFrame:
+    """``(a, b)`` of distinct strings of the column ``s`` within the greater one of their radii ``r``, smaller first.
 
     One pivot per ``per_cell`` strings, ``pivots`` at most, drawn by hash. A string goes to its nearest pivot's
-    cell as a member, and as a guest to each cell whose pivot is within twice the radius of being its nearest:
-    if x and y are within the radius, x is in y's cell as member or guest. Inside a cell members meet guests
+    cell as a member, and as a guest to each cell whose pivot is within twice its radius of being its nearest:
+    if x and y are within x's radius, x is in y's cell as member or guest. Inside a cell members meet guests
     through filters that the triangle inequality and lengths give, then through the metric itself.
     """
     spark = points.sparkSession
-    points = materialize(points.select("s").where("s IS NOT NULL AND s <> ''").distinct())
+    points = materialize(points.where("s IS NOT NULL AND s <> ''").groupBy("s").agg(F.max("r").cast("int").alias("r")))
     n = points.count()
     m = min(pivots, max(1, n // per_cell))
     chosen = [r[0] for r in points.orderBy(F.xxhash64("s", F.lit(seed)), "s").limit(m).collect()]
@@ -179,34 +181,36 @@ def radius_pairs(points: DataFrame, radius: int = 1, pivots: int = 1024, per_cel
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ps = held.value
         for batch in batches:
-            strings = batch.column("s").to_pylist()
+            strings, reach = batch.column("s").to_pylist(), batch.column("r").to_numpy()
             for at in range(0, len(strings), max(1, 40_000 // len(ps))):
                 part = strings[at : at + max(1, 40_000 // len(ps))]
                 dist = edit_distances([x for x in part for _ in ps], ps * len(part)).reshape(len(part), len(ps))
                 home = dist.argmin(1)
-                i, c = np.nonzero(dist <= dist.min(1)[:, None] + 2 * radius)
-                yield pa.record_batch([c.astype(np.int32), pa.array([part[k] for k in i], pa.string()), dist[i, c].astype(np.int32), pa.array(home[i] == c)], names=["cell", "s", "d", "home"])
+                i, c = np.nonzero(dist <= dist.min(1)[:, None] + 2 * reach[at : at + len(part), None])
+                yield pa.record_batch([c.astype(np.int32), pa.array([part[k] for k in i], pa.string()), reach[at + i].astype(np.int32), dist[i, c].astype(np.int32), pa.array(home[i] == c)], names=["cell", "s", "r", "d", "home"])
 
     spread = points.repartition(max(spark.sparkContext.defaultParallelism, n // 20_000 + 1), "s") if n else points
-    placed = materialize(spread.mapInArrow(cells, "cell int, s string, d int, home boolean"))
-    x, y = placed.where("home").select("cell", F.col("s").alias("a"), F.col("d").alias("da")), placed.select("cell", F.col("s").alias("b"), F.col("d").alias("db"))
-    close = x.join(y, "cell").where((F.col("a") != F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= radius) & (F.abs(F.col("da") - F.col("db")) <= radius))
-    close = close.where(F.levenshtein("a", "b", 2 * radius) >= 0).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    placed = materialize(spread.mapInArrow(cells, "cell int, s string, r int, d int, home boolean"))
+    x = placed.where("home").select("cell", F.col("s").alias("a"), F.col("d").alias("da"))
+    y = placed.select("cell", F.col("s").alias("b"), "r", F.col("d").alias("db"))
+    close = x.join(y, "cell").where((F.col("a") != F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= F.col("r")) & (F.abs(F.col("da") - F.col("db")) <= F.col("r")))
+    close = close.where(F.levenshtein("a", "b") <= 2 * F.col("r")).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("r").alias("r"))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                ok = edit_distances(batch.column("a").to_pylist(), batch.column("b").to_pylist()) <= radius
-                yield batch.filter(pa.array(ok))
+                ok = edit_distances(batch.column("a").to_pylist(), batch.column("b").to_pylist()) <= batch.column("r").to_numpy()
+                yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return close.mapInArrow(exact, "a string, b string")
 
 
-def link(mentions: DataFrame, aliases: DataFrame, radius: int = 1) -> DataFrame:
+def link(mentions: DataFrame, aliases: DataFrame, radius: int = 1, rare_radius: int = 2) -> DataFrame:
     """``(mention, entity)``: the entity of every mention.
 
     ``mentions``: ``(mention string, bundle_id, name)``; null and blank names give no row, repeated rows count
     once. ``aliases``: ``(bundle_id, alias, name)``: aliases of the bundle's parties with the party's name.
+    Spellings are linked within ``radius`` edits, those that only one name has within ``rare_radius``.
     An entity is named by a canonical text. Names that have no own words (only letters of an unknown
     initialism, say) are one entity per bundle and spelling.
     """
@@ -215,22 +219,31 @@ def link(mentions: DataFrame, aliases: DataFrame, radius: int = 1) -> DataFrame:
     names = mentions.select("name").union(aliases.where("trim(name) <> ''").select("name")).distinct()
     p = materialize(parsed(names))
     # spellings of own words that belong together
-    forms = p.where("f1 IS NOT NULL").select("f1", "f2").distinct()
-    points = forms.select(F.col("f1").alias("s")).union(forms.select("f2"))
-    close = radius_pairs(points.where(F.length("s") >= 6), radius)
+    forms = p.where("f1 IS NOT NULL AND short IS NULL").groupBy("f1", "f2").agg(F.when(F.count("*") > 1, radius).otherwise(rare_radius).alias("r"))
+    points = forms.select(F.col("f1").alias("s"), "r").union(forms.select("f2", "r"))
+    close = radius_pairs(points.where(F.length("s") >= 8))
     turned = forms.where("f2 IS NOT NULL").select(F.col("f1").alias("a"), F.col("f2").alias("b"))
     roots = materialize(components(materialize(close.union(turned))))
     p = p.join(roots.select(F.col("node").alias("f1"), "root"), "f1", "left").withColumn("family", F.coalesce("root", "f1")).drop("root")
     p = materialize(p)
-    # initialisms and other aliases of the bundle: the party that bears them, if it is one
-    short = aliases.where(F.col("alias").rlike("^[A-Z]{2,8}$")).select("bundle_id", F.col("alias").alias("short"), "name").join(p.drop("short"), "name")
-    who = lambda df, keys: df.groupBy(*keys).agg(F.countDistinct("family", F.coalesce("line", F.lit(""))).alias("_k"), F.max(F.struct("line", "family", "given", "initial", "person")).alias("_w"))
-    meant = who(short.where("family IS NOT NULL"), ["bundle_id", "short"])
-    rows = mentions.join(p, "name").alias("m")
-    rows = rows.join(meant.select("bundle_id", "short", "_w"), ["bundle_id", "short"], "left")
+    # initialisms and other proper aliases of the bundle stand for the party that bears them
+    letters = lambda c: F.upper(F.regexp_replace(c, "[^A-Za-z]", ""))
+    parts = F.max(F.struct("line", "family", "given", "initial", "person")).alias("_w")
+    known = p.where("short IS NULL AND family IS NOT NULL").select("name", "family", "line", "given", "initial", "person", "letters")
+    bearers = aliases.where(~F.lower("alias").startswith("the ")).join(known, "name")
+    borne = bearers.groupBy("bundle_id", letters("alias").alias("_a")).agg(parts)
+    spelt = mentions.select("bundle_id", "name").distinct().join(known, "name").groupBy("bundle_id", F.col("letters").alias("_a")).agg(parts.alias("_v"))
+    rows = mentions.join(p.drop("letters"), "name").withColumn("_a", letters("name")).join(borne, ["bundle_id", "_a"], "left").join(spelt, ["bundle_id", "_a"], "left")
+    rows = rows.withColumn("_w", F.coalesce("_w", F.when(F.col("short").isNotNull(), F.col("_v")))).withColumn("_w", F.when(F.col("line").isNull() | F.col("_w.line").isNotNull(), F.col("_w")))
     for c in ("family", "line", "given", "initial", "person"):
         rows = rows.withColumn(c, F.when(F.col("_w").isNotNull(), F.col(f"_w.{c}")).otherwise(F.col(c)))
-    rows = materialize(rows.drop("_w"))
+    rows = materialize(rows.drop("_w", "_v", "_a"))
+    # a line of business named in part is the one line of the family that contains it
+    lines = rows.where("NOT person AND line IS NOT NULL AND family IS NOT NULL").select("family", "line").distinct()
+    words = lambda c: F.split(c, " ")
+    wider = lines.join(lines.select("family", F.col("line").alias("wide")), "family").where((F.size(words("line")) < F.size(words("wide"))) & (F.size(F.array_except(words("line"), words("wide"))) == 0))
+    wider = wider.groupBy("family", "line").agg(F.max("wide").alias("_wide"), F.count("*").alias("_n")).where("_n = 1").drop("_n")
+    rows = materialize(rows.join(wider, ["family", "line"], "left").withColumn("line", F.when(~F.col("person"), F.coalesce("_wide", "line")).otherwise(F.col("line"))).drop("_wide"))
     # firms named without their line of business: the one line of the family in the bundle, else overall
     firms = rows.where("NOT person AND family IS NOT NULL AND line IS NOT NULL")
     one = lambda df, keys, name: df.groupBy(*keys).agg(F.when(F.countDistinct("line") == 1, F.max("line")).alias(name))
