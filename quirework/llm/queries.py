@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import chunking, leakage, namelinks, neardup, scanrepair, truncation
+from quirework.llm import chunking, leakage, mixing, namelinks, neardup, scanrepair, subjects, truncation
 from quirework.runtime import materialize, table
 
 
@@ -116,7 +116,32 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_items(_leaks(spark, d))
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_repaired, p5_found, p5_entities, p6_found, p6_report, p6_limits, p8_found, p8_spans, p8_items)}
+def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    sizes = mixing.token_counts(table(spark, d, "documents"), ["doc_id", "source"], "text")
+    return mixing.mixed(sizes, table(spark, d, "mix_targets"))
+
+
+def p9_selection(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[1]
+
+
+def _subjects(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.assigned(table(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subject_areas"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return _subjects(spark, d).where(F.col("probability") >= subjects.Params().posterior).select("doc_id", "subject_id").distinct()
+
+
+def p10_shares(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.shares(p10_found(spark, d), table(spark, d, "documents"), table(spark, d, "subject_areas"))
+
+
+QUERIES = {q.__name__: q for q in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_repaired, p5_found, p5_entities, p6_found, p6_report, p6_limits, p8_found, p8_spans, p8_items, p9_selection, p9_shares, p10_found, p10_shares)}
 
 ORACLES = {
     "p2_found": "SELECT DISTINCT clause_id, 'text' AS field_name FROM clauses WHERE length(text) > 2000 UNION SELECT DISTINCT clause_id, 'full_text' FROM clauses WHERE length(full_text) > 2000",
