@@ -18,6 +18,11 @@ QUOTES_FROM, QUOTES_TO = "‘’“”", "''\"\""
 WORDLIKE = r"\p{L}\p{M}\p{N}_"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def clean(c: Column) -> Column:
     """Dashes and quotes made plain, white space collapsed; null becomes empty. Compatibility forms need :func:`clean_udf`."""
     c = F.translate(F.coalesce(c, F.lit("")), DASHES + QUOTES_FROM, "-" * len(DASHES) + QUOTES_TO)
@@ -88,9 +93,13 @@ def full_similarity_udf(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def shingles(text: Column, k: int = 5) -> Column:
     """Distinct runs of ``k`` words of the comparison form; empty where there are fewer words."""
-    words = F.filter(F.split(norm_lower(text), " "), lambda w: w != "")
-    runs = F.transform(F.sequence(F.lit(1), F.size(words) - (k - 1)), lambda i: F.array_join(F.slice(words, i, k), " "))
-    return F.when(F.size(words) >= k, F.array_distinct(runs)).otherwise(F.expr("cast(array() as array<string>)"))
+    none = F.expr("cast(array() as array<string>)")
+
+    def runs(words: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(words) - (k - 1)), lambda i: F.array_join(F.slice(words, i, k), " "))
+        return F.when(F.size(words) >= k, F.array_distinct(each)).otherwise(none)
+
+    return let(F.filter(F.split(norm_lower(text), " "), lambda w: w != ""), runs)
 
 
 def jaccard(a: Column, b: Column) -> Column:
