@@ -2,7 +2,7 @@
 
 A name is parsed into its own words, its line of business and, for persons, a given name; courtesy, legal
 form and abbreviations are put aside. The own words, written together, are points of the space of the
-Damerau-Levenshtein metric. Points are assigned to their nearest pivot; a point is also sent to every cell
+Levenshtein metric. Points are assigned to their nearest pivot; a point is also sent to every cell
 that can hold a point within the radius of it, which the triangle inequality decides, and within a cell the
 join is exact. Linked spellings, the line of business and the given name make an entity; initialisms and bare
 own words are resolved within their bundle.
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm.components import components
+from quirework.operators.components import components
 from quirework.runtime import materialize
 
 # Words of courtesy and standing phrases, legal forms, lines of business with their short forms, short forms of given names.
@@ -163,54 +163,111 @@ def edit_distances(a: list[str], b: list[str]) -> np.ndarray:
     return d[la + 1, lb + 1, rows]
 
 
-def radius_pairs(points: DataFrame, pivots: int = 1024, per_cell: int = 64, seed: int = 5) -> DataFrame:
-    """``(a, b)`` of distinct strings of the column ``s`` within the greater one of their radii ``r``, smaller first.
+def distances_to(strings: list[str], pivots: list[str]) -> np.ndarray:
+    """Levenshtein distances of all strings to all pivots of at most 64 characters, by Myers' bit vectors, many at once."""
+    chars = {c: i for i, c in enumerate(sorted({c for p in pivots for c in p}))}
+    size = np.array([len(p) for p in pivots], np.int64)
+    eq = np.zeros((len(chars) + 1, len(pivots)), np.uint64)  # the last row: characters that no pivot has
+    for j, p in enumerate(pivots):
+        for i, c in enumerate(p):
+            eq[chars[c], j] |= np.uint64(1 << i)
+    top = (size - 1).astype(np.uint64)
+    lens = np.array([len(x) for x in strings], np.int64)
+    longest = int(lens.max(initial=0))
+    text = np.full((len(strings), longest), len(chars), np.int64)
+    for i, x in enumerate(strings):
+        text[i, : len(x)] = [chars.get(c, len(chars)) for c in x]
+    pv, mv = np.full((len(strings), len(pivots)), np.uint64(0xFFFFFFFFFFFFFFFF)), np.zeros((len(strings), len(pivots)), np.uint64)
+    score = np.broadcast_to(size, (len(strings), len(pivots))).copy()
+    out = score.copy()
+    one = np.uint64(1)
+    for t in range(longest):
+        e = eq[text[:, t]]
+        xv = e | mv
+        xh = (((e & pv) + pv) ^ pv) | e
+        ph = mv | ~(xh | pv)
+        mh = pv & xh
+        score += ((ph >> top) & one).astype(np.int64) - ((mh >> top) & one).astype(np.int64)
+        ph = (ph << one) | one
+        pv = (mh << one) | ~(xv | ph)
+        mv = ph & xv
+        done = lens == t + 1
+        out[done] = score[done]
+    return out
+
+
+REFERENCES = 4
+
+
+def radius_pairs(points: DataFrame, radius: int = 2, pivots: int = 512, per_cell: int = 64, seed: int = 5) -> DataFrame:
+    """``(a, b, d)`` of distinct strings of the column ``s`` within ``radius`` Levenshtein edits, smaller first.
 
     One pivot per ``per_cell`` strings, ``pivots`` at most, drawn by hash. A string goes to its nearest pivot's
-    cell as a member, and as a guest to each cell whose pivot is within twice its radius of being its nearest:
-    if x and y are within x's radius, x is in y's cell as member or guest. Inside a cell members meet guests
-    through filters that the triangle inequality and lengths give, then through the metric itself.
+    cell as a member, and as a guest to each cell whose pivot is within twice the radius of being its nearest:
+    if x and y are within the radius, x is in y's cell as member or guest. Inside a cell members meet guests
+    through filters that the triangle inequality gives, on the cell's pivot and on a few pivots that all strings
+    were measured against, and on lengths, then through the metric itself.
     """
     spark = points.sparkSession
-    points = materialize(points.where("s IS NOT NULL AND s <> ''").groupBy("s").agg(F.max("r").cast("int").alias("r")))
+    points = materialize(points.select("s").where("s IS NOT NULL AND s <> ''").distinct())
     n = points.count()
-    m = min(pivots, max(1, n // per_cell))
-    chosen = [r[0] for r in points.orderBy(F.xxhash64("s", F.lit(seed)), "s").limit(m).collect()]
+    m = min(pivots, max(REFERENCES, n // per_cell))
+    chosen = [r[0] for r in points.where(F.length("s") <= 64).orderBy(F.xxhash64("s", F.lit(seed)), "s").limit(m).collect()]
+    refs = [f"r{i}" for i in range(REFERENCES)]
+    schema = "cell int, s string, d int, home boolean, " + ", ".join(f"{r} int" for r in refs)
+    if not chosen:
+        return spark.createDataFrame([], "a string, b string, d int")
     held = spark.sparkContext.broadcast(chosen)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ps = held.value
+        step = max(1, 30_000 // len(ps))
         for batch in batches:
-            strings, reach = batch.column("s").to_pylist(), batch.column("r").to_numpy()
-            for at in range(0, len(strings), max(1, 40_000 // len(ps))):
-                part = strings[at : at + max(1, 40_000 // len(ps))]
-                dist = edit_distances([x for x in part for _ in ps], ps * len(part)).reshape(len(part), len(ps))
+            strings = batch.column("s").to_pylist()
+            for at in range(0, len(strings), step):
+                part = strings[at : at + step]
+                dist = distances_to(part, ps)
                 home = dist.argmin(1)
-                i, c = np.nonzero(dist <= dist.min(1)[:, None] + 2 * reach[at : at + len(part), None])
-                yield pa.record_batch([c.astype(np.int32), pa.array([part[k] for k in i], pa.string()), reach[at + i].astype(np.int32), dist[i, c].astype(np.int32), pa.array(home[i] == c)], names=["cell", "s", "r", "d", "home"])
-
-    spread = points.repartition(max(spark.sparkContext.defaultParallelism, n // 20_000 + 1), "s") if n else points
-    placed = materialize(spread.mapInArrow(cells, "cell int, s string, r int, d int, home boolean"))
-    x = placed.where("home").select("cell", F.col("s").alias("a"), F.col("d").alias("da"))
-    y = placed.select("cell", F.col("s").alias("b"), "r", F.col("d").alias("db"))
-    close = x.join(y, "cell").where((F.col("a") != F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= F.col("r")) & (F.abs(F.col("da") - F.col("db")) <= F.col("r")))
-    close = close.where(F.levenshtein("a", "b") <= 2 * F.col("r")).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("r").alias("r"))
+                i, c = np.nonzero(dist <= dist.min(1)[:, None] + 2 * radius)
+                near_refs = [dist[i, min(k, len(ps) - 1)].astype(np.int32) for k in range(REFERENCES)]
+                yield pa.record_batch([c.astype(np.int32), pa.array([part[k] for k in i], pa.string()), dist[i, c].astype(np.int32), pa.array(home[i] == c), *near_refs], names=["cell", "s", "d", "home", *refs])
+
+    spread = points.repartition(max(spark.sparkContext.defaultParallelism, n // 20_000 + 1), "s")
+    placed = materialize(spread.mapInArrow(cells, schema))
+    x = placed.where("home").select("cell", F.col("s").alias("a"), F.col("d").alias("da"), *(F.col(r).alias(f"a{r}") for r in refs))
+    y = placed.select("cell", F.col("s").alias("b"), F.col("d").alias("db"), *(F.col(r).alias(f"b{r}") for r in refs))
+    close = (F.col("a") != F.col("b")) & (F.abs(F.col("da") - F.col("db")) <= radius) & (F.abs(F.length("a") - F.length("b")) <= radius)
+    for r in refs:
+        close = close & (F.abs(F.col(f"a{r}") - F.col(f"b{r}")) <= radius)
+    found = x.join(y, "cell").where(close).withColumn("d", F.levenshtein("a", "b", radius)).where("d >= 0")
+    return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("d").alias("d"))
+
+
+def linked_spellings(points: DataFrame) -> DataFrame:
+    """``(a, b)`` of the strings of ``(s, rare)`` that are one typing error apart, or two if either is rare.
+
+    An error is an insertion, deletion, substitution or swap of neighbours. All pairs within two Levenshtein
+    edits, which hold every single error, come from the metric join; their errors are counted exactly.
+    """
+    rare = points.where("s IS NOT NULL").groupBy("s").agg(F.max(F.col("rare").cast("int")).alias("rare"))
+    pairs = radius_pairs(points).join(rare.select(F.col("s").alias("a"), F.col("rare").alias("ra")), "a").join(rare.select(F.col("s").alias("b"), F.col("rare").alias("rb")), "b")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                ok = edit_distances(batch.column("a").to_pylist(), batch.column("b").to_pylist()) <= batch.column("r").to_numpy()
-                yield batch.select(["a", "b"]).filter(pa.array(ok))
+                d = edit_distances(batch.column("a").to_pylist(), batch.column("b").to_pylist())
+                most = 1 + np.maximum(batch.column("ra").to_numpy(), batch.column("rb").to_numpy())
+                yield batch.select(["a", "b"]).filter(pa.array(d <= most))
 
-    return close.mapInArrow(exact, "a string, b string")
+    return pairs.select("a", "b", "ra", "rb").mapInArrow(exact, "a string, b string")
 
 
-def link(mentions: DataFrame, aliases: DataFrame, radius: int = 1, rare_radius: int = 2) -> DataFrame:
+def link(mentions: DataFrame, aliases: DataFrame) -> DataFrame:
     """``(mention, entity)``: the entity of every mention.
 
     ``mentions``: ``(mention string, bundle_id, name)``; null and blank names give no row, repeated rows count
     once. ``aliases``: ``(bundle_id, alias, name)``: aliases of the bundle's parties with the party's name.
-    Spellings are linked within ``radius`` edits, those that only one name has within ``rare_radius``.
+    Spellings are linked if they are one typing error apart, or two if only one name has one of them.
     An entity is named by a canonical text. Names that have no own words (only letters of an unknown
     initialism, say) are one entity per bundle and spelling.
     """
@@ -219,9 +276,9 @@ def link(mentions: DataFrame, aliases: DataFrame, radius: int = 1, rare_radius:
     names = mentions.select("name").union(aliases.where("trim(name) <> ''").select("name")).distinct()
     p = materialize(parsed(names))
     # spellings of own words that belong together
-    forms = p.where("f1 IS NOT NULL AND short IS NULL").groupBy("f1", "f2").agg(F.when(F.count("*") > 1, radius).otherwise(rare_radius).alias("r"))
-    points = forms.select(F.col("f1").alias("s"), "r").union(forms.select("f2", "r"))
-    close = radius_pairs(points.where(F.length("s") >= 8))
+    forms = p.where("f1 IS NOT NULL AND short IS NULL").groupBy("f1", "f2").agg((F.count("*") == 1).alias("rare"))
+    points = forms.select(F.col("f1").alias("s"), "rare").union(forms.select("f2", "rare"))
+    close = linked_spellings(materialize(points.where(F.length("s") >= 8)))
     turned = forms.where("f2 IS NOT NULL").select(F.col("f1").alias("a"), F.col("f2").alias("b"))
     roots = materialize(components(materialize(close.union(turned))))
     p = p.join(roots.select(F.col("node").alias("f1"), "root"), "f1", "left").withColumn("family", F.coalesce("root", "f1")).drop("root")
