@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quirework.functions import dates, numbering, text
 from quirework.operators import assemble, boundaries, checks, merges, ordered, reader, tree
+from quirework.plans import reference_sql
 from quirework.runtime import materialize, table
 from quirework.sinks import files as sinks
 
@@ -413,4 +414,4 @@ reference_findings listed_documents_missing index_entries_missing tree_paths sib
 duplicate_page_pairs duplicate_pages degenerate_texts card_lines marker_keys label_keys attachment_keys snippet_dates date_merge display_names pick_parties page_status run_status cost_rollup
 call_outcomes ladder_first_success page_diagnosis worst_legibility text_budget clause_projection date_candidates second_reads follow_markers""".split()
 QUERIES = {n: globals()[n] for n in _NAMES}
-ORACLES: dict[str, str] = {}
+ORACLES = reference_sql.ORACLES
