@@ -111,7 +111,23 @@ ORACLES = {
     "coverage_violations": f"""WITH {CL}, c AS (SELECT DISTINCT bundle_id, contract_id, division_id, unit_id, page_start, page_end FROM cl), s AS (SELECT bundle_id, contract_id, division_id, least(min(page_start), min(page_end)) AS lo, greatest(max(page_start), max(page_end)) AS hi FROM c GROUP BY 1, 2, 3),
  x AS (SELECT c.*, lo, hi, coalesce(lag(page_end) OVER w + 1, lo) AS e, lead(page_start) OVER w AS nx FROM c JOIN s USING (bundle_id, contract_id, division_id) WINDOW w AS (PARTITION BY bundle_id, contract_id, division_id ORDER BY page_start, page_end))
  SELECT bundle_id, contract_id, division_id, count(*) AS n_violations FROM x WHERE NOT (page_start = e OR (page_start = e - 1 AND e <> lo)) OR page_end < page_start OR (nx IS NULL AND page_end <> hi) GROUP BY 1, 2, 3""",
-    "marker_keys": None,
+    "marker_keys": f"""WITH k AS ({MARKER % "SELECT DISTINCT marker FROM clauses"}), x AS (SELECT *, CASE WHEN key LIKE '(%' THEN key[2:-2] END AS inn FROM k)
+ SELECT marker, key, CASE WHEN key IS NULL THEN '-' WHEN regexp_matches(key, '^\\d+(\\.\\d+)*$') THEN 'dotted-' || (length(key) - length(replace(key, '.', '')) + 1)::varchar WHEN key LIKE '(%' AND regexp_matches(inn, '^\\d+$') THEN 'paren-number' WHEN key LIKE '(%' AND ({roman('inn')}) IS NOT NULL AND (length(inn) > 1 OR inn IN ('i', 'v', 'x')) THEN 'roman-or-alpha'
+   WHEN key LIKE '(%' THEN 'alpha' WHEN contains(key, ':') THEN split_part(key, ':', 1) ELSE 'named' END AS hint FROM x""",
+    "call_outcomes": f"WITH {OK_JSON} SELECT task, outcome, count(*) AS n, sum(CASE WHEN outcome = 'ok' THEN coalesce(try_cast(json_extract_string(response_json, '$.blocks') AS int), 0) ELSE 0 END)::bigint AS n_blocks FROM outc GROUP BY 1, 2",
+    "best_start_per_page": f"""WITH {PG}, b AS (SELECT bundle_id, min(page) AS first, max(page) AS last FROM pg GROUP BY 1), s AS (SELECT bundle_id, first, last, unnest(CASE WHEN last - first + 1 <= 220 THEN [first] ELSE list_filter(range(first, last + 1, 200), lambda x: x <= last - 20 OR x = first) END) AS lo FROM b), w AS (SELECT *, CASE WHEN last - first + 1 <= 220 THEN last ELSE least(last, lo + 219) END AS hi FROM s),
+ p AS (SELECT pg.bundle_id, page AS start_page, CASE WHEN first_continues THEN 0.6 ELSE 0.95 END::double AS confidence, lo::int AS window_lo, page_id AS ord FROM pg JOIN w USING (bundle_id) WHERE is_document_start AND page BETWEEN lo AND hi AND NOT (lo <> first AND page < lo + 10) AND NOT (hi <> last AND page > hi - 10))
+ SELECT DISTINCT ON (bundle_id, start_page) bundle_id, start_page, confidence, window_lo, ord FROM p ORDER BY bundle_id, start_page, confidence DESC, window_lo, ord""",
+    "degenerate_texts": """WITH l AS (SELECT doc_id, i, trim(x) AS x FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE length(trim(x)) > 8), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - row_number() OVER (PARTITION BY doc_id, x ORDER BY i) AS g FROM l), b AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, x, g, count(*) AS n FROM r GROUP BY 1, 2, 3) WHERE n >= 6)
+ SELECT doc_id IN (SELECT doc_id FROM b) AS degenerate, count(*) AS n FROM documents GROUP BY 1""",
+    "display_names": r"""WITH p AS (SELECT trim(regexp_replace(regexp_replace(regexp_replace(lower(name), '\(.*?\)', ' ', 'g'), '[^a-z0-9 ]', ' ', 'g'), '\s+', ' ', 'g')) AS name_key, trim(name) AS n FROM parties WHERE name IS NOT NULL), x AS (SELECT *, regexp_replace(n, '[^A-Za-z]', '', 'g') <> '' AND n = upper(n) AS up FROM p WHERE name_key <> '' AND n <> '')
+ SELECT name_key, CASE WHEN up AND length(n) > 5 THEN (SELECT string_agg(upper(left(w, 1)) || substr(w, 2), ' ' ORDER BY i) FROM (SELECT unnest(string_split(lower(n), ' ')) AS w, generate_subscripts(string_split(lower(n), ' '), 1) AS i)) ELSE n END AS display_name
+ FROM (SELECT *, row_number() OVER (PARTITION BY name_key ORDER BY up::int, regexp_matches(n, '[()]'), len(list_filter(regexp_split_to_array(n, '\s+'), lambda w: regexp_matches(w, '^[a-z]'))), length(n), n) AS r FROM x) WHERE r = 1""".replace("\\\\", "\\"),
+    "page_diagnosis": f"""WITH {PG}, {OK_JSON}, n AS (SELECT bundle_id, page, count(DISTINCT block_key) AS n FROM blocks GROUP BY 1, 2), x AS (SELECT *, coalesce(n.n, 0) AS nb FROM pg LEFT JOIN n USING (bundle_id, page) LEFT JOIN outc ON call_key = cache_key)
+ SELECT CASE WHEN ink_ratio < 0.0003 THEN 'blank' WHEN outcome IN ('truncated', 'blocked', 'invalid', 'empty') THEN outcome WHEN nb = 0 AND ink_ratio > 0.0012 THEN 'empty_for_inked' ELSE 'ok' END AS diagnosis, count(*) AS n FROM x GROUP BY 1""",
+    "plain_texts": f"""WITH {PG}, {BL}, b AS (SELECT bl.bundle_id, bl.page, bl.idx, trim(coalesce(text, '')) AS p, coalesce(row_number() OVER (PARTITION BY bl.bundle_id, bl.page ORDER BY idx) = 1 AND first_continues, false) AS cont FROM bl JOIN pg ON pg.bundle_id = bl.bundle_id AND pg.page = bl.page WHERE kind IN ('clause', 'paragraph', 'recital')),
+ x AS (SELECT *, lag(p) OVER w AS before FROM b WHERE p <> '' WINDOW w AS (PARTITION BY bundle_id ORDER BY page, idx)), j AS (SELECT *, CASE WHEN before IS NULL THEN '' WHEN NOT cont THEN chr(10) || chr(10) WHEN regexp_matches(before, '[A-Za-z]-$') AND regexp_matches(p, '^[a-z]') THEN '' ELSE ' ' END AS j FROM x),
+ c AS (SELECT *, j || CASE WHEN lead(j) OVER (PARTITION BY bundle_id ORDER BY page, idx) = '' AND regexp_matches(p, '[A-Za-z]-$') THEN p[:-2] ELSE p END AS c FROM j) SELECT bundle_id, length(string_agg(c, '' ORDER BY page, idx))::int AS n_chars, md5(string_agg(c, '' ORDER BY page, idx)) AS digest FROM c GROUP BY 1""",
     "duplicate_page_pairs": f"""WITH {_SHINGLE}, j AS (SELECT a.bundle_id, a.page AS earlier, b.page AS later, count(*) AS c FROM g a JOIN g b ON a.bundle_id = b.bundle_id AND a.g = b.g AND a.page < b.page GROUP BY 1, 2, 3)
  SELECT j.bundle_id, earlier, later, c / (x.n + y.n - c) AS jaccard FROM j JOIN n x ON x.bundle_id = j.bundle_id AND x.page = earlier JOIN n y ON y.bundle_id = j.bundle_id AND y.page = later WHERE y.n >= 30 AND x.n / y.n > 0.7 AND x.n / y.n < 1.43 AND c / (x.n + y.n - c) >= 0.9""",
 }
