@@ -64,27 +64,25 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    longest = int((end - start).max())
-    if longest <= 64:
-        out = np.zeros(len(start), np.uint64)
-        for j in range(longest):
-            live = start + j < end
-            if live.all():
-                out = out * np.uint64(STEP) + data[start + j]
-            else:
-                out[live] = out[live] * np.uint64(STEP) + data[start[live] + j]
-    else:  # a prefix polynomial: one pass, whatever the length of a word
-        power = np.cumprod(np.full(len(data), STEP, np.uint64))
-        inverse = np.cumprod(np.full(len(data), STEP_INV, np.uint64))
-        prefix = np.concatenate(([np.uint64(0)], np.cumsum(data.astype(np.uint64) * inverse)))
-        out = (prefix[end] - prefix[start]) * power[end - 1]
+    power, inverse = _powers(len(data))
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(data * inverse, out=prefix[1:])
+    out = (prefix[end] - prefix[start]) * power[end - 1]
     return mix(out + (end - start).astype(np.uint64)), np.searchsorted(np.cumsum(sizes), start, side="right")
 
 
-def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ``k``-word shingles of each text as sorted hashes, and where each text's begin (len + 1)."""
-    words, of = word_hashes(texts)
-    n = len(texts)
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash's base and of its inverse modulo 2**64, kept by each worker."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = 1 << max(20, (n - 1).bit_length())
+        _POWERS[:] = [np.cumprod(np.full(size, STEP, np.uint64)), np.cumprod(np.full(size, STEP_INV, np.uint64))]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def _grams(words: np.ndarray, of: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     if len(words) < k:
         return np.empty(0, np.uint64), np.zeros(n + 1, np.int64)
     grams = words[: len(words) - k + 1].copy()
@@ -100,20 +98,33 @@ def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     return grams, np.searchsorted(of, np.arange(n + 1))
 
 
-def word_counts(texts: list[str]) -> np.ndarray:
-    return np.bincount(word_hashes(texts)[1], minlength=len(texts))
+def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``k``-word shingles of each text as sorted hashes, and where each text's begin (len + 1)."""
+    return _grams(*word_hashes(texts), len(texts), k)
+
 
+def _texts(titles: list, texts: list) -> list[str]:
+    return [f"{a or ''} {b or ''}" for a, b in zip(titles, texts)]
 
-def _texts(pdf_title, pdf_text) -> list[str]:
-    return [f"{a or ''} {b or ''}" for a, b in zip(pdf_title, pdf_text)]
 
+ROWS = 2000  # rows handled at once: what a worker holds doesn't grow with the Arrow batch
 
-def _prepared(batch: pa.RecordBatch, p: Params) -> tuple[np.ndarray, list[str]]:
-    """Row numbers and joined texts of the rows that count."""
-    text = batch.column("text").to_pylist()
-    title = batch.column("title").to_pylist()
-    enough = np.flatnonzero(word_counts([t or "" for t in text]) >= p.min_words)
-    return enough, [f"{title[i] or ''} {text[i] or ''}" for i in enough]
+
+def _prepared(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of the batches with the numbers of the rows that count and their shingles."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            title, text = batch.column("title").to_pylist(), batch.column("text").to_pylist()
+            words, of = word_hashes(_texts(title, text))
+            n = batch.num_rows
+            # a blank stands between, so the words of both are those of the title and those of the text
+            own = np.bincount(of, minlength=n) - np.bincount(word_hashes([t or "" for t in title])[1], minlength=n)
+            enough = own >= p.min_words
+            kept = enough[of]
+            rows = np.flatnonzero(enough)
+            grams, begin = _grams(words[kept], (np.cumsum(enough) - 1)[of[kept]], len(rows), p.k)
+            yield batch, rows, grams, begin
 
 
 def gram_counters(records: DataFrame, p: Params) -> np.ndarray:
@@ -121,12 +132,9 @@ def gram_counters(records: DataFrame, p: Params) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, n = np.zeros(p.counters, np.int64), 0
-        for batch in batches:
-            _, texts = _prepared(batch, p)
-            if texts:
-                grams, _ = shingle_sets(texts, p.k)
-                cells += np.bincount((grams % np.uint64(p.counters)).astype(np.int64), minlength=p.counters)
-                n += len(texts)
+        for _, rows, grams, _ in _prepared(batches, p):
+            cells += np.bincount((grams % np.uint64(p.counters)).astype(np.int64), minlength=p.counters)
+            n += len(rows)
         at = np.flatnonzero(cells)
         yield pa.record_batch([np.append(at, -1), np.append(cells[at], n)], names=["cell", "n"])
 
@@ -217,9 +225,7 @@ def signatures(records: DataFrame, cells_b, p: Params) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = cells_b.value
-        for batch in batches:
-            rows, texts = _prepared(batch, p)
-            grams, begin = shingle_sets(texts, p.k)
+        for batch, rows, grams, begin in _prepared(batches, p):
             full = np.flatnonzero(np.diff(begin) > 0)
             if not len(full):
                 continue
