@@ -79,8 +79,13 @@ def _block_cuts(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("cut", F.col("cut") & F.col("_goes").isNull()).drop("_goes")
 
 
+def _subclause_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Sub-clauses are list items, whose markers stand in a column of their own."""
+    return table(spark, d, "subclauses").select("subclause_id", "source", "text", F.lit(True).alias("is_item")).dropDuplicates(["subclause_id"])
+
+
 def _subclause_cuts(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "subclauses").select("subclause_id", "source", "text").dropDuplicates(["subclause_id"])
+    rows = _subclause_texts(spark, d)
     return truncation.cut_texts(rows, truncation.limits(rows))
 
 
@@ -97,7 +102,7 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_limits(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.limits(table(spark, d, "subclauses").select("subclause_id", "source", "text").dropDuplicates(["subclause_id"]).select("source", "text"))
+    return truncation.limits(_subclause_texts(spark, d))
 
 
 def _leaks(spark: SparkSession, d: str) -> DataFrame:

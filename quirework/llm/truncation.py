@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 # Signs of omission, ends of complete texts and abbreviations that end in a full stop.
 SIGN = r"(?:…|\.\.\.|�|\[(?:\.\.\.|…)\])\s*$"
-END = r"[.!?:;|][\"')\]’”]*\s*$|;\s*(?:and|or)\s*$"
+END = r"[.!?:|][\"')\]’”]*\s*$"
+ITEM_END = r";[\"')\]’”]*\s*$|;\s*(?:and|or)\s*$"
+ITEM = r"(?m)^\s*(?:[-•*]|\(?[0-9A-Za-z]{1,5}[.)])\s"
 ABBREVIATION = r"(?:^|[\s(])(?:Cl|Cls|No|Nos|Fig|Figs|cf|Art|Sec|viz|approx|resp|M/s|Messrs|Ref)\.\s*$"
 
 
@@ -29,20 +31,29 @@ def table_is_open(text: Column) -> Column:
     return text.rlike(r"^\s*\|") & (bars(F.element_at(rows, -1)) < bars(F.element_at(rows, 1)))
 
 
-def has_end(text: Column) -> Column:
-    """The text ends as a sentence, list item, heading of a list or table row does."""
-    return text.rlike(END) & ~text.rlike(ABBREVIATION) & ~has_sign(text) & ~table_is_open(text)
+def has_end(text: Column, item: Column | None = None) -> Column:
+    """The text ends as a sentence, heading of a list or table row does, or, if it is a list item, as those do.
+
+    ``item``: whether it is one; else a line of it must begin like one.
+    """
+    item = text.rlike(ITEM) if item is None else item
+    ends = text.rlike(END) | (item & text.rlike(ITEM_END))
+    return ends & ~text.rlike(ABBREVIATION) & ~has_sign(text) & ~table_is_open(text)
+
+
+def _ended(df: DataFrame) -> Column:
+    return has_end(F.col("text"), F.coalesce("is_item", F.lit(False)) if "is_item" in df.columns else None)
 
 
 def limits(texts: DataFrame, least: int = 5, around: int = 12, sigmas: float = 6.0) -> DataFrame:
     """``(source, unit, length, n, expected)``: lengths at which a source cuts texts off.
 
-    ``texts``: ``(source, text)``. For each source the unended texts are counted by length, in ``chars`` and
+    ``texts``: ``(source, text)``, and ``is_item`` where that is known (see :func:`has_end`). For each source the unended texts are counted by length, in ``chars`` and
     ``bytes``; a length is a limit if its count is at least ``least`` and exceeds the mean of the lengths
     within ``around`` of it (itself left out, lengths without a text counting as 0) by ``sigmas`` standard
     deviations of a Poisson count.
     """
-    t = texts.where(F.col("text").isNotNull() & (F.col("text") != "") & ~has_end(F.col("text")))
+    t = texts.where(F.col("text").isNotNull() & (F.col("text") != "") & ~_ended(texts))
     unit = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.length("text").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.octet_length("text").alias("length"))))
     counts = t.select("source", unit.alias("u")).groupBy("source", "u.unit", "u.length").agg(F.count("*").alias("n"))
     near = W.partitionBy("source", "unit").orderBy("length").rangeBetween(-around, around)
@@ -53,7 +64,7 @@ def limits(texts: DataFrame, least: int = 5, around: int = 12, sigmas: float = 6
 def cut_texts(texts: DataFrame, limits_of: DataFrame) -> DataFrame:
     """``texts`` with ``cut``, ``reason`` (``sign``, ``limit``, ``open`` or null) and ``at_limit``.
 
-    ``texts`` has ``source`` and ``text`` and any other columns. Null and blank texts are not cut. ``limits_of``
+    ``texts`` has ``source`` and ``text``, maybe ``is_item``, and any other columns. Null and blank texts are not cut. ``limits_of``
     is aggregated (a few rows per source) and joined by source and length.
     """
     chars = limits_of.where("unit = 'chars'").select(F.col("source").alias("_s1"), F.col("length").alias("_l1"), F.lit(True).alias("_c"))
@@ -62,7 +73,7 @@ def cut_texts(texts: DataFrame, limits_of: DataFrame) -> DataFrame:
     df = df.join(octets, F.col("source").eqNullSafe(F.col("_s2")) & (F.octet_length("text") == F.col("_l2")), "left")
     there = F.col("text").isNotNull() & (F.trim("text") != "")
     limit = F.coalesce("_c", F.lit(False)) | F.coalesce("_b", F.lit(False))
-    reason = F.when(~there, None).when(has_sign(F.col("text")), "sign").when(has_end(F.col("text")), None).when(limit, "limit").otherwise("open")
+    reason = F.when(~there, None).when(has_sign(F.col("text")), "sign").when(_ended(texts), None).when(limit, "limit").otherwise("open")
     df = df.withColumn("reason", reason).withColumn("at_limit", there & limit)
     return df.withColumn("cut", F.col("reason").isNotNull()).drop("_s1", "_l1", "_c", "_s2", "_l2", "_b")
 

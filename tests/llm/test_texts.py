@@ -77,8 +77,8 @@ def test_confusions():
 
 def test_truncation(spark):
     rng = random.Random(4)
-    full = ["The works shall begin at once.", "to hand over the plan;", "the crane, if agreed; and ", "| a | b |\n|---|---|\n| 1 | 2 |", "He said so.”", "Is it?", "", None, "  "]
-    cut = ["The works shall beg", "The works shall", "The works […]", "The works shall…", "The works sha�", "The works...", "| a | b |\n|---|---|\n| 1 |", "according to Cl.", "The works, "]
+    full = ["The works shall begin at once.", "(a) to hand over the plan;", "- the crane, if agreed; and ", "| a | b |\n|---|---|\n| 1 | 2 |", "He said so.”", "Is it?", "", None, "  "]
+    cut = ["The works shall beg", "The works shall", "The works […]", "The works shall…", "The works sha�", "The works...", "| a | b |\n|---|---|\n| 1 |", "according to Cl.", "The works, ", "The term applies at once;"]
     df = spark.createDataFrame([("s", t, True) for t in cut] + [("s", t, False) for t in full], "source string, text string, want boolean").withColumn("length", F.lit(1)).withColumn("unit", F.lit("x"))
     none = spark.createDataFrame([], "source string, unit string, length int, n bigint, expected double")
     bad = truncation.cut_texts(df, none).where("cut <> want").collect()
