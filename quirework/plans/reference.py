@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quirework.functions import dates, numbering, text
-from quirework.operators import assemble, boundaries, checks, merges, ordered, reader, tree
+from quirework.operators import assemble, boundaries, checks, merges, ordered, reader, recovery, tree
 from quirework.plans import reference_sql
 from quirework.runtime import materialize, table
 from quirework.sinks import files as sinks
@@ -408,10 +408,51 @@ def follow_markers(s: SparkSession, d: str) -> DataFrame:
     return tree.follow_markers(b, ["division_id"], ["seq", "unit_id"], numbering.normalize_marker(F.col("marker")), "plain", "page_start", "page_end", units).groupBy((F.col("unit_id") != F.col("new_unit_id")).alias("moved")).agg(F.count("*").alias("n"))
 
 
+def candidate_lines(s: SparkSession, d: str) -> DataFrame:
+    n = _numbered(s, d)
+    return n.select("block_key", recovery.candidate_line(F.col("block_id"), F.col("page"), F.col("kind"), F.col("number"), F.col("text")).alias("line"))
+
+
+def recovered_headings(s: SparkSession, d: str) -> DataFrame:
+    """Headings of the hunts put into the first read of their pages."""
+    b = blocks(s, d).select("bundle_id", "page", "idx", "kind", "text", "source", F.lit(None).cast("int").alias("y")).where("text IS NOT NULL")
+    lines = b.where("kind = 'heading' AND source = 'hunt'").select("bundle_id", "page", F.col("idx").alias("ord"), "text", "y")
+    first = b.where("source = 'read'").join(lines.select("bundle_id", "page").distinct(), ["bundle_id", "page"])
+    return recovery.put_headings(first.select("bundle_id", "page", "idx", "kind", "text", "y"), lines, ["bundle_id", "page"]).select("bundle_id", "page", "idx", "kind", "text", "how")
+
+
+def date_sources(s: SparkSession, d: str) -> DataFrame:
+    u = clauses(s, d).select("bundle_id", F.col("clause_id").alias("unit_id"), "title", "marker", "text", "page_start")
+    div = parts(s, d).select("bundle_id", F.upper("doc_type").alias("division_type"), "start_page", "end_page")
+    return recovery.date_sources(u, div, ["bundle_id"])
+
+
+def review_queue(s: SparkSession, d: str) -> DataFrame:
+    """All findings of the deterministic checks as one queue."""
+    refs, found = _keys(s, d)
+    one = lambda c: F.array(F.col(c))
+    labels = ordered.label_findings(pages(s, d).join(checks.pages_of_ranges(parts(s, d), ["bundle_id", "segment_id"], "start_page", "end_page"), ["bundle_id", "page"]), ["bundle_id", "segment_id"]).withColumn("pages", one("page"))
+    ref = checks.reference_findings(refs, found, ["bundle_id"])
+    none = F.expr("cast(array() as array<int>)")
+    gaps = ordered.sibling_gaps(clauses(s, d).where("kind = 'clause'"), ["bundle_id", "contract_id", "division_id"], ["seq", "clause_id"], "marker", 4).withColumn("pages", none)
+    series = attachment_series_gap(s, d).withColumn("pages", none)
+    listed = listed_documents_missing(s, d).withColumn("pages", none)
+    q = sinks.review(
+        (labels.where("code = 'label_jump'"), "label_jump", "warning", "concat('label ', value, ' follows ', prev_value)"),
+        (labels.where("code = 'label_backwards'"), "label_backwards", "warning", "concat('label ', value, ' follows ', prev_value)"),
+        (ref.where("code = 'reference_not_found'"), "reference_not_found", "warning", "concat(kind, ' ', idx, ' is referred to but not in the bundle')"),
+        (ref.where("code = 'attachment_not_referenced'"), "attachment_not_referenced", "info", "concat(kind, ' ', idx, ' is not referred to')"),
+        (gaps, "numbering_gap", "warning", "concat(missing, ' is missing between ', prev_marker, ' and ', next_marker)"),
+        (series, "attachment_series_gap", "warning", "concat(kind, ' ', prev_idx, ' is followed by ', idx)"),
+        (listed, "listed_document_missing", "warning", "concat(name, ' is listed but not in the bundle')"),
+    )
+    return q.withColumn("pages", F.array_join(F.transform("pages", lambda x: x.cast("string")), ","))
+
+
 _NAMES = """page_windows segmentation_windows best_start_per_page blank_start_shift prev_content_page heuristic_starts segment_ranges coverage_violations boundary_checks
 boundary_verdicts division_map toc_fold anchor_collect unit_ranges leaf_levels page_contexts page_to_clause template_coverage sibling_gaps subclause_gaps label_continuity attachment_series_gap
 reference_findings listed_documents_missing index_entries_missing tree_paths sibling_groups owner_sizes page_end_rollup assembled_nodes plain_texts full_texts path_titles toc_lines nested_trees unit_texts
 duplicate_page_pairs duplicate_pages degenerate_texts card_lines marker_keys label_keys attachment_keys snippet_dates date_merge display_names pick_parties page_status run_status cost_rollup
-call_outcomes ladder_first_success page_diagnosis worst_legibility text_budget clause_projection date_candidates second_reads follow_markers""".split()
+call_outcomes ladder_first_success page_diagnosis worst_legibility text_budget clause_projection date_candidates second_reads follow_markers candidate_lines recovered_headings date_sources review_queue""".split()
 QUERIES = {n: globals()[n] for n in _NAMES}
 ORACLES = reference_sql.ORACLES

@@ -217,3 +217,26 @@ def test_half_merge_never_loses_a_block(top, bottom):
     out = assemble.merge_halves([{"text": x} for x in top], [{"text": x} for x in bottom])
     assert [x["text"] for x in out[: len(top)]] == top
     assert {x["text"] for x in out} == set(top) | set(bottom)
+
+
+def test_putting_headings_in(spark):
+    from quirework.operators import recovery
+
+    bs = [{"kind": "paragraph", "text": "First text here", "y": 10}, {"kind": "paragraph", "text": "Some words. 2.2 Payment terms of the works", "y": 300}]
+    got, how = recovery.put_heading(bs, "First text here", 12)
+    assert how == "promoted" and [b["kind"] for b in got] == ["heading", "paragraph"]
+    got, how = recovery.put_heading(bs, "2.2 Payment terms", 310)
+    assert how == "split" and [b["text"] for b in got] == ["First text here", "Some words.", "2.2 Payment terms of the works"]
+    got, how = recovery.put_heading(bs, "2.1 Quite another", 100)
+    assert how == "inserted" and [b["idx"] for b in got] == [0, 1, 2] and got[1]["text"] == "2.1 Quite another"
+    assert recovery.put_heading([], "Alone", None)[1] == "inserted"
+
+
+def test_ink(spark):
+    from quirework.sources import files
+
+    page = bytearray([255] * 10_000)
+    page[5050:5060] = bytes(10)
+    df = spark.createDataFrame([(bytearray(page), 100), (None, 100), (bytearray(b""), 0)], "p binary, w int")
+    got = [r[0] for r in df.select(files.ink_ratio("p", "w")).collect()]
+    assert abs(got[0] - 10 / (92 * 92)) < 1e-9 and got[1:] == [None, None]
