@@ -8,6 +8,7 @@ made per node or division.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -75,17 +76,35 @@ def join_blocks(blocks: list[dict]) -> str:
 def node_texts(blocks: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """``by``, ``text``, ``page_start``, ``page_end``, ``n_blocks`` of each node, by :func:`join_blocks`; headers, footers and annotations are left out.
 
-    One node is one group; the blocks of a node are those of a few pages.
+    Blocks pass through sorted partitions, so a task holds the blocks of one node at a time.
     """
     body = blocks.where(~F.col("kind").isin(*NON_BODY, *ANNOTATIONS))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in body.select(*by).schema.fields) + ", text string, page_start int, page_end int, n_blocks int"
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(order)
-        text = join_blocks(rows[["kind", "text", "continues"]].to_dict("records"))
-        return pd.DataFrame([(*rows.iloc[0][by], text, int(rows["page"].min()), int(rows["page"].max()), len(rows))], columns=[*by, "text", "page_start", "page_end", "n_blocks"])
-
-    return body.select(*by, *dict.fromkeys(order + ["kind", "text", "continues", "page"])).groupBy(*by).applyInPandas(one, schema)
+    names = [*by, "text", "page_start", "page_end", "n_blocks"]
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held, out = None, [], []
+
+        def close() -> None:
+            if held:
+                pages = [b["page"] for b in held]
+                out.append((*key, join_blocks(held), min(pages), max(pages), len(held)))
+
+        for pdf in batches:
+            for b in pdf.to_dict("records"):
+                k = tuple(b[c] for c in by)
+                if k != key:
+                    close()
+                    key, held = k, []
+                held.append(b)
+            yield pd.DataFrame(out, columns=names)
+            out = []
+        close()
+        yield pd.DataFrame(out, columns=names)
+
+    parts = int(body.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = body.select(*by, *(c for c in dict.fromkeys(order + ["kind", "text", "continues", "page"]) if c not in by))
+    return rows.repartition(parts, *by).sortWithinPartitions(*by, *order).mapInPandas(stream, schema)
 
 
 # ---- texts of units that share pages ----

@@ -60,6 +60,7 @@ def put_headings(blocks: DataFrame, lines: DataFrame, by: list[str]) -> DataFram
         out = pd.DataFrame([(*key, r["idx"], r["kind"], r["text"], r["y"], how) for r in rows], columns=[*by, "idx", "kind", "text", "y", "how"])
         return out.astype({"idx": "Int32", "y": "Int32"})
 
+    lines = lines.select(*(F.col(c).alias(c) for c in lines.columns))  # may come from the same table as blocks
     return blocks.groupBy(*by).cogroup(lines.groupBy(*by)).applyInPandas(one, f"{keys}, idx int, kind string, text string, y int, how string")
 
 
