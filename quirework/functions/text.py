@@ -142,21 +142,22 @@ def quoted(c: Column, n: int) -> Column:
 
 
 # Words that stay upper-case in titles.
-ACRONYMS = ["GCC", "SCC", "EPC", "LOA", "LOI", "NTP", "BOQ", "NIT", "ITB", "ITT", "GST", "TDS", "EMD", "PBG", "BG", "DLP", "HSE", "QA", "QC", "MSME", "PSU", "PAN", "VAT"]
+ACRONYMS = ["GCC", "SCC", "BOQ", "LOI", "LOA", "NIT", "ITB", "ITT", "EHS", "NSC", "RCC", "PHE", "HVAC", "FF", "CCTV", "PVC", "MEP", "SLA", "VAT", "GST", "TDS", "EPC", "PDF"]
 
 
 def pretty(c: Column) -> Column:
     """Title case where more than 70 % of the letters are upper-case, acronyms kept."""
     letters = F.length(F.regexp_replace(c, r"[^\p{L}]", ""))
     upper = F.length(F.regexp_replace(c, r"[^\p{Lu}]", ""))
-    words = F.transform(F.split(c, " "), lambda w: F.when(F.regexp_replace(w, r"[^A-Za-z]", "").isin(*ACRONYMS), w).otherwise(F.initcap(F.lower(w))))
+    words = F.transform(F.split(c, " "), lambda w: F.when(F.upper(F.regexp_replace(w, r"[^A-Za-z0-9]", "")).isin(*ACRONYMS), F.upper(w)).otherwise(F.initcap(F.lower(w))))
     return F.when((letters > 0) & (upper > 0.7 * letters), F.array_join(words, " ")).otherwise(c)
 
 
-def display_number(marker: Column, title: Column) -> Column:
-    """``marker (title)``, or whichever there is."""
-    m, t = clean(marker), pretty(clean(title))
-    return F.when((m != "") & (t != ""), F.concat(m, F.lit(" ("), t, F.lit(")"))).when(m != "", m).otherwise(t)
+def display_number(marker: Column, title: Column, most: int = 160) -> Column:
+    """``marker (title)``, or whichever there is; a title that repeats the marker counts for nothing."""
+    m, t = clean(marker), F.substring(pretty(clean(title)), 1, most)
+    both = (m != "") & (t != "") & (F.lower(m) != F.lower(t))
+    return F.when(both, F.concat(m, F.lit(" ("), t, F.lit(")"))).when(m != "", m).when(t != "", t).otherwise("Untitled")
 
 
 def trim_embedded_section(c: Column, least: int = 10) -> Column:

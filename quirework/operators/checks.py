@@ -14,7 +14,22 @@ from quirework.operators.components import components
 from quirework.functions.text import _norm, clean, norm_lower, prefix_ratio, ratio, shingles
 
 # Words by which a listed document without a number is known.
-KEYWORDS = {"general conditions": "general_conditions", "special conditions": "special_conditions", "technical specification": "technical_specification", "scope of work": "scope_of_work", "letter of award": "letter_of_award", "contract agreement": "contract_agreement", "agreement": "contract_agreement", "schedule": "schedule", "annexure": "annexure", "appendix": "appendix", "form": "form_or_format", "stamp paper": "stamp_paper"}
+KEYWORDS = {
+    "letter of award": "letter_of_award", "loa": "letter_of_award", "letter of acceptance": "letter_of_award",
+    "letter of intent": "letter_of_intent", "loi": "letter_of_intent",
+    "notification of award": "notification_of_award", "notice of award": "notification_of_award",
+    "general conditions": "general_conditions", "gcc": "general_conditions",
+    "special conditions": "special_conditions", "scc": "special_conditions", "particular conditions": "special_conditions",
+    "technical specification": "technical_specification", "specification": "technical_specification",
+    "scope of work": "scope_of_work",
+    "bill of quantities": "boq_or_price_schedule", "boq": "boq_or_price_schedule", "price schedule": "boq_or_price_schedule", "schedule of rates": "boq_or_price_schedule",
+    "integrity pact": "integrity_pact", "minutes": "minutes_of_meeting",
+    "amendment": "amendment_or_corrigendum", "corrigendum": "amendment_or_corrigendum", "addendum": "amendment_or_corrigendum",
+    "instructions to bidders": "tender_notice_or_itb", "notice inviting tender": "tender_notice_or_itb", "nit": "tender_notice_or_itb",
+    "bank guarantee": "bank_guarantee", "power of attorney": "power_of_attorney", "agreement": "contract_agreement", "deviation": "deviation_list",
+}
+#: Lines of an index that are no entries.
+INDEX_WORDS = ["contents", "index", "table of contents", "clause", "page", "title"]
 
 
 def pages_of_ranges(ranges: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
@@ -25,15 +40,16 @@ def pages_of_ranges(ranges: DataFrame, keys: list[str], start: str, end: str) ->
 def reference_findings(refs: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
     """``by``, ``kind``, ``idx``, ``code``, ``pages``: keys referred to but not found, and found but not referred to.
 
-    ``refs``: by, page, kind, idx; ``found``: by, kind, idx, page. pages are distinct, sorted, the first eight.
+    ``refs``: by, page, kind, idx; ``found``: by, kind, idx, page. pages are distinct and sorted, the first eight of
+    references, the first three of what is found.
     """
     key = [*by, "kind", "idx"]
 
-    def side(a: DataFrame, b: DataFrame, code: str) -> DataFrame:
+    def side(a: DataFrame, b: DataFrame, code: str, most: int) -> DataFrame:
         lone = a.join(b.select(*key).distinct(), key, "left_anti").groupBy(*key)
-        return lone.agg(F.slice(F.array_sort(F.collect_set("page")), 1, 8).alias("pages")).withColumn("code", F.lit(code))
+        return lone.agg(F.slice(F.array_sort(F.collect_set("page")), 1, most).alias("pages")).withColumn("code", F.lit(code))
 
-    return side(refs, found, "reference_not_found").unionByName(side(found, refs, "attachment_not_referenced"))
+    return side(refs, found, "reference_not_found", 8).unionByName(side(found, refs, "attachment_not_referenced", 3))
 
 
 def found_attachments(titled: DataFrame, by: list[str], title: str) -> DataFrame:
@@ -41,13 +57,10 @@ def found_attachments(titled: DataFrame, by: list[str], title: str) -> DataFrame
     return titled.withColumn("_k", attachment_key(F.col(title))).where("_k IS NOT NULL").select(*by, "_k.kind", "_k.idx", "page").distinct()
 
 
-def keyword_type(name: Column) -> Column:
-    """Document type that a listed name stands for by its words; the longest keyword wins."""
+def keyword_types(name: Column) -> Column:
+    """Document types that a listed name may stand for by its words, as an array."""
     low = F.lower(clean(name))
-    out = F.lit(None).cast("string")
-    for word, kind in sorted(KEYWORDS.items(), key=lambda kv: len(kv[0])):
-        out = F.when(F.contains(low, F.lit(word)), kind).otherwise(out)
-    return out
+    return F.array_distinct(F.array_compact(F.array(*(F.when(low.rlike(rf"\b{word}\b"), kind) for word, kind in KEYWORDS.items()))))
 
 
 def listed_missing(listed: DataFrame, documents: DataFrame, by: list[str], similar: float = 0.8) -> DataFrame:
@@ -55,11 +68,12 @@ def listed_missing(listed: DataFrame, documents: DataFrame, by: list[str], simil
 
     ``listed``: by, name; ``documents``: by, doc_type, title.
     """
-    names = listed.where("trim(name) <> ''").select(*by, "name").distinct().withColumn("_k", attachment_key(F.col("name"))).withColumn("_t", keyword_type(F.col("name")))
+    names = listed.where("trim(name) <> ''").select(*by, "name").distinct().withColumn("_k", attachment_key(F.col("name")))
     docs = documents.select(*by, "doc_type", "title").distinct().withColumn("_dk", attachment_key(F.col("title")))
     numbered = names.where("_k IS NOT NULL").join(docs.where("_dk IS NOT NULL").select(*by, F.col("_dk").alias("_k")).distinct(), [*by, "_k"], "left_anti")
     plain = names.where("_k IS NULL")
-    plain = plain.join(docs.select(*by, F.col("doc_type").alias("_t")).distinct(), [*by, "_t"], "left_anti")
+    typed = plain.select(*by, "name", F.explode(keyword_types(F.col("name"))).alias("doc_type")).join(docs.select(*by, "doc_type").distinct(), [*by, "doc_type"])
+    plain = plain.join(typed.select(*by, "name").distinct(), [*by, "name"], "left_anti")
     from quirework.functions.text import full_similarity_udf
 
     near = plain.join(docs.select(*by, "title"), by).where(full_similarity_udf(F.col("name"), F.col("title")) >= similar)
@@ -68,7 +82,7 @@ def listed_missing(listed: DataFrame, documents: DataFrame, by: list[str], simil
 
 def index_missing(entries: DataFrame, titles: DataFrame, by: list[str], similar: float = 0.8) -> DataFrame:
     """Index entries that no node title is: similar as a whole, or contained if longer than 12 characters."""
-    e = entries.select(*by, "entry").distinct().withColumn("_e", norm_lower(F.col("entry"))).where(F.length("_e") >= 6)
+    e = entries.select(*by, "entry").distinct().withColumn("_e", norm_lower(F.col("entry"))).where((F.length("_e") >= 6) & ~F.col("_e").isin(*INDEX_WORDS))
     t = titles.select(*by, "title").distinct().withColumn("_n", norm_lower(F.col("title"))).where("_n <> ''")
     pairs = e.join(t, by)
     exact = pairs.where((F.length("_e") > 12) & (F.contains("_n", "_e") | F.contains("_e", "_n")) | (F.col("_e") == F.col("_n")))
@@ -81,9 +95,8 @@ def index_missing(entries: DataFrame, titles: DataFrame, by: list[str], similar:
 
 
 def clean_entry(c: Column) -> Column:
-    """Index entry without dot leaders, page numbers and the marker before it."""
-    c = F.regexp_replace(clean(c), r"[.·…_]{2,}.*$|\s+\d+$", "")
-    return F.trim(F.regexp_replace(c, r"^\s*(?:\(?[0-9A-Za-z]{1,4}[.)]|\d+(?:\.\d+)*)\s+", ""))
+    """Index entry without dot leaders and page numbers."""
+    return F.trim(F.regexp_replace(F.regexp_replace(clean(c), r"[.\s]{4,}\S*\s*$", ""), r"\s+\d{1,4}$", ""))
 
 
 def duplicate_pairs(texts: DataFrame, by: list[str], key: str, least: int = 30, similarity: float = 0.9, k: int = 5) -> DataFrame:

@@ -170,12 +170,12 @@ def subclause_gaps(s: SparkSession, d: str) -> DataFrame:
 
 def label_continuity(s: SparkSession, d: str) -> DataFrame:
     seg = checks.pages_of_ranges(parts(s, d), ["bundle_id", "segment_id"], "start_page", "end_page")
-    return ordered.label_findings(pages(s, d).join(seg, ["bundle_id", "page"]), ["bundle_id", "segment_id"])
+    return ordered.label_findings(pages(s, d).where("status NOT IN ('blank', 'failed')").join(seg, ["bundle_id", "page"]), ["bundle_id", "segment_id"])
 
 
 def attachment_series_gap(s: SparkSession, d: str) -> DataFrame:
-    k = pages(s, d).select("bundle_id", F.explode("cross_references").alias("r")).withColumn("k", numbering.attachment_key(F.col("r"))).where("k IS NOT NULL")
-    return ordered.series_gaps(k.select("bundle_id", "k.kind", boundaries.attachment_order(F.col("k.idx")).alias("idx")), ["bundle_id"])
+    found = _keys(s, d)[1]
+    return ordered.series_gaps(found.select("bundle_id", "kind", boundaries.attachment_order(F.col("idx")).alias("idx")), ["bundle_id"])
 
 
 def _keys(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -431,7 +431,7 @@ def review_queue(s: SparkSession, d: str) -> DataFrame:
     """All findings of the deterministic checks as one queue."""
     refs, found = _keys(s, d)
     one = lambda c: F.array(F.col(c))
-    labels = ordered.label_findings(pages(s, d).join(checks.pages_of_ranges(parts(s, d), ["bundle_id", "segment_id"], "start_page", "end_page"), ["bundle_id", "page"]), ["bundle_id", "segment_id"]).withColumn("pages", one("page"))
+    labels = ordered.label_findings(pages(s, d).where("status NOT IN ('blank', 'failed')").join(checks.pages_of_ranges(parts(s, d), ["bundle_id", "segment_id"], "start_page", "end_page"), ["bundle_id", "page"]), ["bundle_id", "segment_id"]).withColumn("pages", one("page"))
     ref = checks.reference_findings(refs, found, ["bundle_id"])
     none = F.expr("cast(array() as array<int>)")
     gaps = ordered.sibling_gaps(clauses(s, d).where("kind = 'clause'"), ["bundle_id", "contract_id", "division_id"], ["seq", "clause_id"], "marker", 4).withColumn("pages", none)

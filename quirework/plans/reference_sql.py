@@ -78,13 +78,13 @@ ORACLES = {
  SELECT bundle_id, page, against_page, listed, row_number() OVER (PARTITION BY bundle_id ORDER BY page)::int AS rank, row_number() OVER (PARTITION BY bundle_id ORDER BY page) <= 120 AS checked FROM r WHERE pick""",
     "page_to_clause": f"WITH {PG}, {CL} SELECT page_id, count(*) AS n_clauses, min(clause_id) AS first_clause FROM pg JOIN cl ON cl.bundle_id = pg.bundle_id AND pg.page BETWEEN page_start AND page_end GROUP BY 1",
     "leaf_levels": f"WITH {CL}, n AS (SELECT contract_id, division_id, sum((kind = 'section')::int) AS s, sum((kind = 'clause')::int) AS c FROM cl GROUP BY 1, 2) SELECT contract_id, division_id, CASE WHEN s >= 2 AND s >= c THEN 'section' WHEN c > 0 THEN 'clause' WHEN s > 0 THEN 'section' ELSE 'whole' END AS level FROM n",
-    "label_continuity": f"""WITH {STARTS}, l AS (SELECT g.bundle_id, g.segment_id, b.page, lp, lv FROM lab b JOIN seg g ON g.bundle_id = b.bundle_id AND b.page BETWEEN g.start_page AND g.end_page WHERE lp IS NOT NULL), x AS (SELECT *, lag(lp) OVER w AS pp, lag(lv) OVER w AS pv, lag(page) OVER w AS ppg FROM l WINDOW w AS (PARTITION BY bundle_id, segment_id ORDER BY page))
+    "label_continuity": f"""WITH {STARTS}, l AS (SELECT g.bundle_id, g.segment_id, b.page, lp, lv FROM lab b JOIN seg g ON g.bundle_id = b.bundle_id AND b.page BETWEEN g.start_page AND g.end_page WHERE lp IS NOT NULL AND b.status NOT IN ('blank', 'failed')), x AS (SELECT *, lag(lp) OVER w AS pp, lag(lv) OVER w AS pv, lag(page) OVER w AS ppg FROM l WINDOW w AS (PARTITION BY bundle_id, segment_id ORDER BY page))
  SELECT bundle_id, segment_id, page, pv AS prev_value, lv AS value, CASE WHEN lv < pv THEN 'label_backwards' ELSE 'label_jump' END AS code FROM x WHERE pp = lp AND (lv < pv OR (lv > pv + page - ppg AND lv > pv + 1))""",
     "label_keys": f"SELECT DISTINCT printed_label, {_P0} AS prefix, {_V0} AS value FROM pages",
     "attachment_keys": f"SELECT DISTINCT ref AS reference, kind, idx FROM ({KEY % 'SELECT DISTINCT unnest(cross_references) AS ref FROM pages'})",
-    "attachment_series_gap": f"WITH k AS (SELECT DISTINCT bundle_id, kind, idx::int AS idx FROM ({KEY % 'SELECT DISTINCT bundle_id, unnest(cross_references) AS ref FROM pages'}) WHERE regexp_matches(idx, '^[0-9]+$')), x AS (SELECT *, lag(idx) OVER (PARTITION BY bundle_id, kind ORDER BY idx) AS prev_idx FROM k) SELECT bundle_id, kind, prev_idx, idx FROM x WHERE idx - prev_idx BETWEEN 2 AND 5",
+    "attachment_series_gap": f"WITH k AS (SELECT DISTINCT bundle_id, kind, idx::int AS idx FROM ({KEY % 'SELECT DISTINCT bundle_id, marker AS ref FROM clauses'}) WHERE regexp_matches(idx, '^[0-9]+$')), x AS (SELECT *, lag(idx) OVER (PARTITION BY bundle_id, kind ORDER BY idx) AS prev_idx FROM k) SELECT bundle_id, kind, prev_idx, idx FROM x WHERE idx - prev_idx BETWEEN 2 AND 5",
     "reference_findings": f"""WITH r AS (SELECT DISTINCT bundle_id, page, kind, idx FROM ({KEY % 'SELECT bundle_id, page, unnest(cross_references) AS ref FROM pages'}) WHERE kind IS NOT NULL), f AS (SELECT DISTINCT bundle_id, page, kind, idx FROM ({KEY % 'SELECT bundle_id, page_start AS page, marker AS ref FROM clauses'}) WHERE kind IS NOT NULL)
- SELECT bundle_id, kind, idx, 'reference_not_found' AS code, array_to_string(list_sort(list(DISTINCT page))[1:8], ',') AS pages FROM r ANTI JOIN f USING (bundle_id, kind, idx) GROUP BY 1, 2, 3 UNION ALL SELECT bundle_id, kind, idx, 'attachment_not_referenced', array_to_string(list_sort(list(DISTINCT page))[1:8], ',') FROM f ANTI JOIN r USING (bundle_id, kind, idx) GROUP BY 1, 2, 3""",
+ SELECT bundle_id, kind, idx, 'reference_not_found' AS code, array_to_string(list_sort(list(DISTINCT page))[1:8], ',') AS pages FROM r ANTI JOIN f USING (bundle_id, kind, idx) GROUP BY 1, 2, 3 UNION ALL SELECT bundle_id, kind, idx, 'attachment_not_referenced', array_to_string(list_sort(list(DISTINCT page))[1:3], ',') FROM f ANTI JOIN r USING (bundle_id, kind, idx) GROUP BY 1, 2, 3""",
     "sibling_gaps": f"""WITH {CL}, k AS (SELECT * FROM ({MARKER % "SELECT contract_id, division_id, seq, clause_id, marker FROM cl WHERE kind = 'clause'"})), x AS (SELECT *, lag(key) OVER w AS pk, lag(marker) OVER w AS pm FROM k WINDOW w AS (PARTITION BY contract_id, division_id ORDER BY seq, clause_id)),
  y AS (SELECT *, regexp_extract(key, '^(.*\\.)?\\d+$', 1) AS h, regexp_extract(pk, '^(.*\\.)?\\d+$', 1) AS ph, regexp_extract(key, '(\\d+)$', 1)::int AS b, regexp_extract(pk, '(\\d+)$', 1)::int AS a FROM x WHERE regexp_matches(key, '^\\d+(\\.\\d+)*$') AND regexp_matches(pk, '^\\d+(\\.\\d+)*$'))
  SELECT contract_id, division_id, pm AS prev_marker, h || unnest(range(a + 1, b))::varchar AS missing, marker AS next_marker FROM y WHERE h = ph AND b - a > 1 AND b - a <= 5""",
