@@ -65,7 +65,33 @@ w AS (SELECT bundle_id, page, list_filter(string_split(trim(regexp_replace(regex
 g AS (SELECT DISTINCT bundle_id, page, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM w WHERE len(w) >= 5),
 n AS (SELECT bundle_id, page, count(*) AS n FROM g GROUP BY 1, 2)"""
 
+_LEAD = r"(?i)^\s*((?:article|clause|section|chapter|part|annexure|appendix|schedule|form)\s*[-.:]?\s*[\w.]+|\(?[a-z]{1,4}\)|\(?\d{1,3}\)|\d+(?:\s*\.\s*\d+)*\.?|[a-z]\.)"
+_NUM = f"num AS (SELECT b.*, g.segment_id, g.doc_type FROM bl b JOIN seg g ON g.bundle_id = b.bundle_id AND b.page BETWEEN g.start_page AND g.end_page WHERE kind IN ('heading', 'clause'))"
+_LEVELS = f"""{STARTS}, {BL}, {_NUM}, keyed AS ({MARKER % f"SELECT bundle_id, segment_id, page, idx, kind, coalesce(number, CASE WHEN regexp_extract({clean('text')}, '{_LEAD}', 1) <> '' THEN trim(regexp_extract({clean('text')}, '{_LEAD}', 1)) END) AS marker FROM num"}),
+own AS (SELECT *, CASE WHEN regexp_matches(key, '^\\d+(\\.\\d+)*$') THEN greatest(1, least(length(key) - length(replace(key, '.', '')) + 1, 5)) WHEN kind = 'heading' THEN 1 END AS own FROM keyed),
+runs AS (SELECT *, count(own) OVER (PARTITION BY bundle_id, segment_id ORDER BY page, idx ROWS UNBOUNDED PRECEDING) AS run FROM own),
+lv AS (SELECT *, least(coalesce(first_value(own) OVER w, 1) + row_number() OVER w - CASE WHEN first_value(own) OVER w IS NOT NULL THEN 1 ELSE 0 END, 5)::int AS wanted FROM runs WINDOW w AS (PARTITION BY bundle_id, segment_id, run ORDER BY page, idx ROWS UNBOUNDED PRECEDING)),
+p0 AS (SELECT *, row_number() OVER (PARTITION BY bundle_id, segment_id ORDER BY page, idx)::int AS pos FROM lv)"""
+_LAST = lambda c, k, cond="level = {k}": f"last_value(CASE WHEN {cond.format(k=k)} THEN {c} END IGNORE NULLS) OVER (PARTITION BY bundle_id, segment_id ORDER BY pos ROWS UNBOUNDED PRECEDING)"
+_OPEN = lambda k: f"last_value(CASE WHEN wanted <= {k} THEN pos END IGNORE NULLS) OVER (PARTITION BY bundle_id, segment_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+_Q = lambda c, n: f"left(replace({clean(c)}, chr(34), chr(39)), {n})"
+
 ORACLES = {
+    "tree_paths": f"""WITH {_LEVELS}, p1 AS (SELECT *, (pos + least(0, min(greatest(1, wanted) - pos) OVER (PARTITION BY bundle_id, segment_id ORDER BY pos ROWS UNBOUNDED PRECEDING)))::int AS level FROM p0),
+ p2 AS (SELECT *, CASE level {' '.join(f"WHEN {k} THEN {_LAST('pos', k - 1)}" for k in range(2, 6))} END AS parent_pos FROM p1), p3 AS (SELECT *, row_number() OVER (PARTITION BY bundle_id, segment_id, parent_pos ORDER BY pos)::int AS ordinal FROM p2)
+ SELECT bundle_id, segment_id, pos, wanted, level, parent_pos, ordinal, concat_ws('.', {', '.join(f"CASE WHEN level >= {k} THEN {_LAST('ordinal', k)} END" for k in range(1, 6))}) AS path FROM p3""",
+    "sibling_groups": f"""WITH {_LEVELS} SELECT bundle_id, segment_id, pos, wanted AS level, coalesce((CASE wanted {' '.join(f"WHEN {k} THEN {_OPEN(k - 1)}" for k in range(2, 6))} END)::varchar, 'root') || '@' || wanted AS group_key FROM p0""",
+    "anchor_collect": f"""WITH {STARTS}, {BL}, {_NUM}, a AS ({MARKER % "SELECT bundle_id, segment_id AS division_id, number AS marker, coalesce(title, '') AS title, page FROM num WHERE kind = 'clause' AND number IS NOT NULL"}), b AS (SELECT *, 'clause:' || key AS anchor_key, {clean('title')} AS t FROM a)
+ SELECT bundle_id, division_id, anchor_key, min(page) AS page, arg_max(t, (length(t), t)) AS title, count(DISTINCT page) > 1 AS ambiguous FROM b GROUP BY 1, 2, 3""",
+    "division_map": f"""WITH {PG}, i AS (SELECT DISTINCT ON (bundle_id, page) bundle_id, page, page_type AS division_type, document_title AS title, running_header, first_continues AS mid, page_type = 'stamp_paper' AS cover FROM pg WHERE is_document_start AND document_title IS NOT NULL ORDER BY bundle_id, page, length({clean('document_title')}) DESC, page_id),
+ t AS (SELECT bundle_id, max(page) AS total FROM pg GROUP BY 1), r AS (SELECT * FROM i UNION ALL SELECT bundle_id, 1, 'RECITALS', 'Front matter', NULL, false, false FROM t WHERE bundle_id NOT IN (SELECT bundle_id FROM i WHERE page = 1))
+ SELECT bundle_id, format('DIV-{{:02d}}', row_number() OVER w) AS division_id, division_type, {clean('title')} AS title, running_header, page AS start_page, coalesce(lead(page) OVER w - 1, total) AS end_page, row_number() OVER w::int AS position,
+  concat_ws(',', CASE WHEN mid THEN 'mid_page_start' END, CASE WHEN cover THEN 'cover_sheet' END, CASE WHEN lead(division_type) OVER w = division_type AND lead(page) OVER w - page <= 2 THEN 'possible_overlap_split' END) AS flags FROM r JOIN t USING (bundle_id) WINDOW w AS (PARTITION BY bundle_id ORDER BY page)""",
+    "card_lines": f"""WITH {PG}, {BL}, b AS (SELECT bundle_id, page, arg_min(text, idx) AS first, left(coalesce(string_agg({_Q('text', 50)}, '; ' ORDER BY idx) FILTER (kind IN ('heading', 'clause')), ''), 260) AS heads FROM bl WHERE kind NOT IN ('header', 'footer', 'page_number') AND text IS NOT NULL GROUP BY 1, 2)
+ SELECT page_id, CASE WHEN status = 'blank' THEN '[p' || page || '] BLANK' WHEN status = 'failed' THEN '[p' || page || '] UNREADABLE' ELSE '[p' || page || '] type=' || page_type || ' start=' || CASE WHEN is_document_start THEN 'Y' ELSE 'N' END || ' label="' || {_Q('printed_label', 20)} || '" hdr="' || {_Q('running_header', 50)} || '" cont=' || CASE WHEN first_continues THEN 'Y' ELSE 'N' END
+   || ' title="' || {_Q('document_title', 90)} || '" first="' || {_Q('first', 90)} || '" heads=' || coalesce(heads, '') || ' refs=' || coalesce(array_to_string(list_transform(cross_references[1:5], lambda x: {_Q('x', 40)}), ', '), '') END AS card FROM pg LEFT JOIN b USING (bundle_id, page)""",
+    "page_contexts": f"""WITH {CL}, x AS (SELECT bundle_id, page_start, clause_id::varchar AS unit_id, concat_ws(' ', kind, marker, CASE WHEN title IS NOT NULL THEN chr(39) || left({clean('title')}, 60) || chr(39) END) AS line, unnest(range(page_start, page_end + 1))::int AS page FROM cl WHERE page_end >= page_start) SELECT bundle_id, page, string_agg(line, '; ' ORDER BY page_start, unit_id) AS hint FROM x GROUP BY 1, 2""",
+    "follow_markers": None,
     "page_windows": f"WITH {PG}, b AS (SELECT bundle_id, min(page) AS a, max(page) AS z FROM pg GROUP BY 1) SELECT bundle_id, i::int AS window_no, (a + i * 14)::int AS lo, least(a + i * 14 + 14, z)::int AS hi FROM (SELECT *, unnest(range(0, CASE WHEN z - a + 1 <= 15 THEN 1 ELSE ceil((z - a + 1 - 15) / 14)::int + 1 END)) AS i FROM b)",
     "segmentation_windows": f"WITH {PG}, b AS (SELECT bundle_id, min(page) AS first, max(page) AS last FROM pg GROUP BY 1), s AS (SELECT bundle_id, first, last, unnest(CASE WHEN last - first + 1 <= 220 THEN [first] ELSE list_filter(range(first, last + 1, 200), lambda x: x <= last - 20 OR x = first) END) AS lo FROM b) SELECT bundle_id, first, last, lo::int AS lo, (CASE WHEN last - first + 1 <= 220 THEN last ELSE least(last, lo + 219) END)::int AS hi FROM s",
     "prev_content_page": f"WITH {PREV} SELECT bundle_id, page, p.page AS prev_page, p.pt AS prev_page_type FROM prev",
