@@ -148,7 +148,20 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_repaired, p5_found, p5_entities, p6_found, p6_report, p6_limits, p8_found, p8_spans, p8_items, p9_selection, p9_shares, p10_found, p10_shares)}
 
+_ITEM = r"(?m)^\s*(?:[-•*]|\(?[0-9A-Za-z]{1,5}[.)])\s"
+_SIGN = r"(?:…|\.\.\.|�|\[(?:\.\.\.|…)\])\s*$"
+_BARS = "length({0}) - length(replace({0}, '|', ''))"
+_OPEN = f"""regexp_matches(text, '^\\s*\\|') AND {_BARS.format("string_split(rtrim(text), chr(10))[-1]")} < {_BARS.format("string_split(rtrim(text), chr(10))[1]")}"""
+_ENDED = rf"""(regexp_matches(text, '[.!?:|]["'')\]’”]*\s*$') OR (is_item AND regexp_matches(text, ';["'')\]’”]*\s*$|;\s*(?:and|or)\s*$')))
+  AND NOT regexp_matches(text, '(?:^|[\s(])(?:Cl|Cls|No|Nos|Fig|Figs|cf|Art|Sec|viz|approx|resp|M/s|Messrs|Ref)\.\s*$') AND NOT regexp_matches(text, '{_SIGN}') AND NOT ({_OPEN})"""
+_SUB = "s AS (SELECT DISTINCT subclause_id, source, text, true AS is_item FROM subclauses)"
+
 ORACLES = {
+    "p6_found": f"""WITH b AS (SELECT DISTINCT block_key, bundle_id, page, idx, text, regexp_matches(text, '{_ITEM}') AS is_item FROM blocks WHERE kind IN ('clause', 'paragraph', 'recital', 'table')), {_SUB},
+ g AS (SELECT l.bundle_id, l.page, l.idx FROM (SELECT bundle_id, page, max(idx) AS idx FROM b GROUP BY 1, 2) l SEMI JOIN (SELECT bundle_id, page - 1 AS page FROM pages WHERE first_continues) p USING (bundle_id, page))
+ SELECT 'blocks' AS table_name, block_key AS row_id FROM b ANTI JOIN g USING (bundle_id, page, idx) WHERE text IS NOT NULL AND trim(text) <> '' AND NOT ({_ENDED}) UNION ALL SELECT 'subclauses', subclause_id FROM s WHERE text IS NOT NULL AND trim(text) <> '' AND NOT ({_ENDED})""",
+    "p6_limits": f"""WITH {_SUB}, t AS (SELECT source, text FROM s WHERE text IS NOT NULL AND text <> '' AND NOT ({_ENDED})), u AS (SELECT source, 'chars' AS unit, length(text)::int AS length FROM t UNION ALL SELECT source, 'bytes', strlen(text)::int FROM t), c AS (SELECT source, unit, length, count(*) AS n FROM u GROUP BY 1, 2, 3),
+ e AS (SELECT *, (sum(n) OVER (PARTITION BY source, unit ORDER BY length RANGE BETWEEN 12 PRECEDING AND 12 FOLLOWING) - n) / 24 AS expected FROM c) SELECT source, unit, length, n, expected FROM e WHERE n >= 5 AND n > expected + 6 * sqrt(greatest(expected, 0.25))""",
     "p2_found": "SELECT DISTINCT clause_id, 'text' AS field_name FROM clauses WHERE length(text) > 2000 UNION SELECT DISTINCT clause_id, 'full_text' FROM clauses WHERE length(full_text) > 2000",
     "p8_found": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(regexp_replace(text, '[-‐‑\x{ad}¬][ \t]*\r?\n\s*|\x{ad}', '', 'g')), '[\p{L}\p{N}]+') AS w FROM documents),
