@@ -76,6 +76,7 @@ states AS (SELECT r.*, NOT EXISTS (SELECT 1 FROM marks m WHERE m.bundle_id = r.b
 """
 
 ORACLES = {
+    "p7_current": f"WITH {_REFS} SELECT bundle_id, kind, idx, count(*) AS n_refs, 0::bigint AS n_existing FROM refs r WHERE NOT EXISTS (SELECT 1 FROM marks m WHERE m.bundle_id = r.bundle_id AND m.kind = r.kind AND m.idx = r.idx AND m.created_at IS NOT NULL AND m.deleted_at IS NULL) GROUP BY 1, 2, 3",
     "p4_found": _P4,
     "p7_found": f"WITH {_REFS} SELECT DISTINCT page_id, ref_pos FROM states WHERE dangles",
     "p7_report": f"WITH {_REFS} SELECT CASE WHEN kind = 'clause' THEN 'clauses' ELSE 'attachments' END AS table_name, kind, strftime(asked, '%Y-%m') AS month, count(*) AS n_references, sum(dangles::bigint)::bigint AS n_dangling, sum(dangles::bigint) / count(*) AS share FROM states GROUP BY ALL",
