@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quirework.functions.numbering import attachment_key, normalize_marker
 from quirework.operators.components import components
+from quirework.runtime import materialize
 from quirework.functions.text import _norm, clean, norm_lower, prefix_ratio, ratio, shingles
 
 # Words by which a listed document without a number is known.
@@ -106,17 +107,19 @@ def duplicate_pairs(texts: DataFrame, by: list[str], key: str, least: int = 30,
     set are joined, as many as sets of this similarity must share one of (prefix filtering), so words that
     every page has are never paired.
     """
-    sets = texts.select(*by, key, shingles(F.col("text"), k).alias("_s")).where(F.size("_s") > 0).withColumn("_n", F.size("_s"))
-    grams = sets.select(*by, key, "_n", F.explode("_s").alias("_g"))
+    hashed = materialize(texts.select(*by, key, F.transform(shingles(F.col("text"), k), lambda g: F.xxhash64(g)).alias("_h"))).where(F.size("_h") > 0)
+    grams = hashed.select(*by, key, F.size("_h").alias("_n"), F.explode("_h").alias("_g"))
     df = grams.groupBy(*by, "_g").agg(F.count("*").alias("_df"))
     rank = F.row_number().over(W.partitionBy(*by, key).orderBy("_df", "_g"))
-    prefix = grams.join(df, [*by, "_g"]).withColumn("_r", rank).where(F.col("_r") <= F.col("_n") - F.ceil(F.col("_n") * similarity) + 1)
+    prefix = materialize(grams.join(df, [*by, "_g"]).withColumn("_r", rank).where(F.col("_r") <= F.col("_n") - F.ceil(F.col("_n") * similarity) + 1).select(*by, key, "_n", "_g"))
     a = prefix.select(*by, F.col(key).alias("earlier"), F.col("_n").alias("_na"), "_g")
     b = prefix.where(F.col("_n") >= least).select(*by, F.col(key).alias("later"), F.col("_n").alias("_nb"), "_g")
     sized = (F.col("_na") / F.col("_nb") > 0.7) & (F.col("_na") / F.col("_nb") < 1.43) & (F.least("_na", "_nb") >= similarity * F.greatest("_na", "_nb"))
-    pairs = a.join(b, [*by, "_g"]).where((F.col("earlier") < F.col("later")) & sized).select(*by, "earlier", "later").distinct()
-    one = lambda n, s: sets.select(*by, F.col(key).alias(n), F.col("_s").alias(s))
-    full = pairs.join(one("earlier", "_sa"), [*by, "earlier"]).join(one("later", "_sb"), [*by, "later"])
+    pairs = materialize(a.join(b, [*by, "_g"]).where((F.col("earlier") < F.col("later")) & sized).select(*by, "earlier", "later").distinct())
+    # candidates are few; their shingles are formed again as texts, so that equal hashes of different ones count for nothing
+    one = lambda n, s: texts.select(*by, F.col(key).alias(n), F.col("text").alias(s))
+    full = pairs.join(one("earlier", "_ta"), [*by, "earlier"]).join(one("later", "_tb"), [*by, "later"])
+    full = full.select(*by, "earlier", "later", shingles(F.col("_ta"), k).alias("_sa"), shingles(F.col("_tb"), k).alias("_sb"))
     j = F.size(F.array_intersect("_sa", "_sb")) / F.size(F.array_union("_sa", "_sb"))
     return full.select(*by, "earlier", "later", j.alias("jaccard")).where(F.col("jaccard") >= similarity)
 
