@@ -70,10 +70,10 @@ def p5_entities(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _block_cuts(spark: SparkSession, d: str) -> DataFrame:
-    blocks = table(spark, d, "blocks").where(F.col("kind").isin(*scanrepair.Params().kinds)).dropDuplicates(["block_key"])
-    blocks = blocks.select("block_key", "bundle_id", "page", "idx", "call_key", "text")
+    blocks = table(spark, d, "blocks").where(F.col("kind").isin(*scanrepair.Params().kinds))
+    blocks = truncation.measured(blocks.select("block_key", "bundle_id", "page", "idx", "call_key", "text")).dropDuplicates(["block_key"])
     rows = truncation.with_calls(blocks, table(spark, d, "replay")).withColumn("source", F.col("model"))
-    rows = truncation.cut_texts(rows, truncation.limits(rows.select("source", "text")))
+    rows = truncation.cut_texts(rows, truncation.limits(rows))
     goes = truncation.continued(blocks.select("bundle_id", "page", "idx"), table(spark, d, "pages")).withColumn("_goes", F.lit(True))
     rows = rows.join(goes, ["bundle_id", "page", "idx"], "left")
     return rows.withColumn("cut", F.col("cut") & F.col("_goes").isNull()).drop("_goes")
@@ -81,7 +81,7 @@ def _block_cuts(spark: SparkSession, d: str) -> DataFrame:
 
 def _subclause_texts(spark: SparkSession, d: str) -> DataFrame:
     """Sub-clauses are list items, whose markers stand in a column of their own."""
-    return table(spark, d, "subclauses").select("subclause_id", "source", "text", F.lit(True).alias("is_item")).dropDuplicates(["subclause_id"])
+    return truncation.measured(table(spark, d, "subclauses").select("subclause_id", "source", "text", F.lit(True).alias("is_item"))).dropDuplicates(["subclause_id"])
 
 
 def _subclause_cuts(spark: SparkSession, d: str) -> DataFrame:

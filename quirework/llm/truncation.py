@@ -41,41 +41,48 @@ def has_end(text: Column, item: Column | None = None) -> Column:
     return ends & ~text.rlike(ABBREVIATION) & ~has_sign(text) & ~table_is_open(text)
 
 
-def _ended(df: DataFrame) -> Column:
-    return has_end(F.col("text"), F.coalesce("is_item", F.lit(False)) if "is_item" in df.columns else None)
+MEASURES = ["n_chars", "n_bytes", "signed", "ended"]
 
 
-def limits(texts: DataFrame, least: int = 5, around: int = 12, sigmas: float = 6.0) -> DataFrame:
+def measured(texts: DataFrame) -> DataFrame:
+    """``texts`` with what the tests need in place of the text: ``n_chars``, ``n_bytes`` (0 for null and blank texts), ``signed`` and
+    ``ended``. Rows stay narrow in every later join. A column ``is_item`` says which are list items (see :func:`has_end`)."""
+    t = F.when(F.trim("text") != "", F.col("text"))
+    ended = has_end(t, F.coalesce("is_item", F.lit(False)) if "is_item" in texts.columns else None)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return texts.select(*(c for c in texts.columns if c not in ("text", "is_item", *MEASURES)), zero(F.length(t)).alias("n_chars"), zero(F.octet_length(t)).alias("n_bytes"), F.coalesce(has_sign(t), F.lit(False)).alias("signed"), F.coalesce(ended, F.lit(False)).alias("ended"))
+
+
+def limits(rows: DataFrame, least: int = 5, around: int = 12, sigmas: float = 6.0) -> DataFrame:
     """``(source, unit, length, n, expected)``: lengths at which a source cuts texts off.
 
-    ``texts``: ``(source, text)``, and ``is_item`` where that is known (see :func:`has_end`). For each source the unended texts are counted by length, in ``chars`` and
+    ``rows``: ``source`` and the columns of :func:`measured`. For each source the unended texts are counted by length, in ``chars`` and
     ``bytes``; a length is a limit if its count is at least ``least`` and exceeds the mean of the lengths
     within ``around`` of it (itself left out, lengths without a text counting as 0) by ``sigmas`` standard
     deviations of a Poisson count.
     """
-    t = texts.where(F.col("text").isNotNull() & (F.col("text") != "") & ~_ended(texts))
-    unit = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.length("text").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.octet_length("text").alias("length"))))
+    t = rows.where("n_chars > 0 AND NOT ended")
+    unit = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("n_chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.col("n_bytes").alias("length"))))
     counts = t.select("source", unit.alias("u")).groupBy("source", "u.unit", "u.length").agg(F.count("*").alias("n"))
     near = W.partitionBy("source", "unit").orderBy("length").rangeBetween(-around, around)
     counts = counts.withColumn("expected", (F.sum("n").over(near) - F.col("n")) / (2 * around))
     return counts.where((F.col("n") >= least) & (F.col("n") > F.col("expected") + sigmas * F.sqrt(F.greatest(F.col("expected"), F.lit(0.25)))))
 
 
-def cut_texts(texts: DataFrame, limits_of: DataFrame) -> DataFrame:
-    """``texts`` with ``cut``, ``reason`` (``sign``, ``limit``, ``open`` or null) and ``at_limit``.
+def cut_texts(rows: DataFrame, limits_of: DataFrame) -> DataFrame:
+    """``rows`` with ``cut``, ``reason`` (``sign``, ``limit``, ``open`` or null) and ``at_limit`` in place of the measures.
 
-    ``texts`` has ``source`` and ``text``, maybe ``is_item``, and any other columns. Null and blank texts are not cut. ``limits_of``
-    is aggregated (a few rows per source) and joined by source and length.
+    ``rows`` has ``source``, the columns of :func:`measured` and any others. Null and blank texts are not cut.
+    ``limits_of`` is aggregated (a few rows per source) and joined by source and length.
     """
-    chars = limits_of.where("unit = 'chars'").select(F.col("source").alias("_s1"), F.col("length").alias("_l1"), F.lit(True).alias("_c"))
-    octets = limits_of.where("unit = 'bytes'").select(F.col("source").alias("_s2"), F.col("length").alias("_l2"), F.lit(True).alias("_b"))
-    df = texts.join(chars, F.col("source").eqNullSafe(F.col("_s1")) & (F.length("text") == F.col("_l1")), "left")
-    df = df.join(octets, F.col("source").eqNullSafe(F.col("_s2")) & (F.octet_length("text") == F.col("_l2")), "left")
-    there = F.col("text").isNotNull() & (F.trim("text") != "")
+    side = lambda unit, s, n, flag: limits_of.where(F.col("unit") == unit).select(F.col("source").alias(s), F.col("length").alias(n), F.lit(True).alias(flag))
+    df = rows.join(side("chars", "_s1", "_l1", "_c"), F.col("source").eqNullSafe(F.col("_s1")) & (F.col("n_chars") == F.col("_l1")), "left")
+    df = df.join(side("bytes", "_s2", "_l2", "_b"), F.col("source").eqNullSafe(F.col("_s2")) & (F.col("n_bytes") == F.col("_l2")), "left")
+    there = F.col("n_chars") > 0
     limit = F.coalesce("_c", F.lit(False)) | F.coalesce("_b", F.lit(False))
-    reason = F.when(~there, None).when(has_sign(F.col("text")), "sign").when(_ended(texts), None).when(limit, "limit").otherwise("open")
+    reason = F.when(~there, None).when(F.col("signed"), "sign").when(F.col("ended"), None).when(limit, "limit").otherwise("open")
     df = df.withColumn("reason", reason).withColumn("at_limit", there & limit)
-    return df.withColumn("cut", F.col("reason").isNotNull()).drop("_s1", "_l1", "_c", "_s2", "_l2", "_b")
+    return df.withColumn("cut", F.col("reason").isNotNull()).drop(*MEASURES, "_s1", "_l1", "_c", "_s2", "_l2", "_b")
 
 
 def continued(blocks: DataFrame, pages: DataFrame) -> DataFrame:

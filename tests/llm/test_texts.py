@@ -81,13 +81,14 @@ def test_truncation(spark):
     cut = ["The works shall beg", "The works shall", "The works […]", "The works shall…", "The works sha�", "The works...", "| a | b |\n|---|---|\n| 1 |", "according to Cl.", "The works, ", "The term applies at once;"]
     df = spark.createDataFrame([("s", t, True) for t in cut] + [("s", t, False) for t in full], "source string, text string, want boolean").withColumn("length", F.lit(1)).withColumn("unit", F.lit("x"))
     none = spark.createDataFrame([], "source string, unit string, length int, n bigint, expected double")
-    bad = truncation.cut_texts(df, none).where("cut <> want").collect()
+    bad = truncation.cut_texts(truncation.measured(df), none).where("cut <> want").collect()
     assert bad == []
     long = ["".join(rng.choice("abc ") for _ in range(200)) + "x" for _ in range(30)]
     rows = [("lim", t[:100]) for t in long] + [("lim", t[: rng.randint(20, 190)]) for t in long] + [("free", t[: rng.randint(20, 190)]) for t in long] + [(None, "x")]
-    found = truncation.limits(spark.createDataFrame(rows, "source string, text string")).collect()
+    found = truncation.limits(truncation.measured(spark.createDataFrame(rows, "source string, text string"))).collect()
     assert {(r.source, r.unit, r.length) for r in found} == {("lim", "chars", 100), ("lim", "bytes", 100)}
-    assert truncation.limits(df.where("false")).count() == 0 and truncation.cut_texts(df.where("false"), none).count() == 0
+    empty = truncation.measured(df.where("false"))
+    assert truncation.limits(empty).count() == 0 and truncation.cut_texts(empty, none).count() == 0
 
 
 def phrases_of(t, n=5):
