@@ -28,7 +28,7 @@ SENTENCE = re.compile(r"(?<=[.;:!?])\s+")
 
 @dataclass(frozen=True)
 class Params:
-    labelled: int = 50_000  # documents with labels that lexicon and frames are counted on, at most
+    labelled: int = 50_000  # about so many documents with labels, at most, are what lexicon and frames are counted on
     longest: int = 3  # words of a term
     precision: float = 0.65  # share of a term's labelled documents that have its subject
     chance: float = 1e-5  # probability that a term that has nothing to do with a subject looks as tied to it
@@ -110,16 +110,17 @@ def _index(lex: dict[tuple, int]) -> dict[str, list[tuple[tuple, int]]]:
 
 def mentions(text: str, index: dict) -> Iterator[tuple[int, str, str]]:
     """``(subject, words before, words after)`` of each term in a passage; the longest term counts where several begin."""
-    for s in SENTENCE.split(text):
-        w = WORD.findall(s.lower())
-        i = 0
-        while i < len(w):
-            for t, subject in index.get(w[i], ()):
+    for s in SENTENCE.split(text.lower()):
+        w = WORD.findall(s)
+        free = 0
+        for i in [i for i, x in enumerate(w) if x in index]:
+            if i < free:
+                continue  # inside the term before
+            for t, subject in index[w[i]]:
                 if tuple(w[i : i + len(t)]) == t:
                     yield subject, " ".join(w[max(0, i - 3) : i]), " ".join(w[i + len(t) : i + len(t) + 3])
-                    i += len(t) - 1
+                    free = i + len(t)
                     break
-            i += 1
 
 
 def passing_frames(labelled: DataFrame, lex: dict[tuple, int], p: Params) -> set[tuple[str, str]]:
@@ -234,7 +235,9 @@ def assigned(documents: DataFrame, labels: DataFrame, areas: DataFrame, p: Param
     documents = documents.select("doc_id", "text", "docket", "source").where("doc_id IS NOT NULL")
     subjects = [r[0] for r in areas.select("subject_id").where("subject_id IS NOT NULL").distinct().collect()]
     known = labels.where("doc_id IS NOT NULL AND subject_id IS NOT NULL").groupBy("doc_id").agg(F.collect_set("subject_id").alias("subjects"))
-    known = known.orderBy(F.xxhash64("doc_id", F.lit(p.seed))).limit(p.labelled)
+    # a bounded sample, by a filter on the hash of the key
+    share = min(1.0, p.labelled / max(1, labels.select("doc_id").distinct().count()))
+    known = known.where(F.xxhash64("doc_id", F.lit(p.seed)).bitwiseAND(F.lit((1 << 40) - 1)) < int(share * (1 << 40)))
     labelled = materialize(documents.join(known, "doc_id").repartition(max(2, spark.sparkContext.defaultParallelism)))
     lex = lexicon(labelled, p)
     frames = passing_frames(labelled, lex, p)
