@@ -24,6 +24,9 @@ from quirework.runtime import materialize
 NUMBERED = re.compile(r"(?m)^[ \t]*(?:\[(\d{1,4})\]|\((\d{1,4})\)|(\d{1,4})\.?)[ \t]+(?=\S)")
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"(?<=[.;:!?])\s+")
+#: Words, and the marks that end a sentence or part of one.
+TOKEN = re.compile(r"[^\W\d_]+|[.;:!?](?=\s)")
+ENDS = frozenset(".;:!?")
 
 
 @dataclass(frozen=True)
@@ -62,29 +65,29 @@ def sections(text: str) -> tuple[str, list[str]]:
     return text[: at[0].start()], paras
 
 
-def _grams(words: list[str], longest: int) -> set[tuple]:
-    return {tuple(words[i : i + k]) for k in range(1, longest + 1) for i in range(len(words) - k + 1)}
+def _grams(words: list[str], longest: int) -> set[str]:
+    out = set(words)
+    for k in range(2, longest + 1):
+        out.update(map(" ".join, zip(*(words[i:] for i in range(k)))))
+    return out
 
 
 def lexicon(labelled: DataFrame, p: Params) -> dict[tuple, int]:
     """Terms that a subject's documents have: ``labelled`` has ``text`` and ``subjects`` (an array)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen: dict[int, Counter] = {0: Counter()}  # 0: all documents
         for batch in batches:
             for text, subjects in zip(batch.column("text").to_pylist(), batch.column("subjects").to_pylist()):
                 _, paras = sections(text or "")
-                grams = set()
+                grams: set[str] = set()
                 for para in paras:
-                    for s in SENTENCE.split(para):
-                        grams |= _grams(WORD.findall(s.lower()), p.longest)
-                for g in grams:
-                    t = " ".join(g)
-                    seen[t, 0] += 1
-                    for s in subjects:
-                        seen[t, s] += 1
-        keys = list(seen)
-        yield pa.record_batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([seen[k] for k in keys], pa.int64())], names=["term", "subject_id", "n"])
+                    for s in SENTENCE.split(para.lower()):
+                        grams |= _grams(WORD.findall(s), p.longest)
+                for s in {0, *subjects}:
+                    seen.setdefault(s, Counter()).update(grams)
+        for s, n in seen.items():
+            yield pa.record_batch([pa.array(list(n), pa.string()), pa.array([s] * len(n), pa.int32()), pa.array(list(n.values()), pa.int64())], names=["term", "subject_id", "n"])
 
     n = labelled.select("text", "subjects").mapInArrow(count, "term string, subject_id int, n long").groupBy("term", "subject_id").agg(F.sum("n").alias("n"))
     n = materialize(n)
@@ -110,17 +113,25 @@ def _index(lex: dict[tuple, int]) -> dict[str, list[tuple[tuple, int]]]:
 
 def mentions(text: str, index: dict) -> Iterator[tuple[int, str, str]]:
     """``(subject, words before, words after)`` of each term in a passage; the longest term counts where several begin."""
-    for s in SENTENCE.split(text.lower()):
-        w = WORD.findall(s)
-        free = 0
-        for i in [i for i, x in enumerate(w) if x in index]:
-            if i < free:
-                continue  # inside the term before
-            for t, subject in index[w[i]]:
-                if tuple(w[i : i + len(t)]) == t:
-                    yield subject, " ".join(w[max(0, i - 3) : i]), " ".join(w[i + len(t) : i + len(t) + 3])
-                    free = i + len(t)
-                    break
+    w = TOKEN.findall(text.lower())
+    free = 0
+    for i in [i for i, x in enumerate(w) if x in index]:
+        if i < free:
+            continue  # inside the term before
+        for t, subject in index[w[i]]:
+            if tuple(w[i : i + len(t)]) == t:
+                free = i + len(t)
+                left, right = w[max(0, i - 3) : i], w[free : free + 3]
+                for k in range(len(left) - 1, -1, -1):
+                    if left[k] in ENDS:
+                        left = left[k + 1 :]
+                        break
+                for k, x in enumerate(right):
+                    if x in ENDS:
+                        right = right[:k]
+                        break
+                yield subject, " ".join(left), " ".join(right)
+                break
 
 
 def passing_frames(labelled: DataFrame, lex: dict[tuple, int], p: Params) -> set[tuple[str, str]]:
