@@ -29,6 +29,9 @@ TOKEN = re.compile(r"[^\W\d_]+|[.;:!?](?=\s)")
 ENDS = frozenset(".;:!?")
 
 
+ALL = -(2**31)  #: stands for all documents beside the subjects' ids
+
+
 @dataclass(frozen=True)
 class Params:
     labelled: int = 50_000  # about so many documents with labels, at most, are what lexicon and frames are counted on
@@ -76,7 +79,7 @@ def lexicon(labelled: DataFrame, p: Params) -> dict[tuple, int]:
     """Terms that a subject's documents have: ``labelled`` has ``text`` and ``subjects`` (an array)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, Counter] = {0: Counter()}  # 0: all documents
+        seen: dict[int, Counter] = {ALL: Counter()}
         for batch in batches:
             for text, subjects in zip(batch.column("text").to_pylist(), batch.column("subjects").to_pylist()):
                 _, paras = sections(text or "")
@@ -84,7 +87,7 @@ def lexicon(labelled: DataFrame, p: Params) -> dict[tuple, int]:
                 for para in paras:
                     for s in SENTENCE.split(para.lower()):
                         grams |= _grams(WORD.findall(s), p.longest)
-                for s in {0, *subjects}:
+                for s in {ALL, *subjects}:
                     seen.setdefault(s, Counter()).update(grams)
         for s, n in seen.items():
             yield pa.record_batch([pa.array(list(n), pa.string()), pa.array([s] * len(n), pa.int32()), pa.array(list(n.values()), pa.int64())], names=["term", "subject_id", "n"])
@@ -93,8 +96,8 @@ def lexicon(labelled: DataFrame, p: Params) -> dict[tuple, int]:
     n = materialize(n)
     docs = max(1, labelled.count())
     prior = labelled.select(F.explode("subjects").alias("subject_id")).groupBy("subject_id").agg((F.count("*") / docs).alias("prior"))
-    whole = n.where("subject_id = 0").select("term", F.col("n").alias("all"))
-    best = n.where("subject_id > 0").join(whole, "term").join(F.broadcast(prior), "subject_id")  # one row per subject
+    whole = n.where(F.col("subject_id") == ALL).select("term", F.col("n").alias("all"))
+    best = n.where(F.col("subject_id") != ALL).join(whole, "term").join(F.broadcast(prior), "subject_id")  # one row per subject
     q = F.col("n") / F.col("all")
     # Chernoff bound of the binomial tail: all * KL(q || prior)
     kl = q * F.log(q / F.col("prior")) + F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - F.col("prior")))).otherwise(0.0)
