@@ -193,6 +193,7 @@ def unit_texts(units: DataFrame, blocks: DataFrame, by: list[str]) -> DataFrame:
             out.append((*(unit[c] for c in by), unit["unit_id"], text, len(own), not text))
         return pd.DataFrame(out, columns=cols)
 
+    blocks = blocks.select(*(F.col(c).alias(c) for c in blocks.columns))  # may come from the same table as units
     return units.groupBy(*by).cogroup(blocks.groupBy(*by)).applyInPandas(one, f"{kinds}, unit_id string, text string, n_blocks int, empty boolean")
 
 

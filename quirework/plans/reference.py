@@ -242,9 +242,12 @@ def assembled_nodes(s: SparkSession, d: str) -> DataFrame:
 
 
 def plain_texts(s: SparkSession, d: str) -> DataFrame:
-    b = blocks(s, d).where("kind IN ('clause', 'paragraph', 'recital')").join(pages(s, d).select("bundle_id", "page", "first_continues"), ["bundle_id", "page"])
+    """Text of each segment; a segment is one document, however large its bundle is."""
+    seg = checks.pages_of_ranges(parts(s, d), ["bundle_id", "segment_id"], "start_page", "end_page")
+    b = blocks(s, d).where("kind IN ('clause', 'paragraph', 'recital')").join(pages(s, d).select("bundle_id", "page", "first_continues"), ["bundle_id", "page"]).join(seg, ["bundle_id", "page"])
     first = F.row_number().over(W.partitionBy("bundle_id", "page").orderBy("idx")) == 1
-    return assemble.plain_texts(b.withColumn("continues", F.coalesce(first & F.col("first_continues"), F.lit(False))), ["bundle_id"], ["page", "idx"], "continues").select("bundle_id", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+    out = assemble.plain_texts(b.withColumn("continues", F.coalesce(first & F.col("first_continues"), F.lit(False))), ["bundle_id", "segment_id"], ["page", "idx"], "continues")
+    return out.select("bundle_id", "segment_id", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
 
 
 def full_texts(s: SparkSession, d: str) -> DataFrame:
@@ -267,11 +270,14 @@ def nested_trees(s: SparkSession, d: str) -> DataFrame:
 
 
 def unit_texts(s: SparkSession, d: str) -> DataFrame:
-    u = clauses(s, d).select("bundle_id", F.col("clause_id").cast("string").alias("unit_id"), "kind", "marker", "title", "page_start", "page_end")
-    b = blocks(s, d).join(pages(s, d).select("bundle_id", "page", "first_continues"), ["bundle_id", "page"])
-    b = b.select("bundle_id", "page", "idx", "kind", F.col("number").alias("marker"), "text", (F.coalesce("first_continues", F.lit(False)) & (F.col("idx") == 0)).alias("continues"))
-    # one division here is the run of pages that a clause range covers
-    return assemble.unit_texts(u, b, ["bundle_id"])
+    """Texts of the clauses of each division from the blocks of the pages that the division spans."""
+    by = ["bundle_id", "contract_id", "division_id"]
+    c = clauses(s, d).where("page_end >= page_start")
+    u = c.select(*by, F.col("clause_id").cast("string").alias("unit_id"), "kind", "marker", "title", "page_start", "page_end")
+    span = c.groupBy(*by).agg(F.min("page_start").alias("lo"), F.max("page_end").alias("hi"))
+    b = blocks(s, d).join(pages(s, d).select("bundle_id", "page", "first_continues"), ["bundle_id", "page"]).join(checks.pages_of_ranges(span, by, "lo", "hi"), ["bundle_id", "page"])
+    b = b.select(*by, "page", "idx", "kind", F.col("number").alias("marker"), "text", (F.coalesce("first_continues", F.lit(False)) & (F.col("idx") == 0)).alias("continues"))
+    return assemble.unit_texts(u, b, by)
 
 
 def duplicate_page_pairs(s: SparkSession, d: str) -> DataFrame:

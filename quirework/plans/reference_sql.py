@@ -151,9 +151,9 @@ ORACLES = {
  FROM (SELECT *, row_number() OVER (PARTITION BY name_key ORDER BY up::int, regexp_matches(n, '[()]'), len(list_filter(regexp_split_to_array(n, '\s+'), lambda w: regexp_matches(w, '^[a-z]'))), length(n), n) AS r FROM x) WHERE r = 1""".replace("\\\\", "\\"),
     "page_diagnosis": f"""WITH {PG}, {OK_JSON}, n AS (SELECT bundle_id, page, count(DISTINCT block_key) AS n FROM blocks GROUP BY 1, 2), x AS (SELECT *, coalesce(n.n, 0) AS nb FROM pg LEFT JOIN n USING (bundle_id, page) LEFT JOIN outc ON call_key = cache_key)
  SELECT CASE WHEN ink_ratio < 0.0003 THEN 'blank' WHEN outcome IN ('truncated', 'blocked', 'invalid', 'empty') THEN outcome WHEN nb = 0 AND ink_ratio > 0.0012 THEN 'empty_for_inked' ELSE 'ok' END AS diagnosis, count(*) AS n FROM x GROUP BY 1""",
-    "plain_texts": f"""WITH {PG}, {BL}, b AS (SELECT bl.bundle_id, bl.page, bl.idx, trim(coalesce(text, '')) AS p, coalesce(row_number() OVER (PARTITION BY bl.bundle_id, bl.page ORDER BY idx) = 1 AND first_continues, false) AS cont FROM bl JOIN pg ON pg.bundle_id = bl.bundle_id AND pg.page = bl.page WHERE kind IN ('clause', 'paragraph', 'recital')),
- x AS (SELECT *, lag(p) OVER w AS before FROM b WHERE p <> '' WINDOW w AS (PARTITION BY bundle_id ORDER BY page, idx)), j AS (SELECT *, CASE WHEN before IS NULL THEN '' WHEN NOT cont THEN chr(10) || chr(10) WHEN regexp_matches(before, '[A-Za-z]-$') AND regexp_matches(p, '^[a-z]') THEN '' ELSE ' ' END AS j FROM x),
- c AS (SELECT *, j || CASE WHEN lead(j) OVER (PARTITION BY bundle_id ORDER BY page, idx) = '' AND regexp_matches(p, '[A-Za-z]-$') THEN p[:-2] ELSE p END AS c FROM j) SELECT bundle_id, length(string_agg(c, '' ORDER BY page, idx))::int AS n_chars, md5(string_agg(c, '' ORDER BY page, idx)) AS digest FROM c GROUP BY 1""",
+    "plain_texts": f"""WITH {STARTS}, {BL}, b AS (SELECT bl.bundle_id, g.segment_id, bl.page, bl.idx, trim(coalesce(text, '')) AS p, coalesce(row_number() OVER (PARTITION BY bl.bundle_id, bl.page ORDER BY idx) = 1 AND first_continues, false) AS cont FROM bl JOIN pg ON pg.bundle_id = bl.bundle_id AND pg.page = bl.page JOIN seg g ON g.bundle_id = bl.bundle_id AND bl.page BETWEEN g.start_page AND g.end_page WHERE kind IN ('clause', 'paragraph', 'recital')),
+ x AS (SELECT *, lag(p) OVER w AS before FROM b WHERE p <> '' WINDOW w AS (PARTITION BY bundle_id, segment_id ORDER BY page, idx)), j AS (SELECT *, CASE WHEN before IS NULL THEN '' WHEN NOT cont THEN chr(10) || chr(10) WHEN regexp_matches(before, '[A-Za-z]-$') AND regexp_matches(p, '^[a-z]') THEN '' ELSE ' ' END AS j FROM x),
+ c AS (SELECT *, j || CASE WHEN lead(j) OVER (PARTITION BY bundle_id, segment_id ORDER BY page, idx) = '' AND regexp_matches(p, '[A-Za-z]-$') THEN p[:-2] ELSE p END AS c FROM j) SELECT bundle_id, segment_id, length(string_agg(c, '' ORDER BY page, idx))::int AS n_chars, md5(string_agg(c, '' ORDER BY page, idx)) AS digest FROM c GROUP BY 1, 2""",
     "duplicate_page_pairs": f"""WITH {_SHINGLE}, j AS (SELECT a.bundle_id, a.page AS earlier, b.page AS later, count(*) AS c FROM g a JOIN g b ON a.bundle_id = b.bundle_id AND a.g = b.g AND a.page < b.page GROUP BY 1, 2, 3)
  SELECT j.bundle_id, earlier, later, c / (x.n + y.n - c) AS jaccard FROM j JOIN n x ON x.bundle_id = j.bundle_id AND x.page = earlier JOIN n y ON y.bundle_id = j.bundle_id AND y.page = later WHERE y.n >= 30 AND x.n / y.n > 0.7 AND x.n / y.n < 1.43 AND c / (x.n + y.n - c) >= 0.9""",
 }
