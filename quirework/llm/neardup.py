@@ -6,8 +6,8 @@ shingles choose common ones. A path ends once a bucket of it is expected to be s
 further shingles of the same set. The choice prefers rare shingles (the chosen path for skewed data), which
 ends paths early. Their frequencies come from a count sketch of fixed size over all records. Records that end
 in the same bucket are compared within the bucket by a bit sketch, and what is left is checked exactly from
-the texts. Buckets that turn out larger than ``bucket`` are split again by paths of their own; those that
-cannot be split are compared block by block.
+the texts. Buckets that turn out larger than ``bucket`` are compared block by block: no pair that met in a
+bucket is parted again.
 """
 
 from __future__ import annotations
@@ -173,11 +173,8 @@ def _best(race: np.ndarray, begin: np.ndarray, m: int) -> np.ndarray:
     return at
 
 
-def path_ends(grams: np.ndarray, begin: np.ndarray, cells: np.ndarray, p: Params, roots: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The ends of the paths of each set: bucket keys and the number of each key's set.
-
-    ``roots``: one path per set from which to go on (else ``p.runs`` fresh ones for each set).
-    """
+def path_ends(grams: np.ndarray, begin: np.ndarray, cells: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of the paths of each set: bucket keys and the number of each key's set."""
     n = max(2, int(cells[-1]))
     df = np.minimum(cells[(grams % np.uint64(p.counters)).astype(np.int64)], n)
     weight = np.where(df > 1, np.log(n * 1.02 / df) ** 2, 0.0)
@@ -203,11 +200,8 @@ def path_ends(grams: np.ndarray, begin: np.ndarray, cells: np.ndarray, p: Params
             path, sets, left, depth = child[~done], sets[s[~done]], rest[~done], depth + 1
 
     every = np.flatnonzero(sizes > 0)
-    if roots is not None:
-        choose(roots[every], every, np.full(len(every), float(p.bucket * 16)), 0)
-    else:
-        for run in range(p.runs):
-            choose(np.full(len(every), mix(np.array([p.seed * 1000 + run], np.uint64))[0]), every, np.full(len(every), float(n)), 0)
+    for run in range(p.runs):
+        choose(np.full(len(every), mix(np.array([p.seed * 1000 + run], np.uint64))[0]), every, np.full(len(every), float(n)), 0)
     if not keys:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     return np.concatenate(keys), np.concatenate(owners)
@@ -304,18 +298,51 @@ def _split(keyed: DataFrame, p: Params) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, sig: DataFrame, p: Params, size: int = 2000) -> DataFrame:
-    """Exact way for buckets that no path splits: blocks of the bucket against blocks, spread over tasks."""
+    """Pairs of similar sketches within large buckets: all rows of a bucket against all, as cells of two blocks spread over tasks.
+
+    A task holds the rows of one cell, about twice ``size`` at most, whatever the size of the bucket.
+    """
+    least = p.sketch_bits * (1 + p.similarity) / 2 - 2.6 * math.sqrt(p.sketch_bits * (1 - p.similarity**2) / 4)
+    share = p.similarity
     sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
-    r = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
-    left = r.select("key", F.col("h").alias("a"), F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
-    right = r.select("key", F.col("h").alias("b"), F.col("block").alias("j"), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"))
-    pairs = left.join(right, ["key", "i", "j"]).where("i <> j OR a < b")
     bits = sig.select("h", "n", "s1", "s2").dropDuplicates(["h"])
-    a, b = (bits.select(*(F.col(c).alias(f"{c}_{s}") for c in bits.columns)) for s in "ab")
-    same = p.sketch_bits - F.bit_count(F.col("s1_a").bitwiseXOR(F.col("s1_b"))) - F.bit_count(F.col("s2_a").bitwiseXOR(F.col("s2_b")))
-    least = p.sketch_bits * (1 + p.similarity) / 2 - 2.6 * math.sqrt(p.sketch_bits * (1 - p.similarity**2) / 4)
-    found = pairs.join(a, F.col("a") == F.col("h_a")).join(b, F.col("b") == F.col("h_b"))
-    return found.where((same >= least) & (F.least("n_a", "n_b") >= p.similarity * F.greatest("n_a", "n_b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    r = rows.join(sizes, "key").join(bits, "h").withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
+    r = r.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    r = r.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "h", "n", "s1", "s2")
+    names = ["key", "i", "j", "side", "h", "n", "s1", "s2"]
+
+    def pairs(side: np.ndarray, h: np.ndarray, n: np.ndarray, s1: np.ndarray, s2: np.ndarray, one: bool) -> Iterator[pa.RecordBatch]:
+        left, right = (np.arange(len(h)),) * 2 if one else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        for at in range(0, len(left), 256):
+            i = left[at : at + 256, None]
+            bits = np.bitwise_count((s1[i] ^ s1[right]).view(np.uint64)).astype(np.int16) + np.bitwise_count((s2[i] ^ s2[right]).view(np.uint64))
+            ok = (p.sketch_bits - bits >= least) & (np.minimum(n[i], n[right]) >= share * np.maximum(n[i], n[right]))
+            x, y = np.nonzero(ok & (h[i] < h[right]) if one else ok)
+            a, b = h[i[x, 0]], h[right[y]]
+            yield pa.record_batch([np.minimum(a, b), np.maximum(a, b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []  # the cell that may go on
+
+        def done() -> Iterator[pa.RecordBatch]:
+            c = [np.concatenate(x) for x in zip(*held)]
+            held.clear()
+            yield from pairs(*c[3:], one=bool(c[1][0] == c[2][0]))
+
+        for batch in batches:
+            c = [batch.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in names]
+            if not len(c[0]):
+                continue
+            edges = np.flatnonzero((c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1]) | (c[2][1:] != c[2][:-1])) + 1
+            for x, y in zip([0, *edges], [*edges, len(c[0])]):
+                if held and any(held[-1][k][-1] != c[k][x] for k in range(3)):
+                    yield from done()
+                held.append([v[x:y] for v in c])
+        if held:
+            yield from done()
+
+    parts = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    return r.repartition(int(parts), "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long")
 
 
 def similar_sets(records: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
@@ -335,15 +362,6 @@ def similar_sets(records: DataFrame, p: Params = Params()) -> tuple[DataFrame, D
     found = materialize(_split(keyed, p))
     pairs = found.where("b IS NOT NULL").select("a", "b")
     rest = found.where("b IS NULL").select("key", F.col("a").alias("h"))
-    for level in range(3):
-        if rest.isEmpty():
-            break
-        # paths of their own for the rows of large buckets, from the texts of one member of each set
-        one = sig.groupBy("h").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
-        again = rest.join(one, "h").join(records.dropDuplicates(["id"]), "id")
-        found = materialize(_split(_further(again, cells, p).dropDuplicates(["key", "h"]), p))
-        pairs = pairs.union(found.where("b IS NOT NULL").select("a", "b"))
-        rest = found.where("b IS NULL").select("key", F.col("a").alias("h"))
     if not rest.isEmpty():
         pairs = pairs.union(_blocks(rest, sig, p))
     pairs = materialize(pairs.distinct())
@@ -351,17 +369,6 @@ def similar_sets(records: DataFrame, p: Params = Params()) -> tuple[DataFrame, D
     return links, members
 
 
-def _further(rows: DataFrame, cells_b, p: Params) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, texts = np.arange(batch.num_rows), [f"{a or ''} {b or ''}" for a, b in zip(batch.column("title").to_pylist(), batch.column("text").to_pylist())]
-            grams, begin = shingle_sets(texts, p.k)
-            keys, owner = path_ends(grams, begin, cells_b.value, p, batch.column("key").to_numpy().view(np.uint64))
-            yield pa.record_batch([keys.view(np.int64), *(batch.column(c).take(pa.array(owner)) for c in ("h", "n", "s1", "s2"))], names=["key", "h", "n", "s1", "s2"])
-
-    return rows.select("key", "h", "n", "s1", "s2", "title", "text").mapInArrow(run, "key long, h long, n int, s1 long, s2 long")
-
-
 def _exact(pairs: DataFrame, sig: DataFrame, records: DataFrame, p: Params) -> DataFrame:
     """Candidates with their exact similarity, from the texts of one member of each set."""
     needed = materialize(pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct())

@@ -65,6 +65,35 @@ def test_large_buckets_are_split_or_compared_in_blocks(spark):
     assert got == brute(rows, p)
 
 
+def family(n, edits, seed):
+    """Edited copies of one text, by words of their own."""
+    rng = random.Random(seed)
+    base = [rng.choice(WORDS) for _ in range(150)]
+    rows = []
+    for i in range(n):
+        t = list(base)
+        for at in rng.sample(range(150), edits):
+            t[at] = f"own{i}x{at}"
+        rows.append((i, None, " ".join(t)))
+    return rows
+
+
+def test_pairs_of_a_large_bucket_are_not_parted(spark):
+    df = spark.createDataFrame(family(150, 8, 5), SCHEMA)  # most pairs are little above the threshold
+    small, large = ({tuple(r) for r in nd.edited_pairs(df, replace(nd.Params(), bucket=b, runs=2, depth=1)).collect()} for b in (8, 1000))
+    assert small == large and len(large) > 5000
+
+
+def test_blocks_compare_all_rows_of_a_bucket(spark):
+    rng = np.random.default_rng(4)
+    base = rng.integers(-(2**62), 2**62, 2)
+    bits = [(k, 100, *(int(b ^ (1 << int(rng.integers(62)))) for b in base)) for k in range(70)]  # 4 bits apart at most
+    sig = spark.createDataFrame(bits, "h long, n int, s1 long, s2 long")
+    rows = spark.createDataFrame([(key, h) for key in (7, -9) for h in range(70 if key == 7 else 30)], "key long, h long")
+    got = [tuple(r) for r in nd._blocks(rows, sig, nd.Params(), size=16).collect()]
+    assert sorted(got) == sorted([(a, b) for m in (70, 30) for a in range(m) for b in range(a + 1, m)])
+
+
 def test_edges(spark):
     text = " ".join(WORDS[:40])
     rows = [(1, "T", text), (1, "T", text), (2, "T", text), (3, None, None), (4, "x", ""), (5, "t", "too short"), (None, "T", text), (6, None, text), (7, "T", text.upper().replace(" ", "\n- ")), (8, "T", "q" * 5000 + " " + text)]
