@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from quirework.runtime import materialize
 
 NUMBERED = re.compile(r"(?m)^[ \t]*(?:\[(\d{1,4})\]|\((\d{1,4})\)|(\d{1,4})\.?)[ \t]+(?=\S)")
+#: A line that is a date: a day, a month by its name or number, a year.
+DATE = re.compile(r"[ \t]*\d{1,2}(?:st|nd|rd|th)?\.?[ \t]+(?:(?:day[ \t]+)?of[ \t]+)?(?:[^\W\d_]+\.?|\d{1,2}\.?),?[ \t]+\d{4}\.?[ \t]*$", re.M)
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"(?<=[.;:!?])\s+")
 #: Words, and the marks that end a sentence or part of one.
@@ -44,20 +46,37 @@ class Params:
     seed: int = 9
 
 
+def _chain(text: str) -> list[re.Match]:
+    """The starts of the numbered paragraphs, numbered 1, 2, 3 ... in one style.
+
+    A 1 that another 1 of its style follows before any 2 is none (a date or a name in the caption), unless only it stands after a blank
+    line. Lines that are dates are none either.
+    """
+    marks = [(m, m.lastindex, int(m[m.lastindex]), text[max(0, m.start() - 2) : m.start()] in ("", "\n\n")) for m in NUMBERED.finditer(text) if not DATE.match(text, m.start())]
+    after: list[int | None] = [None] * len(marks)  # the next mark of the chain
+    last: dict[tuple, int] = {}
+    for i in range(len(marks) - 1, -1, -1):
+        _, style, n, _ = marks[i]
+        after[i] = last.get((style, n + 1))
+        last[style, n] = i
+    ones = [i for i, x in enumerate(marks) if x[2] == 1]
+    if not ones:
+        return []
+    for k, i in enumerate(ones):
+        if after[i] is not None and not any(marks[j][1] == marks[i][1] and j < after[i] and marks[j][3] >= marks[i][3] for j in ones[k + 1 :]):
+            break
+    else:  # a single paragraph
+        i = max(ones, key=lambda j: (marks[j][3], j))
+    at = []
+    while i is not None:
+        at.append(marks[i][0])
+        i = after[i]
+    return at
+
+
 def sections(text: str) -> tuple[str, list[str]]:
     """What stands before the first numbered paragraph, and the numbered paragraphs."""
-    at = []
-    expected = None
-    for m in NUMBERED.finditer(text):
-        n = int(m[1] or m[2] or m[3])
-        if expected is None and n > 3 and at:
-            continue
-        if expected is not None and n != expected:
-            continue
-        if expected is None and n != 1:
-            continue
-        expected = n + 1
-        at.append(m)
+    at = _chain(text)
     if not at:
         return text, []
     ends = [m.start() for m in at[1:]] + [len(text)]

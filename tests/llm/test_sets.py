@@ -86,6 +86,16 @@ def test_sections():
     assert subjects.sections("") == ("", [])
 
 
+@pytest.mark.parametrize("mark, gap", [("({})", "\n\n"), ("[{}]", "\n"), ("{}.", "\n\n"), ("{}", "\n")])
+@pytest.mark.parametrize("caption", ["01 June 2023\nA Ltd v B", "1 Smith v Jones", "1. Mai 2020\n1 Smith v Jones", "Headnote: x"])
+def test_a_caption_with_a_date_is_no_paragraph(mark, gap, caption):
+    paras = ["The tenancy deposit.", "The ground rent in\n1 June 2020\nwas due.", "The boundary wall."]
+    text = f"Court CT-017\nZ 2021/00-11\n{caption}{gap}" + gap.join(f"{mark.format(i)} {p}" for i, p in enumerate(paras, 1))
+    head, got = subjects.sections(text)
+    assert [p.rstrip() for p in got] == paras
+    assert head.rstrip().endswith(caption)
+
+
 def decisions(n=400, seed=8):
     rng = random.Random(seed)
     terms = {1: ["the overtime ledger", "the shift roster", "the works council"], 2: ["the refund claim", "the customs tariff", "the tax assessment"], 3: ["the tenancy deposit", "the boundary wall", "the ground rent"]}
