@@ -3,10 +3,11 @@
 Every record becomes the set of its ``k``-word shingles. In each of ``runs`` independent runs a set starts a
 path with ``branch`` of its shingles, chosen by a hash that all sets share, so that two sets with common
 shingles choose common ones. A path ends once a bucket of it is expected to be small; else it goes on with
-further shingles of the same set. The choice prefers rare shingles (the chosen path for skewed data), which
-ends paths early. Their frequencies come from a count sketch of fixed size over all records. Records that end
-in the same bucket are compared within the bucket by a bit sketch, and what is left is checked exactly from
-the texts. Buckets that turn out larger than ``bucket`` are compared block by block: no pair that met in a
+further shingles of the same set. All shingles that can be shared are equally likely to be chosen, so that the
+chance of two sets to meet depends on their similarity alone, not on how many more sets hold what they share.
+Frequencies come from a count sketch of fixed size over all records. Records that end in the same bucket are
+compared within the bucket by a bit sketch, and what is left is checked exactly from the texts. The pairs that
+the even and the odd runs find show the recall; where it is too low, further runs follow. Buckets that turn out larger than ``bucket`` are compared block by block: no pair that met in a
 bucket is parted again.
 """
 
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,9 @@ class Params:
     k: int = 3
     similarity: float = 0.5
     min_words: int = 25
-    runs: int = 6
+    runs: int = 6  # of a round
+    recall: float = 0.99  # further rounds follow until the pairs little above the threshold are expected to be found to this share
+    rounds: int = 8  # at most
     branch: int = 2
     depth: int = 4
     bucket: int = 64
@@ -161,47 +164,56 @@ def sketch(grams: np.ndarray, begin: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _best(race: np.ndarray, begin: np.ndarray, m: int) -> np.ndarray:
-    """Positions of the ``m`` least values of each segment; -1 where a segment has fewer."""
-    race, at = race.copy(), np.full((m, len(begin) - 1), -1, np.int64)
+    """Positions of the ``m`` least values of each segment; -1 where a segment has fewer. ``race`` is used up."""
+    at = np.full((m, len(begin) - 1), -1, np.int64)
     sizes = np.diff(begin)
     for j in range(m):
         least = np.minimum.reduceat(race, begin[:-1])
-        hit = np.flatnonzero((race == np.repeat(least, sizes)) & np.isfinite(race))
+        hit = np.flatnonzero(race == np.repeat(least, sizes))
         seg = np.searchsorted(begin, hit, side="right") - 1
         at[j, seg[::-1]] = hit[::-1]
-        race[at[j][at[j] >= 0]] = np.inf
+        at[j, least == GONE] = -1
+        race[at[j][at[j] >= 0]] = GONE
     return at
 
 
+GONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+HELD = 1 << 18  # shingles of paths handled at once
+
+
 def path_ends(grams: np.ndarray, begin: np.ndarray, cells: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
-    """The ends of the paths of each set: bucket keys and the number of each key's set."""
+    """The ends of the paths of each set: bucket keys, odd in every other run, and the number of each key's set."""
     n = max(2, int(cells[-1]))
     df = np.minimum(cells[(grams % np.uint64(p.counters)).astype(np.int64)], n)
-    weight = np.where(df > 1, np.log(n * 1.02 / df) ** 2, 0.0)
+    # all that other sets can hold, whatever the frequency: to prefer rare shingles loses pairs whose common ones are frequent
+    shared = df > 1
+    begin = np.concatenate(([0], np.cumsum(shared)))[begin]
+    grams, df = grams[shared], df[shared]
     keys, owners = [], []
     sizes = np.diff(begin)
 
-    def choose(path: np.ndarray, sets: np.ndarray, left: np.ndarray, depth: int) -> None:
+    def choose(run: int, path: np.ndarray, sets: np.ndarray, left: np.ndarray, depth: int) -> None:
         # path: one per entry of sets; left: records still expected in the bucket
         while len(sets):
-            idx = np.repeat(begin[sets] - np.concatenate(([0], np.cumsum(sizes[sets])[:-1])), sizes[sets]) + np.arange(sizes[sets].sum())
+            if len(sets) > 1 and (total := int(sizes[sets].sum())) > HELD:
+                for part in np.array_split(np.arange(len(sets)), min(len(sets), 1 + total // HELD)):
+                    choose(run, path[part], sets[part], left[part], depth)
+                return
             b = np.concatenate(([0], np.cumsum(sizes[sets])))
-            u = (mix(grams[idx] ^ np.repeat(path, sizes[sets])) >> np.uint64(11)).astype(np.float64) / 2.0**53
-            with np.errstate(divide="ignore"):
-                race = np.where(weight[idx] > 0, -np.log(u + 1e-18) / weight[idx], np.inf)
-            at = _best(race, b, p.branch)
+            idx = np.repeat(begin[sets] - b[:-1], sizes[sets]) + np.arange(b[-1])
+            at = _best(mix(grams[idx] ^ np.repeat(path, sizes[sets])), b, p.branch)
             j, s = np.nonzero(at >= 0)
             hit = idx[at[j, s]]
             child = mix(path[s] * np.uint64(STEP) + grams[hit])
             rest = left[s] * df[hit] / n
             done = (rest <= p.bucket / 4) | (depth + 1 >= p.depth)
-            keys.append(child[done])
+            keys.append((child[done] & ~np.uint64(1)) | np.uint64(run & 1))
             owners.append(sets[s[done]])
             path, sets, left, depth = child[~done], sets[s[~done]], rest[~done], depth + 1
 
     every = np.flatnonzero(sizes > 0)
     for run in range(p.runs):
-        choose(np.full(len(every), mix(np.array([p.seed * 1000 + run], np.uint64))[0]), every, np.full(len(every), float(n)), 0)
+        choose(run, np.full(len(every), mix(np.array([p.seed * 1000 + run], np.uint64))[0]), every, np.full(len(every), float(n)), 0)
     if not keys:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     return np.concatenate(keys), np.concatenate(owners)
@@ -311,7 +323,7 @@ def _blocks(rows: DataFrame, sig: DataFrame, p: Params, size: int = 2000) -> Dat
     r = r.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "h", "n", "s1", "s2")
     names = ["key", "i", "j", "side", "h", "n", "s1", "s2"]
 
-    def pairs(side: np.ndarray, h: np.ndarray, n: np.ndarray, s1: np.ndarray, s2: np.ndarray, one: bool) -> Iterator[pa.RecordBatch]:
+    def pairs(odd: bool, one: bool, side: np.ndarray, h: np.ndarray, n: np.ndarray, s1: np.ndarray, s2: np.ndarray) -> Iterator[pa.RecordBatch]:
         left, right = (np.arange(len(h)),) * 2 if one else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
         for at in range(0, len(left), 256):
             i = left[at : at + 256, None]
@@ -319,7 +331,7 @@ def _blocks(rows: DataFrame, sig: DataFrame, p: Params, size: int = 2000) -> Dat
             ok = (p.sketch_bits - bits >= least) & (np.minimum(n[i], n[right]) >= share * np.maximum(n[i], n[right]))
             x, y = np.nonzero(ok & (h[i] < h[right]) if one else ok)
             a, b = h[i[x, 0]], h[right[y]]
-            yield pa.record_batch([np.minimum(a, b), np.maximum(a, b)], names=["a", "b"])
+            yield pa.record_batch([np.minimum(a, b), np.maximum(a, b), np.full(len(a), odd)], names=["a", "b", "odd"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []  # the cell that may go on
@@ -327,7 +339,7 @@ def _blocks(rows: DataFrame, sig: DataFrame, p: Params, size: int = 2000) -> Dat
         def done() -> Iterator[pa.RecordBatch]:
             c = [np.concatenate(x) for x in zip(*held)]
             held.clear()
-            yield from pairs(*c[3:], one=bool(c[1][0] == c[2][0]))
+            yield from pairs(bool(c[0][0] & 1), bool(c[1][0] == c[2][0]), *c[3:])
 
         for batch in batches:
             c = [batch.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in names]
@@ -342,7 +354,7 @@ def _blocks(rows: DataFrame, sig: DataFrame, p: Params, size: int = 2000) -> Dat
             yield from done()
 
     parts = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return r.repartition(int(parts), "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long")
+    return r.repartition(int(parts), "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long, odd boolean")
 
 
 def similar_sets(records: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
@@ -358,15 +370,38 @@ def similar_sets(records: DataFrame, p: Params = Params()) -> tuple[DataFrame, D
     cells = spark.sparkContext.broadcast(gram_counters(records, p).astype(np.int64))
     sig = materialize(signatures(records, cells, p))
     members = sig.select("id", "h").distinct()
-    keyed = sig.select(F.explode("keys").alias("key"), "h", "n", "s1", "s2").dropDuplicates(["key", "h"])
-    found = materialize(_split(keyed, p))
-    pairs = found.where("b IS NOT NULL").select("a", "b")
+    met = _met(sig, p)
+    links = _exact(met.select("a", "b"), sig, records, p)
+    rounds = _rounds(met.join(links.where(F.col("similarity") <= p.similarity + 0.1), ["a", "b"]), p)
+    if rounds > 1:
+        for k in range(1, rounds):
+            again = replace(p, seed=p.seed + 7919 * k)
+            met = met.union(_met(materialize(signatures(records, cells, again)), again))
+        links = _exact(materialize(met.select("a", "b").distinct()), sig, records, p)
+    return links, members
+
+
+def _met(sig: DataFrame, p: Params) -> DataFrame:
+    """``(a, b, odd, even)``: candidates of one round of runs and whether odd and even runs have them."""
+    sets = sig.dropDuplicates(["h"])  # equal sets have equal keys
+    found = materialize(_split(sets.select(F.explode("keys").alias("key"), "h", "n", "s1", "s2"), p))
+    odd = (F.col("key").bitwiseAND(F.lit(1)) == 1).alias("odd")
+    pairs = found.where("b IS NOT NULL").select("a", "b", odd)
     rest = found.where("b IS NULL").select("key", F.col("a").alias("h"))
     if not rest.isEmpty():
         pairs = pairs.union(_blocks(rest, sig, p))
-    pairs = materialize(pairs.distinct())
-    links = _exact(pairs, sig, records, p)
-    return links, members
+    return materialize(pairs.groupBy("a", "b").agg(F.max("odd").alias("odd"), F.max(~F.col("odd")).alias("even")))
+
+
+def _rounds(met: DataFrame, p: Params) -> int:
+    """Rounds of runs needed, from the overlap of the odd and the even runs: a pair that each half finds with the same
+    chance is found by half as many runs with the share of the other half's pairs that they have too."""
+    yes = lambda c: F.coalesce(F.sum(F.expr(c).cast("long")), F.lit(0))
+    odd, even, both = met.agg(yes("odd"), yes("even"), yes("odd AND even")).first()
+    missed = (1 - both / max(1, even)) * (1 - both / max(1, odd))
+    if not odd + even or missed <= 1 - p.recall:
+        return 1
+    return p.rounds if missed >= 1 else min(p.rounds, math.ceil(math.log(1 - p.recall) / math.log(missed)))
 
 
 def _exact(pairs: DataFrame, sig: DataFrame, records: DataFrame, p: Params) -> DataFrame:
@@ -377,7 +412,7 @@ def _exact(pairs: DataFrame, sig: DataFrame, records: DataFrame, p: Params) -> D
     side = lambda s: texts.select(F.col("h").alias(s), F.col("title").alias(f"title_{s}"), F.col("text").alias(f"text_{s}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS // 2) for whole in batches for at in range(0, whole.num_rows, ROWS // 2)):
             col = {c: batch.column(c).to_pylist() for c in ("title_a", "text_a", "title_b", "text_b")}
             n = batch.num_rows
             both = _texts(col["title_a"], col["text_a"]) + _texts(col["title_b"], col["text_b"])

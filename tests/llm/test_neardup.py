@@ -90,10 +90,35 @@ def test_blocks_compare_all_rows_of_a_bucket(spark):
     bits = [(k, 100, *(int(b ^ (1 << int(rng.integers(62)))) for b in base)) for k in range(70)]  # 4 bits apart at most
     sig = spark.createDataFrame(bits, "h long, n int, s1 long, s2 long")
     rows = spark.createDataFrame([(key, h) for key in (7, -9) for h in range(70 if key == 7 else 30)], "key long, h long")
-    got = [tuple(r) for r in nd._blocks(rows, sig, nd.Params(), size=16).collect()]
+    got = [(r.a, r.b) for r in nd._blocks(rows, sig, nd.Params(), size=16).collect()]
     assert sorted(got) == sorted([(a, b) for m in (70, 30) for a in range(m) for b in range(a + 1, m)])
 
 
+def test_a_family_of_a_third_of_the_rows_is_met():
+    """Its members share frequent shingles and have rare ones of their own, which other rows hold too."""
+    p = nd.Params()
+    rows = family(400, 9, 6)
+    grams, begin = nd.shingle_sets([t for *_, t in rows], p.k)
+    cells = np.zeros(p.counters + 1, np.int64)
+    cells[(grams % np.uint64(p.counters)).astype(np.int64)] = 20  # as in a large table
+    cells[:-1] = np.maximum(cells[:-1], np.bincount((grams % np.uint64(p.counters)).astype(np.int64), minlength=p.counters))
+    cells[-1] = 1200
+    keys, owner = nd.path_ends(grams, begin, cells, p)
+    ends = [set(keys[owner == i].tolist()) for i in range(400)]
+    s = sets(rows, p)
+    near = [(a, b) for a in range(0, 400, 7) for b in range(a + 1, 400) if 0.5 <= len(s[a] & s[b]) / len(s[a] | s[b]) <= 0.55]
+    assert len(near) > 300
+    assert sum(bool(ends[a] & ends[b]) for a, b in near) >= 0.95 * len(near)
+
+
+def test_further_rounds_where_the_runs_disagree(spark):
+    df = spark.createDataFrame(family(150, 8, 5), SCHEMA)
+    p = replace(nd.Params(), runs=2, branch=1, depth=2, bucket=8)
+    want = brute(family(150, 8, 5), p)
+    one, all_ = (len({tuple(r) for r in nd.edited_pairs(df, replace(p, rounds=k)).collect()} & want) / len(want) for k in (1, 8))
+    assert one < 0.97 < all_
+
+
 def test_edges(spark):
     text = " ".join(WORDS[:40])
     rows = [(1, "T", text), (1, "T", text), (2, "T", text), (3, None, None), (4, "x", ""), (5, "t", "too short"), (None, "T", text), (6, None, text), (7, "T", text.upper().replace(" ", "\n- ")), (8, "T", "q" * 5000 + " " + text)]
