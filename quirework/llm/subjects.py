@@ -24,6 +24,11 @@ from quirework.runtime import materialize
 NUMBERED = re.compile(r"(?m)^[ \t]*(?:\[(\d{1,4})\]|\((\d{1,4})\)|(\d{1,4})\.?)[ \t]+(?=\S)")
 #: A line that is a date: a day, a month by its name or number, a year.
 DATE = re.compile(r"[ \t]*\d{1,2}(?:st|nd|rd|th)?\.?[ \t]+(?:(?:day[ \t]+)?of[ \t]+)?(?:[^\W\d_]+\.?|\d{1,2}\.?),?[ \t]+\d{4}\.?[ \t]*$", re.M)
+JUMP = 9  # numbers that may be missing between two paragraphs
+#: Lines that are page headers: capitalised words or numbers with "page 3", bars with a last number, or dashes around both.
+HEADER = re.compile(r"(?m)^[ \t]*(?:(?:[A-Z0-9]\S*[ \t]+){0,4}[Pp]age[ \t]+\d+|[^\n|]{1,40}\|[^\n|]{1,40}\|[ \t]*\d+|-[ \t][^\n]{1,60}[ \t]-[ \t]*\d+[ \t]*-)[ \t]*$")
+#: The closing formula, a line of its own at the end.
+CLOSING = re.compile(r"(?:\A|\n)[ \t]*(?:It is so ordered|Appeal (?:allowed|dismissed)(?: in part)?|Remitted for a fresh hearing|Die (?:Revision|Berufung) wird (?:zugelassen|zurückgewiesen)|Done)\.\s*\Z")
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"(?<=[.;:!?])\s+")
 #: Words, and the marks that end a sentence or part of one.
@@ -47,18 +52,22 @@ class Params:
 
 
 def _chain(text: str) -> list[re.Match]:
-    """The starts of the numbered paragraphs, numbered 1, 2, 3 ... in one style.
+    """The starts of the numbered paragraphs, numbered 1, 2, 3 ... in one style; up to ``JUMP`` numbers may be missing or misread.
 
     A 1 that another 1 of its style follows before any 2 is none (a date or a name in the caption), unless only it stands after a blank
     line. Lines that are dates are none either.
     """
     marks = [(m, m.lastindex, int(m[m.lastindex]), text[max(0, m.start() - 2) : m.start()] in ("", "\n\n")) for m in NUMBERED.finditer(text) if not DATE.match(text, m.start())]
     after: list[int | None] = [None] * len(marks)  # the next mark of the chain
+    length = [1] * len(marks)
     last: dict[tuple, int] = {}
     for i in range(len(marks) - 1, -1, -1):
         _, style, n, _ = marks[i]
-        after[i] = last.get((style, n + 1))
-        last[style, n] = i
+        steps = [j for k in range(1, JUMP + 2) if (j := last.get((style, n + k))) is not None]
+        after[i] = max(steps, key=lambda j: length[j], default=None)  # of equally long chains the one of the next number
+        length[i] = 1 + (length[after[i]] if steps else 0)
+        if (style, n) not in last or length[i] >= length[last[style, n]]:
+            last[style, n] = i
     ones = [i for i, x in enumerate(marks) if x[2] == 1]
     if not ones:
         return []
@@ -75,15 +84,14 @@ def _chain(text: str) -> list[re.Match]:
 
 
 def sections(text: str) -> tuple[str, list[str]]:
-    """What stands before the first numbered paragraph, and the numbered paragraphs."""
+    """What stands before the first numbered paragraph, and the numbered paragraphs: all up to the next number, without page headers
+    and the closing formula."""
     at = _chain(text)
     if not at:
         return text, []
     ends = [m.start() for m in at[1:]] + [len(text)]
-    paras = []
-    for m, e in zip(at, ends):
-        body = text[m.end() : e]
-        paras.append(body.split("\n\n")[0] if "\n\n" in body else body)
+    paras = [HEADER.sub("", text[m.end() : e]).rstrip() for m, e in zip(at, ends)]
+    paras[-1] = CLOSING.sub("", paras[-1]).rstrip()
     return text[: at[0].start()], paras
 
 

@@ -96,6 +96,12 @@ def test_a_caption_with_a_date_is_no_paragraph(mark, gap, caption):
     assert head.rstrip().endswith(caption)
 
 
+def test_paragraphs_are_whole_and_numbers_may_be_missing():
+    text = "Court\n\n[1] One.\n\nMore of one, see\npage 4 of the record.\n\nCT-017 | Z 2021/00-11 | 3\n\n[2] Two.\n\n[4] Four.\n\n- CT-017 Z 2021/00-11 - 4 -\n\nMore.\n\n[S] Five.\n\n[6] Six.\n\nIt is so ordered."
+    got = [p.split() for p in subjects.sections(text)[1]]
+    assert got == [x.split() for x in ("One. More of one, see page 4 of the record.", "Two.", "Four. More. [S] Five.", "Six.")]
+
+
 def decisions(n=400, seed=8):
     rng = random.Random(seed)
     terms = {1: ["the overtime ledger", "the shift roster", "the works council"], 2: ["the refund claim", "the customs tariff", "the tax assessment"], 3: ["the tenancy deposit", "the boundary wall", "the ground rent"]}
