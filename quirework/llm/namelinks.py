@@ -243,8 +243,12 @@ def radius_pairs(points: DataFrame, radius: int = 2, pivots: int = 512, per_cell
     return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("d").alias("d"))
 
 
+SHORT = 8  #: Own words of fewer letters count as short.
+
+
 def linked_spellings(points: DataFrame) -> DataFrame:
     """``(a, b)`` of the strings of ``(s, rare)`` that are one typing error apart, or two if either is rare.
+    Where one has fewer than ``SHORT`` letters, it is one, and only if either is rare.
 
     An error is an insertion, deletion, substitution or swap of neighbours. All pairs within two Levenshtein
     edits, which hold every single error, come from the metric join; their errors are counted exactly.
@@ -256,7 +260,9 @@ def linked_spellings(points: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 d = edit_distances(batch.column("a").to_pylist(), batch.column("b").to_pylist())
-                most = 1 + np.maximum(batch.column("ra").to_numpy(), batch.column("rb").to_numpy())
+                rare = np.maximum(batch.column("ra").to_numpy(), batch.column("rb").to_numpy())
+                short = np.array([min(len(x), len(y)) < SHORT for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())])
+                most = np.where(short, rare, 1 + rare)  # short ones lie close together by chance
                 yield batch.select(["a", "b"]).filter(pa.array(d <= most))
 
     return pairs.select("a", "b", "ra", "rb").mapInArrow(exact, "a string, b string")
@@ -267,7 +273,8 @@ def link(mentions: DataFrame, aliases: DataFrame) -> DataFrame:
 
     ``mentions``: ``(mention string, bundle_id, name)``; null and blank names give no row, repeated rows count
     once. ``aliases``: ``(bundle_id, alias, name)``: aliases of the bundle's parties with the party's name.
-    Spellings are linked if they are one typing error apart, or two if only one name has one of them.
+    Spellings are linked if they are one typing error apart, or two if only one name has one of them; short ones
+    if they are one apart and only one name has one of them.
     An entity is named by a canonical text. Names that have no own words (only letters of an unknown
     initialism, say) are one entity per bundle and spelling.
     """
@@ -278,7 +285,7 @@ def link(mentions: DataFrame, aliases: DataFrame) -> DataFrame:
     # spellings of own words that belong together
     forms = p.where("f1 IS NOT NULL AND short IS NULL").groupBy("f1", "f2").agg((F.count("*") == 1).alias("rare"))
     points = forms.select(F.col("f1").alias("s"), "rare").union(forms.select("f2", "rare"))
-    close = linked_spellings(materialize(points.where(F.length("s") >= 8)))
+    close = linked_spellings(materialize(points))
     turned = forms.where("f2 IS NOT NULL").select(F.col("f1").alias("a"), F.col("f2").alias("b"))
     roots = materialize(components(materialize(close.union(turned))))
     p = p.join(roots.select(F.col("node").alias("f1"), "root"), "f1", "left").withColumn("family", F.coalesce("root", "f1")).drop("root")

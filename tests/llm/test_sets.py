@@ -51,6 +51,14 @@ def test_entities(spark):
     assert namelinks.link(df.where("false"), al.where("false")).count() == 0
 
 
+def test_short_names_with_a_typing_error(spark):
+    names = ["Sharma Steel Ltd", "Sharma Steel Limited", "Shrama Steel Ltd", "Tata Power Ltd", "Tatta Power Ltd", "Mehta Steel Ltd"]
+    df = spark.createDataFrame([(str(i), "B", n) for i, n in enumerate(names)], "mention string, bundle_id string, name string")
+    al = spark.createDataFrame([], "bundle_id string, alias string, name string")
+    e = {r.mention: r.entity for r in namelinks.link(df, al).collect()}
+    assert e["0"] == e["1"] == e["2"] and e["3"] == e["4"] and len({e["0"], e["3"], e["5"]}) == 3
+
+
 def test_mixing(spark):
     rng = random.Random(5)
     rows = [(i, s, rng.randint(50, 400)) for i, s in enumerate(["big"] * 3000 + ["mid"] * 600 + ["small"] * 60 + ["other"] * 10)] + [(9001, None, 10), (9002, "big", 0)]
