@@ -6,9 +6,10 @@ shingles choose common ones. A path ends once a bucket of it is expected to be s
 further shingles of the same set. All shingles that can be shared are equally likely to be chosen, so that the
 chance of two sets to meet depends on their similarity alone, not on how many more sets hold what they share.
 Frequencies come from a count sketch of fixed size over all records. Records that end in the same bucket are
-compared within the bucket by a bit sketch, and what is left is checked exactly from the texts. The pairs that
-the even and the odd runs find show the recall; where it is too low, further runs follow. Buckets that turn out larger than ``bucket`` are compared block by block: no pair that met in a
-bucket is parted again.
+compared within the bucket by a bit sketch, then once by a wider one, and what is left is checked exactly from
+the texts. Buckets that turn out larger than ``bucket`` are compared block by block: no pair that met in a
+bucket is parted again. The links that the even and the odd runs find show the recall (capture and recapture,
+by bands of similarity); runs are repeated until it reaches the target.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.operators.components import components
@@ -36,12 +38,13 @@ class Params:
     similarity: float = 0.5
     min_words: int = 25
     runs: int = 6  # of a round
-    recall: float = 0.99  # further rounds follow until the pairs little above the threshold are expected to be found to this share
+    recall: float = 0.99  # further rounds follow until this share of the links is found, as the runs estimate it
     rounds: int = 8  # at most
     branch: int = 2
     depth: int = 4
-    bucket: int = 64
+    bucket: int = 512
     sketch_bits: int = 128
+    deviations: float = 3.0  # of a sketch below what the similarity lets expect, which still pass
     counters: int = 1 << 19
     seed: int = 20
 
@@ -85,20 +88,23 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
+GRAM = np.uint64((1 << 52) - 1)  # shingles are named by 52 bits, so that a slice is sorted by text and shingle as one number
+
+
 def _grams(words: np.ndarray, of: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of fewer than 4,096 texts, by text."""
     if len(words) < k:
         return np.empty(0, np.uint64), np.zeros(n + 1, np.int64)
     grams = words[: len(words) - k + 1].copy()
     for j in range(1, k):
         grams = mix(grams * np.uint64(STEP) + words[j : len(words) - k + 1 + j])
     whole = of[: len(of) - k + 1] == of[k - 1 :]
-    grams, of = grams[whole], of[: len(of) - k + 1][whole]
-    order = np.lexsort((grams, of))
-    grams, of = grams[order], of[order]
-    fresh = np.ones(len(grams), bool)
-    fresh[1:] = (grams[1:] != grams[:-1]) | (of[1:] != of[:-1])
-    grams, of = grams[fresh], of[fresh]
-    return grams, np.searchsorted(of, np.arange(n + 1))
+    both = (of[: len(of) - k + 1][whole].astype(np.uint64) << np.uint64(52)) | (grams[whole] & GRAM)
+    both.sort()
+    fresh = np.ones(len(both), bool)
+    fresh[1:] = both[1:] != both[:-1]
+    both = both[fresh]
+    return both & GRAM, np.searchsorted(both >> np.uint64(52), np.arange(n + 1, dtype=np.uint64))
 
 
 def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +116,7 @@ def _texts(titles: list, texts: list) -> list[str]:
     return [f"{a or ''} {b or ''}" for a, b in zip(titles, texts)]
 
 
-ROWS = 2000  # rows handled at once: what a worker holds doesn't grow with the Arrow batch
+ROWS = 4000  # rows handled at once: what a worker holds doesn't grow with the Arrow batch
 
 
 def _prepared(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
@@ -148,37 +154,54 @@ def gram_counters(records: DataFrame, p: Params) -> np.ndarray:
     return cells  # the last one holds the number of records
 
 
-def sketch(grams: np.ndarray, begin: np.ndarray, bits: int) -> np.ndarray:
-    """One bit of each of ``bits`` minima (1-bit minwise hashing), packed into 64-bit words per set."""
-    low = (grams ^ (grams >> np.uint64(32))).astype(np.uint32)
-    rng = np.random.default_rng(7)
-    out = np.zeros((bits // 64, len(begin) - 1), np.uint64)
-    for j in range(bits):
-        a, b = (np.uint32(x) for x in rng.integers(1, 2**32, 2))
-        h = (low * (a | np.uint32(1))) ^ b
-        h ^= h >> np.uint32(15)
-        h *= np.uint32(0x85EBCA6B)
-        least = np.minimum.reduceat(h, begin[:-1])
-        out[j // 64] |= ((least ^ (least >> np.uint32(16))) & np.uint32(1)).astype(np.uint64) << np.uint64(j % 64)
-    return out
+HELD = 1 << 17  # shingles handled at once
+NONE = np.uint32(0xFFFFFFFF)
+
+
+def _tiles(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
+    """Sets of about the same size, with the least and the greatest size: few cells of a tile are padding."""
+    order = np.argsort(sizes, kind="stable")
+    order = order[sizes[order] > 0]
+    ordered, at = sizes[order], 0
+    while at < len(order):
+        least = int(ordered[at])
+        end = int(np.searchsorted(ordered, least + least // 8 + 4, side="right"))
+        end = min(end, at + max(1, HELD // int(ordered[end - 1])))
+        yield order[at:end], least, int(ordered[end - 1])
+        at = end
+
 
+def _tile(values: np.ndarray, begin: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and values of the sets that begin at ``begin`` as a matrix; a short set repeats its last one."""
+    at = begin[:, None] + np.minimum(np.arange(width), sizes[:, None] - 1)
+    return at, values[at]
 
-def _best(race: np.ndarray, begin: np.ndarray, m: int) -> np.ndarray:
-    """Positions of the ``m`` least values of each segment; -1 where a segment has fewer. ``race`` is used up."""
-    at = np.full((m, len(begin) - 1), -1, np.int64)
-    sizes = np.diff(begin)
-    for j in range(m):
-        least = np.minimum.reduceat(race, begin[:-1])
-        hit = np.flatnonzero(race == np.repeat(least, sizes))
-        seg = np.searchsorted(begin, hit, side="right") - 1
-        at[j, seg[::-1]] = hit[::-1]
-        at[j, least == GONE] = -1
-        race[at[j][at[j] >= 0]] = GONE
-    return at
 
+def _short(grams: np.ndarray) -> np.ndarray:
+    return (grams ^ (grams >> np.uint64(32))).astype(np.uint32)
 
-GONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-HELD = 1 << 18  # shingles of paths handled at once
+
+def sketch(grams: np.ndarray, begin: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``bits`` minwise minima per set one bit each, packed into 64-bit words (words x sets), and four bits each, as bytes (sets x bits / 2)."""
+    low, sizes = _short(grams), np.diff(begin)
+    rng = np.random.default_rng(7)
+    factors = rng.integers(1, 2**32, (bits, 2)).astype(np.uint32)
+    minima = np.zeros((bits, len(sizes)), np.uint32)
+    for rows, _, width in _tiles(sizes):
+        _, m = _tile(low, begin[rows], sizes[rows], width)
+        h, least = np.empty_like(m), np.empty(len(rows), np.uint32)
+        for j, (a, b) in enumerate(factors):
+            np.multiply(m, a | np.uint32(1), out=h)
+            np.bitwise_xor(h, b, out=h)
+            minima[j, rows] = h.min(1, out=least)
+    minima ^= minima >> np.uint32(16)
+    minima *= np.uint32(0x85EBCA6B)
+    minima ^= minima >> np.uint32(13)
+    out = np.zeros((bits // 64, len(sizes)), np.uint64)
+    for j in range(bits):
+        out[j // 64] |= (minima[j] & np.uint32(1)).astype(np.uint64) << np.uint64(j % 64)
+    four = ((minima >> np.uint32(8)) & np.uint32(15)).astype(np.uint8)
+    return out, np.ascontiguousarray((four[0::2] | (four[1::2] << 4)).T)
 
 
 def path_ends(grams: np.ndarray, begin: np.ndarray, cells: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
@@ -189,33 +212,41 @@ def path_ends(grams: np.ndarray, begin: np.ndarray, cells: np.ndarray, p: Params
     shared = df > 1
     begin = np.concatenate(([0], np.cumsum(shared)))[begin]
     grams, df = grams[shared], df[shared]
-    keys, owners = [], []
-    sizes = np.diff(begin)
-
-    def choose(run: int, path: np.ndarray, sets: np.ndarray, left: np.ndarray, depth: int) -> None:
-        # path: one per entry of sets; left: records still expected in the bucket
-        while len(sets):
-            if len(sets) > 1 and (total := int(sizes[sets].sum())) > HELD:
-                for part in np.array_split(np.arange(len(sets)), min(len(sets), 1 + total // HELD)):
-                    choose(run, path[part], sets[part], left[part], depth)
-                return
-            b = np.concatenate(([0], np.cumsum(sizes[sets])))
-            idx = np.repeat(begin[sets] - b[:-1], sizes[sets]) + np.arange(b[-1])
-            at = _best(mix(grams[idx] ^ np.repeat(path, sizes[sets])), b, p.branch)
-            j, s = np.nonzero(at >= 0)
-            hit = idx[at[j, s]]
-            child = mix(path[s] * np.uint64(STEP) + grams[hit])
-            rest = left[s] * df[hit] / n
-            done = (rest <= p.bucket / 4) | (depth + 1 >= p.depth)
-            keys.append((child[done] & ~np.uint64(1)) | np.uint64(run & 1))
-            owners.append(sets[s[done]])
-            path, sets, left, depth = child[~done], sets[s[~done]], rest[~done], depth + 1
-
-    every = np.flatnonzero(sizes > 0)
-    for run in range(p.runs):
-        choose(run, np.full(len(every), mix(np.array([p.seed * 1000 + run], np.uint64))[0]), every, np.full(len(every), float(n)), 0)
-    if not keys:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    low, sizes = _short(grams), np.diff(begin)
+    keys, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for rows, least, width in _tiles(sizes):
+        at, m = _tile(low, begin[rows], sizes[rows], width)
+        pad = np.where(np.arange(least, width) >= sizes[rows][:, None], NONE, np.uint32(0))
+        step = max(1, HELD // width)
+        for run in range(p.runs):
+            # one entry per path; left: records still expected in its bucket
+            path = np.full(len(rows), mix(np.array([p.seed * 1000 + run], np.uint64))[0])
+            own, left = np.arange(len(rows)), np.full(len(rows), float(n))
+            for depth in range(p.depth):
+                on = []
+                for i in range(0, len(own), step):
+                    x, o, expected = path[i : i + step], own[i : i + step], left[i : i + step]
+                    h = m[o]
+                    h ^= (x >> np.uint64(32)).astype(np.uint32)[:, None]
+                    h *= np.uint32(0x9E3779B1)
+                    h ^= h >> np.uint32(15)
+                    h *= np.uint32(0x85EBCA6B)
+                    h[:, least:] |= pad[o]
+                    line = np.arange(len(o))
+                    for _ in range(p.branch):
+                        best = h.argmin(1)
+                        there = h[line, best] != NONE
+                        h[line, best] = NONE
+                        hit = at[o, best]
+                        child, rest = mix(x * np.uint64(STEP) + grams[hit]), expected * df[hit] / n
+                        ends = there & ((rest <= p.bucket / 4) | (depth + 1 >= p.depth))
+                        keys.append((child[ends] & ~np.uint64(1)) | np.uint64(run & 1))
+                        owners.append(rows[o[ends]])
+                        goes = there & ~ends
+                        on.append((child[goes], o[goes], rest[goes]))
+                path, own, left = (np.concatenate(c) for c in zip(*on))
+                if not len(own):
+                    break
     return np.concatenate(keys), np.concatenate(owners)
 
 
@@ -223,11 +254,11 @@ def _set_hash(grams: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(mix(grams), begin[:-1]) ^ np.diff(begin).astype(np.uint64))
 
 
-SIGNED = "id long, h long, n int, s1 long, s2 long, keys array<long>"
+SIGNED = "id long, h long, n int, s1 long, s2 long, more binary, keys array<long>"
 
 
 def signatures(records: DataFrame, cells_b, p: Params) -> DataFrame:
-    """``(id, h, n, s1, s2, keys)``: hash of the set, its size, its bit sketch and its bucket keys."""
+    """``(id, h, n, s1, s2, more, keys)``: hash of the set, its size, its sketches and its bucket keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = cells_b.value
@@ -236,7 +267,7 @@ def signatures(records: DataFrame, cells_b, p: Params) -> DataFrame:
             if not len(full):
                 continue
             rows, begin = rows[full], np.append(begin[full], begin[-1])
-            bits = sketch(grams, begin, p.sketch_bits).view(np.int64)
+            bits, more = sketch(grams, begin, p.sketch_bits)
             keys, owner = path_ends(grams, begin, cells, p)
             order = np.lexsort((keys, owner))
             keys, owner = keys[order], owner[order]
@@ -245,11 +276,19 @@ def signatures(records: DataFrame, cells_b, p: Params) -> DataFrame:
             keys, owner = keys[fresh], owner[fresh]
             lists = pa.ListArray.from_arrays(np.searchsorted(owner, np.arange(len(rows) + 1)).astype(np.int32), keys.view(np.int64))
             ids = batch.column("id").take(pa.array(rows))
-            yield pa.record_batch([ids, _set_hash(grams, begin).view(np.int64), np.diff(begin).astype(np.int32), bits[0], bits[1], lists], names=["id", "h", "n", "s1", "s2", "keys"])
+            wide = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer((np.arange(len(rows) + 1) * more.shape[1]).astype(np.int32)), pa.py_buffer(more)])
+            b1, b2 = bits.view(np.int64)
+            yield pa.record_batch([ids, _set_hash(grams, begin).view(np.int64), np.diff(begin).astype(np.int32), b1, b2, wide, lists], names=["id", "h", "n", "s1", "s2", "more", "keys"])
 
     return records.mapInArrow(run, SIGNED)
 
 
+def _least(p: Params, values: int) -> float:
+    """Minima, of which each keeps one of ``values`` values, that sets of the least similarity agree in, less the deviations allowed."""
+    share = p.similarity + (1 - p.similarity) / values
+    return p.sketch_bits * share - p.deviations * math.sqrt(p.sketch_bits * share * (1 - share))
+
+
 def _split(keyed: DataFrame, p: Params) -> DataFrame:
     """Pairs of similar sketches within each bucket, and the rows of buckets that are too large.
 
@@ -257,8 +296,7 @@ def _split(keyed: DataFrame, p: Params) -> DataFrame:
     rows, of which at most ``p.bucket`` are held, so a bucket of any size needs bounded memory. Output
     ``(key, a, b)``: b is null for the rows of large buckets.
     """
-    least = p.sketch_bits * (1 + p.similarity) / 2 - 2.6 * math.sqrt(p.sketch_bits * (1 - p.similarity**2) / 4)
-    share = p.similarity
+    least, share = _least(p, 2), p.similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "h", "n", "s1", "s2"]
@@ -284,19 +322,20 @@ def _split(keyed: DataFrame, p: Params) -> DataFrame:
                 large = key[-1] if len(big) and big[-1] else None
             rows = np.repeat(big, size)
             out = [(key[rows], c[1][rows], None)] if rows.any() else []
-            key, h, n, s1, s2 = (x[~rows] for x in c)
-            for d in range(1, int(size[~big].max(initial=0))):
-                i = np.flatnonzero(key[d:] == key[:-d])
-                if not len(i):
-                    break
-                j = i + d
-                ok = (np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j])) & (h[i] != h[j])
-                i, j = i[ok], j[ok]
-                bits = np.bitwise_count((s1[i] ^ s1[j]).view(np.uint64)).astype(np.int32) + np.bitwise_count((s2[i] ^ s2[j]).view(np.uint64))
-                same = p.sketch_bits - bits  # of a signed number only the bits of its magnitude are counted
-                i, j = i[same >= least], j[same >= least]
-                if len(i):
-                    out.append((key[i], np.minimum(h[i], h[j]), np.maximum(h[i], h[j])))
+            h, n, s1, s2 = c[1:]
+            for many in np.unique(size[~big & (size > 1)]):  # buckets of the same size at once, in slices
+                x, y = np.triu_indices(many, 1)
+                of = begin[(size == many) & ~big]
+                for k in range(0, len(of), max(1, HELD // len(x))):
+                    first = of[k : k + max(1, HELD // len(x)), None]
+                    i, j = (first + x).ravel(), (first + y).ravel()
+                    ok = (np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j])) & (h[i] != h[j])
+                    i, j = i[ok], j[ok]
+                    differ = np.bitwise_count((s1[i] ^ s1[j]).view(np.uint64)).astype(np.int16) + np.bitwise_count((s2[i] ^ s2[j]).view(np.uint64))
+                    ok = p.sketch_bits - differ >= least
+                    i, j = i[ok], j[ok]
+                    if len(i):
+                        out.append((key[i], np.minimum(h[i], h[j]), np.maximum(h[i], h[j])))
             for k, a, b in out:
                 yield pa.record_batch([pa.array(k), pa.array(a), pa.nulls(len(k), pa.int64()) if b is None else pa.array(b)], names=["key", "a", "b"])
 
@@ -314,8 +353,7 @@ def _blocks(rows: DataFrame, sig: DataFrame, p: Params, size: int = 2000) -> Dat
 
     A task holds the rows of one cell, about twice ``size`` at most, whatever the size of the bucket.
     """
-    least = p.sketch_bits * (1 + p.similarity) / 2 - 2.6 * math.sqrt(p.sketch_bits * (1 - p.similarity**2) / 4)
-    share = p.similarity
+    least, share = _least(p, 2), p.similarity
     sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
     bits = sig.select("h", "n", "s1", "s2").dropDuplicates(["h"])
     r = rows.join(sizes, "key").join(bits, "h").withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
@@ -357,13 +395,22 @@ def _blocks(rows: DataFrame, sig: DataFrame, p: Params, size: int = 2000) -> Dat
     return r.repartition(int(parts), "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long, odd boolean")
 
 
-def similar_sets(records: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
-    """``links (a, b, similarity)`` between different shingle sets and ``members (id, h)``.
+class Join(NamedTuple):
+    """``links (a, b, similarity)`` between different sets, ``members (id, h)`` and the state after each round of runs."""
+
+    links: DataFrame
+    members: DataFrame
+    rounds: list[tuple[int, int, float]]  #: runs so far, links found, estimated recall
+
+
+def similar_sets(records: DataFrame, p: Params = Params()) -> Join:
+    """The similarity join of the shingle sets of ``records``.
 
     ``records``: ``(id long, title string, text string)``; other columns are ignored. A null title or text is
     empty; records with fewer than ``min_words`` words in text are no members. Rows that repeat an id with the
     same content count once. Sets are named by their 64-bit hash ``h``; records with equal sets share it, so
-    copies never multiply within a bucket. Every link is checked exactly on the texts.
+    copies never multiply within a bucket. Every link is checked exactly on the texts. Runs are repeated, with
+    other random choices, until the estimated recall is that of ``p``.
     """
     spark = records.sparkSession
     records = records.select(F.col("id").cast("long").alias("id"), F.col("title").cast("string").alias("title"), F.col("text").cast("string").alias("text")).where("id IS NOT NULL")
@@ -371,14 +418,17 @@ def similar_sets(records: DataFrame, p: Params = Params()) -> tuple[DataFrame, D
     sig = materialize(signatures(records, cells, p))
     members = sig.select("id", "h").distinct()
     met = _met(sig, p)
-    links = _exact(met.select("a", "b"), sig, records, p)
-    rounds = _rounds(met.join(links.where(F.col("similarity") <= p.similarity + 0.1), ["a", "b"]), p)
-    if rounds > 1:
-        for k in range(1, rounds):
-            again = replace(p, seed=p.seed + 7919 * k)
-            met = met.union(_met(materialize(signatures(records, cells, again)), again))
-        links = _exact(materialize(met.select("a", "b").distinct()), sig, records, p)
-    return links, members
+    links = _exact(_wider(met, sig, p), sig, records, p)
+    rounds: list[tuple[int, int, float]] = []
+    while True:
+        n, recall = _recall(met.join(links, ["a", "b"]), p)
+        rounds.append((p.runs * (len(rounds) + 1), n, recall))
+        if recall >= p.recall or len(rounds) >= p.rounds:
+            return Join(links, members, rounds)
+        again = replace(p, seed=p.seed + 7919 * len(rounds))
+        further = _met(materialize(signatures(records, cells, again)), again)
+        links = materialize(links.union(_exact(_wider(further.join(met, ["a", "b"], "left_anti"), sig, p), sig, records, p)))
+        met = materialize(met.union(further).groupBy("a", "b").agg(F.max("odd").alias("odd"), F.max("even").alias("even")))
 
 
 def _met(sig: DataFrame, p: Params) -> DataFrame:
@@ -393,15 +443,41 @@ def _met(sig: DataFrame, p: Params) -> DataFrame:
     return materialize(pairs.groupBy("a", "b").agg(F.max("odd").alias("odd"), F.max(~F.col("odd")).alias("even")))
 
 
-def _rounds(met: DataFrame, p: Params) -> int:
-    """Rounds of runs needed, from the overlap of the odd and the even runs: a pair that each half finds with the same
-    chance is found by half as many runs with the share of the other half's pairs that they have too."""
-    yes = lambda c: F.coalesce(F.sum(F.expr(c).cast("long")), F.lit(0))
-    odd, even, both = met.agg(yes("odd"), yes("even"), yes("odd AND even")).first()
-    missed = (1 - both / max(1, even)) * (1 - both / max(1, odd))
-    if not odd + even or missed <= 1 - p.recall:
-        return 1
-    return p.rounds if missed >= 1 else min(p.rounds, math.ceil(math.log(1 - p.recall) / math.log(missed)))
+def _wider(met: DataFrame, sig: DataFrame, p: Params) -> DataFrame:
+    """``(a, b)`` of the candidates whose wider sketches are similar too, so that few texts are compared."""
+    least = _least(p, 16)
+    sets = materialize(sig.select("h", "more").dropDuplicates(["h"]))
+    side = lambda s: broadcast_if_small(sets.select(F.col("h").alias(s), F.col("more").alias(f"more_{s}")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("more_a", "more_b"))
+                differ = x ^ y
+                same = ((differ & 15) == 0).sum(1) + ((differ >> 4) == 0).sum(1)
+                yield batch.select(["a", "b"]).filter(pa.array(same >= least))
+
+    return materialize(met.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "more_a", "more_b").mapInArrow(run, "a long, b long"))
+
+
+LINKS = 50  # of a band of similarity from which its own recall counts
+
+
+def _recall(links: DataFrame, p: Params) -> tuple[int, float]:
+    """Links found, and the share of all links that they are: two samples, odd and even runs, and what they have in common
+    tell the size of the whole (Chapman's estimator), in bands of similarity, since less similar sets meet less often.
+    The lowest of the shares of all links and of each band with enough of them."""
+    yes = lambda c: F.sum(F.expr(c).cast("long"))
+    band = F.floor((F.col("similarity") - p.similarity) / 0.1 + 1e-9).alias("band")
+    shares, found, total = [1.0], 0, 0.0
+    for r in links.groupBy(band).agg(F.count("*").alias("n"), yes("odd").alias("odd"), yes("even").alias("even"), yes("odd AND even").alias("both")).collect():
+        every = max(r.n, (r.odd + 1) * (r.even + 1) / (r.both + 1) - 1)
+        found, total = found + r.n, total + every
+        if r.n >= LINKS:
+            shares.append(r.n / every)
+    if total:
+        shares.append(found / total)
+    return found, min(shares)
 
 
 def _exact(pairs: DataFrame, sig: DataFrame, records: DataFrame, p: Params) -> DataFrame:
@@ -419,9 +495,9 @@ def _exact(pairs: DataFrame, sig: DataFrame, records: DataFrame, p: Params) -> D
             grams, begin = shingle_sets(both, p.k)
             size = np.diff(begin)
             owner = np.repeat(np.arange(2 * n) % n, size)
-            order = np.lexsort((grams, owner))
-            g, o = grams[order], owner[order]
-            common = np.bincount(o[1:][(g[1:] == g[:-1]) & (o[1:] == o[:-1])], minlength=n)
+            both = (owner.astype(np.uint64) << np.uint64(52)) | grams
+            both.sort()
+            common = np.bincount((both[1:][both[1:] == both[:-1]] >> np.uint64(52)).astype(np.int64), minlength=n)
             j = common / np.maximum(1, size[:n] + size[n:] - common)
             keep = np.flatnonzero(j >= p.similarity)
             yield pa.record_batch([batch.column("a").take(pa.array(keep)), batch.column("b").take(pa.array(keep)), j[keep]], names=["a", "b", "similarity"])
@@ -432,7 +508,7 @@ def _exact(pairs: DataFrame, sig: DataFrame, records: DataFrame, p: Params) -> D
 
 def edited_pairs(records: DataFrame, p: Params = Params()) -> DataFrame:
     """``(id_a, id_b)``, smaller first: every pair of records that are edited copies, equal sets included."""
-    links, members = similar_sets(records, p)
+    links, members, _ = similar_sets(records, p)
     a, b = members.select(F.col("id").alias("id_a"), F.col("h").alias("a")), members.select(F.col("id").alias("id_b"), F.col("h").alias("b"))
     linked = links.join(a, "a").join(b, "b").select("id_a", "id_b")
     equal = members.groupBy("h").count().where("count > 1").select("h").join(members, "h")
@@ -447,7 +523,7 @@ def copy_groups(records: DataFrame, p: Params = Params()) -> DataFrame:
     counts the records' sets that the record's own set is linked with, plus its exact copies. Records that are
     too short are not compared and form their own group.
     """
-    links, members = similar_sets(records, p)
+    links, members, _ = similar_sets(records, p)
     every = records.select(F.col("id").cast("long").alias("id")).where("id IS NOT NULL").distinct()
     degree = links.select(F.col("a").alias("h")).union(links.select(F.col("b").alias("h"))).groupBy("h").agg(F.count("*").alias("n"))
     per = members.groupBy("h").agg(F.min("id").alias("least"), (F.count("*") - 1).alias("copies"))
@@ -458,7 +534,6 @@ def copy_groups(records: DataFrame, p: Params = Params()) -> DataFrame:
     return every.join(members.join(named, "h").select("id", "group_id", "n_links"), "id", "left").select("id", F.coalesce("group_id", "id").alias("group_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def recall_estimate(runs_a: DataFrame, runs_b: DataFrame) -> Column | float:
-    """Share of the pairs of one join that an independent other one found too: an estimate of its recall."""
-    both, one = runs_a.intersect(runs_b).count(), runs_b.count()
-    return both / one if one else 1.0
+def join_runs(records: DataFrame, p: Params = Params()) -> DataFrame:
+    """``(n_runs, n_links, recall)`` after each round: runs so far, links between different sets, estimated recall of them."""
+    return records.sparkSession.createDataFrame(similar_sets(records, p).rounds, "n_runs int, n_links long, recall double")

@@ -22,6 +22,10 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.copy_groups(_clauses(spark, d)).withColumnRenamed("id", "clause_id")
 
 
+def p1_runs(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.join_runs(_clauses(spark, d))
+
+
 def _pieces(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "clauses").where("length(text) > 2000 OR length(full_text) > 2000")
     field = lambda name: F.struct(F.lit(name).alias("field_name"), F.col(name).alias("value"))
@@ -146,7 +150,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
     return subjects.shares(p10_found(spark, d), table(spark, d, "documents"), table(spark, d, "subject_areas"))
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_repaired, p5_found, p5_entities, p6_found, p6_report, p6_limits, p8_found, p8_spans, p8_items, p9_selection, p9_shares, p10_found, p10_shares)}
+QUERIES = {q.__name__: q for q in (p1_found, p1_groups, p1_runs, p2_found, p2_pieces, p3_found, p3_repaired, p5_found, p5_entities, p6_found, p6_report, p6_limits, p8_found, p8_spans, p8_items, p9_selection, p9_shares, p10_found, p10_shares)}
 
 _ITEM = r"(?m)^\s*(?:[-•*]|\(?[0-9A-Za-z]{1,5}[.)])\s"
 _SIGN = r"(?:…|\.\.\.|�|\[(?:\.\.\.|…)\])\s*$"

@@ -119,6 +119,17 @@ def test_further_rounds_where_the_runs_disagree(spark):
     assert one < 0.97 < all_
 
 
+def test_rounds_and_their_recall_are_reported(spark):
+    df = spark.createDataFrame(family(150, 8, 5), SCHEMA)
+    p = replace(nd.Params(), runs=2, branch=1, depth=2, bucket=8)
+    rows = nd.join_runs(df, p).collect()
+    want = len(brute(family(150, 8, 5), p))
+    assert [r.n_runs for r in rows] == [2 * (k + 1) for k in range(len(rows))] and rows[-1].n_links >= 0.95 * want
+    assert all(r.recall < p.recall for r in rows[:-1]) and (rows[-1].recall >= p.recall or len(rows) == p.rounds)
+    assert all(abs(r.recall - r.n_links / want) < 0.1 for r in rows)
+    assert [tuple(r) for r in nd.join_runs(df.where("false"), p).collect()] == [(2, 0, 1.0)]
+
+
 def test_edges(spark):
     text = " ".join(WORDS[:40])
     rows = [(1, "T", text), (1, "T", text), (2, "T", text), (3, None, None), (4, "x", ""), (5, "t", "too short"), (None, "T", text), (6, None, text), (7, "T", text.upper().replace(" ", "\n- ")), (8, "T", "q" * 5000 + " " + text)]
