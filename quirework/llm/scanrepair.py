@@ -1,10 +1,11 @@
 """Repair of text from scanned pages.
 
-Three passes over the texts. The first counts words and the skeletons of short lines over all records. The
-second finds, for each word, whether a far more frequent word turns into it by a confusion of shapes that
-scanners make. The third labels the lines of each text with a hidden Markov model over layout features
-(header, body, blank), drops headers, rejoins broken words and wrapped lines with a second chain (goes on,
-breaks), and puts misread words right. A text without a finding is returned as it is.
+The first pass counts words, hyphenated words, words formed over line ends and the skeletons of short lines over
+all records. From the counts come, by joins of any size, the words that a far more frequent word was misread as,
+by confusions of shapes that scanners make, and the hyphenated words that keep their hyphen at a line end. The
+second pass labels the lines of each text with a hidden Markov model over layout features (header, body, blank),
+drops headers, labels the ends of the lines that stay with a second chain (splits a word, goes on, breaks), joins
+them accordingly, and puts misread words right. A text without a finding is returned as it is.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import combinations
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
@@ -37,9 +40,13 @@ BROKEN = re.compile(rf"(?:(?<=[{_LETTER}])|(?<=[{_LETTER}][0-9!|$]))[{HYPHENS}]
 #: A line that may begin with the rest of a word, its first character perhaps misread.
 REST = re.compile(r"[a-zß-öø-ɏﬀ-ﬆ]|[0-9!|$][a-z]")
 REJOIN = re.compile(rf"(?:(?<=[{_LETTER}])|(?<=[{_LETTER}][0-9!|$]))[{HYPHENS}] ?\n\s*(?=[a-zß-öø-ɏﬀ-ﬆ]|[0-9!|$][a-z])")
-COMPOUND = re.compile(r"[a-z]+-[a-z]+")
+#: Two words joined by a hyphen within a line; those of longer chains overlap.
+COMPOUND = re.compile(r"(?<![a-zß-öø-ɏ])(?=([a-zß-öø-ɏ]+-[a-zß-öø-ɏ]+))")
+LAST, FIRST = re.compile(r"[A-Za-zÀ-ɏ]*$"), re.compile(r"[A-Za-zÀ-ɏ]*")
 LIST = re.compile(r"\s*(?:[-•*|]|\(?(?:[0-9]{1,3}|[a-z]|[ivx]{1,5})[.)](?:\s|$)|[0-9]+(?:\.[0-9]+)+\.?(?:\s|$))")
 TERMINAL = re.compile(r"[.;:!?|][\"')\]]*\s*$|; (?:and|or)\s*$")
+#: What stands before the first word of a sentence.
+SENTENCE = re.compile(r"(?:^|[.!?]\s|\n)\s*\Z")
 _NUMBER = r"(?:page\s*)?\d+(?:\s*(?:of|/)\s*\d+)?"
 NUMERIC = re.compile(rf"(?:{_NUMBER}|[-–—]\s*{_NUMBER}\s*[-–—]|\[\s*{_NUMBER}\s*\])\s*$", re.I)
 CODE = re.compile(r"\S*[A-Z]\S*[-/]\S*\d+\S*$")
@@ -53,7 +60,7 @@ class Params:
     sample: int = 20_000  # lines of furniture blocks, and texts of several lines, to fit the chains on
     cells: int = 1 << 18  # counters of line skeletons
     seed: int = 3
-    map_entries: int = 500_000  # corrections held by each worker; more are joined word by word
+    map_entries: int = 500_000  # entries of the lexicon held by each worker; of a larger one each text gets its own by joins, with the same result
     kinds: tuple[str, ...] = field(default=("clause", "paragraph", "recital", "table"))
 
 
@@ -65,9 +72,12 @@ def cell(line: str, cells: int) -> int:
     return crc32(skeleton(line).encode("utf-8", "replace")) % cells
 
 
-def joined_lines(text: str) -> str:
-    """The text with words rejoined over line ends, to count words by."""
-    return REJOIN.sub("", text)
+def joined_lines(text: str, formed: Counter) -> str:
+    """The text with words rejoined over line ends, to count words by; ``formed`` counts the joints as hyphenated words."""
+    parts = REJOIN.split(text)
+    for left, right in zip(parts, parts[1:]):
+        formed[(LAST.search(left)[0] + "-" + FIRST.match(right)[0]).lower()] += 1
+    return "".join(parts)
 
 
 def _interior(lines: list[str]) -> Iterator[str]:
@@ -76,17 +86,21 @@ def _interior(lines: list[str]) -> Iterator[str]:
             yield line
 
 
-def census(texts: DataFrame, p: Params) -> tuple[DataFrame, np.ndarray, frozenset]:
-    """Word counts over all texts ``(word, n)``, the counters of line skeletons (last: texts of several lines), and
-    the hyphenated words that stand within lines (the most frequent ones, ``p.sample`` at most)."""
+def census(texts: DataFrame, p: Params) -> tuple[DataFrame, DataFrame, DataFrame, np.ndarray]:
+    """Counts over all texts: words ``(word, n)``, hyphenated words within lines and joints over line ends alike, and the
+    counters of line skeletons (last: texts of several lines)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
+        words, compounds, formed = Counter(), Counter(), Counter()
         lines = np.zeros(p.cells + 1, np.int64)
 
         def out():
-            ws = list(words)
-            return pa.record_batch([pa.array(ws, pa.string()), pa.array([words[w] for w in ws], pa.int64())], names=["word", "n"])
+            tagged = [(0, words), (1, compounds), (2, formed)]
+            kinds = np.repeat([k for k, _ in tagged], [len(c) for _, c in tagged]).astype(np.int8)
+            keys, ns = [w for _, c in tagged for w in c], [n for _, c in tagged for n in c.values()]
+            for _, c in tagged:
+                c.clear()
+            return pa.record_batch([pa.array(kinds), pa.array(keys, pa.string()), pa.array(ns, pa.int64())], names=["kind", "word", "n"])
 
         for batch in batches:
             for t in batch.column("text").to_pylist():
@@ -96,36 +110,35 @@ def census(texts: DataFrame, p: Params) -> tuple[DataFrame, np.ndarray, frozense
                     lines[-1] += 1
                     for line in _interior(t.split("\n")):
                         lines[cell(line, p.cells)] += 1
-                    t = joined_lines(t)
+                    t = joined_lines(t, formed)
                 t = t.lower()
                 words.update(WORD.findall(t))
                 if "-" in t:
-                    words.update("\t" + w for w in COMPOUND.findall(t))
-            if len(words) > 500_000:
+                    compounds.update(COMPOUND.findall(t))
+            if len(words) + len(compounds) + len(formed) > 500_000:
                 yield out()
-                words.clear()
-        at = np.flatnonzero(lines)
-        words.update({f"\n{i}": int(lines[i]) for i in at})
         yield out()
+        at = np.flatnonzero(lines)
+        yield pa.record_batch([pa.array(np.full(len(at), 3, np.int8)), pa.array([str(i) for i in at], pa.string()), pa.array(lines[at])], names=["kind", "word", "n"])
 
-    rows = materialize(texts.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    got = rows.where("word LIKE '\\n%'").toArrow()  # at most p.cells + 1 rows
+    rows = materialize(texts.select("text").mapInArrow(count, "kind byte, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n")))
+    got = rows.where("kind = 3").toArrow()  # at most p.cells + 1 rows
     lines = np.zeros(p.cells + 1, np.int64)
     lines[[int(w) for w in got.column("word").to_pylist()]] = got.column("n").to_pylist()
-    hyphened = _most_frequent(rows.where("word LIKE '\\t%' AND n >= 3"), p.sample)
-    return rows.where("word NOT RLIKE '^[\\n\\t]'"), lines, frozenset(r[0][1:] for r in hyphened)
+    words, compounds, formed = (rows.where(f"kind = {k}").select("word", "n") for k in range(3))
+    return words, compounds, formed, lines
 
 
-def _most_frequent(rows: DataFrame, most: int) -> list:
-    """Rows of ``(word, n)`` from the least power of two on from which there are at most ``most``; only these reach the driver."""
-    sizes = {r.level: r.rows for r in rows.groupBy(F.floor(F.log2("n")).cast("int").alias("level")).agg(F.count("*").alias("rows")).collect()}
-    level, total = 64, 0
-    for k in sorted(sizes, reverse=True):
-        total += sizes[k]
-        if total > most:
-            break
-        level = k
-    return rows.where(F.col("n") >= 2.0**level).select("word").collect()
+def kept_hyphens(words: DataFrame, compounds: DataFrame, formed: DataFrame) -> DataFrame:
+    """``(wrong, right)`` of the joints over line ends that are hyphenated words: these stand within lines at least as often
+    as the word without a hyphen does. ``right`` is the joint itself."""
+    glued = lambda c: F.regexp_replace(c, "-", "")
+    joints = formed.select(F.col("word").alias("wrong"), glued(F.col("word")).alias("_g"), F.col("n").alias("_formed"))
+    # a word formed over line ends is no evidence for itself, whichever joint formed it
+    own = joints.groupBy("_g").agg(F.sum("_formed").alias("_formed"))
+    whole = own.join(words.select(F.col("word").alias("_g"), F.col("n").alias("_n")), "_g", "left").select("_g", (F.coalesce("_n", F.lit(0)) - F.col("_formed")).alias("_within"))
+    found = joints.join(compounds.select(F.col("word").alias("wrong"), F.col("n").alias("_c")), "wrong").join(whole, "_g")
+    return found.where("_c >= _within").select("wrong", F.col("wrong").alias("right"))
 
 
 def _drawn(rows: DataFrame, key: str, total: int, most: int, seed: int) -> DataFrame:
@@ -134,42 +147,48 @@ def _drawn(rows: DataFrame, key: str, total: int, most: int, seed: int) -> DataF
     return rows.where(F.xxhash64(key, F.lit(seed)).bitwiseAND(F.lit((1 << 40) - 1)) < int(share * (1 << 40)))
 
 
-def _one_kind(word: str, limit: int = 4) -> set[str]:
+def _places(n: int, most: int) -> Iterator[tuple[int, ...]]:
+    """Choices of up to ``most`` of ``n`` places, fewer at once in words with many places, and all of them."""
+    for k in range(1, min(most if n <= 12 else 2 if n <= 40 else 1, n) + 1):
+        yield from combinations(range(n), k)
+    yield tuple(range(n))
+
+
+def _one_kind(word: str, most: int = 3) -> set[str]:
     out = set()
     for read, right in CONFUSIONS:
         at = [m.start() for m in re.finditer(f"(?={re.escape(read)})", word)] if read in word else []
-        if not at:
-            continue
-        out.add(word.replace(read, right))
-        if len(at) > 1:
-            for mask in range(1, 1 << min(len(at), limit)):
-                w, shift, last = word, 0, -9
-                for j, i in enumerate(at[:limit]):
-                    if mask >> j & 1 and i >= last + len(read):
-                        w = w[: i + shift] + right + w[i + shift + len(read) :]
-                        shift += len(right) - len(read)
-                        last = i
-                out.add(w)
+        for chosen in _places(len(at), most) if at else ():
+            w, end = [], 0
+            for i in (at[j] for j in chosen):
+                if i >= end:
+                    w += (word[end:i], right)
+                    end = i + len(read)
+            out.add("".join(w) + word[end:])
     return out
 
 
 def meant(word: str) -> set[str]:
-    """Words that may have been read as ``word``: confusions of one kind at several places, or of two kinds."""
+    """Words that may have been read as ``word``: one confusion at up to three places or everywhere, or two confusions, each at
+    up to two places or everywhere (in words of 5 to 40 characters). Of words with many places of a confusion, see :func:`_places`."""
     out = _one_kind(word)
-    if 5 <= len(word) <= 20:
+    if 5 <= len(word) <= 40:
         out |= {w for x in list(out) for w in _one_kind(x, 2)}
     out.discard(word)
     return out
 
 
 def corrections(words: DataFrame, p: Params) -> DataFrame:
-    """``(wrong, right)``: words that a far more frequent word was misread as; joins on words, so of any size."""
+    """``(wrong, right)``: words that a far more frequent word was misread as; joins on words, so of any size.
+
+    Words of two letters are too often abbreviations: they count only with a digit or sign inside.
+    """
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, n, b = [], [], []
             for w, k in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                if 3 <= len(w) <= 30:
+                if len(w) > 2 or len(w) == 2 and not w.isalpha():
                     for c in meant(w):
                         a.append(w), n.append(k), b.append(c)
             yield pa.record_batch([pa.array(a, pa.string()), pa.array(n, pa.int64()), pa.array(b, pa.string())], names=["wrong", "n_wrong", "right"])
@@ -314,17 +333,24 @@ def join_features(lines: list[str], gap: list[bool], dropped: list[bool]) -> lis
     return out
 
 
-def _seed_goes(f: tuple) -> bool:
+ENDS = ("splits", "goes", "breaks")
+
+
+def _seed_end(f: tuple) -> int:
+    """State of a line's end before any training: 0 splits a word, 1 goes on, 2 breaks."""
     terminal, lower, listed, (gap, dropped), long, table, last, broken = f
     if last or table:
-        return False
+        return 2
     if broken and lower:
-        return True
-    if gap and not dropped:
-        return False
-    if listed:
-        return False
-    return (not terminal) and (lower or dropped or long)
+        return 0
+    if gap and not dropped or listed:
+        return 2
+    return 1 if (not terminal) and (lower or dropped or long) else 2
+
+
+def possible_ends(f: tuple) -> tuple[int, ...]:
+    """Where a hyphen ends the line and the next may begin with the rest of a word, a line that goes on splits a word; no other does."""
+    return (0, 2) if f[7] and f[1] else (1, 2)
 
 
 def keep(lines: list[str], labels: list[int]) -> tuple[list[str], list[bool], list[bool]]:
@@ -347,9 +373,9 @@ def fit_joins(texts: list[str], lines: Chain, counters: np.ndarray, p: Params) -
         kept = keep(x, label_lines(x, lines, counters, p.cells))
         if kept[0]:
             data.append(join_features(*kept))
-    chain = Chain(("goes", "breaks")).fit([(fs, [0 if _seed_goes(f) else 1 for f in fs]) for fs in data])
+    chain = Chain(ENDS).fit([(fs, [_seed_end(f) for f in fs]) for fs in data])
     for _ in range(2):
-        chain.fit([(fs, chain.viterbi(fs, [(0, 1)] * len(fs))) for fs in data])
+        chain.fit([(fs, chain.viterbi(fs, [possible_ends(f) for f in fs])) for fs in data])
     return chain
 
 
@@ -359,83 +385,118 @@ class Model:
     joins: Chain
     counters: np.ndarray
     cells: int
-    compounds: frozenset
 
 
-def repair(text: str, model: Model, fix: dict[str, str]) -> tuple[str, bool, bool, bool]:
-    """``(text, broken word, misread word, furniture inside)``; the text itself if nothing was found."""
-    hyphen = furniture = wrapped = False
-    if "\n" in text:
-        lines = text.split("\n")
-        labels = label_lines(lines, model.lines, model.counters, model.cells)
-        kept, gap, dropped = keep(lines, labels)
-        furniture = 0 in labels
-        hyphen = any(BROKEN.search(x) for x in kept[:-1])
-        short = sum(1 for x, y in zip(kept, kept[1:]) if not TERMINAL.search(x) and not x.isupper() and y[:1].islower())
-        wrapped = short > 0
-        if furniture or hyphen or wrapped:
-            hyphen = False
-            feats = join_features(kept, gap, dropped)
-            ways = model.joins.viterbi(feats, [(0, 1)] * len(feats)) if feats else []
-            out = []
-            for i, (x, w, f) in enumerate(zip(kept, ways, feats)):
-                if i + 1 == len(kept):
-                    out.append(x)
-                    break
-                nxt = kept[i + 1].lstrip()
-                if f[7] and REST.match(nxt):
-                    left, right = re.search(r"[A-Za-z]*$", BROKEN.sub("", x)), re.match(r"[A-Za-z]*", nxt)
-                    if (left[0] + "-" + right[0]).lower() in model.compounds and x.rstrip()[-1] in "-‐‑":
-                        out.append(x.rstrip())
-                    else:
-                        hyphen = True
-                        out.append(BROKEN.sub("", x))
-                elif (w == 0 and not x.isupper()) or (dropped[i] and not f[0]):
-                    out.append(x.rstrip() + " ")
-                else:
-                    out.append(x + ("\n\n" if gap[i] and not (dropped[i] and not f[0]) else "\n"))
-            new = "".join(y if k == 0 or out[k - 1][-1:] in "\n" else y.lstrip() for k, y in enumerate(out))
+class Relined(NamedTuple):
+    """A text after its lines were joined: ``pieces`` between the joints of split words, each joint's hyphenated word (empty where
+    the mark is no hyphen), whether furniture was dropped, and whether any line was joined."""
+
+    pieces: list[str]
+    joints: list[str]
+    furniture: bool
+    wrapped: bool
+
+    def text(self, lexicon: dict[str, str]) -> tuple[str, bool]:
+        """The text, with hyphens kept where the lexicon has the joint, and whether a word was broken."""
+        out, broken = [], False
+        for piece, joint in zip(self.pieces, [*self.joints, None]):
+            if joint is not None and joint not in lexicon:
+                piece, broken = BROKEN.sub("", piece), True
+            out.append(piece)
+        return "".join(out), broken
+
+
+def relined(text: str, model: Model) -> Relined:
+    if "\n" not in text:
+        return Relined([text], [], False, False)
+    lines = text.split("\n")
+    labels = label_lines(lines, model.lines, model.counters, model.cells)
+    kept, gap, dropped = keep(lines, labels)
+    furniture = 0 in labels
+    hyphen = any(BROKEN.search(x) for x in kept[:-1])
+    wrapped = any(not TERMINAL.search(x) and not x.isupper() and y[:1].islower() for x, y in zip(kept, kept[1:]))
+    if not (furniture or hyphen or wrapped):
+        return Relined([text], [], False, False)
+    feats = join_features(kept, gap, dropped)
+    ways = model.joins.viterbi(feats, [possible_ends(f) for f in feats]) if feats else []
+    pieces, joints, held, open_ = [], [], "", True
+    for i, (x, w, f) in enumerate(zip(kept, ways, feats)):
+        x = x.lstrip() if i and open_ else x  # what goes on begins without an indent
+        if i + 1 == len(kept):
+            held += x
+        elif w == 0:
+            hyphened = x.rstrip()[-1] in "-‐‑"
+            x = x.rstrip() if hyphened else x
+            joints.append((LAST.search(BROKEN.sub("", x))[0] + "-" + FIRST.match(kept[i + 1].lstrip())[0]).lower() if hyphened else "")
+            pieces.append(held + x)
+            held, open_ = "", True
+        elif (w == 1 and not x.isupper()) or (dropped[i] and not f[0]):
+            held, open_ = held + x.rstrip() + " ", True
         else:
-            new = text
-    else:
-        new = text
+            held, open_ = held + x + ("\n\n" if gap[i] and not (dropped[i] and not f[0]) else "\n"), False
+    return Relined([*pieces, held], joints, furniture, wrapped)
+
+
+def repair(text: str, model: Model, lexicon: dict[str, str]) -> tuple[str, bool, bool, bool]:
+    """``(text, broken word, misread word, furniture inside)``; the text itself if nothing was found."""
+    lined = relined(text, model)
+    new, hyphen = lined.text(lexicon)
     misread = False
     words = WORD.findall(new)
     cut = None  # the last word of a text that stops short may be a part of a word
     if words and not TERMINAL.search(new) and words[-1].isalpha() and new.rstrip(" .\u2026\ufffd[]").endswith(words[-1]):
         cut = new.rfind(words[-1])
-    if not fix.keys().isdisjoint(w.lower() for w in words):
+    if not lexicon.keys().isdisjoint(w.lower() for w in words):
 
         def right(m: re.Match) -> str:
             nonlocal misread
             w = m[0]
-            r = fix.get(w.lower())
+            r = lexicon.get(w.lower())
             if r is None or m.start() == cut:
                 return w
             misread = True
-            return r.upper() if w.isupper() and len(w) > 1 and not re.search(r"\d", w) else r[0].upper() + r[1:] if w[0].isupper() else r
+            capital = w[0].isupper() or not w[0].isalpha() and SENTENCE.search(m.string, max(0, m.start() - 9), m.start()) is not None
+            return r.upper() if w.isupper() and len(w) > 1 and not re.search(r"\d", w) else r[0].upper() + r[1:] if capital else r
 
         new = WORD.sub(right, new)
-    if not (hyphen or misread or furniture or wrapped):
+    if not (hyphen or misread or lined.furniture or lined.wrapped):
         new = text
-    return new, hyphen, misread, furniture
+    return new, hyphen, misread, lined.furniture
 
 
 OUT = "table_name string, row_id long, text string, broken_word boolean, misread_word boolean, furniture boolean"
 
 
 def prepare(texts: DataFrame, furniture: DataFrame, p: Params = Params()) -> tuple[Model, DataFrame]:
-    """The fitted model and the corrections ``(wrong, right)`` of a corpus."""
-    words, counters, compounds = census(texts, p)
-    fixes = materialize(corrections(words, p))
+    """The fitted model and the lexicon ``(wrong, right)`` of a corpus: misread words, and joints that keep their hyphen."""
+    words, compounds, formed, counters = census(texts, p)
+    lexicon = materialize(corrections(words, p).union(kept_hyphens(words, compounds, formed)))
     # bounded samples to fit the chains on: about p.sample / 4 texts and p.sample lines
-    drawn = _drawn(texts.where("text LIKE '%\\n%'").where("length(text) < 20000"), "row_id", int(counters[-1]), p.sample // 4, p.seed)
+    drawn = _drawn(texts.where("text LIKE '%\n%'").where("length(text) < 20000"), "row_id", int(counters[-1]), p.sample // 4, p.seed)
     several = [r[0] for r in drawn.select("text").collect()]
     known = materialize(furniture.where("text IS NOT NULL").select("text").distinct())
     lines = [r[0] for r in _drawn(known, "text", known.count(), p.sample, p.seed).collect()]
     chain = fit_lines(several, lines, counters, p)
-    joins = fit_joins(several, chain, counters, p)
-    return Model(chain, joins, counters, p.cells, compounds), fixes
+    return Model(chain, fit_joins(several, chain, counters, p), counters, p.cells), lexicon
+
+
+def _own(texts: DataFrame, lexicon: DataFrame, keys, name: str) -> DataFrame:
+    """``(_h, <name>)``: the entries of the lexicon, as an array of pairs, that each text can need; ``keys`` names them from
+    the text and what is known of it (``_joints``). Texts are named by their hash; texts that need none have no row."""
+    cols = ["_h", "text", *(c for c in texts.columns if c == "_joints")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(h, k) for h, *given in zip(*(batch.column(c).to_pylist() for c in cols)) for k in keys(*given)]
+            h, k = zip(*rows) if rows else ((), ())
+            yield pa.record_batch([pa.array(h, pa.int64()), pa.array(k, pa.string())], names=["_h", "wrong"])
+
+    needed = texts.select(*cols).dropDuplicates(["_h"]).mapInArrow(run, "_h long, wrong string")
+    return materialize(needed.join(lexicon, "wrong").groupBy("_h").agg(F.collect_set(F.struct("wrong", "right")).alias(name)))
+
+
+def _pairs(entries: list | None) -> dict[str, str]:
+    return {e["wrong"]: e["right"] for e in entries or ()}
 
 
 def repaired(texts: DataFrame, furniture: DataFrame, p: Params = Params()) -> DataFrame:
@@ -443,28 +504,31 @@ def repaired(texts: DataFrame, furniture: DataFrame, p: Params = Params()) -> Da
 
     ``texts``: ``(table_name string, row_id long, text string)``. ``furniture``: a column ``text`` with known
     headers, footers and page numbers, may be empty. Null and empty texts come out as they are, without a
-    finding. Repeated rows come out repeated.
+    finding. Repeated rows come out repeated. The lexicon is held by each worker if it has at most
+    ``p.map_entries`` entries; else each text gets the entries that it can need by two joins, first those of its
+    joints, then those of the words that its lines then make.
     """
     spark = texts.sparkSession
     texts = texts.select("table_name", F.col("row_id").cast("long").alias("row_id"), "text")
-    model, fixes = prepare(texts, furniture, p)
+    model, lexicon = prepare(texts, furniture, p)
     held = spark.sparkContext.broadcast(model)
-    if fixes.count() <= p.map_entries:
-        fix_b = spark.sparkContext.broadcast({r[0]: r[1] for r in fixes.collect()})  # p.map_entries at most
+    if lexicon.count() <= p.map_entries:
+        all_b = spark.sparkContext.broadcast({r[0]: r[1] for r in lexicon.collect()})  # p.map_entries at most
         rows = texts
-    else:  # the corrections of each text come by a join on its words
-        fix_b = None
-        at = texts.where("text IS NOT NULL").select("table_name", "row_id", F.xxhash64("text").alias("_h"), F.explode(F.array_distinct(F.split(F.lower(F.regexp_replace("text", REJOIN.pattern, "")), r"[^a-zà-ɏﬀ-ﬆ0-9!|$]+"))).alias("wrong"))
-        own = at.join(fixes, "wrong").groupBy("table_name", "row_id", "_h").agg(F.collect_set(F.concat_ws("\t", "wrong", "right")).alias("_fix"))
-        rows = texts.withColumn("_h", F.xxhash64("text")).join(own, ["table_name", "row_id", "_h"], "left").drop("_h")
+    else:
+        all_b = None
+        rows = texts.withColumn("_h", F.xxhash64("text"))
+        filled = rows.where("text <> ''")
+        joints = _own(filled.where("text LIKE '%\n%'"), lexicon, lambda t: {j for j in relined(t, held.value).joints if j}, "_joints")
+        words = _own(filled.join(joints, "_h", "left"), lexicon, lambda t, j: {w.lower() for w in WORD.findall(relined(t, held.value).text(_pairs(j))[0])}, "_words")
+        rows = rows.join(joints, "_h", "left").join(words, "_h", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
-        fix = fix_b.value if fix_b is not None else None
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            own = batch.column("_fix").to_pylist() if fix is None else None
-            done = [(t, False, False, False) if not t else repair(t, model, fix if fix is not None else dict(x.split("\t") for x in own[i] or ())) for i, t in enumerate(texts)]
+            own = [all_b.value] * len(texts) if all_b is not None else [_pairs(j) | _pairs(w) for j, w in zip(batch.column("_joints").to_pylist(), batch.column("_words").to_pylist())]
+            done = [repair(t, model, lexicon) if t else (t, False, False, False) for t, lexicon in zip(texts, own)]
             cols = list(zip(*done)) if done else [(), (), (), ()]
             yield pa.record_batch([batch.column("table_name"), batch.column("row_id"), pa.array(cols[0], pa.string()), *(pa.array(c, pa.bool_()) for c in cols[1:])], names=["table_name", "row_id", "text", "broken_word", "misread_word", "furniture"])
 

@@ -47,8 +47,13 @@ def scan_corpus():
         1001: ("The c0ntractor sha1l give notice.", "The contractor shall give notice.", (False, True, False)),
         1002: ("The contractor shall give\n\nPage 3 of 12\n\nnotice of the delay.", "The contractor shall give notice of the delay.", (False, False, True)),
         1003: ("The engineer shall cer¬\nGCC-7\ntify the amount in writing.", "The engineer shall certify the amount in writing.", (True, False, True)),
+        1004: ("The c0ntr-\nGCC-7\nactor shall give notice.", "The contractor shall give notice.", (True, True, True)),
+        1005: ("The works are off-\nshore works, and the well-\nknown engineer shall certify.", "The works are off-shore works, and the well-known engineer shall certify.", (False, False, False)),
+        1006: ("0f the contractor, and 1n the works.", "Of the contractor, and in the works.", (False, True, False)),
     }
     rows += [("t", k, v[0]) for k, v in noisy.items()]
+    rows += [("t", 1500, "The off-shore works, with a well-known engineer, and a state-of-the-art crane.")]  # once each: rare compounds count too
+    rows += [("t", 1600 + i, "The end of the works in writing, in time and of use.") for i in range(12)]
     rows += [("t", 2000 + i, f"The engineer shall certify the\n{f}\namount in writing.") for i, f in enumerate([f"GCC-{n}" for n in range(30)] + [f"Page {n} of 99" for n in range(30)] + [f"- {n} -" for n in range(30)])]
     return rows + [("t", 5000, None), ("t", 5001, ""), ("t", 5001, "")], noisy
 
@@ -66,13 +71,15 @@ def test_scan_repair(spark):
     assert got[5000].text is None and got[5001].text == ""
     # corrections that are too many to hold come by a join, with the same result
     other = {r.row_id: r for r in scanrepair.repaired(df, furniture, scanrepair.Params(least=5, map_entries=0)).collect()}
-    assert {k: v.text for k, v in other.items()} == {k: v.text for k, v in got.items()}
+    assert other == got
     assert scanrepair.repaired(df.where("false"), furniture.where("false")).count() == 0
 
 
 def test_confusions():
     assert {"shall", "modern", "would"} <= scanrepair.meant("sha1l") | scanrepair.meant("modem") | scanrepair.meant("vvou1d")
     assert "before" in scanrepair.meant("bcforc")
+    assert "eeeeeeeex" in scanrepair.meant("eeeeecccx") and "eeeexeeeee" in scanrepair.meant("cccccxcccc".replace("ccccc", "eeeec", 1).replace("cccc", "ceeee")) | scanrepair.meant("eeeexeeeec")
+    assert "of" in scanrepair.meant("0f") and "telecommunicationsinfrastructure" in scanrepair.meant("te1ecommunicationsinfrastructure")
 
 
 def test_truncation(spark):
@@ -81,14 +88,30 @@ def test_truncation(spark):
     cut = ["The works shall beg", "The works shall", "The works […]", "The works shall…", "The works sha�", "The works...", "| a | b |\n|---|---|\n| 1 |", "according to Cl.", "The works, ", "The term applies at once;"]
     df = spark.createDataFrame([("s", t, True) for t in cut] + [("s", t, False) for t in full], "source string, text string, want boolean").withColumn("length", F.lit(1)).withColumn("unit", F.lit("x"))
     none = spark.createDataFrame([], "source string, unit string, length int, n bigint, expected double")
-    bad = truncation.cut_texts(truncation.measured(df), none).where("cut <> want").collect()
+    habit = spark.createDataFrame([], "source string, open_share double, ends_usual boolean")
+    bad = truncation.cut_texts(truncation.measured(df), none, habit).where("cut <> want").collect()
     assert bad == []
     long = ["".join(rng.choice("abc ") for _ in range(200)) + "x" for _ in range(30)]
     rows = [("lim", t[:100]) for t in long] + [("lim", t[: rng.randint(20, 190)]) for t in long] + [("free", t[: rng.randint(20, 190)]) for t in long] + [(None, "x")]
-    found = truncation.limits(truncation.measured(spark.createDataFrame(rows, "source string, text string"))).collect()
+    found = truncation.limits(truncation.histograms(truncation.measured(spark.createDataFrame(rows, "source string, text string")))).collect()
     assert {(r.source, r.unit, r.length) for r in found} == {("lim", "chars", 100), ("lim", "bytes", 100)}
     empty = truncation.measured(df.where("false"))
-    assert truncation.limits(empty).count() == 0 and truncation.cut_texts(empty, none).count() == 0
+    assert truncation.limits(truncation.histograms(empty)).count() == 0 and truncation.detected(empty).count() == 0
+
+
+def test_limits_and_habits_decide_what_is_cut(spark):
+    """A source that ends no text properly has cut texts at its limit alone; without the limit it has none."""
+    rng = random.Random(5)
+    line = lambda n: "".join(rng.choice("abc ") for _ in range(n - 1)) + "x"
+    notes = [line(100) for _ in range(40)] + [line(rng.randint(20, 98)) for _ in range(60)]
+    prose = [line(rng.randint(30, 190)) + "." for _ in range(60)] + [line(rng.randint(30, 190)) for _ in range(9)] + [line(80) for _ in range(20)]
+    df = spark.createDataFrame([("notes", t) for t in notes] + [("prose", t) for t in prose] + [(None, "cut of")], "source string, text string")
+    rows = truncation.measured(df.withColumn("n_ended", F.lit(0)))
+    got = truncation.detected(rows).groupBy("source", "reason").count().collect()
+    assert {(r.source, r.reason): r["count"] for r in got} == {("notes", "limit"): 40, ("notes", None): 60, ("prose", None): 60, ("prose", "open"): 9, ("prose", "limit"): 20, (None, "open"): 1}
+    counts = truncation.histograms(rows)
+    without = truncation.cut_texts(rows, truncation.limits(counts).where("false"), truncation.habits(counts, truncation.limits(counts)))
+    assert without.where("source = 'notes' AND cut").count() == 0
 
 
 def phrases_of(t, n=5):
