@@ -76,9 +76,10 @@ def p5_entities(spark: SparkSession, d: str) -> DataFrame:
 def _block_cuts(spark: SparkSession, d: str) -> DataFrame:
     blocks = table(spark, d, "blocks").where(F.col("kind").isin(*scanrepair.Params().kinds))
     blocks = truncation.measured(blocks.select("block_key", "bundle_id", "page", "idx", "call_key", "text")).dropDuplicates(["block_key"])
-    rows = truncation.with_calls(blocks, table(spark, d, "replay")).withColumn("source", F.col("model"))
-    rows = truncation.cut_texts(rows, truncation.limits(rows))
-    goes = truncation.continued(blocks.select("bundle_id", "page", "idx"), table(spark, d, "pages")).withColumn("_goes", F.lit(True))
+    rows = materialize(truncation.with_calls(blocks, table(spark, d, "replay")).withColumn("source", F.col("model")))
+    blocks = rows.select("bundle_id", "page", "idx")
+    rows = truncation.detected(rows)
+    goes = truncation.continued(blocks, table(spark, d, "pages")).withColumn("_goes", F.lit(True))
     rows = rows.join(goes, ["bundle_id", "page", "idx"], "left")
     return rows.withColumn("cut", F.col("cut") & F.col("_goes").isNull()).drop("_goes")
 
@@ -89,8 +90,7 @@ def _subclause_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _subclause_cuts(spark: SparkSession, d: str) -> DataFrame:
-    rows = _subclause_texts(spark, d)
-    return truncation.cut_texts(rows, truncation.limits(rows))
+    return truncation.detected(materialize(_subclause_texts(spark, d)))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -106,7 +106,7 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_limits(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.limits(_subclause_texts(spark, d))
+    return truncation.limits(truncation.histograms(_subclause_texts(spark, d)))
 
 
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
@@ -164,6 +164,18 @@ ORACLES = {
     "p6_found": f"""WITH b AS (SELECT DISTINCT block_key, bundle_id, page, idx, text, regexp_matches(text, '{_ITEM}') AS is_item FROM blocks WHERE kind IN ('clause', 'paragraph', 'recital', 'table')), {_SUB},
  g AS (SELECT l.bundle_id, l.page, l.idx FROM (SELECT bundle_id, page, max(idx) AS idx FROM b GROUP BY 1, 2) l SEMI JOIN (SELECT bundle_id, page - 1 AS page FROM pages WHERE first_continues) p USING (bundle_id, page))
  SELECT 'blocks' AS table_name, block_key AS row_id FROM b ANTI JOIN g USING (bundle_id, page, idx) WHERE text IS NOT NULL AND trim(text) <> '' AND NOT ({_ENDED}) UNION ALL SELECT 'subclauses', subclause_id FROM s WHERE text IS NOT NULL AND trim(text) <> '' AND NOT ({_ENDED})""",
+    "p6_report": f"""WITH k AS (SELECT DISTINCT ON (cache_key) cache_key, model, finish_reason FROM replay WHERE cache_key IS NOT NULL ORDER BY cache_key, called_at DESC NULLS LAST, model DESC, finish_reason DESC NULLS LAST),
+ b0 AS (SELECT DISTINCT block_key, bundle_id, page, idx, call_key, text, regexp_matches(text, '{_ITEM}') AS is_item FROM blocks WHERE kind IN ('clause', 'paragraph', 'recital', 'table')), {_SUB},
+ g AS (SELECT l.bundle_id, l.page, l.idx FROM (SELECT bundle_id, page, max(idx) AS idx FROM b0 GROUP BY 1, 2) l SEMI JOIN (SELECT bundle_id, page - 1 AS page FROM pages WHERE first_continues) p USING (bundle_id, page)),
+ r0 AS (SELECT 'blocks' AS table_name, model AS source, model, finish_reason, text, is_item, g.idx IS NOT NULL AS goes FROM b0 LEFT JOIN k ON call_key = cache_key LEFT JOIN g USING (bundle_id, page, idx) UNION ALL SELECT 'subclauses', source, NULL, NULL, text, is_item, false FROM s),
+ r AS (SELECT *, coalesce(text IS NOT NULL AND trim(text) <> '', false) AS filled, coalesce(regexp_matches(text, '{_SIGN}'), false) AS signed, coalesce({_ENDED}, false) AS ended FROM r0),
+ u AS (SELECT table_name, source, 'chars' AS unit, length(text)::int AS length, ended FROM r WHERE filled UNION ALL SELECT table_name, source, 'bytes', strlen(text)::int, ended FROM r WHERE filled),
+ c AS (SELECT table_name, source, unit, length, sum((NOT ended)::int) AS n, sum(ended::int) AS e FROM u GROUP BY ALL),
+ l AS (SELECT * FROM (SELECT *, (sum(n) OVER (PARTITION BY table_name, source, unit ORDER BY length RANGE BETWEEN 12 PRECEDING AND 12 FOLLOWING) - n) / 24 AS x FROM c WHERE n > 0) WHERE n >= 5 AND n > x + 6 * sqrt(greatest(x, 0.25))),
+ h AS (SELECT c.table_name, c.source, sum(c.n + c.e) < 20 OR sum(c.n) <= 0.5 * sum(c.n + c.e) AS usual FROM c WHERE unit = 'chars' AND NOT EXISTS (SELECT 1 FROM l WHERE l.table_name = c.table_name AND l.source IS NOT DISTINCT FROM c.source AND l.unit = 'chars' AND l.length = c.length) GROUP BY 1, 2),
+ f AS (SELECT r.*, filled AND EXISTS (SELECT 1 FROM l WHERE l.table_name = r.table_name AND l.source IS NOT DISTINCT FROM r.source AND l.length = CASE l.unit WHEN 'chars' THEN length(text) ELSE strlen(text) END) AS lim, coalesce(h.usual, true) AS usual FROM r LEFT JOIN h ON h.table_name = r.table_name AND h.source IS NOT DISTINCT FROM r.source),
+ o AS (SELECT table_name, CASE WHEN table_name = 'subclauses' THEN source END AS source, model, finish_reason, filled AND NOT goes AND (signed OR (NOT ended AND (lim OR usual))) AS cut, lim FROM f)
+ SELECT table_name, source, model, finish_reason, count(*) AS n_records, sum(cut::int)::bigint AS n_cut, sum((cut AND lim)::int)::bigint AS n_at_limit, sum(cut::int) / count(*) AS share_cut FROM o GROUP BY 1, 2, 3, 4""",
     "p6_limits": f"""WITH {_SUB}, t AS (SELECT source, text FROM s WHERE text IS NOT NULL AND text <> '' AND NOT ({_ENDED})), u AS (SELECT source, 'chars' AS unit, length(text)::int AS length FROM t UNION ALL SELECT source, 'bytes', strlen(text)::int FROM t), c AS (SELECT source, unit, length, count(*) AS n FROM u GROUP BY 1, 2, 3),
  e AS (SELECT *, (sum(n) OVER (PARTITION BY source, unit ORDER BY length RANGE BETWEEN 12 PRECEDING AND 12 FOLLOWING) - n) / 24 AS expected FROM c) SELECT source, unit, length, n, expected FROM e WHERE n >= 5 AND n > expected + 6 * sqrt(greatest(expected, 0.25))""",
     "p2_found": "SELECT DISTINCT clause_id, 'text' AS field_name FROM clauses WHERE length(text) > 2000 UNION SELECT DISTINCT clause_id, 'full_text' FROM clauses WHERE length(full_text) > 2000",

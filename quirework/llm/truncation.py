@@ -1,9 +1,10 @@
 """Texts cut off by a field limit or in transfer.
 
-Lengths of texts without a proper end are counted per source, in characters and in bytes. A length that far
-more of them have than the lengths around it is a limit of the source. A text is cut if it stops inside a
-word or sentence: at a limit, with a sign of omission, or without an end. Everything is native SQL; counts
-are made before anything is shuffled.
+Lengths of texts are counted per source, in characters and in bytes, apart for those with and without a proper
+end. A length that far more unended texts have than the lengths around it is a limit of the source. The lengths
+off the limits tell the source's habit: whether its whole texts end properly. A text is cut if it has a sign of
+omission, if it has no end at a limit of its source, or if it has no end off the limits where the source's whole
+texts have one. Everything is native SQL; counts are made before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -53,36 +54,59 @@ def measured(texts: DataFrame) -> DataFrame:
     return texts.select(*(c for c in texts.columns if c not in ("text", "is_item", *MEASURES)), zero(F.length(t)).alias("n_chars"), zero(F.octet_length(t)).alias("n_bytes"), F.coalesce(has_sign(t), F.lit(False)).alias("signed"), F.coalesce(ended, F.lit(False)).alias("ended"))
 
 
-def limits(rows: DataFrame, least: int = 5, around: int = 12, sigmas: float = 6.0) -> DataFrame:
-    """``(source, unit, length, n, expected)``: lengths at which a source cuts texts off.
+def histograms(rows: DataFrame) -> DataFrame:
+    """``(source, unit, length, n_unended, n_ended)``: texts by their length in ``chars`` and ``bytes``. ``rows``: ``source`` and the
+    columns of :func:`measured`; null and blank texts are no part of it."""
+    unit = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("n_chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.col("n_bytes").alias("length"))))
+    counts = rows.where("n_chars > 0").groupBy("source", "n_chars", "n_bytes").agg(F.sum((~F.col("ended")).cast("long")).alias("u"), F.sum(F.col("ended").cast("long")).alias("e"))
+    return counts.select("source", unit.alias("x"), "u", "e").groupBy("source", "x.unit", "x.length").agg(F.sum("u").alias("n_unended"), F.sum("e").alias("n_ended"))
+
 
-    ``rows``: ``source`` and the columns of :func:`measured`. For each source the unended texts are counted by length, in ``chars`` and
-    ``bytes``; a length is a limit if its count is at least ``least`` and exceeds the mean of the lengths
+def limits(counts: DataFrame, least: int = 5, around: int = 12, sigmas: float = 6.0) -> DataFrame:
+    """``(source, unit, length, n, expected)``: lengths at which a source cuts texts off, from its :func:`histograms`.
+
+    A length is a limit if at least ``least`` unended texts have it and their number exceeds the mean of the lengths
     within ``around`` of it (itself left out, lengths without a text counting as 0) by ``sigmas`` standard
     deviations of a Poisson count.
     """
-    t = rows.where("n_chars > 0 AND NOT ended")
-    unit = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("n_chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.col("n_bytes").alias("length"))))
-    counts = t.select("source", unit.alias("u")).groupBy("source", "u.unit", "u.length").agg(F.count("*").alias("n"))
     near = W.partitionBy("source", "unit").orderBy("length").rangeBetween(-around, around)
+    counts = counts.where("n_unended > 0").select("source", "unit", "length", F.col("n_unended").alias("n"))
     counts = counts.withColumn("expected", (F.sum("n").over(near) - F.col("n")) / (2 * around))
     return counts.where((F.col("n") >= least) & (F.col("n") > F.col("expected") + sigmas * F.sqrt(F.greatest(F.col("expected"), F.lit(0.25)))))
 
 
-def cut_texts(rows: DataFrame, limits_of: DataFrame) -> DataFrame:
+def habits(counts: DataFrame, limits_of: DataFrame, usual: float = 0.5, enough: int = 20) -> DataFrame:
+    """``(source, open_share, ends_usual)``: the share of unended texts off the source's limits, and whether whole texts of the
+    source end properly: false only if the share is above ``usual`` among at least ``enough`` texts."""
+    off = counts.where("unit = 'chars'").join(limits_of.where("unit = 'chars'").select(F.col("source").alias("_s"), F.col("length").alias("_l")), F.col("source").eqNullSafe(F.col("_s")) & (F.col("length") == F.col("_l")), "left_anti")
+    n = F.sum(F.col("n_unended") + F.col("n_ended"))
+    sums = off.groupBy("source").agg(F.sum("n_unended").alias("_u"), n.alias("_n"))
+    return sums.select("source", (F.col("_u") / F.col("_n")).alias("open_share"), ((F.col("_n") < enough) | (F.col("_u") <= usual * F.col("_n"))).alias("ends_usual"))
+
+
+def cut_texts(rows: DataFrame, limits_of: DataFrame, habits_of: DataFrame) -> DataFrame:
     """``rows`` with ``cut``, ``reason`` (``sign``, ``limit``, ``open`` or null) and ``at_limit`` in place of the measures.
 
-    ``rows`` has ``source``, the columns of :func:`measured` and any others. Null and blank texts are not cut.
-    ``limits_of`` is aggregated (a few rows per source) and joined by source and length.
+    ``rows`` has ``source``, the columns of :func:`measured` and any others. Null and blank texts are not cut. Without
+    an end a text is cut at a limit of its source (``limit``), and off the limits if the source's whole texts end
+    properly (``open``). ``limits_of`` and ``habits_of`` are aggregated (a few rows per source) and joined by source.
     """
     side = lambda unit, s, n, flag: limits_of.where(F.col("unit") == unit).select(F.col("source").alias(s), F.col("length").alias(n), F.lit(True).alias(flag))
     df = rows.join(side("chars", "_s1", "_l1", "_c"), F.col("source").eqNullSafe(F.col("_s1")) & (F.col("n_chars") == F.col("_l1")), "left")
     df = df.join(side("bytes", "_s2", "_l2", "_b"), F.col("source").eqNullSafe(F.col("_s2")) & (F.col("n_bytes") == F.col("_l2")), "left")
+    df = df.join(habits_of.select(F.col("source").alias("_s3"), F.col("ends_usual").alias("_u")), F.col("source").eqNullSafe(F.col("_s3")), "left")
     there = F.col("n_chars") > 0
     limit = F.coalesce("_c", F.lit(False)) | F.coalesce("_b", F.lit(False))
-    reason = F.when(~there, None).when(F.col("signed"), "sign").when(F.col("ended"), None).when(limit, "limit").otherwise("open")
+    reason = F.when(~there, None).when(F.col("signed"), "sign").when(F.col("ended"), None).when(limit, "limit").when(F.coalesce("_u", F.lit(True)), "open")
     df = df.withColumn("reason", reason).withColumn("at_limit", there & limit)
-    return df.withColumn("cut", F.col("reason").isNotNull()).drop(*MEASURES, "_s1", "_l1", "_c", "_s2", "_l2", "_b")
+    return df.withColumn("cut", F.col("reason").isNotNull()).drop(*MEASURES, "_s1", "_l1", "_c", "_s2", "_l2", "_b", "_s3", "_u")
+
+
+def detected(rows: DataFrame) -> DataFrame:
+    """:func:`cut_texts` by the limits and habits of ``rows`` themselves (best written before: they are read several times)."""
+    counts = histograms(rows)
+    found = limits(counts)
+    return cut_texts(rows, found, habits(counts, found))
 
 
 def continued(blocks: DataFrame, pages: DataFrame) -> DataFrame:
@@ -93,8 +117,10 @@ def continued(blocks: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def with_calls(blocks: DataFrame, replay: DataFrame, key: str = "call_key") -> DataFrame:
-    """``blocks`` with ``model`` and ``finish_reason`` of their call; null where the call is unknown."""
-    calls = replay.where("cache_key IS NOT NULL").groupBy("cache_key").agg(F.first("model").alias("model"), F.first("finish_reason").alias("finish_reason"))
+    """``blocks`` with ``model`` and ``finish_reason`` of their call, of the latest one where a key was called again; null where the
+    call is unknown. Blocks without a key are kept out of the join."""
+    latest = F.max(F.struct("called_at", "model", "finish_reason"))
+    calls = replay.where("cache_key IS NOT NULL").groupBy("cache_key").agg(latest.alias("_c")).select("cache_key", "_c.model", "_c.finish_reason")
     known = blocks.where(F.col(key).isNotNull()).join(calls, F.col(key) == F.col("cache_key"), "left").drop("cache_key")
     none = F.lit(None).cast("string")
     return known.unionByName(blocks.where(F.col(key).isNull()).select("*", none.alias("model"), none.alias("finish_reason")))
