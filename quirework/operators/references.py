@@ -1,9 +1,11 @@
 """References by name to records that do not exist, as signed counts.
 
-References and records become deltas per key: a record counts +1 from its creation and -1 from its deletion,
-a reference asks at the time it was checked. A key whose existence count is zero at that time leaves the
-reference dangling. The running count is formed in two steps, over days and within a day, so that a key with
-very many deltas is spread over tasks.
+References and records become deltas of two counts per key: a record adds 1 to the existence count when it is
+created and takes it away when it is deleted, a reference does so with the reference count when it is made (for
+a page: checked) and withdrawn. A key with a positive reference count and no existence is an orphan. The counts
+up to now are sums of the deltas, in batch or as the state of a stream (:func:`signed_counts`); those at the time
+of each delta are running sums (:func:`states`), formed in two steps, over days and within a day, so that a key
+with very many deltas is spread over tasks.
 """
 
 from __future__ import annotations
@@ -66,46 +68,68 @@ def clause_deltas(clauses: DataFrame) -> DataFrame:
 
 
 KEY = ["bundle_id", "kind", "idx"]
+DELTAS = "bundle_id string, kind string, idx string, at timestamp, refs bigint, existing bigint"
 
 
-def existence_at(refs: DataFrame, deltas: DataFrame) -> DataFrame:
-    """``refs`` with ``existing``: records of the reference's key that exist at its time (a delta at the same time counts).
+def changes(refs: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Deltas of both counts, :data:`DELTAS` and what else ``refs`` has (null for records).
 
-    References without a time, or with a null key, have 0.
+    ``refs``: key, ``at`` and, if references can be withdrawn, ``withdrawn_at``; ``deltas`` as of :func:`clause_deltas`.
+    The withdrawal of a reference is a delta of its own, of which the other columns are null.
     """
-    cols = [c for c in refs.columns if c not in (*KEY, "at")]
-    deltas = deltas.groupBy(*KEY, "at").agg(F.sum("delta").alias("delta"))
-    events = deltas.select(*KEY, "at", "delta", F.lit(0).alias("asks"), *(F.lit(None).cast(refs.schema[c].dataType).alias(c) for c in cols))
-    events = events.unionByName(refs.select(*KEY, "at", F.lit(0).cast("long").alias("delta"), F.lit(1).alias("asks"), *cols)).withColumn("day", F.to_date("at"))
-    within = W.partitionBy(*KEY, "day").orderBy("at", "asks").rowsBetween(W.unboundedPreceding, 0)
-    days = deltas.groupBy(*KEY, F.to_date("at").alias("day")).agg(F.sum("delta").alias("net"))
-    asked = refs.select(*KEY, F.to_date("at").alias("day")).distinct().withColumn("net", F.lit(0).cast("long"))
-    days = days.unionByName(asked).groupBy(*KEY, "day").agg(F.sum("net").alias("net"))
-    before = days.withColumn("before", F.sum("net").over(W.partitionBy(*KEY).orderBy("day").rowsBetween(W.unboundedPreceding, 0)) - F.col("net")).drop("net")
-    got = events.withColumn("run", F.sum("delta").over(within)).where("asks = 1").alias("e")
-    got = got.join(before.alias("b"), [F.col(f"e.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*KEY, "day")], "left")
-    existing = F.when(F.col("e.at").isNull() | F.col("e.bundle_id").isNull(), 0).otherwise(F.col("run") + F.coalesce("b.before", F.lit(0)))
-    return got.select(*(F.col(f"e.{c}").alias(c) for c in refs.columns), existing.cast("long").alias("existing"))
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    cols = [c for c in refs.columns if c not in (*KEY, "at", "withdrawn_at")]
+    none = [F.lit(None).cast(refs.schema[c].dataType).alias(c) for c in cols]
+    out = refs.select(*KEY, "at", one.alias("refs"), zero.alias("existing"), *cols)
+    if "withdrawn_at" in refs.columns:
+        out = out.unionByName(refs.where("withdrawn_at IS NOT NULL").select(*KEY, F.col("withdrawn_at").alias("at"), (-one).alias("refs"), zero.alias("existing"), *none))
+    return out.unionByName(deltas.groupBy(*KEY, "at").agg(F.sum("delta").alias("existing")).select(*KEY, "at", zero.alias("refs"), "existing", *none))
+
+
+def states(changed: DataFrame) -> DataFrame:
+    """``changed`` with ``n_refs`` and ``n_existing``: the counts of each delta's key at its time, all deltas of that time included.
+
+    Deltas without a time or a bundle change nothing and have the counts 0. Nulls in the rest of a key are a value of their own.
+    """
+    rows = changed.withColumn("day", F.to_date("at"))
+    known = F.col("at").isNotNull() & F.col("bundle_id").isNotNull()
+    within = W.partitionBy(*KEY, "day").orderBy("at").rangeBetween(W.unboundedPreceding, 0)
+    days = rows.where(known).groupBy(*KEY, "day").agg(F.sum("refs").alias("r"), F.sum("existing").alias("e"))
+    up_to = W.partitionBy(*KEY).orderBy("day").rowsBetween(W.unboundedPreceding, 0)
+    before = days.select(*KEY, "day", (F.sum("r").over(up_to) - F.col("r")).alias("_r"), (F.sum("e").over(up_to) - F.col("e")).alias("_e"))
+    rows = rows.where(known).withColumn("n_refs", F.sum("refs").over(within)).withColumn("n_existing", F.sum("existing").over(within))
+    # null-safe also because a plain join would have the long expressions of the keys tested for null in every scan
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in (*KEY, "day")]
+    rows = rows.alias("x").join(before.alias("y"), same).select(*(F.col(f"x.{c}") for c in changed.columns), (F.col("n_refs") + F.col("_r")).alias("n_refs"), (F.col("n_existing") + F.col("_e")).alias("n_existing"))
+    zero = F.lit(0).cast("long")
+    lost = changed.where(~known).withColumn("n_refs", zero).withColumn("n_existing", zero)
+    return rows.unionByName(lost)
+
+
+ORPHAN = "n_refs > 0 AND n_existing <= 0"  #: references, but no record
+
+
+def made(pages: DataFrame, clauses: DataFrame) -> DataFrame:
+    """Each reference with the counts of its key when it was made, and ``dangling``: it then was an orphan, or its time is not known."""
+    rows = states(changes(page_references(pages), clause_deltas(clauses))).where("refs > 0")
+    return rows.withColumn("dangling", F.expr(ORPHAN) | F.col("at").isNull() | F.col("bundle_id").isNull())
 
 
 def dangling(pages: DataFrame, clauses: DataFrame) -> DataFrame:
     """``(page_id, ref_pos, bundle_id, kind, idx, at)`` of the references whose target does not exist when checked."""
-    return existence_at(page_references(pages), clause_deltas(clauses)).where("existing <= 0").drop("existing")
+    return made(pages, clauses).where("dangling").select("page_id", "ref_pos", *KEY, "at")
 
 
 def dangling_report(pages: DataFrame, clauses: DataFrame) -> DataFrame:
     """Per kind of target and month of the check: references, dangling ones and their share."""
-    rows = existence_at(page_references(pages), clause_deltas(clauses))
     table = F.when(F.col("kind") == "clause", "clauses").otherwise("attachments")
-    bad = F.sum((F.col("existing") <= 0).cast("long"))
-    return rows.groupBy(table.alias("table_name"), "kind", F.date_format("at", "yyyy-MM").alias("month")).agg(F.count("*").alias("n_references"), bad.alias("n_dangling"), (bad / F.count("*")).alias("share"))
+    bad = F.sum(F.col("dangling").cast("long"))
+    return made(pages, clauses).groupBy(table.alias("table_name"), "kind", F.date_format("at", "yyyy-MM").alias("month")).agg(F.count("*").alias("n_references"), bad.alias("n_dangling"), (bad / F.count("*")).alias("share"))
 
 
-def signed_counts(refs: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Per key the current reference and existence counts; positive references with zero existence are orphans.
+def signed_counts(changed: DataFrame) -> DataFrame:
+    """Per key the reference and existence counts after all deltas; see :data:`ORPHAN`.
 
-    Counts are sums of signed deltas, so further deltas can be added to a stored result.
+    Sums of signed deltas: further ones can be added to a stored result, and the same plan runs on a stream.
     """
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    both = refs.select(*KEY, one.alias("refs"), zero.alias("existing")).unionByName(deltas.select(*KEY, zero.alias("refs"), F.col("delta").cast("long").alias("existing")))
-    return both.groupBy(*KEY).agg(F.sum("refs").alias("n_refs"), F.sum("existing").alias("n_existing"))
+    return changed.groupBy(*KEY).agg(F.sum("refs").alias("n_refs"), F.sum("existing").alias("n_existing"))

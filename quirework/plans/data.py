@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quirework.operators import nested, references
-from quirework.runtime import table
+from quirework.runtime import shared_folder, table
+from quirework.streaming import orphans
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -34,10 +37,25 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_current(spark: SparkSession, d: str) -> DataFrame:
     refs, deltas = references.page_references(table(spark, d, "pages")), references.clause_deltas(table(spark, d, "clauses"))
-    return references.signed_counts(refs, deltas).where("n_refs > 0 AND n_existing <= 0")
+    return references.signed_counts(references.changes(refs, deltas)).where(references.ORPHAN)
+
+
+def p7_streamed(spark: SparkSession, d: str) -> DataFrame:
+    """The orphans of p7_current as the state of a stream: the deltas arrive as files, and a streaming query adds them up."""
+    folder = f"{shared_folder(spark).rstrip('/')}/quirework-{uuid.uuid4().hex}"
+    refs, deltas = references.page_references(table(spark, d, "pages")), references.clause_deltas(table(spark, d, "clauses"))
+    references.changes(refs, deltas).select(*references.KEY, "at", "refs", "existing").write.parquet(f"{folder}/deltas")
+    counts = orphans.current(orphans.read(spark, f"{folder}/deltas"))
+    name = f"orphans_{uuid.uuid4().hex}"
 
+    def keep(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/{name}")
 
-QUERIES = {q.__name__: q for q in (p4_found, p4_divisions, p4_units, p4_children, p7_found, p7_report, p7_current)}
+    counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/{name}").where(references.ORPHAN)
+
+
+QUERIES = {q.__name__: q for q in (p4_found, p4_divisions, p4_units, p4_children, p7_found, p7_report, p7_current, p7_streamed)}
 
 _P4 = """
 WITH RECURSIVE n(contract_id, parent_path, node_path, node) AS (
@@ -75,8 +93,11 @@ marks AS (
 states AS (SELECT r.*, NOT EXISTS (SELECT 1 FROM marks m WHERE m.bundle_id = r.bundle_id AND m.kind = r.kind AND m.idx = r.idx AND m.created_at <= r.asked AND (m.deleted_at IS NULL OR m.deleted_at > r.asked)) AS dangles FROM refs r)
 """
 
+_CURRENT = f"WITH {_REFS} SELECT bundle_id, kind, idx, count(*) AS n_refs, 0::bigint AS n_existing FROM refs r WHERE NOT EXISTS (SELECT 1 FROM marks m WHERE m.bundle_id = r.bundle_id AND m.kind = r.kind AND m.idx = r.idx AND m.created_at IS NOT NULL AND m.deleted_at IS NULL) GROUP BY 1, 2, 3"
+
 ORACLES = {
-    "p7_current": f"WITH {_REFS} SELECT bundle_id, kind, idx, count(*) AS n_refs, 0::bigint AS n_existing FROM refs r WHERE NOT EXISTS (SELECT 1 FROM marks m WHERE m.bundle_id = r.bundle_id AND m.kind = r.kind AND m.idx = r.idx AND m.created_at IS NOT NULL AND m.deleted_at IS NULL) GROUP BY 1, 2, 3",
+    "p7_current": _CURRENT,
+    "p7_streamed": _CURRENT,
     "p4_found": _P4,
     "p7_found": f"WITH {_REFS} SELECT DISTINCT page_id, ref_pos FROM states WHERE dangles",
     "p7_report": f"WITH {_REFS} SELECT CASE WHEN kind = 'clause' THEN 'clauses' ELSE 'attachments' END AS table_name, kind, strftime(asked, '%Y-%m') AS month, count(*) AS n_references, sum(dangles::bigint)::bigint AS n_dangling, sum(dangles::bigint) / count(*) AS share FROM states GROUP BY ALL",

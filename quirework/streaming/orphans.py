@@ -1,22 +1,21 @@
-"""Orphan counts kept up to date from a stream of deltas.
+"""Orphans kept up to date from a stream of deltas.
 
-Each delta adds to the reference or the existence count of its key; the running sums are the state. Late deltas
-are ordinary ones, so no watermark is needed and no state may expire.
+The state of a key are the running sums of its signed deltas, by the function that the batch query uses. Late
+deltas are ordinary ones, so no watermark is needed and no state may expire.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-SCHEMA = "bundle_id string, kind string, idx string, refs bigint, existing bigint"
+from quirework.operators import references
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Deltas that arrive as parquet files of :data:`SCHEMA`."""
-    return spark.readStream.schema(SCHEMA).parquet(path)
+    """Deltas that arrive as parquet files of :data:`quirework.operators.references.DELTAS`."""
+    return spark.readStream.schema(references.DELTAS).parquet(path)
 
 
 def current(deltas: DataFrame) -> DataFrame:
-    """Counts per key; keys with ``n_refs > 0`` and ``n_existing <= 0`` are orphans. For update or complete output."""
-    return deltas.groupBy("bundle_id", "kind", "idx").agg(F.sum("refs").alias("n_refs"), F.sum("existing").alias("n_existing"))
+    """Counts per key, for update or complete output; those of :data:`quirework.operators.references.ORPHAN` are orphans."""
+    return references.signed_counts(deltas)

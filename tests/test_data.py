@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from quirework.operators import nested, references
 from quirework.operators.components import components
+from quirework.streaming import orphans
 from tools.compare import KNOWN, plain
 
 
@@ -55,15 +56,27 @@ def test_dangling_references(spark):
     assert references.dangling(p.where("false"), c).count() == 0
 
 
-def test_streamed_counts(spark, tmp_path):
-    from quirework.streaming import orphans
-
+def test_orphans_by_query_state_and_stream_agree(spark, tmp_path):
+    """As of the last delta, the running states, the summed counts and the stream give the same orphans; a withdrawn reference counts no more."""
+    t = lambda day: datetime(2024, 1, day)
+    refs = [(1, "B", "clause", "1", t(3), None), (2, "B", "clause", "1", t(4), t(6)), (3, "B", "clause", "2", t(3), t(5)), (4, "B", "form", "1", t(2), None), (5, "B", "form", "2", t(9), None), (6, None, "form", "2", t(9), None), (7, "B", "form", "3", None, None)]
+    deltas = [("B", "clause", "1", t(1), 1), ("B", "clause", "1", t(7), -1), ("B", "form", "1", t(1), 1), ("B", "form", "2", t(9), 1), ("B", "form", "2", t(9), 1)]
+    r = spark.createDataFrame(refs, "page_id long, bundle_id string, kind string, idx string, at timestamp, withdrawn_at timestamp")
+    changed = references.changes(r, spark.createDataFrame(deltas, "bundle_id string, kind string, idx string, at timestamp, delta int"))
+    now = {(x.bundle_id, x.kind, x.idx): (x.n_refs, x.n_existing) for x in references.signed_counts(changed.where("at IS NOT NULL AND bundle_id IS NOT NULL")).collect()}
+    assert now == {("B", "clause", "1"): (1, 0), ("B", "clause", "2"): (0, 0), ("B", "form", "1"): (1, 1), ("B", "form", "2"): (1, 2)}
+    got = references.states(changed).collect()
+    last: dict = {}
+    for x in sorted((x for x in got if x.at and x.bundle_id), key=lambda x: x.at):
+        last[x.bundle_id, x.kind, x.idx] = (x.n_refs, x.n_existing)
+    assert last == now and len(got) == changed.count()
+    assert {x.page_id: (x.n_refs, x.n_existing) for x in got if x.refs > 0} == {1: (1, 1), 2: (2, 1), 3: (1, 0), 4: (1, 1), 5: (1, 2), 6: (0, 0), 7: (0, 0)}
     src = str(tmp_path / "deltas")
-    spark.createDataFrame([("B", "clause", "1", 1, 0), ("B", "clause", "1", 0, 1), ("B", "clause", "2", 1, 0)], orphans.SCHEMA).write.parquet(src)
+    changed.select(*references.KEY, "at", "refs", "existing").where("at IS NOT NULL AND bundle_id IS NOT NULL").write.parquet(src)
     q = orphans.current(orphans.read(spark, src)).writeStream.outputMode("complete").format("memory").queryName("orphans").start()
     q.processAllAvailable()
     q.stop()
-    assert [(r.idx, r.n_refs, r.n_existing) for r in spark.sql("SELECT * FROM orphans WHERE n_refs > 0 AND n_existing <= 0").collect()] == [("2", 1, 0)]
+    assert {(x.bundle_id, x.kind, x.idx): (x.n_refs, x.n_existing) for x in spark.sql("SELECT * FROM orphans").collect()} == now
 
 
 def test_components(spark):
