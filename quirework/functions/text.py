@@ -161,17 +161,27 @@ def display_number(marker: Column, title: Column, most: int = 160) -> Column:
 
 
 def trim_embedded_section(c: Column, least: int = 10) -> Column:
-    """Cut a glued-on ``SECTION n`` if at least ``least`` characters stand before it."""
-    before = F.regexp_extract(c, r"(?is)^(.*?)[\s,;:-]*\bsection\s+[0-9ivxlc]+\b.*$", 1)
-    return F.when(F.length(F.trim(before)) >= least, F.trim(before)).otherwise(c)
-
-
-def heading_title(text: Column, most: int = 90) -> Column:
-    """First line without its marker, cut at the first ``.``, ``:`` or ``;`` before a space; null if longer than ``most``."""
-    line = F.element_at(F.split(F.trim(text), "\n"), 1)
-    line = F.regexp_replace(line, r"^\s*(?:\(?[A-Za-z0-9]{1,4}\)|\d+(?:\.\d+)*\.?)\s*", "")
-    head = F.trim(F.element_at(F.split(line, r"[.:;]\s"), 1))
-    return F.when((head != "") & (F.length(head) <= most), head)
+    """The text before a ``SECTION`` with a digit that stands behind at least ``least`` characters, even without a space before it.
+
+    A title that begins with its own section number keeps it.
+    """
+    cut = F.regexp_replace(c, r"(?is)(?<=\S)\s*section\s*-?\s*\d.*$", "")
+    before = F.trim(cut)
+    return F.when((F.length(before) >= least) & (F.length(cut) < F.length(c)), before).otherwise(c)
+
+
+def heading_title(text: Column, marker: Column | None = None, most: int = 90) -> Column:
+    """Display title of a heading block: its first line without its marker, up to the first ``.``, ``:`` or ``;`` before a space, that
+    mark included. If that is longer than ``most`` characters the line is cut there. Null for no text."""
+    line = clean(F.element_at(F.split(F.trim(F.coalesce(text, F.lit(""))), r"\r\n|[\n\r]"), 1))
+    if marker is not None:
+        m = clean(marker)
+        bare = F.regexp_replace(F.substring(line, F.length(m) + 1, F.length(line)), r"^[ .:)-]+", "")
+        line = F.when((m != "") & F.startswith(F.lower(line), F.lower(m)), bare).otherwise(line)
+    sentence = F.regexp_extract(line, r"^(.*?[.:;])\s", 1)
+    head = F.when(sentence == "", line).otherwise(sentence)
+    title = F.trim(F.when(F.length(head) <= most, head).otherwise(F.substring(line, 1, most)))
+    return F.when(title != "", title)
 
 
 def is_heading(text: Column) -> Column:

@@ -8,6 +8,7 @@ made per node or division.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,6 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quirework.functions.numbering import normalize_marker
+from quirework.functions.text import _clean
+
 NON_BODY = ("header", "footer", "page_number")
 ANNOTATIONS = ("stamp_or_seal", "signature_block")
 SEPARATOR = re.compile(r"^\s*\|?\s*:?-{2,}:?\s*(?:\|\s*:?-{2,}:?\s*)*\|?\s*$")
@@ -109,92 +113,108 @@ def node_texts(blocks: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 
 # ---- texts of units that share pages ----
 
-_HEAD = re.compile(r"^\s*(?:section|part)\s+([0-9]+|[ivxlc]+|[a-z])\b", re.I)
-
-
-def section_number(marker: str | None, text: str | None) -> str | None:
-    """Number of a SECTION or PART heading, from the marker or the first 40 characters."""
-    for s in (marker, (text or "")[:40]):
-        m = _HEAD.match(s or "")
-        if m:
-            return m[1].lower()
-    return None
+# A section's or part's number at the begin of a marker or heading, kinds of blocks that begin no unit, and
+# how many pages outside a clause's own a sub-clause is still taken for its.
+SECTION = re.compile(r"\s*(?:section|part)\b\s*[-.:]?\s*(?:no\.?\s*)?([0-9]+|[ivxlcdm]+|[a-z])\b", re.I)
+NO_HEADING = ("paragraph", "table", "signature", "stamp")
+MARGIN = 2
+FRONT = ("preamble", "whole")
 
 
-def _bare(marker: str | None) -> str:
-    return re.sub(r"^(?:clause|article)\s*", "", (marker or "").strip().lower()).strip("(). ")
+def section_number(text: str | None) -> str | None:
+    """Number of the SECTION or PART that a marker or heading begins with, without leading zeros."""
+    m = SECTION.match(_clean(text))
+    return (m[1].lower().lstrip("0") or "0") if m else None
 
 
-def starts_unit(block: dict, unit: dict, lists_too: bool) -> bool:
-    """The block is the unit's own heading: kind, and the same marker or section number."""
-    if block["kind"] not in ("heading", "clause", *(("list_item",) if lists_too else ())):
+def starts_unit(block: dict, unit: dict, lists_too: bool = False) -> bool:
+    """The block is the unit's own heading: same canonical marker (``key``), or the same section number in its marker or text."""
+    if not unit["marker"] or block["kind"] in NO_HEADING or (block["kind"] == "list_item" and not lists_too):
         return False
-    if unit["kind"] == "section":
-        want = section_number(unit["marker"], unit["title"]) or _bare(unit["marker"])
-        return section_number(block["marker"], block["text"]) == want
-    return bool(_bare(unit["marker"])) and _bare(block["marker"]) == _bare(unit["marker"])
+    if block["key"] and block["key"] == unit["key"]:
+        return True
+    want = section_number(unit["marker"])
+    return want is not None and want in (section_number(block["marker"]), section_number((block["text"] or "")[:40]))
 
 
-def distribute(units: list[dict], blocks: list[dict]) -> list[int]:
-    """Unit (its position) of each block of a division, in reading order.
+def distribute(units: list[dict], blocks: list[dict], level: str = "clause") -> list[list[int]]:
+    """The blocks (their positions) of each unit of a division, in order; each block is looked at a bounded number of times.
 
-    A page belongs to the last unit that starts before it, or on it; on a page where units start, each takes the
-    blocks from its own heading on, where that is found. Where two or more numbered units start on a page, list
-    items may be headings. Blocks that come before a unit's heading go back to the unit before.
+    Blocks go to the unit that owns their page; on a page where the next unit starts they go to it from its heading
+    on. What stands before a unit's heading then goes back to the unit before. Where the leaves are clauses with
+    numbers of their own, a sub-clause ``x.y`` goes, with what follows it, to clause ``x`` if that is near. What
+    stands before the heading of a first unit is front matter and goes to none.
     """
-    owner = []
-    for b in blocks:
-        at = [i for i, u in enumerate(units) if u["page_start"] <= b["page"]]
-        owner.append(max(at) if at else 0)
-    for page in sorted({b["page"] for b in blocks}):
-        here = [i for i, u in enumerate(units) if u["page_start"] == page]
-        if not here:
-            continue
-        dense = sum(units[i]["kind"] != "preamble" for i in here) >= 2
-        on = [k for k, b in enumerate(blocks) if b["page"] == page]
-        first_owner = min(here) - 1 if min(here) > 0 else min(here)
-        cur, todo = first_owner if min(here) > 0 else here[0], list(here)
-        found_any = False
-        for k in on:
-            hit = next((i for i in todo if units[i]["kind"] != "preamble" and starts_unit(blocks[k], units[i], dense)), None)
-            if hit is not None:
-                cur, found_any = hit, True
-                todo = [i for i in todo if i > hit]
-            owner[k] = cur
-        if not found_any:
-            for k in on:
-                owner[k] = max(here) if len(here) == 1 else here[0]
-    return owner
+    own: list[list[int]] = [[] for _ in units]
+    if not units:
+        return own
+    starting = Counter(u["page_start"] for u in units if u["kind"] not in FRONT)
+    at = 0
+    for k, b in enumerate(blocks):
+        while at + 1 < len(units) and b["page"] > units[at]["page_end"]:
+            at += 1
+        dense = starting[b["page"]] >= 2
+        while at + 1 < len(units) and units[at + 1]["page_start"] == b["page"] and starts_unit(b, units[at + 1], dense and units[at]["kind"] not in FRONT):
+            at += 1
+        own[at].append(k)
+    for i in range(1, len(units)):
+        head = next((j for j, k in enumerate(own[i]) if starts_unit(blocks[k], units[i])), 0)
+        own[i - 1] += own[i][:head]
+        own[i] = own[i][head:]
+    numbers = [_number(u["key"]) for u in units if u["kind"] == "clause"]
+    if level == "clause" and numbers and None not in numbers and len(set(numbers)) == len(numbers):
+        clause = {_number(u["key"]): i for i, u in enumerate(units) if u["kind"] == "clause"}
+        moved: list[list[int]] = [[] for _ in units]
+        for i, u in enumerate(units):
+            to = i
+            for k in own[i]:
+                if u["kind"] == "clause" and (sub := SUBCLAUSE.fullmatch(blocks[k]["key"] or "")) and (j := clause.get(sub[1])) is not None:
+                    if units[j]["page_start"] - MARGIN <= blocks[k]["page"] <= units[j]["page_end"] + MARGIN:
+                        to = j
+                moved[to].append(k)
+        own = [sorted(ks, key=lambda k: blocks[k]["page"]) for ks in moved] if moved != own else own
+    if units[0]["kind"] not in FRONT:
+        own[0] = own[0][next((j for j, k in enumerate(own[0]) if starts_unit(blocks[k], units[0], True)), 0) :]
+    return own
+
+
+SUBCLAUSE = re.compile(r"\(?(\d+)\)?\.\d+(?:\.\d+)*")
+
+
+def _number(key: str | None) -> str | None:
+    m = re.fullmatch(r"\(?(\d+)\)?", key or "")
+    return m[1] if m else None
 
 
 def unit_texts(units: DataFrame, blocks: DataFrame, by: list[str]) -> DataFrame:
-    """``by``, ``unit_id``, ``text``, ``n_blocks``, ``empty`` of each unit of a division. Signatures and stamps are dropped.
+    """``by``, ``unit_id``, ``text``, ``n_blocks``, ``first_page``, ``last_page``, ``empty`` of each unit of a division. Signatures and stamps are dropped.
 
     ``units``: by, unit_id, kind, marker, title, page_start, page_end; ``blocks``: by, page, idx, kind, marker, text, continues.
-    Front matter that comes before the first unit's own heading on its first page is stripped if the heading is
-    found. One division is one group.
+    A division is one document of a bundle and one group, however large the bundle is. Units without blocks are empty,
+    blocks of divisions without units are left aside.
     """
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in units.select(*by).schema.fields)
 
     def one(us: pd.DataFrame, bs: pd.DataFrame) -> pd.DataFrame:
-        cols = [*by, "unit_id", "text", "n_blocks", "empty"]
+        cols = [*by, "unit_id", "text", "n_blocks", "first_page", "last_page", "empty"]
         if us.empty:
             return pd.DataFrame([], columns=cols)
         u = us.sort_values(["page_start", "unit_id"]).to_dict("records")
         b = bs[~bs["kind"].isin(ANNOTATIONS + NON_BODY)].sort_values(["page", "idx"]).to_dict("records")
-        owner = distribute(u, b)
+        n = Counter(x["kind"] for x in u)
+        level = "section" if n["section"] >= 2 and n["section"] >= n["clause"] else "clause" if n["clause"] else "section"
         out = []
-        for i, unit in enumerate(u):
-            own = [x for x, o in zip(b, owner) if o == i]
-            if i == 0 and unit["kind"] not in ("preamble", "whole"):
-                at = next((k for k, x in enumerate(own) if starts_unit(x, unit, True)), None)
-                own = own[at:] if at else own
-            text = join_blocks([x | {"text": x["text"] if not x["marker"] or (x["text"] or "").lower().startswith(str(x["marker"]).lower()) else f"{x['marker']} {x['text'] or ''}"} for x in own])
-            out.append((*(unit[c] for c in by), unit["unit_id"], text, len(own), not text))
-        return pd.DataFrame(out, columns=cols)
-
-    blocks = blocks.select(*(F.col(c).alias(c) for c in blocks.columns))  # may come from the same table as units
-    return units.groupBy(*by).cogroup(blocks.groupBy(*by)).applyInPandas(one, f"{kinds}, unit_id string, text string, n_blocks int, empty boolean")
+        for unit, own in zip(u, distribute(u, b, level)):
+            rows = [b[k] for k in own]
+            text = join_blocks([x | {"text": x["text"] if not x["marker"] or (x["text"] or "").lower().startswith(str(x["marker"]).lower()) else f"{x['marker']} {x['text'] or ''}"} for x in rows])
+            pages = [x["page"] for x in rows]
+            out.append((*(unit[c] for c in by), unit["unit_id"], text, len(own), min(pages, default=None), max(pages, default=None), not text))
+        return pd.DataFrame(out, columns=cols).astype({"first_page": "Int32", "last_page": "Int32"})
+
+    key = normalize_marker(F.col("marker")).alias("key")
+    units = units.select(*units.columns, key)
+    blocks = blocks.select(*(F.col(c).alias(c) for c in blocks.columns), key)  # may come from the same table as units
+    return units.groupBy(*by).cogroup(blocks.groupBy(*by)).applyInPandas(one, f"{kinds}, unit_id string, text string, n_blocks int, first_page int, last_page int, empty boolean")
 
 
 def merge_halves(top: list[dict], bottom: list[dict], similar: float = 0.85) -> list[dict]:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -74,25 +77,91 @@ def listed_missing(listed: DataFrame, documents: DataFrame, by: list[str], simil
     numbered = names.where("_k IS NOT NULL").join(docs.where("_dk IS NOT NULL").select(*by, F.col("_dk").alias("_k")).distinct(), [*by, "_k"], "left_anti")
     plain = names.where("_k IS NULL")
     typed = plain.select(*by, "name", F.explode(keyword_types(F.col("name"))).alias("doc_type")).join(docs.select(*by, "doc_type").distinct(), [*by, "doc_type"])
-    plain = plain.join(typed.select(*by, "name").distinct(), [*by, "name"], "left_anti")
-    from quirework.functions.text import full_similarity_udf
-
-    near = plain.join(docs.select(*by, "title"), by).where(full_similarity_udf(F.col("name"), F.col("title")) >= similar)
-    return numbered.select(*by, "name").unionByName(plain.select(*by, "name").join(near.select(*by, "name").distinct(), [*by, "name"], "left_anti"))
+    plain = plain.join(typed.select(*by, "name").distinct(), [*by, "name"], "left_anti").select(*by, "name")
+    near = similar_in_blocks(plain, "name", docs, "title", by, similar)
+    return numbered.select(*by, "name").unionByName(plain.join(near, [*by, "name"], "left_anti"))
 
 
 def index_missing(entries: DataFrame, titles: DataFrame, by: list[str], similar: float = 0.8) -> DataFrame:
-    """Index entries that no node title is: similar as a whole, or contained if longer than 12 characters."""
+    """Index entries that no node title is: similar as a whole, or contained in one if longer than 12 characters."""
     e = entries.select(*by, "entry").distinct().withColumn("_e", norm_lower(F.col("entry"))).where((F.length("_e") >= 6) & ~F.col("_e").isin(*INDEX_WORDS))
-    t = titles.select(*by, "title").distinct().withColumn("_n", norm_lower(F.col("title"))).where("_n <> ''")
-    pairs = e.join(t, by)
-    exact = pairs.where((F.length("_e") > 12) & (F.contains("_n", "_e") | F.contains("_e", "_n")) | (F.col("_e") == F.col("_n")))
-    from quirework.functions.text import full_similarity_udf
-
-    rest = pairs.join(exact.select(*by, "entry").distinct(), [*by, "entry"], "left_anti").where(F.abs(F.length("_e") - F.length("_n")) <= 0.25 * F.greatest(F.length("_e"), F.length("_n")))
-    near = rest.where(full_similarity_udf(F.col("entry"), F.col("title")) >= similar)
-    hit = exact.select(*by, "entry").union(near.select(*by, "entry")).distinct()
-    return e.select(*by, "entry").join(hit, [*by, "entry"], "left_anti")
+    t = titles.select(*by, F.col("title").alias("_t")).distinct()
+    # equal forms need no comparison
+    rest = e.join(t.select(*by, norm_lower(F.col("_t")).alias("_e")).distinct(), [*by, "_e"], "left_anti").select(*by, "entry")
+    hit = similar_in_blocks(rest, "entry", t, "_t", by, similar, contained=12)
+    return rest.join(hit, [*by, "entry"], "left_anti")
+
+
+def similar_in_blocks(queries: DataFrame, query: str, rows: DataFrame, value: str, by: list[str], similar: float, contained: int | None = None, block: int = 1000) -> DataFrame:
+    """``by`` and ``query`` of the queries that any value of their group is similar to, by the ratio of comparison forms, or that
+    stand within one if longer than ``contained`` characters.
+
+    The queries and values of a group are cut into blocks; a cell of one block of each goes through a task as
+    consecutive rows, so a group of any size is spread over tasks of bounded memory, and no pair is ever a row.
+    Lengths and letters in common bound the ratio, so few pairs are compared in full.
+    """
+    group = F.xxhash64(*by)
+    q = queries.select(*by, query).where(F.col(query).isNotNull()).distinct()
+    v = rows.select(group.alias("_g"), F.col(value).alias("_s")).where("_s IS NOT NULL").distinct()
+    key = q.select(group.alias("_g"), F.col(query).alias("_s"))
+    sizes = key.groupBy("_g").agg(F.ceil(F.count("*") / block).cast("int").alias("_nq")).join(v.groupBy("_g").agg(F.ceil(F.count("*") / block).cast("int").alias("_nv")), "_g")
+    side = lambda df, own, other, at, across, kind: df.join(sizes, "_g").select("_g", F.pmod(F.xxhash64("_s"), F.col(own)).cast("int").alias(at), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(across), F.lit(kind).alias("_k"), "_s")
+    cells = side(key, "_nq", "_nv", "_a", "_b", 0).unionByName(side(v, "_nv", "_nq", "_b", "_a", 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[str]] = {0: [], 1: []}
+        cell = None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            hit = _similar(held[0], held[1], similar, contained)
+            if hit:
+                yield pa.record_batch([pa.array([cell[0]] * len(hit), pa.int64()), pa.array(hit, pa.string())], names=["_g", "_s"])
+
+        for batch in batches:
+            for g, a, b, k, s in zip(*(batch.column(c).to_pylist() for c in ("_g", "_a", "_b", "_k", "_s"))):
+                if (g, a, b) != cell:
+                    if cell is not None:
+                        yield from done()
+                    cell, held = (g, a, b), {0: [], 1: []}
+                held[k].append(s)
+        if cell is not None:
+            yield from done()
+
+    parts = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = cells.repartition(parts, "_g", "_a", "_b").sortWithinPartitions("_g", "_a", "_b").mapInArrow(run, "_g long, _s string").distinct()
+    return q.withColumn("_g", group).join(found.withColumnRenamed("_s", query), ["_g", query], "left_semi").select(*by, query)
+
+
+def _letters(forms: list[str]) -> np.ndarray:
+    """Counts of characters, by code modulo 64: two texts have at most the sum of the lesser counts in common."""
+    out = np.zeros((len(forms), 64), np.int16)
+    for i, x in enumerate(forms):
+        out[i] = np.bincount(np.frombuffer(x.encode("utf-32-le"), np.uint32) & 63, minlength=64)
+    return out
+
+
+def _similar(queries: list[str], values: list[str], similar: float, contained: int | None) -> list[str]:
+    forms = sorted({_norm(v) for v in values} - {""})
+    every = "\n".join(forms)
+    known = set(forms)
+    size, letters = np.array([len(x) for x in forms], np.int64), _letters(forms)
+    out = []
+    for raw in queries:
+        q = _norm(raw)
+        if q in known or q and contained is not None and len(q) > contained and q in every:
+            out.append(raw)
+            continue
+        if not q or not forms:
+            continue
+        total = size + len(q)
+        near = np.flatnonzero(2 * np.minimum(size, len(q)) >= similar * total)
+        near = near[2 * np.minimum(letters[near], _letters([q])[0]).sum(1) >= similar * total[near]]
+        for i in near:
+            # the ratio depends on the order of the texts: query first, as where it is asked
+            if SequenceMatcher(None, q, forms[i]).ratio() >= similar:
+                out.append(raw)
+                break
+    return out
 
 
 def clean_entry(c: Column) -> Column:

@@ -70,13 +70,15 @@ def registry(rows: DataFrame, by: list[str]) -> DataFrame:
 
 def pick_parties(parties: DataFrame, by: list[str], source: str, order: list[str]) -> DataFrame:
     """One client and one contractor per group, from the source of the highest rank times ten plus completeness; the first
-    source and row win ties. ``parties`` has side, name and division_type."""
+    source and row win ties. Where that source names no side, its first two parties. ``parties`` has side, name and division_type."""
     named = parties.where("name IS NOT NULL AND name <> ''")
     both = F.when(F.countDistinct(F.when(F.col("side").isin("CLIENT", "CONTRACTOR"), F.col("side"))) == 2, 2).otherwise(F.count("*"))
     score = named.groupBy(*by, source).agg((F.max(ranked(F.col("division_type"), PARTY_RANK)) * 10 + both).alias("_score"))
     best = score.withColumn("_r", F.row_number().over(W.partitionBy(*by).orderBy(F.desc("_score"), source))).where("_r = 1").select(*by, source)
-    rows = named.join(best, [*by, source]).where(F.col("side").isin("CLIENT", "CONTRACTOR"))
-    return rows.withColumn("_r", F.row_number().over(W.partitionBy(*by, "side").orderBy(*order))).where("_r = 1").drop("_r")
+    sided = F.coalesce(F.col("side").isin("CLIENT", "CONTRACTOR"), F.lit(False))
+    rows = named.join(best, [*by, source]).withColumn("_s", sided).withColumn("_any", F.max("_s").over(W.partitionBy(*by)))
+    rows = rows.withColumn("_r", F.row_number().over(W.partitionBy(*by, "_s", F.when(F.col("_any"), F.col("side"))).orderBy(*order)))
+    return rows.where("_s AND _r = 1 OR NOT _any AND _r <= 2").drop("_r", "_s", "_any")
 
 
 def run_status(pages: DataFrame, clauses: DataFrame, by: list[str]) -> DataFrame:

@@ -46,7 +46,8 @@ def nested_tree(nodes: DataFrame, by: list[str], fields: list[str], deepest: int
 
 def relational(documents: DataFrame, divisions: DataFrame, clauses: DataFrame, subclauses: DataFrame) -> dict[str, DataFrame]:
     """The four persisted tables with surrogate keys and parent keys. Keys are hashes of the natural keys, so every run gives the
-    same ones and no task numbers all rows. NUL characters are dropped."""
+    same ones and no task numbers all rows. NUL characters are dropped. Sub-clauses that do not name their bundle and division
+    get them from the clause of their ``clause_id``; those without such a clause have a null ``clause_key``."""
     from quirework.functions.text import strip_nul
 
     def keyed(df: DataFrame, own: list[str], parent: list[str] | None, name: str, up: str | None) -> DataFrame:
@@ -55,11 +56,16 @@ def relational(documents: DataFrame, divisions: DataFrame, clauses: DataFrame, s
             df = df.withColumn(up, F.xxhash64(*parent))
         return df.withColumns({f.name: strip_nul(F.col(f.name)) for f in df.schema.fields if f.dataType.simpleString() == "string"})
 
+    of = ["bundle_id", "division_id", "clause_id"]
+    if not set(of) <= set(subclauses.columns):
+        known = clauses.select(*of).dropDuplicates(["clause_id"])
+        subclauses = subclauses.drop("bundle_id", "division_id").join(known, "clause_id", "left")
+    subclauses = keyed(subclauses, ["bundle_id", "clause_id", "subclause_id"], of, "subclause_key", "clause_key")
     return {
         "document": keyed(documents, ["bundle_id"], None, "document_key", None),
         "division": keyed(divisions, ["bundle_id", "division_id"], ["bundle_id"], "division_key", "document_key"),
         "clause": keyed(clauses, ["bundle_id", "division_id", "clause_id"], ["bundle_id", "division_id"], "clause_key", "division_key"),
-        "subclause": keyed(subclauses, ["clause_id", "subclause_id"], None, "subclause_key", None),
+        "subclause": subclauses.withColumn("clause_key", F.when(F.col("bundle_id").isNotNull(), F.col("clause_key"))),
     }
 
 

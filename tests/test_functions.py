@@ -67,3 +67,27 @@ def test_text(spark):
     assert one(spark, ["a [[BRK]] b\x00 \nc"], text.strip_marks(C)) == ["a b\nc"]
     got = one(spark, ["hello world"], text.similarity_udf(C, F.lit("hello there")))
     assert got == [pytest.approx(SequenceMatcher(None, "hello world", "hello there").ratio())]
+
+
+def test_glued_sections_and_heading_titles(spark):
+    values = ["Section F - General Conditions of ContractSection 1 - Definitions", "General Conditions of Contract SECTION-2", "Conditions of Supply Section C Notes", "Section 4 - Payment", "Short Section 1", "", None]
+    want = ["Section F - General Conditions of Contract", "General Conditions of Contract", "Conditions of Supply Section C Notes", "Section 4 - Payment", "Short Section 1", "", None]
+    assert one(spark, values, text.trim_embedded_section(C)) == want
+    long = "word " * 30
+    values = ["4.1 Payment: the rest. More", "4.1) Payment terms\nsecond line", long, "a. b", "", None]
+    assert one(spark, values, text.heading_title(C, F.lit("4.1"))) == ["Payment:", "Payment terms", long[:90].strip(), "a.", None, None]
+    assert one(spark, ["4.1 Payment"], text.heading_title(C)) == ["4.1 Payment"]
+
+
+def test_terms_near_dates_against_a_loop(spark):
+    import random
+    import re
+
+    rng = random.Random(3)
+    terms = ["Signing Date", "site handing over", "w.e.f.", "possession date", "date of this agreement", "mobilisation date", "key dates", "LOA", "The Completion Date means", "work order"]
+    texts = ["".join(rng.choice([*(t + " " for t in terms), "15 March 2024 ", "01/02/2021, ", "2020-01-01; ", "x" * rng.randint(1, 160) + " "]) for _ in range(rng.randint(0, 14))) for _ in range(60)] + ["", None]
+    at = lambda p, t: [m.start() for m in re.finditer(p, t)]
+    want = [None if t is None else sum(abs(a - b) <= 200 for a in at(dates.TERMS, t) for b in at(dates.LITERAL, t)) for t in texts]
+    assert sum(x or 0 for x in want) > 100
+    got = one(spark, texts, dates.near_hits(C))
+    assert got[:-1] == want[:-1] and not got[-1]

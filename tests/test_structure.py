@@ -178,27 +178,111 @@ def test_joining_blocks():
     assert assemble.join_blocks([block("handwritten", " ok "), block("paragraph", None)]) == "[Handwritten: ok]"
 
 
-def unit(kind, marker, start, title=None):
-    return {"kind": kind, "marker": marker, "title": title, "page_start": start}
+def plain_key(m):
+    return (m or "").strip("(). ").lower() or None
+
+
+def unit(kind, marker, start, end=None):
+    return {"kind": kind, "marker": marker, "title": None, "page_start": start, "page_end": end or start, "key": plain_key(marker)}
+
+
+def keyed(blocks):
+    return [b | {"key": plain_key(b["marker"])} for b in blocks]
 
 
 def test_distributing_blocks():
     us = [unit("clause", str(i), 26) for i in range(1, 5)]
-    bs = [block("paragraph", "BANNER", page=26), *(block("list_item", f"item {i}", str(i), 26) for i in range(1, 5))]
-    assert assemble.distribute(us, bs) == [0, 0, 1, 2, 3]
-    us = [unit("preamble", None, 1), unit("clause", "1", 2)]
-    bs = [block("paragraph", "WHEREAS", page=1), block("list_item", "recital", "1", 2), block("clause", "Scope", "1", 2), block("paragraph", "more", page=3)]
-    assert assemble.distribute(us, bs) == [0, 0, 1, 1]
+    bs = keyed([block("paragraph", "BANNER", page=26), *(block("list_item", f"item {i}", str(i), 26) for i in range(1, 5))])
+    assert assemble.distribute(us, bs) == [[1], [2], [3], [4]]  # the banner is front matter
+    us = [unit("preamble", None, 1), unit("clause", "1", 2, 3)]
+    bs = keyed([block("paragraph", "WHEREAS", page=1), block("list_item", "recital", "1", 2), block("clause", "Scope", "1", 2), block("paragraph", "more", page=3)])
+    assert assemble.distribute(us, bs) == [[0, 1], [2, 3]]
     us = [unit("clause", "4", 7), unit("clause", "5", 8)]
-    bs = [block("clause", "4 x", "4", 7), block("paragraph", "tail", page=8), block("clause", "5 y", "5", 8)]
-    assert assemble.distribute(us, bs) == [0, 0, 1]
+    bs = keyed([block("clause", "4 x", "4", 7), block("paragraph", "tail", page=8), block("clause", "5 y", "5", 8)])
+    assert assemble.distribute(us, bs) == [[0, 1], [2]]
+    # a heading on a later page than the unit's first gives all before it back
+    us = [unit("clause", "4", 7), unit("clause", "5", 8, 9)]
+    bs = keyed([block("clause", "4 x", "4", 7), block("paragraph", "tail", page=8), block("paragraph", "tail", page=9), block("recital", "5 y", "5", 9)])
+    assert assemble.distribute(us, bs) == [[0, 1, 2], [3]]
+    # a sub-clause on a page of a later clause goes to its own, with what follows it, unless it is far away
+    us = [unit("clause", "9", 4), unit("clause", "10", 5), unit("clause", "12", 30)]
+    bs = keyed([block("clause", "9 a", "9", 4), block("clause", "10 b", "10", 5), block("clause", "c", "9.1", 5), block("paragraph", "d", page=5), block("clause", "e", "10.1", 5), block("clause", "12 f", "12", 30), block("clause", "g", "10.2", 30)])
+    assert assemble.distribute(us, bs) == [[0, 2, 3], [1, 4], [5, 6]]
+    assert assemble.distribute(us, bs, "section") == [[0], [1, 2, 3, 4], [5, 6]]
+    assert assemble.distribute([], bs) == [] and assemble.distribute(us, []) == [[], [], []]
+
+
+def test_section_numbers():
+    got = [assemble.section_number(x) for x in ["SECTION 6 - LABOUR", "SECTION-6 LABOUR", "Part No. II", "section: 06", "Part A", "PARTY 1", "Clause 6", "", None]]
+    assert got == ["6", "6", "ii", "6", "a", None, None, None, None]
+    us = [unit("section", "SECTION 5", 1), unit("section", "Section - 6", 2)]
+    bs = keyed([block("heading", "SECTION 5 LAW", None, 1), block("paragraph", "tail", None, 2), block("heading", "SECTION-6 LABOUR", None, 2)])
+    assert assemble.distribute(us, bs, "section") == [[0, 1], [2]]
 
 
 def test_unit_texts(spark):
-    u = spark.createDataFrame([("D", "U1", "clause", "1", None, 1, 1)], "d string, unit_id string, kind string, marker string, title string, page_start int, page_end int")
-    b = spark.createDataFrame([("D", 1, 0, "paragraph", None, "Dear Sir", False), ("D", 1, 1, "clause", "1", "1. Scope", False), ("D", 1, 2, "signature_block", None, "sign", False)], "d string, page int, idx int, kind string, marker string, text string, continues boolean")
-    r = assemble.unit_texts(u, b, ["d"]).first()
-    assert (r.text, r.n_blocks, r.empty) == ("1. Scope", 1, False)
+    u = spark.createDataFrame([("D", "U1", "clause", "1", None, 1, 1), ("D", "U2", "clause", "2", None, 5, 5)], "d string, unit_id string, kind string, marker string, title string, page_start int, page_end int")
+    b = spark.createDataFrame([("D", 1, 0, "paragraph", None, "Dear Sir", False), ("D", 1, 1, "clause", "1.0", "1. Scope", False), ("D", 1, 2, "signature_block", None, "sign", False), ("E", 1, 2, "clause", "1", "x", False)], "d string, page int, idx int, kind string, marker string, text string, continues boolean")
+    r = {x.unit_id: x for x in assemble.unit_texts(u, b, ["d"]).collect()}
+    assert (r["U1"].text, r["U1"].n_blocks, r["U1"].first_page, r["U1"].empty) == ("1.0 1. Scope", 1, 1, False)
+    assert (r["U2"].text, r["U2"].n_blocks, r["U2"].last_page, r["U2"].empty) == ("", 0, None, True)
+    assert assemble.unit_texts(u, b.where("false"), ["d"]).count() == 2 and assemble.unit_texts(u.where("false"), b, ["d"]).count() == 0
+
+
+def restated_missing(entries, titles):
+    from difflib import SequenceMatcher
+
+    from quirework.functions.text import _norm
+
+    out = set()
+    for g, e in entries:
+        ne = _norm(e)
+        if len(ne) >= 6 and ne not in checks.INDEX_WORDS and not any(SequenceMatcher(None, ne, _norm(t)).ratio() >= 0.8 or (len(ne) > 12 and ne in _norm(t)) for h, t in titles if h == g):
+            out.add((g, e))
+    return out
+
+
+def test_index_entries_against_a_loop(spark):
+    rng = random.Random(12)
+    words = "time for completion of the works payment retention money notice defects liability insurance claims variation".split()
+    titles = [(g, " ".join(rng.choice(words) for _ in range(rng.randint(1, 6)))) for g in "AB" for _ in range(60)] + [("A", "tme for completion of"), ("A", "payment"), ("A", ""), ("A", "Schedule of payment of retention moneys due"), (None, "x")]
+    entries = [("A", "time for completion of workss"), ("A", "payment of retention moneys"), ("A", "payment of unknown things"), ("A", "Contents"), ("A", "abc"), ("C", "no titles at all"), ("A", ""), ("A", None)]
+    for g, t in titles[:110]:
+        x = list(t or "x")
+        for _ in range(rng.randint(0, 9)):
+            x[rng.randrange(len(x))] = rng.choice("abcdefgh ")
+        entries.append((g, "".join(x).strip()))
+    e = spark.createDataFrame(entries, "g string, entry string").withColumn("_t", F.lit("clash"))
+    t = spark.createDataFrame(titles, "g string, title string").withColumn("_e", F.lit("clash"))
+    want = restated_missing([x for x in entries if x[1] is not None], titles)
+    assert ("A", "time for completion of workss") not in want and ("A", "payment of unknown things") in want and len(want) > 20
+    assert {tuple(r) for r in checks.index_missing(e, t, ["g"]).collect()} == want
+    q = e.select("g", "entry")
+    small, large = ({tuple(r) for r in checks.similar_in_blocks(q, "entry", t, "title", ["g"], 0.8, 12, block=n).collect()} for n in (7, 1000))
+    assert small == large and len(large) > 20
+    assert checks.index_missing(e.where("false"), t, ["g"]).count() == 0
+    assert checks.index_missing(e, t.where("false"), ["g"]).count() == len({x for x in entries if x[1] and len(x[1]) >= 6 and x[1] != "Contents"})
+
+
+def test_parties_without_a_side(spark):
+    rows = [(1, "B", 10, None, "X", "CONTRACT_AGREEMENT"), (2, "B", 10, "OTHER", "Y", "CONTRACT_AGREEMENT"), (3, "B", 10, None, "Z", "CONTRACT_AGREEMENT"), (4, "B", 11, "CLIENT", "W", None), (5, "C", 12, "CLIENT", "V", None), (6, "C", 12, None, "U", None), (7, "C", 12, "CLIENT", "T", None), (8, "D", 13, "CLIENT", None, None)]
+    df = spark.createDataFrame(rows, "party_id int, bundle_id string, contract_id int, side string, name string, division_type string")
+    assert sorted(r.party_id for r in merges.pick_parties(df, ["bundle_id"], "contract_id", ["party_id"]).collect()) == [1, 2, 5]
+
+
+def test_persisted_tables_keep_their_links(spark):
+    from quirework.sinks import files
+
+    doc = spark.createDataFrame([("B", "t\x00x")], "bundle_id string, title string")
+    div = spark.createDataFrame([("B", "D1"), ("B", "D2")], "bundle_id string, division_id string")
+    cl = spark.createDataFrame([("B", "D1", 1), ("B", "D2", 2)], "bundle_id string, division_id string, clause_id long")
+    sub = spark.createDataFrame([(1, 100, "a\x00"), (2, 101, None), (9, 102, "lost")], "clause_id long, subclause_id long, text string")
+    t = {k: v.collect() for k, v in files.relational(doc, div, cl, sub).items()}
+    assert t["document"][0].title == "tx" and {r.document_key for r in t["division"]} == {t["document"][0].document_key}
+    assert {r.division_key for r in t["clause"]} == {r.division_key for r in t["division"]}
+    key = {r.clause_id: r.clause_key for r in t["clause"]}
+    assert {r.subclause_id: r.clause_key for r in t["subclause"]} == {100: key[1], 101: key[2], 102: None}
+    assert len({r.subclause_key for r in t["subclause"]}) == 3
 
 
 def test_merges(spark):
