@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import combinations
 from typing import NamedTuple
 from zlib import crc32
@@ -147,24 +148,34 @@ def _drawn(rows: DataFrame, key: str, total: int, most: int, seed: int) -> DataF
     return rows.where(F.xxhash64(key, F.lit(seed)).bitwiseAND(F.lit((1 << 40) - 1)) < int(share * (1 << 40)))
 
 
-def _places(n: int, most: int) -> Iterator[tuple[int, ...]]:
+@lru_cache(maxsize=4096)
+def _places(n: int, most: int) -> tuple[tuple[int, ...], ...]:
     """Choices of up to ``most`` of ``n`` places, fewer at once in words with many places, and all of them."""
-    for k in range(1, min(most if n <= 12 else 2 if n <= 40 else 1, n) + 1):
-        yield from combinations(range(n), k)
-    yield tuple(range(n))
+    most = min(most if n <= 12 else 2 if n <= 40 else 1, n)
+    return tuple(x for k in range(1, most + 1) for x in combinations(range(n), k)) + ((tuple(range(n)),) if n > most else ())
 
 
 def _one_kind(word: str, most: int = 3) -> set[str]:
     out = set()
     for read, right in CONFUSIONS:
-        at = [m.start() for m in re.finditer(f"(?={re.escape(read)})", word)] if read in word else []
-        for chosen in _places(len(at), most) if at else ():
-            w, end = [], 0
-            for i in (at[j] for j in chosen):
-                if i >= end:
-                    w += (word[end:i], right)
-                    end = i + len(read)
-            out.add("".join(w) + word[end:])
+        i = word.find(read)
+        if i < 0:
+            continue
+        at = []
+        while i >= 0:
+            at.append(i)
+            i = word.find(read, i + 1)
+        width = len(read)
+        if len(at) == 1:
+            out.add(word[: at[0]] + right + word[at[0] + width :])
+            continue
+        for chosen in _places(len(at), most):
+            new, end = "", 0
+            for j in chosen:
+                if at[j] >= end:
+                    new += word[end : at[j]] + right
+                    end = at[j] + width
+            out.add(new + word[end:])
     return out
 
 
