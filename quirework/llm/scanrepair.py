@@ -45,12 +45,12 @@ REJOIN = re.compile(rf"(?:(?<=[{_LETTER}])|(?<=[{_LETTER}][0-9!|$]))[{HYPHENS}]
 COMPOUND = re.compile(r"(?<![a-zß-öø-ɏ])(?=([a-zß-öø-ɏ]+-[a-zß-öø-ɏ]+))")
 LAST, FIRST = re.compile(r"[A-Za-zÀ-ɏ]*$"), re.compile(r"[A-Za-zÀ-ɏ]*")
 LIST = re.compile(r"\s*(?:[-•*|]|\(?(?:[0-9]{1,3}|[a-z]|[ivx]{1,5})[.)](?:\s|$)|[0-9]+(?:\.[0-9]+)+\.?(?:\s|$))")
-TERMINAL = re.compile(r"[.;:!?|][\"')\]]*\s*$|; (?:and|or)\s*$")
 #: What stands before the first word of a sentence.
 SENTENCE = re.compile(r"(?:^|[.!?]\s|\n)\s*\Z")
 _NUMBER = r"(?:page\s*)?\d+(?:\s*(?:of|/)\s*\d+)?"
 NUMERIC = re.compile(rf"(?:{_NUMBER}|[-–—]\s*{_NUMBER}\s*[-–—]|\[\s*{_NUMBER}\s*\])\s*$", re.I)
 CODE = re.compile(r"\S*[A-Z]\S*[-/]\S*\d+\S*$")
+ODD = re.compile(r"\S {2,}\S|\w \| \w")
 STATES = ("header", "body", "blank")
 
 
@@ -65,6 +65,17 @@ class Params:
     kinds: tuple[str, ...] = field(default=("clause", "paragraph", "recital", "table"))
 
 
+def broken(line: str) -> bool:
+    """The line ends with the mark of a broken word."""
+    return any(c in HYPHENS for c in line[-2:]) and BROKEN.search(line) is not None
+
+
+def terminal(text: str) -> bool:
+    """The text ends with a mark that ends a sentence, item or row, closing quotes and brackets aside, or as a list item does."""
+    text = text.rstrip()
+    return text.rstrip("\"')]")[-1:] in (".", ";", ":", "!", "?", "|") or text.endswith(("; and", "; or"))
+
+
 def skeleton(line: str) -> str:
     return re.sub(r"\d+", "#", re.sub(r"\s+", " ", line.strip()))
 
@@ -83,7 +94,7 @@ def joined_lines(text: str, formed: Counter) -> str:
 
 def _interior(lines: list[str]) -> Iterator[str]:
     for line in lines[1:-1]:
-        if line and len(line) <= 80 and not line[0].islower() and not TERMINAL.search(line) and not LIST.match(line):
+        if line and len(line) <= 80 and not line[0].islower() and not terminal(line) and not LIST.match(line):
             yield line
 
 
@@ -227,11 +238,9 @@ def features(lines: list[str], counters: np.ndarray, cells: int) -> list[tuple]:
         j = pos[i]
         before = lines[body[j - 1]].rstrip() if j else None
         after = lines[body[j + 1]].lstrip() if j + 1 < len(body) else None
-        cut = before is not None and not TERMINAL.search(before)
+        cut = before is not None and not terminal(before)
         goes = after is not None and after[:1].islower()
-        letters = [c for c in x if c.isalpha()]
-        caps = bool(letters) and all(c.isupper() for c in letters)
-        shape = "number" if NUMERIC.match(x) else "code" if CODE.match(x) else "caps" if caps else "lower" if x[0].islower() else "digit" if x[-1].isdigit() else "mixed"
+        shape = "number" if NUMERIC.match(x) else "code" if CODE.match(x) else "caps" if x.isupper() else "lower" if x[0].islower() else "digit" if x[-1].isdigit() else "mixed"
         words = len(x.split())
         count = int(counters[cell(x, cells)]) if len(x) <= 80 else 0
         rep = 0 if count < 3 else 1 if count < 3e-4 * total else 2 if count < 3e-3 * total else 3
@@ -239,11 +248,11 @@ def features(lines: list[str], counters: np.ndarray, cells: int) -> list[tuple]:
             shape,
             min(words, 3) if words < 4 else 4 if words < 9 else 5,
             len(x) < 0.6 * widest,
-            bool(TERMINAL.search(x)),
+            terminal(x),
             (cut, goes),
             (rep, shape == "lower"),
             bool(LIST.match(x)) and shape != "number",
-            bool(re.search(r"_{2,}|\S {2,}\S|^\[|\w \| \w", x)),
+            x[0] == "[" or "__" in x or ("  " in x or " | " in x) and bool(ODD.search(x)),
             before is None or after is None,
         ))
     return out
@@ -340,7 +349,7 @@ def join_features(lines: list[str], gap: list[bool], dropped: list[bool]) -> lis
     out = []
     for i, x in enumerate(lines):
         after = lines[i + 1].lstrip() if i + 1 < len(lines) else ""
-        out.append((bool(TERMINAL.search(x)), bool(REST.match(after)), bool(LIST.match(after)), (gap[i], dropped[i]), len(x) >= 0.7 * widest, x.lstrip().startswith("|"), not after, bool(BROKEN.search(x))))
+        out.append((terminal(x), bool(REST.match(after)), bool(LIST.match(after)), (gap[i], dropped[i]), len(x) >= 0.7 * widest, x.lstrip().startswith("|"), not after, broken(x)))
     return out
 
 
@@ -424,8 +433,8 @@ def relined(text: str, model: Model) -> Relined:
     labels = label_lines(lines, model.lines, model.counters, model.cells)
     kept, gap, dropped = keep(lines, labels)
     furniture = 0 in labels
-    hyphen = any(BROKEN.search(x) for x in kept[:-1])
-    wrapped = any(not TERMINAL.search(x) and not x.isupper() and y[:1].islower() for x, y in zip(kept, kept[1:]))
+    hyphen = any(broken(x) for x in kept[:-1])
+    wrapped = any(not terminal(x) and not x.isupper() and y[:1].islower() for x, y in zip(kept, kept[1:]))
     if not (furniture or hyphen or wrapped):
         return Relined([text], [], False, False)
     feats = join_features(kept, gap, dropped)
@@ -453,11 +462,10 @@ def repair(text: str, model: Model, lexicon: dict[str, str]) -> tuple[str, bool,
     lined = relined(text, model)
     new, hyphen = lined.text(lexicon)
     misread = False
-    words = WORD.findall(new)
-    cut = None  # the last word of a text that stops short may be a part of a word
-    if words and not TERMINAL.search(new) and words[-1].isalpha() and new.rstrip(" .\u2026\ufffd[]").endswith(words[-1]):
-        cut = new.rfind(words[-1])
-    if not lexicon.keys().isdisjoint(w.lower() for w in words):
+    if not lexicon.keys().isdisjoint(WORD.findall(new.lower())):
+        last = None if terminal(new) else next(iter(WORD.findall(new)[-1:]), None)
+        # the last word of a text that stops short may be a part of a word
+        cut = new.rfind(last) if last and last.isalpha() and new.rstrip(" .\u2026\ufffd[]").endswith(last) else None
 
         def right(m: re.Match) -> str:
             nonlocal misread
