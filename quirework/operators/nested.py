@@ -3,6 +3,7 @@
 A record is one JSON text. Child lists may be an array, a single object, an array with nulls among the
 objects, or any of these as a JSON string, at any depth. Each round of :func:`flatten` explodes one level of
 all lists into child rows that carry the parent's key and their ordinal; the payload of a level is read once.
+Which fields are lists of objects comes from the merged schema of a level, unless they are named.
 """
 
 from __future__ import annotations
@@ -36,25 +37,32 @@ def roots(records: DataFrame, key: str, payload: str, wrapper: str = "contract")
 
 
 def children(frontier: DataFrame, lists: dict[str, str] = LISTS) -> DataFrame:
-    """One level down: ``(key, parent_path, path, letter, ordinal, node)``."""
+    """One level down: ``(key, parent_path, path, letter, ordinal, node)``; ``lists``: field and the letter of its steps."""
     parts = []
     for field, letter in lists.items():
-        objects = _objects(f"try_variant_get(node, '$.{field}', 'variant')")
+        objects = _objects(f"try_variant_get(node, {_at(field)}, 'variant')")
         parts.append(f"coalesce(transform({objects}, (x, i) -> named_struct('letter', '{letter}', 'ordinal', i + 1, 'node', x)), array())")
-    got = frontier.select("key", "path", F.expr(f"explode(concat({', '.join(parts)}))").alias("c"))
+    exploded = F.expr(f"explode(concat({', '.join(parts)}))") if parts else F.expr("explode(cast(array() as array<struct<letter string, ordinal int, node variant>>))")
+    got = frontier.select("key", "path", exploded.alias("c"))
     step = F.concat("c.letter", F.col("c.ordinal").cast("string"))
     return got.select("key", F.coalesce("path", F.lit("root")).alias("parent_path"), F.concat_ws("/", "path", step).alias("path"), "c.letter", "c.ordinal", "c.node")
 
 
-def flatten(records: DataFrame, key: str = "contract_id", payload: str = "payload", lists: dict[str, str] = LISTS, max_depth: int = 1000) -> list[DataFrame]:
+def _at(field: str) -> str:
+    """SQL: the path of a field. Names with a quote or backslash cannot be asked for and are left out before."""
+    return "\"$['" + field + "']\""
+
+
+def flatten(records: DataFrame, key: str = "contract_id", payload: str = "payload", lists: dict[str, str] | None = LISTS, max_depth: int = 1000) -> list[DataFrame]:
     """The levels of the tree as frames of :func:`children`, written level by level until one is empty.
 
+    ``lists`` None: at each level :data:`LISTS` and every other field that holds objects, with steps ``<field>:<n>``.
     Records may repeat; a repeated record repeats its rows. The number of rounds is the depth of the deepest
     record, whatever the number of records. An empty table gives one empty level.
     """
     levels, frontier = [], roots(records, key, payload)
     for _ in range(max_depth):
-        level = materialize(children(frontier, lists))
+        level = materialize(children(frontier, held_lists(frontier) if lists is None else lists))
         levels.append(level)
         if level.isEmpty():
             return levels
@@ -62,6 +70,21 @@ def flatten(records: DataFrame, key: str = "contract_id", payload: str = "payloa
     raise ValueError(f"records are nested more than {max_depth} levels deep")
 
 
+def held_lists(nodes: DataFrame) -> dict[str, str]:
+    """The fields of a level that hold objects: :data:`LISTS`, and those of the merged schema whose values are lists of objects
+    however they are written (an array, one object in its place, or either as a string)."""
+    schema = merged_schema(nodes)
+    kinds = fields(schema) if schema and schema.startswith("OBJECT") else {}
+    sure = {f for f, kind in kinds.items() if f not in LISTS and kind.startswith("ARRAY<OBJECT")}
+    maybe = sorted(f for f, kind in kinds.items() if f not in LISTS and f not in sure and (kind.startswith("OBJECT") or kind in ("VARIANT", "ARRAY<VARIANT>")))
+    if maybe:
+        # mixed values and lone objects count if any value has objects
+        tests = [F.max(F.coalesce(F.expr(f"size({_objects(f'try_variant_get(node, {_at(f)}, ' + chr(39) + 'variant' + chr(39) + ')')})") > 0, F.lit(False))).alias(f"x{i}") for i, f in enumerate(maybe)]
+        row = nodes.agg(*tests).first()
+        sure |= {f for i, f in enumerate(maybe) if row[f"x{i}"]}
+    return LISTS | {f: f"{f}:" for f in sorted(sure)}
+
+
 def _all(levels: list[DataFrame]) -> DataFrame:
     out = levels[0]
     for level in levels[1:]:
@@ -75,13 +98,13 @@ def links(records: DataFrame, key: str = "contract_id", payload: str = "payload"
     return rows.select(F.col("key").alias(key), "parent_path", F.col("path").alias("node_path")).distinct()
 
 
-def merged_schema(rows: DataFrame, node: str = "node") -> str:
-    """Schema, as DDL, that all objects of a column share after merging."""
+def merged_schema(rows: DataFrame, node: str = "node") -> str | None:
+    """Schema, as DDL, that all objects of a column share after merging; null without rows."""
     return rows.agg(F.schema_of_variant_agg(node)).first()[0]
 
 
-def scalar_fields(schema: str) -> dict[str, str]:
-    """Fields of the outermost object of a merged schema but its child lists; mixed and nested ones become (JSON) strings."""
+def fields(schema: str) -> dict[str, str]:
+    """Fields of the outermost object of a merged schema and their types, as they stand there. Those whose names hold a quote or backslash are left out."""
     base = start = schema.find("<") + 1
     out, depth = {}, 0
     for m in re.finditer(r"[<>(),]", schema[base:]):
@@ -89,27 +112,50 @@ def scalar_fields(schema: str) -> dict[str, str]:
         if m[0] == "," and depth == 0 or m[0] == ">" and depth == 0:
             name, _, kind = schema[start:at].strip().partition(": ")
             start = at + 1
-            if name and name.strip("`") not in LISTS:
-                out[name.strip("`")] = "string" if kind.startswith(("ARRAY", "OBJECT", "VARIANT", "VOID")) else kind.lower()
+            name = name.strip("`")
+            if name and not re.search(r"['\"\\\\]", name):
+                out[name] = kind
         depth += {"<": 1, "(": 1, ">": -1, ")": -1}.get(m[0], 0)
     return out
 
 
-def flat_tables(records: DataFrame, key: str = "contract_id", payload: str = "payload") -> dict[str, DataFrame]:
-    """``divisions``, ``units`` and ``children``: the fields of all nodes of a letter but their child lists.
+NAMES = {"d": "divisions", "u": "units", "c": "children"}
+KINDS = {"d": "division", "u": "unit", "c": "child"}
+
+
+def latest(records: DataFrame, key: str, payload: str, received: str) -> DataFrame:
+    """One row per key: the payload received last; the greater text among those received at the same time."""
+    return records.groupBy(key).agg(F.max(F.struct(received, payload))[payload].alias(payload))
+
+
+def flat_tables(records: DataFrame, key: str = "contract_id", payload: str = "payload", only: list[str] | None = None) -> dict[str, DataFrame]:
+    """The related tables of nested records: ``contracts`` for the outermost objects, ``divisions``, ``units``, ``children``, and one
+    for each other field that holds objects, called like the field (``only``: those asked for).
 
-    Every row has its key (``<key>``, ``node_path``), its parent (``parent_path``, ``root`` at the top), its
-    ``parent_kind`` and its ``ordinal``. The columns come from the merged schema of all nodes of the table; a
-    field called like one of these keys comes as ``field_<name>``. Rows sent twice come once.
+    Every row has its key (``node_key``, a hash of ``<key>`` and ``node_path``), its parent's (``parent_key``;
+    ``parent_path`` is ``root`` at the top), its ``parent_kind`` and its ``ordinal`` within the list. The columns come
+    from the merged schema of all nodes of the table; what holds further objects is a table of its own and no
+    column, other arrays and objects are JSON strings. A field called like one of the keys comes as
+    ``field_<name>``. Rows sent twice come once; of different rows under one key see :func:`latest`.
     """
-    every = _all(flatten(records, key, payload))
+    null = F.lit(None)
+    top = materialize(roots(records, key, payload).select("key", null.cast("string").alias("parent_path"), F.lit("root").alias("path"), F.lit("").alias("letter"), null.cast("int").alias("ordinal"), "node"))
+    every = _all([top, *flatten(records, key, payload, None)])
+    letters = {r.letter: NAMES.get(r.letter, r.letter[:-1]) for r in every.select("letter").distinct().collect()}  # a few names of fields
+    letters = dict.fromkeys(["", *NAMES], "") | letters | NAMES | {"": "contracts"}
+    step = F.regexp_replace(F.element_at(F.split("parent_path", "/"), -1), r"\d+$", "")
+    known = F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv])
+    parent = F.when(F.col("parent_path") == "root", "contract").otherwise(F.coalesce(known[step], F.regexp_replace(step, ":$", "")))
+    keys = [key, "node_key", "parent_key", "parent_path", "node_path", "parent_kind", "ordinal"]
     out = {}
-    for name, letter in {"divisions": "d", "units": "u", "children": "c"}.items():
+    for letter, name in letters.items():
+        if only is not None and name not in only:
+            continue
         rows = every.where(F.col("letter") == letter)
-        keys = [key, "parent_path", "node_path", "parent_kind", "ordinal"]
         schema = merged_schema(rows)
-        fields = scalar_fields(schema) if schema and schema.startswith("OBJECT") else {}
-        parent = F.expr("CASE WHEN parent_path = 'root' THEN 'contract' ELSE element_at(map('d', 'division', 'u', 'unit', 'c', 'child'), substring(element_at(split(parent_path, '/'), -1), 1, 1)) END")
-        cols = [F.expr(f"""try_variant_get(node, "$['{f}']", '{kind}')""").alias(f"field_{f}" if f in keys else f) for f, kind in sorted(fields.items()) if "'" not in f]
-        out[name] = rows.select(F.col("key").alias(key), "parent_path", F.col("path").alias("node_path"), parent.alias("parent_kind"), "ordinal", *cols).dropDuplicates([key, "node_path"])
+        lists = {f for x in letters for f in ({k for k, v in LISTS.items() if v == x} or {x[:-1]})}
+        cols = {f: "string" if kind.startswith(("ARRAY", "OBJECT", "VARIANT", "VOID")) else kind.lower() for f, kind in (fields(schema) if schema and schema.startswith("OBJECT") else {}).items() if f not in lists}
+        own = [F.expr(f"try_variant_get(node, {_at(f)}, '{kind}')").alias(f"field_{f}" if f in keys else f) for f, kind in sorted(cols.items())]
+        links = [F.xxhash64("key", "path").alias("node_key"), F.when(F.col("parent_path").isNotNull(), F.xxhash64("key", "parent_path")).alias("parent_key")]
+        out[name] = rows.select(F.col("key").alias(key), *links, "parent_path", F.col("path").alias("node_path"), F.when(F.col("parent_path").isNotNull(), parent).alias("parent_kind"), "ordinal", *own).dropDuplicates([key, "node_path"])
     return out

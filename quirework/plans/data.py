@@ -5,9 +5,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quirework.operators import nested, references
-from quirework.runtime import shared_folder, table
+from quirework.runtime import materialize, shared_folder, table
 from quirework.streaming import orphans
 
 
@@ -15,16 +16,43 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.links(table(spark, d, "contracts"))
 
 
+def _flat(spark: SparkSession, d: str, name: str) -> DataFrame:
+    records = nested.latest(table(spark, d, "contracts").where("contract_id IS NOT NULL"), "contract_id", "payload", "received_at")
+    return nested.flat_tables(records, only=[name])[name].drop("node_key", "parent_key")
+
+
+def p4_contracts(spark: SparkSession, d: str) -> DataFrame:
+    return _flat(spark, d, "contracts")
+
+
 def p4_divisions(spark: SparkSession, d: str) -> DataFrame:
-    return nested.flat_tables(table(spark, d, "contracts"))["divisions"]
+    return _flat(spark, d, "divisions")
 
 
 def p4_units(spark: SparkSession, d: str) -> DataFrame:
-    return nested.flat_tables(table(spark, d, "contracts"))["units"]
+    return _flat(spark, d, "units")
 
 
 def p4_children(spark: SparkSession, d: str) -> DataFrame:
-    return nested.flat_tables(table(spark, d, "contracts"))["children"]
+    return _flat(spark, d, "children")
+
+
+def p4_parties(spark: SparkSession, d: str) -> DataFrame:
+    """A list that no letter stands for: it is found in the merged schema."""
+    return _flat(spark, d, "parties")
+
+
+def p4_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the tables and those among them whose parent key is the key of a row: all but the contracts'."""
+    records = nested.latest(table(spark, d, "contracts").where("contract_id IS NOT NULL"), "contract_id", "payload", "received_at")
+    tables = nested.flat_tables(records)
+    every = None
+    for name, df in tables.items():
+        rows = df.select(F.lit(name).alias("table_name"), "node_key", "parent_key")
+        every = rows if every is None else every.unionByName(rows)
+    every = materialize(every)
+    known = every.select(F.col("node_key").alias("parent_key"), F.lit(1).alias("_k")).distinct()
+    return every.join(known, "parent_key", "left").groupBy("table_name").agg(F.count("*").alias("n_rows"), F.count("_k").alias("n_linked"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -55,12 +83,12 @@ def p7_streamed(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}").where(references.ORPHAN)
 
 
-QUERIES = {q.__name__: q for q in (p4_found, p4_divisions, p4_units, p4_children, p7_found, p7_report, p7_current, p7_streamed)}
+QUERIES = {q.__name__: q for q in (p4_found, p4_contracts, p4_divisions, p4_units, p4_children, p4_parties, p4_keys, p7_found, p7_report, p7_current, p7_streamed)}
 
-_P4 = """
+_TREE = """
 WITH RECURSIVE n(contract_id, parent_path, node_path, node) AS (
   SELECT contract_id, '', '', CASE WHEN json_type(payload, '$.contract') = 'OBJECT' THEN json_extract(payload, '$.contract') ELSE payload::json END
-  FROM (SELECT DISTINCT contract_id, payload FROM contracts WHERE json_valid(payload))
+  FROM (SELECT DISTINCT ON (contract_id) contract_id, payload FROM contracts WHERE contract_id IS NOT NULL ORDER BY contract_id, received_at DESC NULLS LAST, payload DESC NULLS LAST) WHERE json_valid(payload)
   UNION ALL
   SELECT contract_id, CASE WHEN node_path = '' THEN 'root' ELSE node_path END, CASE WHEN node_path = '' THEN '' ELSE node_path || '/' END || letter || pos::varchar, child
   FROM (
@@ -74,8 +102,16 @@ WITH RECURSIVE n(contract_id, parent_path, node_path, node) AS (
     ) p
   )
 )
-SELECT DISTINCT contract_id, parent_path, node_path FROM n WHERE node_path <> ''
 """
+_P4 = _TREE + "SELECT DISTINCT contract_id, parent_path, node_path FROM n WHERE node_path <> ''"
+
+
+def _node_table(letter: str, texts: list[str], numbers: list[str] = []) -> str:  # noqa: B006
+    """SQL of a table of nodes: the fields are named here, the operator finds them."""
+    cols = [f"json_extract_string(node, '$.{c}') AS {c}" for c in texts] + [f"try_cast(json_extract_string(node, '$.{c}') AS bigint) AS {c}" for c in numbers]
+    kind = "CASE WHEN parent_path = 'root' THEN 'contract' ELSE CASE left(string_split(parent_path, '/')[-1], 1) WHEN 'd' THEN 'division' WHEN 'u' THEN 'unit' ELSE 'child' END END"
+    return _TREE + f"SELECT contract_id, parent_path, node_path, {kind} AS parent_kind, substr(string_split(node_path, '/')[-1], 2)::int AS ordinal, {', '.join(cols)} FROM n WHERE node_path <> '' AND left(string_split(node_path, '/')[-1], 1) = '{letter}'"
+
 
 _INDEX = r"""CASE WHEN regexp_matches(i, '^[ivx]+$') THEN (10 * (length(i) - length(replace(i, 'x', ''))) + 5 * (length(i) - length(replace(i, 'v', ''))) + (length(i) - length(replace(i, 'i', '')))
   - 2 * ((length(i) - length(replace(replace(i, 'iv', ''), 'ix', ''))) // 2))::varchar ELSE regexp_replace(regexp_replace(i, '(^|\.)0+([0-9])', '\1\2', 'g'), '\.0$', '') END"""
@@ -99,6 +135,15 @@ ORACLES = {
     "p7_current": _CURRENT,
     "p7_streamed": _CURRENT,
     "p4_found": _P4,
+    "p4_contracts": _TREE + "SELECT contract_id, NULL::varchar AS parent_path, 'root' AS node_path, NULL::varchar AS parent_kind, NULL::int AS ordinal, json_extract_string(node, '$.source') AS source, json_extract_string(node, '$.status') AS status FROM n WHERE node_path = ''",
+    "p4_divisions": _node_table("d", ["division_id", "division_type", "running_header", "title"], ["start_page", "end_page"]),
+    "p4_units": _node_table("u", ["flags", "kind", "marker", "page_start", "risk_level", "text", "title", "unit_id"]),
+    "p4_children": _node_table("c", ["marker", "text", "title"]),
+    "p4_parties": _TREE + """, p AS (SELECT contract_id, unnest(json_extract(node, '$.parties[*]')) AS node, generate_subscripts(json_extract(node, '$.parties[*]'), 1) AS i FROM n WHERE node_path = '')
+SELECT contract_id, 'root' AS parent_path, 'parties:' || i::varchar AS node_path, 'contract' AS parent_kind, i::int AS ordinal, json_extract_string(node, '$.aliases') AS aliases, json_extract_string(node, '$.side') AS side FROM p""",
+    "p4_keys": _TREE + """SELECT 'contracts' AS table_name, count(*) AS n_rows, 0::bigint AS n_linked FROM n WHERE node_path = ''
+UNION ALL SELECT 'parties', sum(json_array_length(node, '$.parties'))::bigint, sum(json_array_length(node, '$.parties'))::bigint FROM n WHERE node_path = ''
+UNION ALL SELECT CASE left(string_split(node_path, '/')[-1], 1) WHEN 'd' THEN 'divisions' WHEN 'u' THEN 'units' ELSE 'children' END, count(*), count(*) FROM n WHERE node_path <> '' GROUP BY 1""",
     "p7_found": f"WITH {_REFS} SELECT DISTINCT page_id, ref_pos FROM states WHERE dangles",
     "p7_report": f"WITH {_REFS} SELECT CASE WHEN kind = 'clause' THEN 'clauses' ELSE 'attachments' END AS table_name, kind, strftime(asked, '%Y-%m') AS month, count(*) AS n_references, sum(dangles::bigint)::bigint AS n_dangling, sum(dangles::bigint) / count(*) AS share FROM states GROUP BY ALL",
 }

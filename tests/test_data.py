@@ -36,7 +36,8 @@ def test_nested_against_brute_force(spark):
         walk(i, d.get("contract", d), "", want)
     assert {tuple(r) for r in nested.links(df.selectExpr("contract_id", "payload", "'x' path", "1 key", "2 node")).collect()} == want
     t = nested.flat_tables(df)
-    assert {k: v.count() for k, v in t.items()} == {n: sum(p.rpartition("/")[2][0] == n[0] for _, _, p in want) for n in ("divisions", "units", "children")}
+    n = {n: sum(p.rpartition("/")[2][0] == n[0] for _, _, p in want) for n in ("divisions", "units", "children")}
+    assert {k: v.count() for k, v in t.items()} == n | {"contracts": len(docs)}
     assert nested.links(df.where("false")).count() == 0
     deep: dict = {"leaf": 1}
     for _ in range(30):
@@ -44,6 +45,26 @@ def test_nested_against_brute_force(spark):
     assert nested.links(spark.createDataFrame([(1, json.dumps(deep))], "contract_id bigint, payload string")).count() == 30
 
 
+def test_lists_of_objects_come_from_the_schema(spark):
+    docs = [
+        {"no": 7, "parties": [{"name": "A", "aliases": ["x", "y"], "people": [{"n": 1}, {"n": 2}]}, None, {"name": "B", "node_key": 5}], "divisions": [{"title": "t", "parties": {"name": "C"}, "flags": ["f"]}], "ma'rk": 1},
+        {"no": "8", "parties": json.dumps([{"name": "D"}]), "divisions": {"parties": [], "units": [{"parties": [{"name": 5}]}]}},
+        {"parties": 3}, {},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(d), 1) for i, d in enumerate(docs)] + [(0, json.dumps({"no": 1}), 0)], "contract_id bigint, payload string, at int")
+    t = nested.flat_tables(nested.latest(df, "contract_id", "payload", "at"))
+    assert set(t) == {"contracts", "divisions", "units", "children", "parties", "people"}
+    rows = {name: x.collect() for name, x in t.items()}
+    got = {(r.contract_id, r.node_path): (r.name, r.parent_kind, r.ordinal) for r in rows["parties"]}
+    assert got == {(0, "parties:1"): ("A", "contract", 1), (0, "parties:2"): ("B", "contract", 2), (0, "d1/parties:1"): ("C", "division", 1), (1, "parties:1"): ("D", "contract", 1), (1, "d1/u1/parties:1"): ("5", "unit", 1)}
+    assert {(r.node_path, r.n, r.parent_kind) for r in rows["people"]} == {("parties:1/people:1", 1, "parties"), ("parties:1/people:2", 2, "parties")}
+    assert {r.aliases for r in rows["parties"]} == {'["x","y"]', None} and "field_node_key" in t["parties"].columns and "people" not in t["parties"].columns
+    assert {r.contract_id: r.no for r in rows["contracts"]} == {0: "7", 1: "8", 2: None, 3: None}
+    keys = {r.node_key for x in rows.values() for r in x}
+    assert len(keys) == sum(map(len, rows.values())) and all(r.parent_key in keys for n, x in rows.items() if n != "contracts" for r in x)
+    assert {k: v.count() for k, v in nested.flat_tables(df.where("false")).items()} == {"contracts": 0, "divisions": 0, "units": 0, "children": 0}
+
+
 def test_dangling_references(spark):
     t = lambda day: datetime(2024, 1, day)
     clauses = [(1, "B", "Annexure - III", t(1), None), (1, "B", "Annexure - III", t(1), None), (2, "B", "7.0", t(5), t(9)), (3, "B", "2 . 1", t(1), t(3)), (4, "B", "Schedule-A", t(9), None), (5, "B", None, t(1), None), (6, "B", "Form 5", t(8), t(2)), (7, "B", "Form 6", None, None)]
