@@ -160,6 +160,18 @@ _ENDED = rf"""(regexp_matches(text, '[.!?:|]["'')\]’”]*\s*$') OR (is_item AN
   AND NOT regexp_matches(text, '(?:^|[\s(])(?:Cl|Cls|No|Nos|Fig|Figs|cf|Art|Sec|viz|approx|resp|M/s|Messrs|Ref)\.\s*$') AND NOT regexp_matches(text, '{_SIGN}') AND NOT ({_OPEN})"""
 _SUB = "s AS (SELECT DISTINCT subclause_id, source, text, true AS is_item FROM subclauses)"
 
+_PHRASES = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(regexp_replace(text, '[-‐‑\x{ad}¬][ \t]*\r?\n\s*|\x{ad}', '', 'g')), '[\p{L}\p{N}]+') AS w FROM documents),
+dg AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d),
+p AS (SELECT item_id, regexp_extract_all(lower(passage), '[\p{L}\p{N}]+') AS w FROM eval_items),
+pg AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM p),
+n AS (SELECT item_id, count(*) AS n FROM pg GROUP BY item_id)
+"""
+_PAIRS = """WITH w AS (SELECT DISTINCT clause_id AS id, regexp_extract_all(lower(coalesce(title, '') || ' ' || coalesce(text, '')), '[a-z0-9]+') AS w FROM clauses WHERE clause_id IS NOT NULL AND len(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')) >= 25),
+g AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS g FROM w), n AS (SELECT id, count(*) AS n FROM g GROUP BY 1),
+j AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.id < y.id GROUP BY 1, 2), pairs AS (SELECT a, b FROM j JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE c * 2 >= x.n + y.n - c)
+"""
+
 ORACLES = {
     "p6_found": f"""WITH b AS (SELECT DISTINCT block_key, bundle_id, page, idx, text, regexp_matches(text, '{_ITEM}') AS is_item FROM blocks WHERE kind IN ('clause', 'paragraph', 'recital', 'table')), {_SUB},
  g AS (SELECT l.bundle_id, l.page, l.idx FROM (SELECT bundle_id, page, max(idx) AS idx FROM b GROUP BY 1, 2) l SEMI JOIN (SELECT bundle_id, page - 1 AS page FROM pages WHERE first_continues) p USING (bundle_id, page))
@@ -178,12 +190,12 @@ ORACLES = {
  SELECT table_name, source, model, finish_reason, count(*) AS n_records, sum(cut::int)::bigint AS n_cut, sum((cut AND lim)::int)::bigint AS n_at_limit, sum(cut::int) / count(*) AS share_cut FROM o GROUP BY 1, 2, 3, 4""",
     "p6_limits": f"""WITH {_SUB}, t AS (SELECT source, text FROM s WHERE text IS NOT NULL AND text <> '' AND NOT ({_ENDED})), u AS (SELECT source, 'chars' AS unit, length(text)::int AS length FROM t UNION ALL SELECT source, 'bytes', strlen(text)::int FROM t), c AS (SELECT source, unit, length, count(*) AS n FROM u GROUP BY 1, 2, 3),
  e AS (SELECT *, (sum(n) OVER (PARTITION BY source, unit ORDER BY length RANGE BETWEEN 12 PRECEDING AND 12 FOLLOWING) - n) / 24 AS expected FROM c) SELECT source, unit, length, n, expected FROM e WHERE n >= 5 AND n > expected + 6 * sqrt(greatest(expected, 0.25))""",
+    "p1_found": _PAIRS + "SELECT least(a, b) AS clause_id_a, greatest(a, b) AS clause_id_b FROM pairs",
+    "p1_groups": _PAIRS.replace("WITH ", "WITH RECURSIVE ", 1) + """, own AS (SELECT id, md5(list_sort(list(g))::varchar) AS h FROM g GROUP BY id), sides AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+ reach(id, to_id) AS (SELECT id, id FROM own UNION SELECT r.id, sides.b FROM reach r JOIN sides ON sides.a = r.to_id), grp AS (SELECT id, min(to_id) AS least FROM reach GROUP BY 1),
+ links AS (SELECT x.id, count(DISTINCT CASE WHEN z.h <> x.h THEN z.h END) + count(DISTINCT CASE WHEN z.h = x.h THEN z.id END) AS n FROM own x JOIN sides ON sides.a = x.id JOIN own z ON z.id = sides.b GROUP BY 1)
+ SELECT c.clause_id, coalesce(least, c.clause_id) AS group_id, coalesce(n, 0)::bigint AS n_links FROM (SELECT DISTINCT clause_id FROM clauses WHERE clause_id IS NOT NULL) c LEFT JOIN grp ON grp.id = c.clause_id LEFT JOIN links ON links.id = c.clause_id""",
+    "p8_items": _PHRASES + "SELECT item_id, count(*) AS n_documents, max(f / n) AS largest_share FROM (SELECT doc_id, item_id, n, count(*) AS f FROM dg JOIN pg USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id, n HAVING count(*) * 3 >= n) GROUP BY 1",
     "p2_found": "SELECT DISTINCT clause_id, 'text' AS field_name FROM clauses WHERE length(text) > 2000 UNION SELECT DISTINCT clause_id, 'full_text' FROM clauses WHERE length(full_text) > 2000",
-    "p8_found": r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(lower(regexp_replace(text, '[-‐‑\x{ad}¬][ \t]*\r?\n\s*|\x{ad}', '', 'g')), '[\p{L}\p{N}]+') AS w FROM documents),
-dg AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d),
-p AS (SELECT item_id, regexp_extract_all(lower(passage), '[\p{L}\p{N}]+') AS w FROM eval_items),
-pg AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM p),
-n AS (SELECT item_id, count(*) AS n FROM pg GROUP BY item_id)
-SELECT doc_id, item_id FROM dg JOIN pg USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id, n HAVING count(*) * 3 >= n""",
+    "p8_found": _PHRASES + "SELECT doc_id, item_id FROM dg JOIN pg USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id, n HAVING count(*) * 3 >= n",
 }
