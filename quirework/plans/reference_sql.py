@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from quirework.functions.dates import TERMS
+from quirework.operators.recovery import COVERS, DATE_TITLES
+
 PG = "pg AS (SELECT DISTINCT page_id, bundle_id, page, page_type, is_document_start, document_title, printed_label, running_header, first_continues, status, ink_ratio, cross_references, contract_documents_list, call_key FROM pages)"
 BL = "bl AS (SELECT DISTINCT block_key, bundle_id, page, idx, block_id, kind, number, title, text, legibility, source, call_key FROM blocks)"
 CL = "cl AS (SELECT DISTINCT * EXCLUDE (loaded_at) FROM clauses)"
@@ -76,7 +79,54 @@ _LAST = lambda c, k, cond="level = {k}": f"last_value(CASE WHEN {cond.format(k=k
 _OPEN = lambda k: f"last_value(CASE WHEN wanted <= {k} THEN pos END IGNORE NULLS) OVER (PARTITION BY bundle_id, segment_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 _Q = lambda c, n: f"left(replace({clean(c)}, chr(34), chr(39)), {n})"
 
+_TREE = f"""{_LEVELS}, p1 AS (SELECT *, (pos + least(0, min(greatest(1, wanted) - pos) OVER (PARTITION BY bundle_id, segment_id ORDER BY pos ROWS UNBOUNDED PRECEDING)))::int AS level FROM p0),
+ nodes AS (SELECT p1.*, b.title, b.number, b.text, trim(concat_ws(' ', b.number, CASE WHEN coalesce(b.title, '') <> '' THEN b.title WHEN length(b.text) > 70 THEN left(b.text, 70) || '...' ELSE b.text END)) AS label FROM p1 JOIN bl b USING (bundle_id, page, idx)),
+ spans AS (SELECT n.bundle_id, n.segment_id, n.pos, n.level, n.label, n.page, coalesce((SELECT min(m.pos) FROM nodes m WHERE m.bundle_id = n.bundle_id AND m.segment_id = n.segment_id AND m.pos > n.pos AND m.level <= n.level), 1000000000) AS stop FROM nodes n)"""
+_NORM = lambda t: f"trim(regexp_replace(regexp_replace(regexp_replace(lower({clean(t)}), '\\[illegible\\]', ' ', 'g'), '[^\\p{{L}}\\p{{M}}\\p{{N}}_\\s.()-]', ' ', 'g'), '\\s+', ' ', 'g'))"
+_HINT = f"""CASE WHEN key IS NULL THEN '-' WHEN regexp_matches(key, '^\\d+(\\.\\d+)*$') THEN 'dotted-' || (length(key) - length(replace(key, '.', '')) + 1)::varchar WHEN key LIKE '(%' AND regexp_matches(inn, '^\\d+$') THEN 'paren-number' WHEN key LIKE '(%' AND ({roman('inn')}) IS NOT NULL AND (length(inn) > 1 OR inn IN ('i', 'v', 'x')) THEN 'roman-or-alpha'
+   WHEN key LIKE '(%' THEN 'alpha' WHEN contains(key, ':') THEN split_part(key, ':', 1) ELSE 'named' END"""
+_ANCHORS = f"""a0 AS ({MARKER % "SELECT bundle_id, segment_id AS division_id, number AS marker, coalesce(title, '') AS title, page FROM num WHERE kind = 'clause' AND number IS NOT NULL"}),
+ a1 AS (SELECT bundle_id, division_id, key, min(page) AS page, arg_min(marker, (page, marker)) AS marker FROM a0 GROUP BY 1, 2, 3)"""
+_BEGINS = lambda t, p: f"list_transform(range(1, len(regexp_extract_all({t}, '{p}')) + 1), lambda i: 1 + list_sum(list_transform(string_split_regex({t}, '{p}')[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(regexp_extract_all({t}, '{p}')[1:i - 1], lambda x: length(x))), 0))"
+_TERMS = TERMS.replace("'", "''")
+_NEAR = lambda t: f"list_sum(list_transform({_BEGINS(t, _TERMS)}, lambda a: len(list_filter({_BEGINS(t, _LIT)}, lambda b: abs(a - b) <= 200))))::int"
+
 ORACLES = {
+    "boundary_verdicts": f"""WITH {STARTS}, r AS (SELECT v.bundle_id, v.page, v.p.page AS against_page, v.first_continues, v.page <> min(v.page) OVER (PARTITION BY v.bundle_id) AND (s.start_page IS NOT NULL OR (v.status = 'ok' AND v.is_document_start)) AS pick FROM prev v LEFT JOIN st s ON s.bundle_id = v.bundle_id AND s.start_page = v.page),
+ k AS (SELECT *, row_number() OVER (PARTITION BY bundle_id ORDER BY page) AS rank FROM r WHERE pick), v AS (SELECT bundle_id, page AS start_page, CASE WHEN first_continues THEN 'continuation' WHEN against_page IS NULL THEN 'unclear' ELSE 'new_document' END AS verdict FROM k WHERE rank <= 120)
+ SELECT bundle_id, start_page, doc_type, verdict = 'new_document' AS boundary_verified FROM st LEFT JOIN v USING (bundle_id, start_page) WHERE verdict IS NULL OR verdict <> 'continuation'
+ UNION ALL SELECT v.bundle_id, v.start_page, page_type, true FROM v JOIN pg ON pg.bundle_id = v.bundle_id AND pg.page = v.start_page WHERE verdict = 'new_document' AND NOT EXISTS (SELECT 1 FROM st WHERE st.bundle_id = v.bundle_id AND st.start_page = v.start_page)""",
+    "toc_fold": f"""WITH RECURSIVE {STARTS}, g AS (SELECT seg.bundle_id, upper(doc_type) AS t, lower({clean('running_header')}) AS h, start_page, end_page, row_number() OVER (PARTITION BY seg.bundle_id ORDER BY start_page) AS i FROM seg JOIN pg ON pg.bundle_id = seg.bundle_id AND pg.page = start_page),
+ f AS (SELECT bundle_id, i, 1 AS grp, t AS kept, h AS head, false AS folds FROM g WHERE i = 1 UNION ALL
+  SELECT bundle_id, i, CASE WHEN yes THEN grp ELSE grp + 1 END, CASE WHEN yes THEN kept ELSE t END, CASE WHEN yes THEN head ELSE h END, yes FROM (
+   SELECT g.bundle_id, g.i, f.grp, f.kept, f.head, g.t, g.h, g.t = 'SCHEDULE' AND f.kept IN ('GENERAL_CONDITIONS', 'SPECIAL_CONDITIONS', 'TECHNICAL_SPECIFICATION', 'ANNEXURE') AND NOT (g.h <> '' AND f.head <> '' AND NOT contains(g.h, f.head) AND NOT contains(f.head, g.h)) AS yes FROM f JOIN g ON g.bundle_id = f.bundle_id AND g.i = f.i + 1))
+ SELECT bundle_id, format('DIV-{{:02d}}', grp::bigint) AS division_id, arg_min(t, i) AS division_type, min(start_page) AS start_page, max(end_page) AS end_page, sum(folds::int)::bigint AS n_folded FROM f JOIN g USING (bundle_id, i) GROUP BY bundle_id, grp""",
+    "unit_ranges": f"""WITH {STARTS}, {BL}, {_NUM}, {_ANCHORS}, a2 AS (SELECT *, regexp_matches(key, '^\\(?\\d+\\)?$') AS plain FROM a1), a3 AS (SELECT * FROM (SELECT *, max(plain::int) OVER (PARTITION BY bundle_id, division_id) AS any_plain FROM a2) WHERE plain OR any_plain = 0),
+ d AS (SELECT bundle_id, segment_id AS division_id, start_page, end_page FROM seg), u AS (SELECT a.bundle_id, a.division_id, 'clause' AS kind, marker, page AS page_start, CASE WHEN nx IS NULL THEN end_page ELSE greatest(page, nx - 1) END AS page_end, coalesce(nx = page, false) AS shares_start_page
+   FROM (SELECT *, lead(page) OVER (PARTITION BY bundle_id, division_id ORDER BY page, key) AS nx FROM a3) a JOIN d USING (bundle_id, division_id)),
+ l AS (SELECT d.*, (SELECT min(page) FROM a3 WHERE a3.bundle_id = d.bundle_id AND a3.division_id = d.division_id) AS first FROM d),
+ x AS (SELECT * FROM u UNION ALL SELECT bundle_id, division_id, 'preamble', NULL, start_page, first - 1, false FROM l WHERE first > start_page UNION ALL SELECT bundle_id, division_id, 'whole', NULL, start_page, end_page, false FROM l WHERE first IS NULL)
+ SELECT bundle_id, division_id, division_id || format('-U{{:02d}}', row_number() OVER (PARTITION BY bundle_id, division_id ORDER BY page_start, marker NULLS FIRST)) AS unit_id, kind, marker, page_start, page_end, shares_start_page FROM x""",
+    "template_coverage": f"""WITH {STARTS}, {BL}, {_NUM}, k0 AS ({MARKER % "SELECT bundle_id || '/' || segment_id AS segment_key, doc_type, number AS marker, coalesce(title, text) AS body FROM num"}), k AS (SELECT segment_key, doc_type, coalesce(key, '') || '|' || left({_NORM('body')}, 60) AS key FROM k0 WHERE body IS NOT NULL),
+ g AS (SELECT segment_key, doc_type, list_sort(list(DISTINCT key)) AS keys FROM k GROUP BY 1, 2), t AS (SELECT DISTINCT doc_type, doc_type || '_' || left(sha256(to_json(keys)::varchar), 16) AS template_id, unnest(keys) AS key FROM g WHERE len(keys) >= 15),
+ c AS (SELECT * FROM k WHERE length(key) > 1), n AS (SELECT segment_key, count(*) AS n FROM c GROUP BY 1), h AS (SELECT segment_key, template_id, count(*) AS hits FROM c JOIN t USING (doc_type, key) GROUP BY 1, 2)
+ SELECT segment_key, template_id, hits / n AS coverage, hits / n >= 0.9 AS reused FROM (SELECT *, row_number() OVER (PARTITION BY segment_key ORDER BY hits DESC, template_id) AS r FROM h) JOIN n USING (segment_key) WHERE r = 1""",
+    "page_end_rollup": f"""WITH {_TREE}, o AS (SELECT bundle_id, segment_id, owner_pos AS pos, max(page) AS last FROM (SELECT b.*, g.segment_id, sum((kind IN ('heading', 'clause'))::int) OVER (PARTITION BY b.bundle_id, segment_id ORDER BY b.page, idx ROWS UNBOUNDED PRECEDING) AS owner_pos FROM bl b JOIN seg g ON g.bundle_id = b.bundle_id AND b.page BETWEEN g.start_page AND g.end_page WHERE kind IN ('clause', 'paragraph', 'recital', 'table', 'heading', 'handwritten')) GROUP BY 1, 2, 3)
+ SELECT s.bundle_id, s.segment_id, s.pos, max(o.last) AS page_end FROM spans s JOIN o ON o.bundle_id = s.bundle_id AND o.segment_id = s.segment_id AND o.pos >= s.pos AND o.pos < s.stop GROUP BY 1, 2, 3""",
+    "full_texts": f"""WITH {_TREE}, t AS (SELECT bundle_id, segment_id, pos, CASE WHEN kind = 'heading' THEN {clean('text')} ELSE coalesce(text, '') END AS t FROM nodes)
+ SELECT s.bundle_id, s.segment_id, s.pos, md5(coalesce(string_agg(t, chr(10) || chr(10) ORDER BY t.pos) FILTER (t <> ''), '')) AS digest FROM spans s JOIN t ON t.bundle_id = s.bundle_id AND t.segment_id = s.segment_id AND t.pos >= s.pos AND t.pos < s.stop GROUP BY 1, 2, 3""",
+    "path_titles": f"""WITH {_TREE} SELECT s.bundle_id, s.segment_id, s.pos, string_agg(a.label, ' > ' ORDER BY a.level) AS path_titles FROM spans s JOIN spans a ON a.bundle_id = s.bundle_id AND a.segment_id = s.segment_id AND s.pos >= a.pos AND s.pos < a.stop GROUP BY 1, 2, 3""",
+    "toc_lines": f"""WITH {_TREE} SELECT bundle_id, segment_id, string_agg(repeat('  ', level - 1) || '- ' || label || ' (p. ' || page::varchar || ')', chr(10) ORDER BY pos) AS toc FROM spans WHERE level <= 3 GROUP BY 1, 2""",
+    "candidate_lines": f"""WITH {STARTS}, {BL}, {_NUM}, k AS ({MARKER % f"SELECT block_key, block_id, page, kind, number, text, coalesce(number, CASE WHEN kind = 'clause' AND regexp_extract({clean('text')}, '{_LEAD}', 1) <> '' THEN trim(regexp_extract({clean('text')}, '{_LEAD}', 1)) END) AS marker FROM num"}), x AS (SELECT *, CASE WHEN key LIKE '(%' THEN key[2:-2] END AS inn FROM k)
+ SELECT block_key, concat_ws(' | ', block_id, 'p' || page::varchar, kind, CASE WHEN {clean('number')} <> '' THEN {clean('number')} ELSE '-' END, left(replace({clean('text')}, '|', '/'), 160), {_HINT}) AS line FROM x""",
+    "date_candidates": f"WITH {CL}, h AS (SELECT clause_id, {_NEAR('text')} AS hits FROM cl WHERE regexp_matches(text, '{_TERMS}') AND regexp_matches(text, '{_LIT}')) SELECT * FROM h WHERE hits > 0",
+    "date_sources": f"""WITH {STARTS}, {CL}, c AS (SELECT DISTINCT bundle_id, unnest(range(start_page, end_page + 1))::int AS page FROM seg WHERE upper(doc_type) IN ({', '.join(f"'{x}'" for x in COVERS)})),
+ u AS (SELECT bundle_id, clause_id AS unit_id, page_start, text, {' OR '.join(f"contains(lower(concat_ws(' ', title, marker)), '{w}')" for w in DATE_TITLES)} AS hint FROM cl WHERE trim(coalesce(text, '')) <> '' AND NOT EXISTS (SELECT 1 FROM c WHERE c.bundle_id = cl.bundle_id AND c.page = cl.page_start)),
+ h AS (SELECT *, CASE WHEN regexp_matches(text, '{_TERMS}') AND regexp_matches(text, '{_LIT}') THEN {_NEAR('text')} ELSE 0 END AS hits FROM u) SELECT bundle_id, unit_id, page_start, (hits + CASE WHEN hint THEN 2 ELSE 0 END)::int AS score FROM h WHERE hint OR hits > 0""",
+    "follow_markers": f"""WITH {CL}, c AS ({MARKER % "SELECT contract_id::varchar || '/' || division_id AS division_id, clause_id::varchar AS unit_id, regexp_extract(marker, '^\\s*(\\d+)\\.?\\s*$', 1) AS plain, page_start, page_end, seq, marker FROM cl"}),
+ o AS (SELECT division_id, plain, min(unit_id) AS u, min(page_start) AS s, max(page_end) AS e FROM c WHERE plain <> '' GROUP BY 1, 2 HAVING count(*) = 1), b AS (SELECT c.division_id, c.unit_id, c.seq, c.page_start AS page, regexp_extract(coalesce(key, ''), '^(\\d+)(?:\\.\\d+)+$', 1) AS head FROM c),
+ m AS (SELECT b.*, CASE WHEN head = '' THEN NULL WHEN o.u IS NOT NULL AND page BETWEEN s - 2 AND e + 2 THEN o.u ELSE unit_id END AS stated FROM b LEFT JOIN o ON o.division_id = b.division_id AND o.plain = b.head)
+ SELECT unit_id <> coalesce(last_value(stated IGNORE NULLS) OVER (PARTITION BY division_id ORDER BY seq, unit_id ROWS UNBOUNDED PRECEDING), unit_id) AS moved FROM m""".replace("SELECT unit_id <> coalesce", "SELECT moved, count(*) AS n FROM (SELECT unit_id <> coalesce") + ") GROUP BY 1",
     "tree_paths": f"""WITH {_LEVELS}, p1 AS (SELECT *, (pos + least(0, min(greatest(1, wanted) - pos) OVER (PARTITION BY bundle_id, segment_id ORDER BY pos ROWS UNBOUNDED PRECEDING)))::int AS level FROM p0),
  p2 AS (SELECT *, CASE level {' '.join(f"WHEN {k} THEN {_LAST('pos', k - 1)}" for k in range(2, 6))} END AS parent_pos FROM p1), p3 AS (SELECT *, row_number() OVER (PARTITION BY bundle_id, segment_id, parent_pos ORDER BY pos)::int AS ordinal FROM p2)
  SELECT bundle_id, segment_id, pos, wanted, level, parent_pos, ordinal, concat_ws('.', {', '.join(f"CASE WHEN level >= {k} THEN {_LAST('ordinal', k)} END" for k in range(1, 6))}) AS path FROM p3""",
@@ -91,7 +141,6 @@ ORACLES = {
  SELECT page_id, CASE WHEN status = 'blank' THEN '[p' || page || '] BLANK' WHEN status = 'failed' THEN '[p' || page || '] UNREADABLE' ELSE '[p' || page || '] type=' || page_type || ' start=' || CASE WHEN is_document_start THEN 'Y' ELSE 'N' END || ' label="' || {_Q('printed_label', 20)} || '" hdr="' || {_Q('running_header', 50)} || '" cont=' || CASE WHEN first_continues THEN 'Y' ELSE 'N' END
    || ' title="' || {_Q('document_title', 90)} || '" first="' || {_Q('first', 90)} || '" heads=' || coalesce(heads, '') || ' refs=' || coalesce(array_to_string(list_transform(cross_references[1:5], lambda x: {_Q('x', 40)}), ', '), '') END AS card FROM pg LEFT JOIN b USING (bundle_id, page)""",
     "page_contexts": f"""WITH {CL}, x AS (SELECT bundle_id, page_start, clause_id::varchar AS unit_id, concat_ws(' ', kind, marker, CASE WHEN title IS NOT NULL THEN chr(39) || left({clean('title')}, 60) || chr(39) END) AS line, unnest(range(page_start, page_end + 1))::int AS page FROM cl WHERE page_end >= page_start) SELECT bundle_id, page, string_agg(line, '; ' ORDER BY page_start, unit_id) AS hint FROM x GROUP BY 1, 2""",
-    "follow_markers": None,
     "page_windows": f"WITH {PG}, b AS (SELECT bundle_id, min(page) AS a, max(page) AS z FROM pg GROUP BY 1) SELECT bundle_id, i::int AS window_no, (a + i * 14)::int AS lo, least(a + i * 14 + 14, z)::int AS hi FROM (SELECT *, unnest(range(0, CASE WHEN z - a + 1 <= 15 THEN 1 ELSE ceil((z - a + 1 - 15) / 14)::int + 1 END)) AS i FROM b)",
     "segmentation_windows": f"WITH {PG}, b AS (SELECT bundle_id, min(page) AS first, max(page) AS last FROM pg GROUP BY 1), s AS (SELECT bundle_id, first, last, unnest(CASE WHEN last - first + 1 <= 220 THEN [first] ELSE list_filter(range(first, last + 1, 200), lambda x: x <= last - 20 OR x = first) END) AS lo FROM b) SELECT bundle_id, first, last, lo::int AS lo, (CASE WHEN last - first + 1 <= 220 THEN last ELSE least(last, lo + 219) END)::int AS hi FROM s",
     "prev_content_page": f"WITH {PREV} SELECT bundle_id, page, p.page AS prev_page, p.pt AS prev_page_type FROM prev",
@@ -157,4 +206,3 @@ ORACLES = {
     "duplicate_page_pairs": f"""WITH {_SHINGLE}, j AS (SELECT a.bundle_id, a.page AS earlier, b.page AS later, count(*) AS c FROM g a JOIN g b ON a.bundle_id = b.bundle_id AND a.g = b.g AND a.page < b.page GROUP BY 1, 2, 3)
  SELECT j.bundle_id, earlier, later, c / (x.n + y.n - c) AS jaccard FROM j JOIN n x ON x.bundle_id = j.bundle_id AND x.page = earlier JOIN n y ON y.bundle_id = j.bundle_id AND y.page = later WHERE y.n >= 30 AND x.n / y.n > 0.7 AND x.n / y.n < 1.43 AND c / (x.n + y.n - c) >= 0.9""",
 }
-ORACLES = {k: v for k, v in ORACLES.items() if v}
