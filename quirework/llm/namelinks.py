@@ -37,7 +37,7 @@ JOINT = {"udb": ["urban", "development", "board"]}
 GIVEN = {
     "richard": ["rick", "dick", "rich"], "james": ["jim", "jimmy", "jamie"], "margaret": ["peggy", "maggie", "meg"], "frederick": ["fred", "freddie"], "patricia": ["pat", "tricia", "patty"],
     "william": ["bill", "will", "billy"], "elizabeth": ["liz", "beth", "betty", "lizzie", "eliza"], "michael": ["mike", "mick"], "edward": ["ted", "ed", "eddie", "ned"], "robert": ["bob", "rob", "bobby"],
-    "charles": ["chuck", "charlie"], "joseph": ["joe", "joey"], "thomas": ["tom", "tommy"], "john": ["jack", "johnny"], "katherine": ["kate", "kathy", "kit", "catherine"], "anthony": ["tony"], "susan": ["sue"],
+    "charles": ["chuck", "charlie"], "joseph": ["joe", "joey"], "thomas": ["tom", "tommy"], "john": ["jack", "johnny"], "katherine": ["kate", "kathy", "kit", "catherine", "catharina", "katharina", "cathy", "katie"], "anthony": ["tony"], "susan": ["sue"],
     "henry": ["harry", "hal"], "george": [], "mary": ["molly", "polly"], "anne": ["nan", "annie", "ann"], "david": ["dave"], "daniel": ["dan"], "alexander": ["alex", "sandy"], "dorothy": ["dot", "dolly"], "samuel": ["sam"], "barbara": ["barb"],
 }
 LINE_OF = {v: k for k, vs in LINES.items() for v in [k, *vs]}
@@ -78,7 +78,7 @@ def parse(name: str) -> dict:
         last, _, first = raw.partition(",")
         raw = f"{first} {last}"
     words = [w for w in re.split(r"[^a-z0-9]+", raw) if w]
-    own, line, firm, given, initial, middle = [], set(), False, None, None, False
+    own, line, firm, given, initial, first, letters = [], set(), False, None, None, None, []
     titled = False
     for w in words:
         if w in TITLES and not own:
@@ -92,15 +92,18 @@ def parse(name: str) -> dict:
         elif w in LEGAL and not (len(w) == 1 and not firm and not own):
             firm = firm or w in ("limited", "ltd", "private", "pvt", "company")
         elif w in GIVEN_OF and given is None and not own:
-            given = GIVEN_OF[w]
+            given, first = GIVEN_OF[w], w
             initial = given[0]
         elif len(w) == 1:
             if initial is None and not own:
                 initial = w
-            else:
-                middle = True
+            letters.append(w)
         else:
             own.append(w)
+    if firm and first:  # a firm's given name is one of its own words, and its letters are if it has no other
+        own.insert(0, first)
+    if firm and not own:
+        own = letters
     if {"board", "electricals"} <= line:  # the short form of electrical is that of electricity too
         line = line - {"electricals"} | {"electricity"}
     person = not firm and (given is not None or initial is not None or titled)
@@ -109,11 +112,12 @@ def parse(name: str) -> dict:
     return {"own": own, "line": " ".join(sorted(line)) or None, "given": given if person else None, "initial": initial if person else None, "person": person, "short": short, "letters": "".join(w[0] for w in words if w not in TITLES).upper()}
 
 
-PARSED = "name string, f1 string, f2 string, line string, given string, initial string, person boolean, short string, letters string"
+PARSED = "name string, f1 string, f2 string, f3 string, line string, given string, initial string, person boolean, short string, letters string"
 
 
 def parsed(names: DataFrame) -> DataFrame:
-    """``name`` with its parts; f1 and f2 are the own words written together in both orders (f2 null for one word)."""
+    """``name`` with its parts; f1 are the own words written together, f2 those with the first one last (null for one word), f3
+    those sorted (null for two words or fewer), which all orders of the same words share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,10 +125,9 @@ def parsed(names: DataFrame) -> DataFrame:
             for n in batch.column("name").to_pylist():
                 p = parse(n)
                 own = p["own"]
-                two = len(own) > 1
-                rows.append((n, "".join(own) or None, "".join(own[1:] + own[:1]) if two else None, p["line"], p["given"], p["initial"], p["person"], p["short"], p["letters"]))
-            cols = list(zip(*rows)) if rows else [()] * 9
-            yield pa.record_batch([pa.array(c, pa.bool_() if i == 6 else pa.string()) for i, c in enumerate(cols)], names=["name", "f1", "f2", "line", "given", "initial", "person", "short", "letters"])
+                rows.append((n, "".join(own) or None, "".join(own[1:] + own[:1]) if len(own) > 1 else None, "".join(sorted(own)) if len(own) > 2 else None, p["line"], p["given"], p["initial"], p["person"], p["short"], p["letters"]))
+            cols = list(zip(*rows)) if rows else [()] * 10
+            yield pa.record_batch([pa.array(c, pa.bool_() if i == 7 else pa.string()) for i, c in enumerate(cols)], names=["name", "f1", "f2", "f3", "line", "given", "initial", "person", "short", "letters"])
 
     return names.mapInArrow(run, PARSED)
 
@@ -283,10 +286,10 @@ def link(mentions: DataFrame, aliases: DataFrame) -> DataFrame:
     names = mentions.select("name").union(aliases.where("trim(name) <> ''").select("name")).distinct()
     p = materialize(parsed(names))
     # spellings of own words that belong together
-    forms = p.where("f1 IS NOT NULL AND short IS NULL").groupBy("f1", "f2").agg((F.count("*") == 1).alias("rare"))
-    points = forms.select(F.col("f1").alias("s"), "rare").union(forms.select("f2", "rare"))
+    forms = p.where("f1 IS NOT NULL AND short IS NULL").groupBy("f1", "f2", "f3").agg((F.count("*") == 1).alias("rare"))
+    points = forms.select(F.explode(F.array("f1", "f2", "f3")).alias("s"), "rare").where("s IS NOT NULL")
     close = linked_spellings(materialize(points))
-    turned = forms.where("f2 IS NOT NULL").select(F.col("f1").alias("a"), F.col("f2").alias("b"))
+    turned = forms.select(F.col("f1").alias("a"), F.explode(F.array("f2", "f3")).alias("b")).where("b IS NOT NULL")
     roots = materialize(components(materialize(close.union(turned))))
     p = p.join(roots.select(F.col("node").alias("f1"), "root"), "f1", "left").withColumn("family", F.coalesce("root", "f1")).drop("root")
     p = materialize(p)
@@ -324,6 +327,11 @@ def link(mentions: DataFrame, aliases: DataFrame) -> DataFrame:
     return rows.select("mention", F.when(F.col("family").isNull(), alone).otherwise(F.concat_ws(": ", "family", who_)).alias("entity")).distinct()
 
 
+def with_links(linked: DataFrame) -> DataFrame:
+    """``linked`` with ``n_links``: the other mentions of the entity."""
+    return linked.join(linked.groupBy("entity").agg((F.count("*") - 1).alias("n_links")), "entity").select("mention", "entity", "n_links")
+
+
 def entity_pairs(linked: DataFrame) -> DataFrame:
     """``(mention_a, mention_b)`` of the same entity, smaller first; every pair is part of the result."""
     x, y = linked.select("entity", F.col("mention").alias("mention_a")), linked.select("entity", F.col("mention").alias("mention_b"))

@@ -70,7 +70,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_entities(spark: SparkSession, d: str) -> DataFrame:
-    return _linked(spark, d)
+    return namelinks.with_links(materialize(_linked(spark, d)))
 
 
 def _block_cuts(spark: SparkSession, d: str) -> DataFrame:

@@ -59,6 +59,17 @@ def test_short_names_with_a_typing_error(spark):
     assert e["0"] == e["1"] == e["2"] and e["3"] == e["4"] and len({e["0"], e["3"], e["5"]}) == 3
 
 
+def test_orders_of_words_and_firms_with_given_names(spark):
+    names = ["Alvora Bexmund Cortell Steel Ltd", "Cortell Bexmund Alvora Steel Limited", "Bexmund Alvoar Cortell Steel", "Thomas Steel Ltd", "M/s Thomas Steel Limited", "J. K. Power Ltd", "JK Power Limited", "J K Power", "Kate Mendelhorst", "Catharina Mendelhorst", "Robert Mendelhorst"]
+    df = spark.createDataFrame([(str(i), "B", n) for i, n in enumerate(names)], "mention string, bundle_id string, name string")
+    al = spark.createDataFrame([], "bundle_id string, alias string, name string")
+    rows = namelinks.with_links(namelinks.link(df, al)).collect()
+    e = {r.mention: r.entity for r in rows}
+    groups = {frozenset(k for k in e if e[k] == x) for x in e.values()}
+    assert groups == {frozenset("012"), frozenset("34"), frozenset("567"), frozenset("89"), frozenset(["10"])}
+    assert {r.mention: r.n_links for r in rows}["1"] == 2
+
+
 def test_mixing(spark):
     rng = random.Random(5)
     rows = [(i, s, rng.randint(50, 400)) for i, s in enumerate(["big"] * 3000 + ["mid"] * 600 + ["small"] * 60 + ["other"] * 10)] + [(9001, None, 10), (9002, "big", 0)]
