@@ -249,15 +249,19 @@ def label_model(patterns: dict[tuple, int], known: dict[tuple, tuple[int, int]],
     return post
 
 
-def _preference(labelled: DataFrame, by, subjects: list[int]) -> dict[tuple, int]:
-    """Groups whose labelled documents have a subject clearly more or less often than all have."""
+def _preference(labelled: DataFrame, by, subjects: list[int], least: int = 30) -> dict[tuple, int]:
+    """Groups whose labelled documents have a subject clearly more or less often than all have. Groups of fewer than ``least``
+    labelled documents say nothing, so at most the size of the sample divided by ``least`` of them reach the driver."""
     rows = labelled.withColumn("g", by).where("g IS NOT NULL")
-    size = {r.g: r.n for r in rows.groupBy("g").agg(F.count("*").alias("n")).collect()}
-    n = {(r.g, r.s): r.n for r in rows.select("g", F.explode("subjects").alias("s")).groupBy("g", "s").agg(F.count("*").alias("n")).collect()}
-    total = max(1, sum(size.values()))
+    per = materialize(rows.groupBy("g").agg(F.count("*").alias("n")))
+    size = {r.g: r.n for r in per.where(F.col("n") >= least).collect()}
+    each = rows.select("g", F.explode("subjects").alias("s"))
+    n = {(r.g, r.s): r.n for r in each.join(per.where(F.col("n") >= least).select("g"), "g").groupBy("g", "s").agg(F.count("*").alias("n")).collect()}
+    every = {r.s: r.n for r in each.groupBy("s").agg(F.count("*").alias("n")).collect()}
+    total = max(1, per.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     out = {}
     for s in subjects:
-        base = sum(v for (_, t), v in n.items() if t == s) / total
+        base = every.get(s, 0) / total
         for g, m in size.items():
             z = (n.get((g, s), 0) - m * base) / math.sqrt(max(1e-9, m * base * (1 - base)))
             if abs(z) > 3:
