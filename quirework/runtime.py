@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
@@ -36,44 +35,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests) a local one is made."""
+    """The folder of ``spark.checkpoint.dir``. Only a local session (tests) may leave it unset and gets one of its own: on a
+    cluster other machines could not read it, so there the setting is asked for."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if not known:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         known = tempfile.mkdtemp(prefix="quirework-")
         atexit.register(shutil.rmtree, known, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(known)
     return known
 
 
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as parquet into the shared folder and read it back.
 
     Every executor can read the files again, so a lost executor costs at most a re-read. The files are
-    columnar and compressed, unlike those of ``DataFrame.checkpoint``.
+    columnar and compressed, unlike those of ``DataFrame.checkpoint``. :func:`release` removes them, at the
+    latest when the driver ends.
     """
     spark = df.sparkSession
+    if not _WRITTEN:
+        atexit.register(release)
     path = f"{shared_folder(spark).rstrip('/')}/quirework-{uuid.uuid4().hex}"
     schema = df.schema
+    _WRITTEN.append((spark, path))
     df.write.parquet(path)
-    if path.startswith("file:") or path.startswith("/"):
-        atexit.register(shutil.rmtree, path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
     return spark.read.schema(schema).parquet(path)
 
 
+def release() -> None:
+    """Remove what :func:`materialize` wrote, on any file system, once no frame needs it any more."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # the session may be gone: what is left is local or the cluster's to expire
+            if path.startswith(("/", "file:")):
+                shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else as it is (a shuffle join).
 
     Meant for materialized frames: the check is a count over files that exist already.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def cores(spark: SparkSession) -> int:
-    return max(1, int(spark.sparkContext.defaultParallelism))
-
-
-def scratch_bytes(path: str) -> int:
-    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs)
