@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quirework.functions.numbering import attachment_index, normalize_marker, parse_label
 from quirework.functions.text import clean, norm_lower
+from quirework.operators.spread import around, following, running_sum
 
 # Division types that a table of contents folds into.
 FOLDABLE = ["RECITALS", "CONTRACT_AGREEMENT", "LETTER_OF_AWARD", "LETTER_OF_INTENT", "PRE_BID_MINUTES", "TENDER_NOTICE", "INSTRUCTIONS_TO_TENDERERS", "FORM_OF_TENDER", "GCC", "SCC", "TECHNICAL_SPECS", "SCOPE_OF_WORK", "SCHEDULE", "ANNEXURE", "APPENDIX", "BOQ", "DRAWINGS", "BANK_GUARANTEE", "PROFORMA_OR_FORM"]
@@ -49,9 +50,8 @@ def shift_blank_starts(starts: DataFrame, pages: DataFrame) -> DataFrame:
 
     Of several that move to the same page the first one stays. The bundle's first page may stay blank.
     """
-    w = W.partitionBy("bundle_id").orderBy("page")
-    after = F.first(F.when(F.col("status") != "blank", F.col("page")), ignorenulls=True).over(w.rowsBetween(1, W.unboundedFollowing))
-    info = pages.select("bundle_id", "page", "status", after.alias("_to"), F.min("page").over(W.partitionBy("bundle_id")).alias("_first"))
+    first = pages.groupBy("bundle_id").agg(F.min("page").alias("_first"))
+    info = following(pages.select("bundle_id", "page", "status"), ["bundle_id"], "page", F.when(F.col("status") != "blank", F.col("page")), "_to").join(first, "bundle_id")
     rows = starts.join(info, (starts["bundle_id"] == info["bundle_id"]) & (starts["start_page"] == info["page"])).select(*(starts[c] for c in starts.columns), "status", "_to", "_first")
     stay = (F.col("status") != "blank") | (F.col("start_page") == F.col("_first"))
     kept = rows.where(stay).select(*starts.columns)
@@ -73,9 +73,8 @@ def ensure_first(starts: DataFrame, pages: DataFrame) -> DataFrame:
 def segments(starts: DataFrame, pages: DataFrame) -> DataFrame:
     """Contiguous segments: each ends before the next start, the last with the bundle. Ids are ``D01``, ``D02`` and on."""
     last = pages.groupBy("bundle_id").agg(F.max("page").alias("_last"))
-    w = W.partitionBy("bundle_id").orderBy("start_page")
-    rows = starts.join(last, "bundle_id").withColumn("end_page", F.coalesce(F.lead("start_page").over(w) - 1, F.col("_last")))
-    return rows.withColumn("segment_id", F.format_string("D%02d", F.row_number().over(w))).drop("_last")
+    rows = around(starts, ["bundle_id"], "start_page", "_no", after={"_next": F.col("start_page")}).join(last, "bundle_id")
+    return rows.withColumn("end_page", F.coalesce(F.col("_next.v") - 1, F.col("_last"))).withColumn("segment_id", F.format_string("D%02d", F.col("_no"))).drop("_last", "_next", "_no")
 
 
 def coverage_violations(parts: DataFrame, pages: DataFrame, shared: bool = False, by: list[str] | None = None, start: str = "start_page", end: str = "end_page") -> DataFrame:
@@ -91,18 +90,15 @@ def coverage_violations(parts: DataFrame, pages: DataFrame, shared: bool = False
 
 
 def prev_content(pages: DataFrame, cols: list[str]) -> DataFrame:
-    """``pages`` with ``prev_<col>`` of the nearest page before that is neither blank, failed nor a duplicate.
+    """``pages`` with ``prev_<col>`` of the nearest page before that is neither blank, failed nor a duplicate, and ``page_no`` from 1.
 
     A page number missing from the bundle ends the walk back, so each run of consecutive pages stands alone.
     """
-    w = W.partitionBy("bundle_id").orderBy("page")
     content = ~F.col("status").isin("blank", "failed") & F.col("duplicate_of").isNull()
-    run = pages.withColumn("_run", F.col("page") - F.row_number().over(w))
-    back = W.partitionBy("bundle_id", "_run").orderBy("page").rowsBetween(W.unboundedPreceding, -1)
-    for c in ["page", *cols]:
-        # the whole row is taken as one value, so that nulls of a content page stay nulls
-        run = run.withColumn(f"prev_{c}", F.last(F.when(content, F.struct(F.col(c).alias("v"))), ignorenulls=True).over(back)["v"])
-    return run.drop("_run")
+    # the whole row is taken as one value, so that nulls of a content page stay nulls; pages and their numbers grow alike within a run
+    rows = around(pages, ["bundle_id"], "page", "page_no", before={"_p": F.when(content, F.struct("page", *cols))})
+    same = F.col("page") - F.col("_p.v.page") == F.col("page_no") - F.col("_p.no")
+    return rows.select("*", *(F.when(same, F.col(f"_p.v.{c}")).alias(f"prev_{c}") for c in ["page", *cols])).drop("_p")
 
 
 def label_continues(prev: Column, cur: Column) -> Column:
@@ -117,7 +113,7 @@ def heuristic_starts(pages: DataFrame) -> DataFrame:
     reset = F.coalesce(label["value"] == 1, F.lit(False)) & ~label_continues(F.col("prev_printed_label"), F.col("printed_label"))
     a, b = clean(F.col("running_header")), clean(F.col("prev_running_header"))
     change = (a != "") & (b != "") & (F.lower(a) != F.lower(b))
-    first = F.col("page") == F.min("page").over(W.partitionBy("bundle_id"))
+    first = F.col("page_no") == 1
     rows = p.withColumn("_reset", reset).withColumn("_change", change).withColumn("_first", first)
     rows = rows.where((F.col("status") != "blank") & F.col("duplicate_of").isNull() & (F.col("_first") | F.col("is_document_start") | F.col("_reset") | F.col("_change")))
     evidence = F.array_join(F.array_compact(F.array(F.when(F.col("is_document_start"), "title"), F.when(F.col("_reset"), "label reset"), F.when(F.col("_change"), "header change"))), ", ")
@@ -130,15 +126,15 @@ def boundary_checks(starts: DataFrame, pages: DataFrame, threshold: float = 0.9,
 
     Checked are starts of low confidence or in conflict with the page, and unlisted pages that look like starts.
     """
-    p = prev_content(pages, ["printed_label"]).withColumn("_first", F.min("page").over(W.partitionBy("bundle_id")))
+    p = prev_content(pages, ["printed_label"])
     s = starts.select("bundle_id", F.col("start_page").alias("page"), "confidence", F.lit(True).alias("_start"))
     rows = p.join(s, ["bundle_id", "page"], "left")
     conflict = ~F.col("is_document_start") | label_continues(F.col("prev_printed_label"), F.col("printed_label"))
     listed = F.col("_start").isNotNull() & ((F.col("confidence") < threshold) | conflict)
     unlisted = F.col("_start").isNull() & (F.col("status") == "ok") & F.col("duplicate_of").isNull() & F.col("is_document_start")
-    rows = rows.where((F.col("page") != F.col("_first")) & (listed | unlisted))
-    rank = F.row_number().over(W.partitionBy("bundle_id").orderBy("page"))
-    return rows.select("bundle_id", "page", F.col("prev_page").alias("against_page"), F.col("_start").isNotNull().alias("listed"), rank.alias("rank")).withColumn("checked", F.col("rank") <= most)
+    rows = rows.where((F.col("page_no") != 1) & (listed | unlisted)).select("bundle_id", "page", F.col("prev_page").alias("against_page"), F.col("_start").isNotNull().alias("listed"))
+    rows = running_sum(rows, ["bundle_id"], ["page"], F.lit(1), "rank")
+    return rows.withColumn("rank", F.col("rank").cast("int")).withColumn("checked", F.col("rank") <= most)
 
 
 def apply_verdicts(starts: DataFrame, verdicts: DataFrame, pages: DataFrame) -> DataFrame:

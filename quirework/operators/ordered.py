@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quirework.functions.numbering import between, depth_hint, leading_marker, normalize_marker, parse_label
+from quirework.operators.spread import running_sum
 
 
 def sibling_gaps(rows: DataFrame, by: list[str], order: list[str], marker: str, max_gap: int = 4) -> DataFrame:
@@ -85,10 +86,10 @@ def capped_disputes(disputes: DataFrame, by: list[str], most: int = 10) -> DataF
     return disputes.withColumn("rank", rank).withColumn("taken", F.col("rank") <= most)
 
 
-def text_budget(units: DataFrame, by: list[str], order: list, size: Column, budget: int = 90_000) -> DataFrame:
-    """The units before the first that overflows the budget, in order; the one that overflows counts towards the sum."""
-    w = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    return units.withColumn("running", F.sum(size).over(w)).where(F.col("running") <= budget)
+def text_budget(units: DataFrame, by: list[str], order: list[str], size: Column, budget: int = 90_000) -> DataFrame:
+    """The units before the first that overflows the budget, in order; the one that overflows counts towards the sum. The order
+    begins with an integer column."""
+    return running_sum(units, by, order, size, "running").where(F.col("running") <= budget)
 
 
 def first_success(attempts: DataFrame, by: list[str], rung: str, ok: Column, order: list[str]) -> DataFrame:

@@ -46,14 +46,18 @@ def owners(blocks: DataFrame, by: list[str], order: list[str], opens: Column) ->
     return blocks.withColumn("owner_pos", F.sum(opens.cast("int")).over(w).cast("int"))
 
 
-def page_ends(nodes: DataFrame, by: list[str], own_end: str) -> DataFrame:
-    """Last page of each node over its own blocks and its descendants', as ``page_end``.
+def page_ends(nodes: DataFrame, by: list[str], own_end: str, deepest: int = 5) -> DataFrame:
+    """Last page of each node over its own blocks and its descendants', as ``page_end``. ``nodes``: by, pos, level.
 
-    Every node is sent to its at most five ancestors (the prefixes of its path), so the roll-up is one
-    aggregation whatever the tree's shape.
+    A node and its descendants are the rows up to the next one that is not below it: numbered by a running count,
+    they are partitions of a window, so rows are neither copied nor joined and stay where their document is.
     """
-    up = nodes.select(*by, F.col(own_end).alias("_e"), F.explode(F.transform(F.sequence(F.lit(1), F.size("path")), lambda i: F.slice("path", 1, i))).alias("path"))
-    return nodes.join(up.groupBy(*by, "path").agg(F.max("_e").alias("page_end")), [*by, "path"])
+    so_far = W.partitionBy(*by).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    rows = nodes.withColumns({f"_g{k}": F.sum((F.col("level") <= k).cast("int")).over(so_far) for k in range(1, deepest + 1)})
+    end = F.lit(None).cast(nodes.schema[own_end].dataType)
+    for k in range(1, deepest + 1):
+        end = F.when(F.col("level") == k, F.max(own_end).over(W.partitionBy(*by, f"_g{k}"))).otherwise(end)
+    return rows.withColumn("page_end", end).drop(*(f"_g{k}" for k in range(1, deepest + 1)))
 
 
 def full_texts(nodes: DataFrame, by: list[str], heading: str, text: str) -> DataFrame:
@@ -65,12 +69,12 @@ def full_texts(nodes: DataFrame, by: list[str], heading: str, text: str) -> Data
     return nodes.join(parts.select(*by, "path", joined.alias("full_text")), [*by, "path"])
 
 
-def path_titles(nodes: DataFrame, by: list[str], label: str, separator: str = " > ") -> DataFrame:
-    """Labels of the ancestors and the node itself, from the top, as ``path_titles``."""
-    up = nodes.select(*by, F.col("path").alias("_leaf"), F.posexplode(F.transform(F.sequence(F.lit(1), F.size("path")), lambda i: F.slice("path", 1, i))).alias("_i", "path"))
-    named = up.join(nodes.select(*by, "path", F.col(label).alias("_l")), [*by, "path"])
-    titles = named.groupBy(*by, F.col("_leaf").alias("path")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_l"))), lambda x: x["_l"]), separator).alias("path_titles"))
-    return nodes.join(titles, [*by, "path"])
+def path_titles(nodes: DataFrame, by: list[str], label: str, separator: str = " > ", deepest: int = 5) -> DataFrame:
+    """Labels of the ancestors and the node itself, from the top, as ``path_titles``: along the levels, the label of the last node
+    of that level so far. ``nodes``: by, pos, level."""
+    so_far = W.partitionBy(*by).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    titles = [F.when(F.col("level") >= k, F.last(F.when(F.col("level") == k, F.col(label)), ignorenulls=True).over(so_far)) for k in range(1, deepest + 1)]
+    return nodes.withColumn("path_titles", F.concat_ws(separator, *titles))
 
 
 def node_label(number: Column, title: Column, text: Column) -> Column:

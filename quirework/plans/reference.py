@@ -32,19 +32,29 @@ def clauses(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "clauses").drop("loaded_at").dropDuplicates(["clause_id"])
 
 
+def _started(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The page headers and the starts among them, written once: windows over bundles of any size read them several times."""
+    p = materialize(pages(s, d))
+    return p, materialize(boundaries.heuristic_starts(p))
+
+
 def starts(s: SparkSession, d: str) -> DataFrame:
-    return boundaries.heuristic_starts(pages(s, d))
+    return boundaries.heuristic_starts(materialize(pages(s, d)))
 
 
 def parts(s: SparkSession, d: str) -> DataFrame:
-    return boundaries.segments(starts(s, d), pages(s, d))
+    p, begin = _started(s, d)
+    return boundaries.segments(begin, p)
+
+
+def _segment_pages(s: SparkSession, d: str) -> DataFrame:
+    """One row per page with its segment."""
+    return checks.pages_of_ranges(parts(s, d), ["bundle_id", "segment_id", "doc_type", "start_page"], "start_page", "end_page")
 
 
 def _numbered(s: SparkSession, d: str) -> DataFrame:
     """Structural blocks with the segment that they stand in."""
-    cand = blocks(s, d).where("kind IN ('heading', 'clause')")
-    seg = checks.pages_of_ranges(parts(s, d), ["bundle_id", "segment_id", "doc_type", "start_page"], "start_page", "end_page")
-    return cand.join(seg, ["bundle_id", "page"])
+    return blocks(s, d).where("kind IN ('heading', 'clause')").join(_segment_pages(s, d), ["bundle_id", "page"])
 
 
 # ---- queries ----
@@ -68,13 +78,13 @@ def best_start_per_page(s: SparkSession, d: str) -> DataFrame:
 
 
 def blank_start_shift(s: SparkSession, d: str) -> DataFrame:
-    p = pages(s, d)
+    p = materialize(pages(s, d))
     begin = p.where("is_document_start OR status = 'blank'").select("bundle_id", F.col("page").alias("start_page"), "page_type")
     return boundaries.shift_blank_starts(begin, p)
 
 
 def prev_content_page(s: SparkSession, d: str) -> DataFrame:
-    return boundaries.prev_content(pages(s, d), ["page_type"]).select("bundle_id", "page", "prev_page", "prev_page_type")
+    return boundaries.prev_content(materialize(pages(s, d)), ["page_type"]).select("bundle_id", "page", "prev_page", "prev_page_type")
 
 
 def heuristic_starts(s: SparkSession, d: str) -> DataFrame:
@@ -94,16 +104,17 @@ def coverage_violations(s: SparkSession, d: str) -> DataFrame:
 
 
 def boundary_checks(s: SparkSession, d: str) -> DataFrame:
-    return boundaries.boundary_checks(starts(s, d), pages(s, d)).select("bundle_id", "page", "against_page", "listed", "rank", "checked")
+    p, begin = _started(s, d)
+    return boundaries.boundary_checks(begin, p).select("bundle_id", "page", "against_page", "listed", "rank", "checked")
 
 
 def boundary_verdicts(s: SparkSession, d: str) -> DataFrame:
     """Verdicts taken from the pages themselves: a page whose first block continues the page before starts nothing."""
-    p = pages(s, d)
+    p, begin = _started(s, d)
     none = F.lit(None).cast("string")
-    v = boundaries.boundary_checks(starts(s, d), p).where("checked").join(p.select("bundle_id", "page", "first_continues"), ["bundle_id", "page"])
+    v = boundaries.boundary_checks(begin, p).where("checked").join(p.select("bundle_id", "page", "first_continues"), ["bundle_id", "page"])
     v = v.select("bundle_id", "page", F.when(F.col("first_continues"), "continuation").when(F.col("against_page").isNull(), "unclear").otherwise("new_document").alias("verdict"), none.alias("new_type"), none.alias("new_title"))
-    return boundaries.apply_verdicts(starts(s, d), v, p).select("bundle_id", "start_page", "doc_type", "boundary_verified")
+    return boundaries.apply_verdicts(begin, v, p).select("bundle_id", "start_page", "doc_type", "boundary_verified")
 
 
 def division_map(s: SparkSession, d: str) -> DataFrame:
@@ -203,12 +214,15 @@ def index_entries_missing(s: SparkSession, d: str) -> DataFrame:
     return checks.index_missing(entries.join(c, "contract_id").select("bundle_id", "entry"), titles, ["bundle_id"])
 
 
-def clause_tree(s: SparkSession, d: str) -> DataFrame:
-    n = _numbered(s, d)
+def _tree(n: DataFrame) -> DataFrame:
     n = ordered.fallback_levels(n, ["bundle_id", "segment_id"], ["page", "idx"]).withColumnRenamed("level", "wanted")
     return tree.tree(n, ["bundle_id", "segment_id"], ["page", "idx"], "wanted")
 
 
+def clause_tree(s: SparkSession, d: str) -> DataFrame:
+    return _tree(_numbered(s, d))
+
+
 def tree_paths(s: SparkSession, d: str) -> DataFrame:
     return clause_tree(s, d).select("bundle_id", "segment_id", "pos", "wanted", "level", "parent_pos", "ordinal", F.array_join(F.transform("path", lambda x: x.cast("string")), ".").alias("path"))
 
@@ -219,8 +233,7 @@ def sibling_groups(s: SparkSession, d: str) -> DataFrame:
 
 
 def block_owner(s: SparkSession, d: str) -> DataFrame:
-    seg = checks.pages_of_ranges(parts(s, d), ["bundle_id", "segment_id"], "start_page", "end_page")
-    b = blocks(s, d).where(F.col("kind").isin(*BODY)).join(seg, ["bundle_id", "page"])
+    b = blocks(s, d).where(F.col("kind").isin(*BODY)).join(_segment_pages(s, d), ["bundle_id", "page"])
     return tree.owners(b, ["bundle_id", "segment_id"], ["page", "idx"], F.col("kind").isin("heading", "clause"))
 
 
@@ -229,9 +242,14 @@ def owner_sizes(s: SparkSession, d: str) -> DataFrame:
 
 
 def page_end_rollup(s: SparkSession, d: str) -> DataFrame:
-    own = owner_sizes(s, d).select("bundle_id", "segment_id", F.col("owner_pos").alias("pos"), "last_page")
-    n = clause_tree(s, d).join(own, ["bundle_id", "segment_id", "pos"])
-    return tree.page_ends(n, ["bundle_id", "segment_id"], "last_page").select("bundle_id", "segment_id", "pos", "page_end")
+    """Blocks are placed once, without their texts; nodes and what they own come from the same rows."""
+    mark = F.coalesce("number", F.when(F.col("kind").isin("heading", "clause"), numbering.leading_marker(F.col("text"))))
+    b = blocks(s, d).where(F.col("kind").isin(*BODY)).select("bundle_id", "page", "idx", "kind", mark.alias("number"), F.lit(None).cast("string").alias("text"))
+    by = ["bundle_id", "segment_id"]
+    placed = materialize(tree.owners(b.join(_segment_pages(s, d), ["bundle_id", "page"]), by, ["page", "idx"], F.col("kind").isin("heading", "clause")))
+    own = placed.groupBy(*by, F.col("owner_pos").alias("pos")).agg(F.max("page").alias("last_page"))
+    n = _tree(placed.where("kind IN ('heading', 'clause')")).select(*by, "pos", "level").join(own, [*by, "pos"])
+    return tree.page_ends(n, by, "last_page").select(*by, "pos", "page_end")
 
 
 def assembled_nodes(s: SparkSession, d: str) -> DataFrame:

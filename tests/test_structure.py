@@ -324,3 +324,22 @@ def test_ink(spark):
     df = spark.createDataFrame([(bytearray(page), 100), (None, 100), (bytearray(b""), 0)], "p binary, w int")
     got = [r[0] for r in df.select(files.ink_ratio("p", "w")).collect()]
     assert abs(got[0] - 10 / (92 * 92)) < 1e-9 and got[1:] == [None, None]
+
+
+def test_windows_spread_over_blocks(spark):
+    from quirework.operators import spread
+
+    rng = random.Random(21)
+    rows = [(g, n, rng.choice([None, n * 10]), rng.randint(-3, 3)) for g in ("a", "b", None) for n in rng.sample(range(1, 400), 60)] + [("a", None, 7, 1)]
+    df = spark.createDataFrame(rows, "g string, n int, v int, w int")
+    key = lambda n: -1 if n is None else n
+    got = spread.running_sum(spread.following(spread.previous(df, ["g"], "n", F.col("v"), "p", 16), ["g"], "n", F.col("v"), "f", 16), ["g"], ["n"], F.col("w"), "s", 16).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        same = [x for x in rows if x[0] == r.g]
+        before = [x for x in same if key(x[1]) < key(r.n) and x[2] is not None]
+        after = [x for x in same if key(x[1]) > key(r.n) and x[2] is not None]
+        assert r.p == (max(before, key=lambda x: key(x[1]))[2] if before else None)
+        assert r.f == (min(after, key=lambda x: key(x[1]))[2] if after else None)
+        assert r.s == sum(x[3] for x in same if key(x[1]) <= key(r.n))
+    assert spread.previous(df.where("false"), ["g"], "n", F.col("v"), "p").count() == 0
