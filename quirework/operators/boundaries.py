@@ -250,7 +250,7 @@ def insert_recovered(units: DataFrame, recovered: DataFrame) -> DataFrame:
     new = r.select(*by, F.lit("clause").alias("kind"), "marker", "title", page.alias("page_start"), F.lit(False).alias("shares_start_page"), F.concat("after_unit", F.expr("repeat('R', _k)")).alias("unit_id"))
     rows = base.select(*new.columns).unionByName(new).join(base.groupBy(*by).agg(F.max("_end").alias("_end")), by)
     following = F.lead("page_start").over(w)
-    return rows.withColumn("page_end", F.coalesce(F.greatest(F.col("page_start"), following - 1), F.col("_end"))).drop("_end")
+    return rows.withColumn("page_end", F.when(following.isNull(), F.col("_end")).otherwise(F.greatest(F.col("page_start"), following - 1))).drop("_end")
 
 
 def page_contexts(units: DataFrame) -> DataFrame:

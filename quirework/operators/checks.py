@@ -218,6 +218,13 @@ def duplicate_of(pairs: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy("root").applyInPandas(greedy, schema)
 
 
+def mark_duplicates(pages: DataFrame, duplicates: DataFrame) -> DataFrame:
+    """``pages`` with ``duplicate_of`` from :func:`duplicate_of` (by bundle_id): such pages start nothing, hold no candidates and are
+    no content page before another."""
+    found = duplicates.select("bundle_id", F.col("later").alias("page"), F.col("duplicate_of").cast("int").alias("duplicate_of")).dropDuplicates(["bundle_id", "page"])
+    return pages.drop("duplicate_of").join(found, ["bundle_id", "page"], "left")
+
+
 ALIGNED = "page int, a_pos int, b_pos int, score double, outcome string"
 
 

@@ -66,17 +66,20 @@ def fallback_level(number: Column, text: Column, kind: Column, prev_level: Colum
     return F.greatest(F.lit(1), F.least(level, F.lit(deepest)))
 
 
-def fallback_levels(rows: DataFrame, by: list[str], order: list[str], deepest: int = 5) -> DataFrame:
-    """:func:`fallback_level` down a sequence: rows without a level of their own count on from the last that has one."""
+def fallback_levels(rows: DataFrame, by: list[str], order: list[str], deepest: int = 5, decided: Column | None = None) -> DataFrame:
+    """:func:`fallback_level` down a sequence: rows without a level of their own count on from the last that has one. ``decided``:
+    levels known already, null elsewhere; they may be deeper than ``deepest``."""
     w = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     hint = depth_hint(F.coalesce("number", leading_marker(F.col("text"))))
     dots = F.regexp_extract(hint, r"^dotted-(\d+)$", 1)
     own = F.when(F.col("_dots") != "", F.greatest(F.lit(1), F.least(F.col("_dots").cast("int"), F.lit(deepest)))).when(F.col("kind") == "heading", 1)
+    own = own if decided is None else F.coalesce(decided, own)
     r = rows.withColumn("_dots", dots).withColumn("_own", own).withColumn("_run", F.count("_own").over(w))
     within = W.partitionBy(*by, "_run").orderBy(*order)
     start = F.first("_own").over(within.rowsBetween(W.unboundedPreceding, 0))
     since = F.row_number().over(within) - F.when(start.isNotNull(), 1).otherwise(0)
-    return r.withColumn("level", F.least(F.coalesce(start, F.lit(1)) + since, F.lit(deepest))).drop("_dots", "_own", "_run")
+    level = F.least(F.coalesce(start, F.lit(1)) + since, F.lit(deepest))
+    return r.withColumn("level", F.coalesce("_own", level)).drop("_dots", "_own", "_run")
 
 
 def capped_disputes(disputes: DataFrame, by: list[str], most: int = 10) -> DataFrame:
@@ -99,6 +102,30 @@ def first_success(attempts: DataFrame, by: list[str], rung: str, ok: Column, ord
     return r.withColumn("_r", F.row_number().over(W.partitionBy(*by).orderBy("n_attempts"))).where("_r = 1").drop("_r")
 
 
+def ladder(attempts: DataFrame, by: list[str], rung: str, mode: str, outcome: str, order: list[str]) -> DataFrame:
+    """:func:`first_success` of reads by rungs; after a truncated one the whole page is not read again, so those attempts don't count."""
+    before = W.partitionBy(*by).orderBy(rung, *order).rowsBetween(W.unboundedPreceding, -1)
+    cut = F.coalesce(F.max((F.col(outcome) == "truncated").cast("int")).over(before), F.lit(0))
+    rows = attempts.withColumn("_cut", cut).where(~((F.col(mode) == "full") & (F.col("_cut") == 1))).drop("_cut")
+    return first_success(rows, by, rung, F.col(outcome) == "ok", order)
+
+
+def decided_levels(rows: DataFrame, decisions: DataFrame, by: list[str], order: list[str], id_: str, deepest: int = 5) -> DataFrame:
+    """Candidates with the ``level``, ``number``, ``title`` and ``source`` of their decisions; those without one get a level by numbering.
+
+    ``decisions``: by, ``<id_>``, keep, level, number, title, source; ids that no candidate has are left aside, of
+    several for one id that of the least level counts. Candidates that are not kept, or decided to lie deeper than
+    ``deepest``, are no nodes and come no more; the deeper ones still count for the level of what follows them.
+    A level of less than 1 is 1; a number or title that is decided replaces that of the candidate.
+    """
+    d = decisions.groupBy(*by, id_).agg(F.min(F.struct("level", "keep", F.trim("number").alias("number"), F.trim("title").alias("title"), "source")).alias("_d"))
+    kept = rows.join(d, [*by, id_], "left").where("_d IS NULL OR _d.keep")
+    own = F.when(F.col("_d.level").isNotNull(), F.greatest(F.lit(1), F.col("_d.level")))
+    r = fallback_levels(kept, by, order, deepest, own).where(F.col("level") <= deepest)
+    one = lambda c: F.coalesce(F.when(F.col(f"_d.{c}") != "", F.col(f"_d.{c}")), F.col(c))
+    return r.withColumn("number", one("number")).withColumn("title", one("title")).withColumn("source", F.coalesce("_d.source", F.lit("fallback"))).drop("_d")
+
+
 def seam_duplicates(blocks: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """Blocks of two half reads without exact repeats of the block kept before (kind, marker and text)."""
     w = W.partitionBy(*by).orderBy(*order)

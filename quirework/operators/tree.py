@@ -46,6 +46,24 @@ def owners(blocks: DataFrame, by: list[str], order: list[str], opens: Column) ->
     return blocks.withColumn("owner_pos", F.sum(opens.cast("int")).over(w).cast("int"))
 
 
+def roles(blocks: DataFrame, by: list[str], order: list[str], opens: Column, title: Column, annotations: tuple[str, ...] = ("stamp_or_seal", "signature_block"), similar: float = 0.85) -> DataFrame:
+    """:func:`owners` with the ``role`` of each block: ``node``, ``title``, ``annotation``, ``recital`` or ``text``.
+
+    Before the first node a block belongs to the document itself: a heading like the document's title is its title
+    block as long as the document has no text, and recitals make up a node of their own.
+    """
+    from quirework.functions.text import full_similarity_udf
+
+    rows = owners(blocks, by, order, opens).withColumn("_open", opens).withColumn("_title", title)
+    noted, loose = F.col("kind").isin(*annotations), F.col("owner_pos") == 0
+    like = F.when(loose & (F.col("kind") == "heading"), full_similarity_udf(F.col("text"), F.col("_title")) >= similar).otherwise(F.lit(False))
+    rows = rows.withColumn("_like", F.coalesce(like, F.lit(False)))
+    says = loose & ~noted & (F.col("kind") != "recital") & ~F.col("_like")
+    before = F.coalesce(F.max(says.cast("int")).over(W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    role = F.when(F.col("_open"), "node").when(F.col("_like") & (before == 0), "title").when(noted, "annotation").when(loose & (F.col("kind") == "recital"), "recital").otherwise("text")
+    return rows.withColumn("role", role).drop("_open", "_title", "_like")
+
+
 def page_ends(nodes: DataFrame, by: list[str], own_end: str, deepest: int = 5) -> DataFrame:
     """Last page of each node over its own blocks and its descendants', as ``page_end``. ``nodes``: by, pos, level.
 

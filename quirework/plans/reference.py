@@ -386,7 +386,8 @@ def ladder_first_success(s: SparkSession, d: str) -> DataFrame:
     c = reader.outcomes(table(s, d, "replay"))
     p = pages(s, d).select("bundle_id", "page", "call_key").join(c, F.col("call_key") == F.col("cache_key"))
     rung = F.when(F.col("task") == "page_read", 0).when(F.col("task") == "page_read_half", 1).otherwise(2)
-    return ordered.first_success(p.withColumn("rung", rung), ["bundle_id", "page"], "rung", F.col("outcome") == "ok", ["cache_key"]).select("bundle_id", "page", "cache_key", "rung", "n_attempts")
+    mode = F.when(F.col("task") == "page_read", "full").otherwise("half")
+    return ordered.ladder(p.withColumn("rung", rung).withColumn("mode", mode), ["bundle_id", "page"], "rung", "mode", "outcome", ["cache_key"]).select("bundle_id", "page", "cache_key", "rung", "n_attempts")
 
 
 def page_diagnosis(s: SparkSession, d: str) -> DataFrame:
@@ -473,7 +474,38 @@ def review_queue(s: SparkSession, d: str) -> DataFrame:
     return q.withColumn("pages", F.array_join(F.transform("pages", lambda x: x.cast("string")), ","))
 
 
-_NAMES = """page_windows segmentation_windows best_start_per_page blank_start_shift prev_content_page heuristic_starts segment_ranges coverage_violations boundary_checks
+def unduplicated_segments(s: SparkSession, d: str) -> DataFrame:
+    """Segments after pages that repeat others were marked: those start nothing."""
+    p = materialize(checks.mark_duplicates(pages(s, d), duplicate_pages(s, d)))
+    return boundaries.segments(materialize(boundaries.heuristic_starts(p)), p).select("bundle_id", "segment_id", "doc_type", "start_page", "end_page")
+
+
+def tree_needed(s: SparkSession, d: str) -> DataFrame:
+    """Per document: its candidates, and whether its type and their number call for a tree."""
+    seg = materialize(parts(s, d).select("bundle_id", "segment_id", "doc_type", "start_page", "end_page"))
+    n = blocks(s, d).where("kind IN ('heading', 'clause')").join(checks.pages_of_ranges(seg, ["bundle_id", "segment_id"], "start_page", "end_page"), ["bundle_id", "page"]).groupBy("bundle_id", "segment_id").agg(F.count("*").alias("n_candidates"))
+    rows = seg.join(n, ["bundle_id", "segment_id"], "left").na.fill(0, ["n_candidates"])
+    return rows.select("bundle_id", "segment_id", "n_candidates", boundaries.needs_tree(F.col("doc_type"), F.col("n_candidates")).alias("needed"))
+
+
+def outlines(s: SparkSession, d: str) -> DataFrame:
+    n = clause_tree(s, d).withColumn("label", tree.node_label(F.col("number"), F.col("title"), F.col("text")))
+    return tree.outline(n, ["bundle_id", "segment_id"], "label")
+
+
+def heading_titles(s: SparkSession, d: str) -> DataFrame:
+    """Display titles of clauses: from their text, and their title without a section that is glued on."""
+    c = clauses(s, d)
+    return c.select("clause_id", text.heading_title(F.col("text"), F.col("marker")).alias("from_text"), text.trim_embedded_section(text.clean(F.col("title"))).alias("title"))
+
+
+def tree_chunks(s: SparkSession, d: str) -> DataFrame:
+    """Candidates of each document in chunks for a decision, those with a number of their own decided already."""
+    n = _numbered(s, d).withColumn("decided", F.col("number").isNotNull())
+    return boundaries.decision_chunks(n, ["bundle_id", "segment_id"], ["page", "idx"], size=4, context=2).select("bundle_id", "segment_id", "pos", "chunk", "context_from")
+
+
+_NAMES = """unduplicated_segments tree_needed outlines heading_titles tree_chunks page_windows segmentation_windows best_start_per_page blank_start_shift prev_content_page heuristic_starts segment_ranges coverage_violations boundary_checks
 boundary_verdicts division_map toc_fold anchor_collect unit_ranges leaf_levels page_contexts page_to_clause template_coverage sibling_gaps subclause_gaps label_continuity attachment_series_gap
 reference_findings listed_documents_missing index_entries_missing tree_paths sibling_groups owner_sizes page_end_rollup assembled_nodes plain_texts full_texts path_titles toc_lines nested_trees unit_texts
 duplicate_page_pairs duplicate_pages degenerate_texts card_lines marker_keys label_keys attachment_keys snippet_dates date_merge display_names pick_parties page_status run_status cost_rollup

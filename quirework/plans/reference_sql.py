@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quirework.functions.dates import TERMS
+from quirework.operators.boundaries import FLAT, TREE_IF_STRUCTURED
 from quirework.operators.recovery import COVERS, DATE_TITLES
 
 PG = "pg AS (SELECT DISTINCT page_id, bundle_id, page, page_type, is_document_start, document_title, printed_label, running_header, first_continues, status, ink_ratio, cross_references, contract_documents_list, call_key FROM pages)"
@@ -91,7 +92,19 @@ _BEGINS = lambda t, p: f"list_transform(range(1, len(regexp_extract_all({t}, '{p
 _TERMS = TERMS.replace("'", "''")
 _NEAR = lambda t: f"list_sum(list_transform({_BEGINS(t, _TERMS)}, lambda a: len(list_filter({_BEGINS(t, _LIT)}, lambda b: abs(a - b) <= 200))))::int"
 
+_FLAT = ", ".join(f"'{x}'" for x in FLAT)
+_SOME = ", ".join(f"'{x}'" for x in TREE_IF_STRUCTURED)
+_LINE1 = lambda c: clean(f"string_split_regex(trim({c}), '\\r\\n|[\\n\\r]')[1]")
+
 ORACLES = {
+    "unduplicated_segments": f"WITH {STARTS}, {_SHINGLE}, dup AS (SELECT count(*) AS n FROM g a JOIN g b ON a.bundle_id = b.bundle_id AND a.g = b.g AND a.page < b.page JOIN n x ON x.bundle_id = a.bundle_id AND x.page = a.page JOIN n y ON y.bundle_id = b.bundle_id AND y.page = b.page WHERE y.n >= 30 GROUP BY a.bundle_id, a.page, b.page, x.n, y.n HAVING count(*) / (x.n + y.n - count(*)) >= 0.9) SELECT bundle_id, segment_id, doc_type, start_page, end_page FROM seg WHERE (SELECT count(*) FROM dup) = 0",
+    "tree_needed": f"WITH {STARTS}, {BL}, {_NUM}, n AS (SELECT bundle_id, segment_id, count(*) AS n FROM num GROUP BY 1, 2) SELECT bundle_id, segment_id, coalesce(n, 0) AS n_candidates, CASE WHEN doc_type IN ({_FLAT}) THEN false WHEN doc_type IN ({_SOME}) THEN coalesce(n, 0) >= 2 ELSE coalesce(n, 0) >= 1 END AS needed FROM seg LEFT JOIN n USING (bundle_id, segment_id)",
+    "outlines": f"WITH {_TREE} SELECT bundle_id, segment_id, string_agg(repeat('  ', level - 1) || label, chr(10) ORDER BY pos) AS outline FROM spans WHERE level <= 2 GROUP BY 1, 2",
+    "heading_titles": f"""WITH {CL}, a AS (SELECT clause_id, title, {clean('marker')} AS m, {_LINE1("coalesce(text, '')")} AS l FROM cl), b AS (SELECT *, CASE WHEN m <> '' AND starts_with(lower(l), lower(m)) THEN regexp_replace(substr(l, length(m) + 1), '^[ .:)-]+', '') ELSE l END AS x FROM a),
+ c AS (SELECT *, CASE WHEN regexp_extract(x, '^(.*?[.:;])\\s', 1) = '' THEN x ELSE regexp_extract(x, '^(.*?[.:;])\\s', 1) END AS h FROM b), e AS (SELECT *, trim(CASE WHEN length(h) <= 90 THEN h ELSE left(x, 90) END) AS t, {clean('title')} AS ct FROM c)
+ SELECT clause_id, CASE WHEN t <> '' THEN t END AS from_text, CASE WHEN length(trim(regexp_extract(ct, '(?is)^(.*?\\S)\\s*section\\s*-?\\s*\\d', 1))) >= 10 THEN trim(regexp_extract(ct, '(?is)^(.*?\\S)\\s*section\\s*-?\\s*\\d', 1)) ELSE ct END AS title FROM e""",
+    "tree_chunks": f"""WITH {STARTS}, {BL}, {_NUM}, p AS (SELECT bundle_id, segment_id, row_number() OVER w::int AS pos, greatest(count(*) FILTER (number IS NULL) OVER (PARTITION BY bundle_id, segment_id ORDER BY page, idx ROWS UNBOUNDED PRECEDING) - 1, 0) // 4 AS chunk FROM num WINDOW w AS (PARTITION BY bundle_id, segment_id ORDER BY page, idx))
+ SELECT bundle_id, segment_id, pos, chunk::int AS chunk, greatest(1, min(pos) OVER (PARTITION BY bundle_id, segment_id, chunk) - 2)::int AS context_from FROM p""",
     "boundary_verdicts": f"""WITH {STARTS}, r AS (SELECT v.bundle_id, v.page, v.p.page AS against_page, v.first_continues, v.page <> min(v.page) OVER (PARTITION BY v.bundle_id) AND (s.start_page IS NOT NULL OR (v.status = 'ok' AND v.is_document_start)) AS pick FROM prev v LEFT JOIN st s ON s.bundle_id = v.bundle_id AND s.start_page = v.page),
  k AS (SELECT *, row_number() OVER (PARTITION BY bundle_id ORDER BY page) AS rank FROM r WHERE pick), v AS (SELECT bundle_id, page AS start_page, CASE WHEN first_continues THEN 'continuation' WHEN against_page IS NULL THEN 'unclear' ELSE 'new_document' END AS verdict FROM k WHERE rank <= 120)
  SELECT bundle_id, start_page, doc_type, verdict = 'new_document' AS boundary_verified FROM st LEFT JOIN v USING (bundle_id, start_page) WHERE verdict IS NULL OR verdict <> 'continuation'
