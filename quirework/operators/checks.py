@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quirework.functions.numbering import attachment_key, normalize_marker
 from quirework.operators.components import components
 from quirework.runtime import materialize
-from quirework.functions.text import _norm, clean, norm_lower, prefix_ratio, ratio, shingles
+from quirework.functions.text import _norm, clean, norm_lower, prefix_ratio, shingles
 
 # Words by which a listed document without a number is known.
 KEYWORDS = {
@@ -282,11 +282,5 @@ def best_lines(probes: DataFrame, lines: DataFrame, by: list[str]) -> DataFrame:
 
 def suggestions_missing(suggestions: DataFrame, titles: DataFrame, by: list[str], similar: float = 0.85) -> DataFrame:
     """Suggested headings that no title of the outline is similar to as a whole."""
-    rows = suggestions.join(titles.groupBy(*by).agg(F.collect_set("title").alias("_t")), by, "left")
-
-    def far(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            ok = [not any(ratio(_norm(s), _norm(t)) >= similar for t in (ts if ts is not None else ())) for s, ts in zip(pdf["suggestion"], pdf["_t"])]
-            yield pdf[ok].drop(columns="_t")
-
-    return rows.select(*by, "suggestion", "_t").mapInPandas(far, suggestions.select(*by, "suggestion").schema)
+    rows = suggestions.select(*by, "suggestion")
+    return rows.join(similar_in_blocks(rows, "suggestion", titles, "title", by, similar), [*by, "suggestion"], "left_anti")
