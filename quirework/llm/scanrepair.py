@@ -46,7 +46,7 @@ COMPOUND = re.compile(r"(?<![a-zß-öø-ɏ])(?=([a-zß-öø-ɏ]+-[a-zß-öø-ɏ]
 LAST, FIRST = re.compile(r"[A-Za-zÀ-ɏ]*$"), re.compile(r"[A-Za-zÀ-ɏ]*")
 LIST = re.compile(r"\s*(?:[-•*|]|\(?(?:[0-9]{1,3}|[a-z]|[ivx]{1,5})[.)](?:\s|$)|[0-9]+(?:\.[0-9]+)+\.?(?:\s|$))")
 #: What stands before the first word of a sentence.
-SENTENCE = re.compile(r"(?:^|[.!?]\s|\n)\s*\Z")
+SENTENCE = re.compile(r"(?:\A|[.!?]\s|\n\n)\s*\Z")
 _NUMBER = r"(?:page\s*)?\d+(?:\s*(?:of|/)\s*\d+)?"
 NUMERIC = re.compile(rf"(?:{_NUMBER}|[-–—]\s*{_NUMBER}\s*[-–—]|\[\s*{_NUMBER}\s*\])\s*$", re.I)
 CODE = re.compile(r"\S*[A-Z]\S*[-/]\S*\d+\S*$")
@@ -203,7 +203,7 @@ def meant(word: str) -> set[str]:
 def corrections(words: DataFrame, p: Params) -> DataFrame:
     """``(wrong, right)``: words that a far more frequent word was misread as; joins on words, so of any size.
 
-    Words of two letters are too often abbreviations: they count only with a digit or sign inside.
+    Words of two letters are too often abbreviations: they count only with a digit or sign inside (and see :func:`free`).
     """
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -457,6 +457,12 @@ def relined(text: str, model: Model) -> Relined:
     return Relined([*pieces, held], joints, furniture, wrapped)
 
 
+def free(m: re.Match) -> bool:
+    """A word of two letters in small letters that stands between blanks, not in a code."""
+    before, after = m.string[max(0, m.start() - 1) : m.start()], m.string[m.end() : m.end() + 1]
+    return m[0].islower() and (not before or before.isspace()) and (not after or after.isspace() or after in ".,;:)")
+
+
 def repair(text: str, model: Model, lexicon: dict[str, str]) -> tuple[str, bool, bool, bool]:
     """``(text, broken word, misread word, furniture inside)``; the text itself if nothing was found."""
     lined = relined(text, model)
@@ -471,7 +477,7 @@ def repair(text: str, model: Model, lexicon: dict[str, str]) -> tuple[str, bool,
             nonlocal misread
             w = m[0]
             r = lexicon.get(w.lower())
-            if r is None or m.start() == cut:
+            if r is None or m.start() == cut or len(w) == 2 and not free(m):
                 return w
             misread = True
             capital = w[0].isupper() or not w[0].isalpha() and SENTENCE.search(m.string, max(0, m.start() - 9), m.start()) is not None

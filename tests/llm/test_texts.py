@@ -49,6 +49,7 @@ def scan_corpus():
         1003: ("The engineer shall cer¬\nGCC-7\ntify the amount in writing.", "The engineer shall certify the amount in writing.", (True, False, True)),
         1004: ("The c0ntr-\nGCC-7\nactor shall give notice.", "The contractor shall give notice.", (True, True, True)),
         1005: ("The works are off-\nshore works, and the well-\nknown engineer shall certify.", "The works are off-shore works, and the well-known engineer shall certify.", (False, False, False)),
+        1007: ("The works are in\nwriting, block 0F and code A/0f/B-1n.", "The works are in writing, block 0F and code A/0f/B-1n.", (False, False, False)),
         1006: ("0f the contractor, and 1n the works.", "Of the contractor, and in the works.", (False, True, False)),
     }
     rows += [("t", k, v[0]) for k, v in noisy.items()]
