@@ -505,7 +505,27 @@ def tree_chunks(s: SparkSession, d: str) -> DataFrame:
     return boundaries.decision_chunks(n, ["bundle_id", "segment_id"], ["page", "idx"], size=4, context=2).select("bundle_id", "segment_id", "pos", "chunk", "context_from")
 
 
-_NAMES = """unduplicated_segments tree_needed outlines heading_titles tree_chunks page_windows segmentation_windows best_start_per_page blank_start_shift prev_content_page heuristic_starts segment_ranges coverage_violations boundary_checks
+def review_pages(s: SparkSession, d: str) -> DataFrame:
+    """Findings on pages, headings and boundaries as a queue: what could not be read, was not checked, was added or removed."""
+    p, begin = _started(s, d)
+    check = materialize(boundaries.boundary_checks(begin, p))
+    one, none = (lambda c: F.array(F.col(c).cast("int"))), F.expr("cast(array() as array<int>)")
+    heads = blocks(s, d).where("kind IN ('heading', 'clause') AND legibility <> 'clear'").withColumn("pages", one("page")).withColumn("shown", F.substring(F.coalesce("text", F.lit("")), 1, 80))
+    capped = check.groupBy("bundle_id").agg(F.count("*").alias("n")).where("n > 120").withColumn("pages", none)
+    listed = p.groupBy("bundle_id").agg(F.max(F.coalesce(F.size("contract_documents_list"), F.lit(0))).alias("n")).where("n <= 0").withColumn("pages", none)
+    judged = check.where("checked").join(p.select("bundle_id", "page", "first_continues"), ["bundle_id", "page"]).withColumn("pages", one("page"))
+    return sinks.review(
+        (heads, "illegible_heading", "warning", "concat(legibility, ' heading: ', shown)"),
+        (p.where("status = 'failed'").withColumn("pages", one("page")), "page_unreadable", "error", "concat('page ', page, ' could not be read')"),
+        (capped, "boundary_checks_capped", "warning", "concat(n, ' boundaries to check, 120 were')"),
+        (listed, "no_contract_documents_list", "info", "'no page lists the documents of the contract'"),
+        (judged.where("listed AND first_continues"), "boundary_removed", "info", "concat('page ', page, ' continues page ', coalesce(cast(against_page AS string), '-'))"),
+        (judged.where("NOT listed AND NOT coalesce(first_continues, false) AND against_page IS NOT NULL"), "boundary_added", "info", "concat('page ', page, ' starts a document')"),
+        (judged.where("NOT coalesce(first_continues, false) AND against_page IS NULL"), "boundary_unclear", "warning", "concat('no page before page ', page)"),
+    ).withColumn("pages", F.array_join(F.transform("pages", lambda x: x.cast("string")), ",")).drop("ord")
+
+
+_NAMES = """review_pages unduplicated_segments tree_needed outlines heading_titles tree_chunks page_windows segmentation_windows best_start_per_page blank_start_shift prev_content_page heuristic_starts segment_ranges coverage_violations boundary_checks
 boundary_verdicts division_map toc_fold anchor_collect unit_ranges leaf_levels page_contexts page_to_clause template_coverage sibling_gaps subclause_gaps label_continuity attachment_series_gap
 reference_findings listed_documents_missing index_entries_missing tree_paths sibling_groups owner_sizes page_end_rollup assembled_nodes plain_texts full_texts path_titles toc_lines nested_trees unit_texts
 duplicate_page_pairs duplicate_pages degenerate_texts card_lines marker_keys label_keys attachment_keys snippet_dates date_merge display_names pick_parties page_status run_status cost_rollup

@@ -97,6 +97,15 @@ _SOME = ", ".join(f"'{x}'" for x in TREE_IF_STRUCTURED)
 _LINE1 = lambda c: clean(f"string_split_regex(trim({c}), '\\r\\n|[\\n\\r]')[1]")
 
 ORACLES = {
+    "review_pages": f"""WITH {STARTS}, {BL}, r AS (SELECT v.bundle_id, v.page, v.p.page AS against_page, s.start_page IS NOT NULL AS listed, coalesce(v.first_continues, false) AS goes, v.page <> min(v.page) OVER (PARTITION BY v.bundle_id) AND (s.start_page IS NOT NULL OR (v.status = 'ok' AND v.is_document_start)) AS pick FROM prev v LEFT JOIN st s ON s.bundle_id = v.bundle_id AND s.start_page = v.page),
+ k AS (SELECT *, row_number() OVER (PARTITION BY bundle_id ORDER BY page) AS rank FROM r WHERE pick), c AS (SELECT * FROM k WHERE rank <= 120)
+ SELECT bundle_id, 'warning' AS severity, 'illegible_heading' AS code, legibility || ' heading: ' || left(coalesce(text, ''), 80) AS message, page::varchar AS pages FROM bl WHERE kind IN ('heading', 'clause') AND legibility <> 'clear'
+ UNION ALL SELECT bundle_id, 'error', 'page_unreadable', 'page ' || page || ' could not be read', page::varchar FROM pg WHERE status = 'failed'
+ UNION ALL SELECT bundle_id, 'warning', 'boundary_checks_capped', count(*) || ' boundaries to check, 120 were', '' FROM k GROUP BY bundle_id HAVING count(*) > 120
+ UNION ALL SELECT bundle_id, 'info', 'no_contract_documents_list', 'no page lists the documents of the contract', '' FROM pg GROUP BY bundle_id HAVING max(coalesce(len(contract_documents_list), 0)) = 0
+ UNION ALL SELECT bundle_id, 'info', 'boundary_removed', 'page ' || page || ' continues page ' || coalesce(against_page::varchar, '-'), page::varchar FROM c WHERE listed AND goes
+ UNION ALL SELECT bundle_id, 'info', 'boundary_added', 'page ' || page || ' starts a document', page::varchar FROM c WHERE NOT listed AND NOT goes AND against_page IS NOT NULL
+ UNION ALL SELECT bundle_id, 'warning', 'boundary_unclear', 'no page before page ' || page, page::varchar FROM c WHERE NOT goes AND against_page IS NULL""",
     "unduplicated_segments": f"WITH {STARTS}, {_SHINGLE}, dup AS (SELECT count(*) AS n FROM g a JOIN g b ON a.bundle_id = b.bundle_id AND a.g = b.g AND a.page < b.page JOIN n x ON x.bundle_id = a.bundle_id AND x.page = a.page JOIN n y ON y.bundle_id = b.bundle_id AND y.page = b.page WHERE y.n >= 30 GROUP BY a.bundle_id, a.page, b.page, x.n, y.n HAVING count(*) / (x.n + y.n - count(*)) >= 0.9) SELECT bundle_id, segment_id, doc_type, start_page, end_page FROM seg WHERE (SELECT count(*) FROM dup) = 0",
     "tree_needed": f"WITH {STARTS}, {BL}, {_NUM}, n AS (SELECT bundle_id, segment_id, count(*) AS n FROM num GROUP BY 1, 2) SELECT bundle_id, segment_id, coalesce(n, 0) AS n_candidates, CASE WHEN doc_type IN ({_FLAT}) THEN false WHEN doc_type IN ({_SOME}) THEN coalesce(n, 0) >= 2 ELSE coalesce(n, 0) >= 1 END AS needed FROM seg LEFT JOIN n USING (bundle_id, segment_id)",
     "outlines": f"WITH {_TREE} SELECT bundle_id, segment_id, string_agg(repeat('  ', level - 1) || label, chr(10) ORDER BY pos) AS outline FROM spans WHERE level <= 2 GROUP BY 1, 2",
